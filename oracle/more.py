@@ -1,0 +1 @@
+"""More oracles."""
