@@ -1,20 +1,9 @@
-"""Oracle SQL by query name."""
+"""Oracle SQL by query name (registered next to each Spark query)."""
 
 from __future__ import annotations
 
-from oracle import base as B
-from oracle import scoring as OS
-
-ORACLES: dict[str, str] = {}
-
-
-def oracle(name: str, sql: str) -> None:
-    ORACLES[name] = sql
-
-
-oracle("rsk_raw", B.q(OS.BASE, OS.SCORE_STEPS, B.typed("SELECT * FROM scores", ["risk_year", "time_period", "age_yr"])))
-
 
 def load_all() -> dict[str, str]:
-    from oracle import more  # noqa: F401
+    from riskspark.registry import ORACLES, load_all as load_queries
+    load_queries()
     return dict(ORACLES)

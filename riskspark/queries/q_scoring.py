@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from oracle import base as B
+from oracle import scoring as OS
 from riskspark.plans import scoring as S
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
 
+INTS = ["risk_year", "time_period", "age_yr"]
 
-@query("rsk_raw")
+
+@query("rsk_raw", B.q(OS.BASE, OS.SCORE_STEPS, B.typed("SELECT * FROM scores", INTS)))
 def rsk_raw(spark, sf):
     return Inputs(spark, sf).scores()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
 
 
 def normalize_types(df: DataFrame) -> DataFrame:
@@ -30,7 +31,12 @@ def normalize_types(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def query(name: str):
+def query(name: str, oracle: str | None = None):
+    """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``; ``oracle`` is
+    the equivalent DuckDB SQL (omitted where SQL cannot express the op)."""
+    if oracle is not None:
+        ORACLES[name] = oracle
+
     def deco(fn):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
