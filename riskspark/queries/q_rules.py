@@ -53,12 +53,12 @@ def prj_business_rules(spark, sf):
 
 
 @query("prj_derived_metrics", B.typed(B.q(["claim_line"], [], """
-SELECT claim_bid, clm_ln_num, l_partkey, l_suppkey, round(line_amt / l_quantity, 4) AS unit_amt,
+SELECT claim_bid, clm_ln_num, l_partkey, l_suppkey, line_amt / l_quantity AS unit_amt,
        line_amt > 50000 AS is_high, year(updated_dt) - risk_year AS lag_years
 FROM claim_line"""), ["clm_ln_num", "lag_years"]))
 def prj_derived_metrics(spark, sf):
     li = Inputs(spark, sf).lines()
-    out = OR.derived_metrics(li, {"unit_amt": "round(line_amt / l_quantity, 4)",
+    out = OR.derived_metrics(li, {"unit_amt": "line_amt / l_quantity",
                                   "is_high": "line_amt > 50000",
                                   "lag_years": "year(updated_dt) - risk_year"})
     return out.select("claim_bid", "clm_ln_num", "l_partkey", "l_suppkey", "unit_amt", "is_high", "lag_years")
