@@ -235,3 +235,14 @@ def typed(select_sql: str, bigint=(), double=()) -> str:
     if not reps:
         return select_sql
     return f"SELECT * REPLACE ({', '.join(reps)}) FROM ({select_sql}) _t"
+
+
+@cte("plan_exclusions")
+def _pe():
+    return values(R.PLAN_EXCLUSIONS, "home_plan_id_cd, method_id, cc_id",
+                  {"method_id": "INTEGER", "cc_id": "INTEGER"})
+
+
+@cte("sas_model_versions")
+def _sas():
+    return values(R.SAS_MODEL_VERSIONS, "version, sas_model_version")

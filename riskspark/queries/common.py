@@ -46,3 +46,36 @@ class Inputs:
         sp = self.spark
         return S.risk_scores(self.population(), self.member_hcc(), REF.coefficients(sp),
                              REF.group_rules(sp), REF.adjustment_factors(sp), REF.version_weights(sp))
+
+
+def _gap_claims(self) -> DataFrame:
+    """Claim lines with the claim-level qualification flag (gap input)."""
+    from riskspark.plans import claims as C
+    q = C.claim_qualification(self.header(), self.lines(), self.enrollment(),
+                              REF.qualifying_procedures(self.spark))
+    return self.lines().select("member_bid", "claim_bid", "clm_tp_cd", "claim_dt", "risk_year",
+                               "diag_cd", "cpt_cd").join(q, "claim_bid")
+
+
+def _v28_hcc(self) -> DataFrame:
+    from pyspark.sql import functions as F
+    return self.member_hcc().where(F.col("version") == "v28")
+
+
+def _gaps(self) -> DataFrame:
+    from riskspark.plans import gaps as G
+    sp = self.spark
+    return G.suppressed_gaps(self.gap_claims(), self.pharmacy(), REF.method_rules(sp), REF.code_groups(sp),
+                             REF.hierarchy_pairs(sp), self.v28_hcc())
+
+
+def _gap_draft(self) -> DataFrame:
+    from riskspark.plans import gaps as G
+    sp = self.spark
+    return G.all_methods(self.gap_claims(), self.pharmacy(), REF.method_rules(sp), REF.code_groups(sp))
+
+
+Inputs.gap_claims = _gap_claims
+Inputs.v28_hcc = _v28_hcc
+Inputs.gaps = _gaps
+Inputs.gap_draft = _gap_draft

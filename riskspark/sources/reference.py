@@ -111,3 +111,11 @@ def place_of_service(spark: SparkSession) -> DataFrame:
 
 def claim_type_labels(spark: SparkSession) -> DataFrame:
     return _df(spark, R.CLAIM_TYPE_LABELS, "clm_tp_cd int, claim_type string")
+
+
+def plan_exclusions(spark: SparkSession) -> DataFrame:
+    return _df(spark, R.PLAN_EXCLUSIONS, "home_plan_id_cd string, method_id int, cc_id int")
+
+
+def sas_model_versions(spark: SparkSession) -> DataFrame:
+    return _df(spark, R.SAS_MODEL_VERSIONS, "version string, sas_model_version string")

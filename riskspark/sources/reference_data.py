@@ -21,7 +21,7 @@ ICD_HCC = [("v28", f"D{i:03d}", i + 1) for i in range(30)] + \
 
 # --- fixed values: hierarchy (parent keeps, children listed are dropped) ---
 HIERARCHY = [(v, p, c) for v in VERSIONS for (p, c) in
-             [(1, "2,3"), (5, "6,7,8"), (6, "7,8"), (17, "18,19")]]
+             [(1, "2,3"), (5, "6,7,8"), (6, "7,8"), (17, "18,19"), (23, "24"), (26, "27,28")]]
 
 # --- fixed values: normalisation and coding-pattern adjustment -------------
 ADJUSTMENT_FACTORS = [("v28", MODEL, 1.015, 0.058), ("v24", MODEL, 1.146, 0.059)]
@@ -151,3 +151,13 @@ def prior_year_rows() -> list[tuple]:
         for fj, (lo, hi) in enumerate(PRIOR_YEAR_FREQ_BANDS):
             rows.append((b, lo, hi, round(0.80 - 0.05 * li - 0.05 * (2 - fj), 2)))
     return rows
+
+
+# --- fixed values: plan-level gap exclusions (plan, method or null, cc or null) --
+PLAN_EXCLUSIONS = [("007", 1, None), ("012", None, 25), ("003", 10, 27)]
+
+# --- fixed values: SAS model version by model version -----------------------
+SAS_MODEL_VERSIONS = [("v24", "V2419P1M"), ("v28", "V2825T1M")]
+
+# --- fixed values: visit type of a qualifying procedure ---------------------
+VISIT_TYPE_MATCHED, VISIT_TYPE_OTHER = "FACE_TO_FACE", "OTHER"
