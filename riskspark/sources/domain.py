@@ -8,6 +8,8 @@ Parquet scan to the columns a query actually uses and pushes filters into it.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,17 @@ CLAIM_BASE = 3300000000
 PHARMACY_BASE = 4400000000
 
 
+_READS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table (one relation per session and path: the file listing
+    and footer read happen once; the scan itself stays lazy)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per = _READS.setdefault(spark, {})
+    if path not in per:
+        per[path] = spark.read.parquet(path)
+    return per[path]
 
 
 def _code(prefix: str, c: Column, width: int = 3) -> Column:

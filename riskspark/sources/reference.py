@@ -10,11 +10,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as _dt
+import weakref
+
 from riskspark.sources import reference_data as R
 
+_CACHE: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v) + "D"
+    if isinstance(v, _dt.date):
+        return f"DATE'{v.isoformat()}'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
 def _df(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """A local relation from literal rows (``VALUES``): planned as a
+    LocalTableScan with a known size, no RDD, no Python worker. Cached per
+    session so repeated uses are the same relation (exchange reuse)."""
+    per = _CACHE.setdefault(spark, {})
+    key = (schema, tuple(map(tuple, rows)))
+    if key in per:
+        return per[key]
+    fields = [f.strip().split(None, 1) for f in schema.split(",")]
+    names = [n for n, _ in fields]
+    body = ", ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST(c{i} AS {t}) AS {n}" for i, (n, t) in enumerate(fields))
+    aliases = ", ".join(f"c{i}" for i in range(len(names)))
+    df = spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({aliases})")
+    per[key] = df
+    return df
 
 
 def icd_hcc(spark: SparkSession) -> DataFrame:
@@ -36,6 +69,8 @@ def hierarchy_pairs(spark: SparkSession) -> DataFrame:
 
 
 def coefficients(spark: SparkSession) -> DataFrame:
+    """Coefficient table generated from its rule (see ``reference_data.coefficient_rows``)
+    as a union of small local relations."""
     return _df(spark, R.coefficient_rows(), "version string, model string, name string, score double")
 
 
