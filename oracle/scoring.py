@@ -99,3 +99,16 @@ SCORE_STEPS = POP_STEPS + [
         raw_score, normalized_score, payment_score, round(payment_score * weight, 3) AS weighted_score
       FROM sc3"""),
 ]
+
+DETAIL_STEPS = [
+    ("cdiag", "SELECT DISTINCT member_bid, risk_year, claim_bid, diag_cd FROM claim_line WHERE clm_tp_cd IN (1, 2, 3)"),
+    ("cmap", f"""SELECT d.member_bid, d.risk_year, v.version, d.claim_bid, d.diag_cd, p.age_yr, p.memb_gender_cd, i.hcc
+      FROM cdiag d JOIN pop p USING (member_bid, risk_year) CROSS JOIN {VERSIONS_SQL} v
+      LEFT JOIN icd_hcc i ON i.version = v.version AND i.diag_cd = d.diag_cd"""),
+    ("csed", f"SELECT member_bid, risk_year, version, claim_bid, diag_cd, {_sedits_case()} AS hcc FROM cmap"),
+    ("detail", """SELECT c.member_bid, c.risk_year, c.version, c.claim_bid, c.diag_cd, c.hcc,
+        CASE WHEN c.hcc = -1 THEN 'HCC-1' ELSE 'HCC' || lpad(CAST(c.hcc AS VARCHAR), 3, '0') END AS risk_type_detail_id,
+        CASE WHEN c.hcc = -1 THEN 'X' WHEN EXISTS (SELECT 1 FROM mh WHERE mh.member_bid = c.member_bid
+          AND mh.risk_year = c.risk_year AND mh.version = c.version AND mh.hcc = c.hcc) THEN 'R' ELSE 'S' END AS suppression_ind
+      FROM csed c WHERE c.hcc IS NOT NULL"""),
+]

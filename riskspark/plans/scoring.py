@@ -208,3 +208,66 @@ def blended_scores(scores: DataFrame) -> DataFrame:
     return scores.groupBy("member_bid", "risk_year", "time_period").agg(
         F.round(F.sum("weighted_score"), 3).alias("blended_score"),
         F.count("*").alias("n_versions"))
+
+
+def hcc_pairs(hcc: DataFrame, pair_rules: DataFrame, keys: Sequence[str] = MEMBER_KEYS) -> DataFrame:
+    """jn_hcc_pairs: unordered code pairs of one member (``l.hcc < r.hcc``).
+
+    The codes are first semi-joined to the codes that occur in any rule, so
+    the per-member self join only sees a bounded, distinct set (a member with
+    tens of thousands of diagnosis rows still has at most K rule codes).
+    """
+    keys = list(keys)
+    rc = pair_rules.select(F.col("hcc1").alias("hcc")).union(pair_rules.select(F.col("hcc2").alias("hcc"))).distinct()
+    f = hcc.select(*keys, "hcc").distinct().join(F.broadcast(rc), "hcc", "left_semi")
+    left = f.select(*keys, F.col("hcc").alias("hcc1"))
+    right = f.select(*keys, F.col("hcc").alias("hcc2"))
+    return left.join(right, keys).where(F.col("hcc1") < F.col("hcc2"))
+
+
+def pair_interactions(hcc: DataFrame, pair_rules: DataFrame, keys: Sequence[str] = MEMBER_KEYS) -> DataFrame:
+    """jn_interaction_match: pair ⋈ rule on (least, greatest) — one row per
+    member and interaction name."""
+    r = pair_rules.select(F.least("hcc1", "hcc2").alias("hcc1"), F.greatest("hcc1", "hcc2").alias("hcc2"),
+                          "interaction_name", "score")
+    return hcc_pairs(hcc, pair_rules, keys).join(F.broadcast(r), ["hcc1", "hcc2"]) \
+        .select(*keys, "interaction_name", "hcc1", "hcc2", "score")
+
+
+def interaction_multiplier(pairs: DataFrame, mult_rules: DataFrame, keys: Sequence[str] = MEMBER_KEYS) -> DataFrame:
+    """jn_interaction_multiplier: pair ⋈ multiplier rule on **both** codes
+    (AND, D5), ``coalesce(multiplier, 1.0)``; member adjustment Σ(mult − 1)."""
+    m = mult_rules.select("hcc1", "hcc2", "multiplier")
+    j = pairs.join(F.broadcast(m), ["hcc1", "hcc2"], "left").withColumn(
+        "multiplier", F.coalesce("multiplier", F.lit(1.0)))
+    return j
+
+
+def hcc_detail(claim_diag: DataFrame, population: DataFrame, icd_map: DataFrame,
+               retained: DataFrame) -> DataFrame:
+    """rsk_hcc_detail: one row per member, version, code and claim with the
+    R (retained) / S (suppressed by hierarchy) / X (excluded by SEDITS) flag."""
+    d = claim_diag.join(population.select(*MEMBER_YEAR, "age_yr", "memb_gender_cd"), MEMBER_YEAR)
+    d = apply_sedits(map_icd_to_hcc(with_versions(d), icd_map)).where(F.col("hcc").isNotNull())
+    r = retained.select(*MEMBER_KEYS, "hcc").withColumn("_r", F.lit(1))
+    j = d.join(r, MEMBER_KEYS + ["hcc"], "left")
+    ind = F.when(F.col("hcc") == -1, "X").when(F.col("_r").isNotNull(), "R").otherwise("S")
+    return j.select(*MEMBER_KEYS, "claim_bid", "diag_cd", "hcc",
+                    F.when(F.col("hcc") == -1, F.lit("HCC-1")).otherwise(RF.hcc_detail_id(F.col("hcc").cast("string")))
+                    .alias("risk_type_detail_id"), ind.alias("suppression_ind"))
+
+
+def member_output(scores: DataFrame, detail: DataFrame, coeffs: DataFrame) -> DataFrame:
+    """rsk_output: member-level scores with the two trace lists
+    (diagnosis → category, category → score), each sorted for determinism."""
+    d = detail.select(*MEMBER_KEYS, "diag_cd", "hcc").distinct()
+    dl = d.groupBy(*MEMBER_KEYS).agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat_ws(":", "diag_cd", F.col("hcc").cast("string")))), ";").alias("diag_to_hcc_list"))
+    seg = scores.select(*MEMBER_KEYS, "model_segment")
+    hs = detail.where(F.col("suppression_ind") == "R").select(*MEMBER_KEYS, "hcc").distinct().join(seg, MEMBER_KEYS)
+    hs = hs.withColumn("coeff_name", RF.hcc_coeff_name("model_segment", "hcc"))
+    hs = coefficient_lookup(hs, coeffs, "coeff_name", "coeff")
+    hl = hs.groupBy(*MEMBER_KEYS).agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat_ws(":", "coeff_name", F.format_number(F.coalesce("coeff", F.lit(0.0)), 3)))), ";")
+        .alias("hcc_to_score_list"))
+    return scores.join(dl, MEMBER_KEYS, "left").join(hl, MEMBER_KEYS, "left")
