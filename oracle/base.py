@@ -246,3 +246,8 @@ def _pe():
 @cte("sas_model_versions")
 def _sas():
     return values(R.SAS_MODEL_VERSIONS, "version, sas_model_version")
+
+
+@cte("multiplier_rules")
+def _mult():
+    return values(R.MULTIPLIER_RULES, "hcc1, hcc2, multiplier")

@@ -79,3 +79,30 @@ Inputs.gap_claims = _gap_claims
 Inputs.v28_hcc = _v28_hcc
 Inputs.gaps = _gaps
 Inputs.gap_draft = _gap_draft
+
+
+def _claim_hcc(self) -> DataFrame:
+    """Claim-level v28 categories after SEDITS (persistence input)."""
+    from pyspark.sql import functions as F
+    pop = self.population().select("member_bid", "risk_year", "age_yr", "memb_gender_cd")
+    d = self.lines().where(F.col("clm_tp_cd").isin(1, 2, 3)).select(
+        "member_bid", "risk_year", "claim_bid", "claim_dt", "diag_cd").distinct()
+    d = d.join(pop, ["member_bid", "risk_year"]).withColumn("version", F.lit("v28"))
+    d = S.apply_sedits(S.map_icd_to_hcc(d, REF.icd_hcc(self.spark)))
+    return d.where(F.col("hcc").isNotNull() & (F.col("hcc") != -1)).select(
+        "member_bid", "risk_year", "claim_bid", "claim_dt", "diag_cd", "hcc")
+
+
+def _hier28(self) -> DataFrame:
+    from pyspark.sql import functions as F
+    return REF.hierarchy_pairs(self.spark).where(F.col("version") == "v28")
+
+
+def _persistence(self) -> DataFrame:
+    from riskspark.plans import persistence as P
+    return P.statuses(self.claim_hcc(), REF.chronic(self.spark), self.hier28(), REF.prior_year(self.spark))
+
+
+Inputs.claim_hcc = _claim_hcc
+Inputs.hier28 = _hier28
+Inputs.persistence = _persistence

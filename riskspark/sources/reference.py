@@ -154,3 +154,7 @@ def plan_exclusions(spark: SparkSession) -> DataFrame:
 
 def sas_model_versions(spark: SparkSession) -> DataFrame:
     return _df(spark, R.SAS_MODEL_VERSIONS, "version string, sas_model_version string")
+
+
+def multiplier_rules(spark: SparkSession) -> DataFrame:
+    return _df(spark, R.MULTIPLIER_RULES, "hcc1 int, hcc2 int, multiplier double")

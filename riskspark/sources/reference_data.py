@@ -61,7 +61,7 @@ SEGMENT_RULES = [
 DEFAULT_SEGMENT = "Unknown"
 
 # --- fixed values: chronic condition categories ----------------------------
-CHRONIC_HCC = [1, 5, 9, 17, 20]
+CHRONIC_HCC = [1, 5, 6, 9, 17, 18, 20]
 
 # --- fixed values: gap-suspecting method rules -----------------------------
 # (method_id, program, claim_cd_type, claim_cd, modifier_type, modifier_cd,
@@ -161,3 +161,9 @@ SAS_MODEL_VERSIONS = [("v24", "V2419P1M"), ("v28", "V2825T1M")]
 
 # --- fixed values: visit type of a qualifying procedure ---------------------
 VISIT_TYPE_MATCHED, VISIT_TYPE_OTHER = "FACE_TO_FACE", "OTHER"
+
+# --- fixed values: pair interaction multipliers (both codes must match) -------
+MULTIPLIER_RULES = [(1, 5, 1.1), (5, 17, 1.2), (9, 20, 1.05)]
+
+# --- fixed values: surrogate-key prefixes -------------------------------------
+BID_PREFIX = {"member": 11, "claim": 33, "pharmacy": 44, "facility": 22, "provider": 66, "location": 77}
