@@ -1,3 +1,7 @@
-"""Registered queries."""
+"""Registered claim-preparation queries (§2.11)."""
 
 from __future__ import annotations
+
+
+def mao_matches(inp):
+    raise NotImplementedError
