@@ -79,3 +79,56 @@ def latest_per_key(df: DataFrame, keys, order_cols) -> DataFrame:
     """win_latest: newest row per key; ``order_cols`` is a total order (desc)."""
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+MAO_CODES = 3
+
+
+def mao_encounters(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """MAO-004-like encounter detail derived from the driver tables (lines
+    with return flag 'A'): member, ICN, service-through date, provider type
+    and three diagnosis code slots in the wide layout."""
+    li = lineitem.where(F.col("l_returnflag") == "A")
+    o = orders.select("o_orderkey", "o_custkey")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+
+    def dx(c):
+        return F.concat(F.lit("D"), F.lpad((c % 40).cast("string"), 3, "0"))
+    return j.select(
+        F.concat(F.lit("E"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"),
+                 F.lit("-"), F.col("l_partkey").cast("string")).alias("icn"),
+        (F.lit(1100000000) + F.col("o_custkey")).alias("member_bid"),
+        F.col("l_shipdate").cast("date").alias("dos_thru"),
+        (F.lit(1) + F.col("l_suppkey") % 3).cast("int").alias("provider_type"),
+        dx(F.col("l_partkey")).alias("diag_code_01"),
+        dx(F.col("l_partkey") + 7).alias("diag_code_02"),
+        dx(F.col("l_suppkey")).alias("diag_code_03"),
+    ).distinct()
+
+
+def mao_matches(enc: DataFrame, header: DataFrame, window_days: int = 30) -> DataFrame:
+    """jn_mao_claims: encounter ⋈ claim on member and provider type with
+    claim_dt ≤ dos_thru ≤ claim_dt + window (bucketed interval join)."""
+    from riskspark.operators.joins import window_join
+    h = header.select("member_bid", F.col("clm_tp_cd").alias("provider_type"), "claim_bid", "claim_dt")
+    e = enc.select("icn", "member_bid", "provider_type", "dos_thru")
+    return window_join(e, h, ["member_bid", "provider_type"], "dos_thru", "claim_dt", -window_days, 0) \
+        .select("icn", "member_bid", "provider_type", "dos_thru", "claim_bid", "claim_dt")
+
+
+def pseudo_claims(enc: DataFrame, header: DataFrame, lines: DataFrame) -> DataFrame:
+    """clm_pseudo_claims: unpivot encounter diagnoses; a diagnosis already on
+    a matched claim is dropped; the rest become pseudo claims (type 5) with
+    the encounter type MATCHED / UNMATCHED."""
+    from riskspark.operators.rules import unpivot_pairs
+    d = unpivot_pairs(enc, ["icn", "member_bid", "dos_thru"], "diag_code_{:02d}", None, MAO_CODES) \
+        .select("icn", "member_bid", "dos_thru", F.col("code").alias("diag_cd")).distinct()
+    m = mao_matches(enc, header)
+    covered = m.select("icn", "claim_bid").join(lines.select("claim_bid", "diag_cd").distinct(), "claim_bid") \
+        .select("icn", "diag_cd").distinct()
+    matched_icn = m.select("icn").distinct().withColumn("_m", F.lit(1))
+    p = d.join(covered, ["icn", "diag_cd"], "left_anti").join(matched_icn, "icn", "left")
+    return p.select("icn", "member_bid", F.lit(5).alias("clm_tp_cd"), F.col("dos_thru").alias("claim_dt"),
+                    F.year("dos_thru").alias("risk_year"), "diag_cd",
+                    F.when(F.col("_m") == 1, "MATCHED").otherwise("UNMATCHED").alias("encounter_type"),
+                    F.lit("MAO").alias("dx_source"))

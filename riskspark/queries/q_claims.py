@@ -2,6 +2,210 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
-def mao_matches(inp):
-    raise NotImplementedError
+from oracle import base as B
+from oracle import gaps as OG
+from riskspark.operators import rules as OR
+from riskspark.operators import sinks as SK
+from riskspark.plans import claims as C
+from riskspark.queries.common import Inputs
+from riskspark.registry import query
+from riskspark.sources import reference as REF
+from riskspark.sources import reference_data as R
+
+_QBASE = ["claim_line", "claim_header", "enrollment", "qualifying_procedures", "place_of_service"]
+
+
+def _q(final, ints=(), steps=()):
+    return B.q(_QBASE, OG.QUAL_STEPS + list(steps), B.typed(final, list(ints)))
+
+
+_LINE_Q = [("lq", """SELECT l.claim_bid, l.clm_ln_num, l.l_partkey, l.l_suppkey, l.l_quantity, l.clm_tp_cd, l.cpt_cd,
+    hr.header_ok, CASE WHEN q.cpt_cd IS NOT NULL THEN 1 ELSE 0 END AS line_eligible
+  FROM claim_line l JOIN hr ON hr.claim_bid = l.claim_bid
+  LEFT JOIN qualifying_procedures q ON q.cpt_cd = l.cpt_cd AND l.claim_dt BETWEEN q.valid_from AND q.valid_to"""),
+    ("lq2", """SELECT *, CASE WHEN header_ok = 'Y' AND (clm_tp_cd = 1 OR max(line_eligible) OVER (PARTITION BY claim_bid) = 1)
+      THEN 'Y' ELSE 'N' END AS qualify_claims,
+      CASE WHEN line_eligible = 1 THEN 'N' ELSE 'Y' END AS invalid_cpt_hcpcs FROM lq""")]
+_LQ_COLS = "claim_bid, clm_ln_num, l_partkey, l_suppkey, l_quantity, clm_tp_cd, cpt_cd, header_ok, qualify_claims, invalid_cpt_hcpcs"
+
+
+def _qualified(inp: Inputs, types):
+    h = C.header_rule(inp.header(), inp.enrollment()).select("claim_bid", "header_ok")
+    li = inp.lines().select("claim_bid", "clm_ln_num", "l_partkey", "l_suppkey", "l_quantity", "clm_tp_cd",
+                            "cpt_cd", "claim_dt", "updated_dt", "tp_of_bill_cd", "l_extendedprice").join(h, "claim_bid")
+    return C.qualify_claims(li, REF.qualifying_procedures(inp.spark), types)
+
+
+@query("clm_qualify_facility", _q(f"SELECT {_LQ_COLS} FROM lq2 WHERE clm_tp_cd IN (1, 2)", ["clm_ln_num", "clm_tp_cd"], _LINE_Q))
+def clm_qualify_facility(spark, sf):
+    return _qualified(Inputs(spark, sf), (1, 2)).select(*_LQ_COLS.split(", "))
+
+
+@query("clm_qualify_professional", _q(f"SELECT {_LQ_COLS} FROM lq2 WHERE clm_tp_cd = 3", ["clm_ln_num", "clm_tp_cd"], _LINE_Q))
+def clm_qualify_professional(spark, sf):
+    return _qualified(Inputs(spark, sf), (3,)).select(*_LQ_COLS.split(", "))
+
+
+@query("clm_medical_claims", _q(f"""
+SELECT claim_bid, clm_ln_num, clm_tp_cd, cpt_cd, qualify_claims, invalid_cpt_hcpcs, visit_type, place_of_service, updated_dt
+FROM (SELECT x.*, row_number() OVER (PARTITION BY claim_bid, clm_ln_num, clm_tp_cd ORDER BY updated_dt DESC, l_partkey DESC,
+        l_suppkey DESC, l_extendedprice DESC, l_quantity DESC, cpt_cd DESC) AS rn
+  FROM (SELECT l.claim_bid, l.clm_ln_num, l.clm_tp_cd, l.cpt_cd, q.qualify_claims, q.invalid_cpt_hcpcs, l.updated_dt,
+      l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_quantity,
+      CASE WHEN v.cpt_cd IS NOT NULL THEN '{R.VISIT_TYPE_MATCHED}' ELSE '{R.VISIT_TYPE_OTHER}' END AS visit_type,
+      CASE WHEN l.clm_tp_cd IN (1, 2) THEN p.place_of_service END AS place_of_service
+    FROM claim_line l JOIN lq2 q ON q.claim_bid = l.claim_bid AND q.clm_ln_num = l.clm_ln_num AND q.l_partkey = l.l_partkey
+      AND q.l_suppkey = l.l_suppkey AND q.l_quantity = l.l_quantity
+    LEFT JOIN qualifying_procedures v ON v.cpt_cd = l.cpt_cd
+      AND (CASE WHEN l.clm_tp_cd IN (1, 2) THEN l.claim_dt ELSE l.updated_dt END) BETWEEN v.valid_from AND v.valid_to
+    LEFT JOIN place_of_service p ON p.bill_prefix = substring(l.tp_of_bill_cd, 1, 2)) x) WHERE rn = 1""",
+    ["clm_ln_num", "clm_tp_cd"], _LINE_Q))
+def clm_medical_claims(spark, sf):
+    inp = Inputs(spark, sf)
+    procs = REF.qualifying_procedures(spark)
+    fac = _qualified(inp, (1, 2))
+    prof = _qualified(inp, (3,))
+    u = fac.unionByName(prof)
+    u = C.with_visit_type(u, procs)
+    pos = REF.place_of_service(spark)
+    u = u.join(F.broadcast(pos), F.substring(u["tp_of_bill_cd"], 1, 2) == pos["bill_prefix"], "left") \
+        .withColumn("place_of_service", F.when(F.col("clm_tp_cd").isin(1, 2), F.col("place_of_service")))
+    latest = C.latest_per_key(u, ["claim_bid", "clm_ln_num", "clm_tp_cd"],
+                              ["updated_dt", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "cpt_cd"])
+    return latest.select("claim_bid", "clm_ln_num", "clm_tp_cd", "cpt_cd", "qualify_claims", "invalid_cpt_hcpcs",
+                         "visit_type", "place_of_service", "updated_dt")
+
+
+@query("clm_risk_member", """
+SELECT 1100000000 + c.c_custkey AS member_bid, lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS home_plan_id_cd,
+  'H' || lpad(CAST(c.c_nationkey % 5 AS VARCHAR), 4, '0') AS contract_id,
+  CAST(DATE '1910-01-01' + CAST((c.c_custkey * 2917) % 31000 AS INTEGER) AS DATE) AS memb_brth_dt,
+  CASE WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS memb_gender_cd, CAST(c.c_custkey % 3 AS VARCHAR) AS orec,
+  CAST(DATE '1995-01-01' + CAST(c.c_custkey % 400 AS INTEGER) AS DATE) AS covrg_begin_dt,
+  CASE WHEN c.c_custkey % 10 = 0 THEN DATE '9999-12-31' ELSE CAST(DATE '1997-12-31' + CAST((c.c_custkey * 13) % 1300 AS INTEGER) AS DATE) END AS covrg_end_dt,
+  CASE WHEN c.c_mktsegment = 'MACHINERY' THEN 'Y' ELSE 'N' END AS institutional_status,
+  CASE WHEN c.c_acctbal < 0 THEN 'Y' ELSE 'N' END AS medicaid_status
+FROM customer c""")
+def clm_risk_member(spark, sf):
+    inp = Inputs(spark, sf)
+    mmr = inp.table("customer").select((F.lit(1100000000) + F.col("c_custkey")).alias("member_bid"),
+                                       "c_mktsegment", "c_acctbal")
+    mmr = OR.mmr_status(mmr, {"inst": "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'y' ELSE 'n' END",
+                              "mcaid": "CAST(c_acctbal < 0 AS STRING)"},
+                        {"inst": "institutional_status", "mcaid": "medicaid_status"})
+    m = inp.member().join(inp.enrollment().select("member_bid", "covrg_begin_dt", "covrg_end_dt"), "member_bid") \
+        .join(mmr.select("member_bid", "institutional_status", "medicaid_status"), "member_bid")
+    m = C.latest_per_key(m, ["member_bid"], ["covrg_end_dt", "covrg_begin_dt"])
+    return m.select("member_bid", "home_plan_id_cd", "contract_id", "memb_brth_dt", "memb_gender_cd", "orec",
+                    "covrg_begin_dt", "covrg_end_dt", "institutional_status", "medicaid_status")
+
+
+def _enc_sql():
+    dx = lambda e: f"'D' || lpad(CAST(({e}) % 40 AS VARCHAR), 3, '0')"
+    return f"""SELECT DISTINCT 'E' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) || '-' ||
+    CAST(l.l_partkey AS VARCHAR) AS icn, 1100000000 + o.o_custkey AS member_bid, CAST(l.l_shipdate AS DATE) AS dos_thru,
+    CAST(1 + l.l_suppkey % 3 AS INTEGER) AS provider_type, {dx('l.l_partkey')} AS diag_code_01,
+    {dx('l.l_partkey + 7')} AS diag_code_02, {dx('l.l_suppkey')} AS diag_code_03
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_returnflag = 'A'"""
+
+
+_MAO = [("enc", _enc_sql()),
+        ("mm", """SELECT e.icn, e.member_bid, e.provider_type, e.dos_thru, c.claim_bid, c.claim_dt FROM enc e
+          JOIN claim_header c ON c.member_bid = e.member_bid AND c.clm_tp_cd = e.provider_type
+            AND e.dos_thru BETWEEN c.claim_dt AND c.claim_dt + 30"""),
+        ("ed", """SELECT DISTINCT icn, member_bid, dos_thru, diag_cd FROM (
+          SELECT icn, member_bid, dos_thru, diag_code_01 AS diag_cd FROM enc UNION ALL
+          SELECT icn, member_bid, dos_thru, diag_code_02 FROM enc UNION ALL SELECT icn, member_bid, dos_thru, diag_code_03 FROM enc)"""),
+        ("pseudo", """SELECT d.icn, d.member_bid, 5 AS clm_tp_cd, d.dos_thru AS claim_dt, CAST(year(d.dos_thru) AS INTEGER) AS risk_year,
+          d.diag_cd, CASE WHEN EXISTS (SELECT 1 FROM mm WHERE mm.icn = d.icn) THEN 'MATCHED' ELSE 'UNMATCHED' END AS encounter_type,
+          'MAO' AS dx_source FROM ed d
+          WHERE NOT EXISTS (SELECT 1 FROM mm JOIN claim_line l ON l.claim_bid = mm.claim_bid WHERE mm.icn = d.icn AND l.diag_cd = d.diag_cd)""")]
+
+
+def mao_matches(inp: Inputs):
+    enc = C.mao_encounters(inp.table("lineitem"), inp.table("orders"))
+    return C.mao_matches(enc, inp.header())
+
+
+def _pseudo(inp: Inputs):
+    enc = C.mao_encounters(inp.table("lineitem"), inp.table("orders"))
+    return C.pseudo_claims(enc, inp.header(), inp.lines())
+
+
+@query("clm_pseudo_claims", B.q(["claim_header", "claim_line"], _MAO, B.typed("SELECT * FROM pseudo", ["clm_tp_cd", "risk_year"])))
+def clm_pseudo_claims(spark, sf):
+    return _pseudo(Inputs(spark, sf))
+
+
+@query("clm_risk_member_diag", B.q(["claim_header", "claim_line", "time_periods"], _MAO + [
+    ("alld", """SELECT member_bid, CAST(claim_bid AS VARCHAR) AS claim_ref, clm_tp_cd, claim_dt, diag_cd, 'CLAIM' AS dx_source
+      FROM claim_line WHERE clm_tp_cd IN (1, 2, 3)
+      UNION ALL SELECT member_bid, icn, clm_tp_cd, claim_dt, diag_cd, dx_source FROM pseudo""")],
+    B.typed("""SELECT DISTINCT a.member_bid, a.claim_ref, a.clm_tp_cd, a.claim_dt, a.diag_cd, a.dx_source, tp.time_period
+FROM alld a JOIN time_periods tp ON tp.period_type = 'C' AND a.claim_dt BETWEEN tp.begin_date AND tp.end_date""",
+            ["clm_tp_cd", "time_period"])))
+def clm_risk_member_diag(spark, sf):
+    inp = Inputs(spark, sf)
+    claims = inp.lines().where(F.col("clm_tp_cd").isin(1, 2, 3)).select(
+        "member_bid", F.col("claim_bid").cast("string").alias("claim_ref"), "clm_tp_cd", "claim_dt", "diag_cd",
+        F.lit("CLAIM").alias("dx_source"))
+    ps = _pseudo(inp).select("member_bid", F.col("icn").alias("claim_ref"), "clm_tp_cd", "claim_dt", "diag_cd", "dx_source")
+    periods = REF.time_periods(spark).where(F.col("period_type") == "C")
+    u = OR.period_filter(claims.unionByName(ps), periods, "claim_dt")
+    return u.select("member_bid", "claim_ref", "clm_tp_cd", "claim_dt", "diag_cd", "dx_source", "time_period").distinct()
+
+
+@query("clm_providers", """
+WITH master AS (SELECT DISTINCT s_suppkey AS provider_id, trim(s_name) AS provider_name FROM supplier WHERE s_suppkey % 2 = 0),
+src AS (SELECT DISTINCT s_suppkey AS provider_id, trim(s_name) AS provider_name FROM supplier
+        UNION SELECT DISTINCT l_suppkey, 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') FROM lineitem)
+SELECT * FROM master UNION ALL
+SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.provider_id = s.provider_id)""")
+def clm_providers(spark, sf):
+    """Master provider list: trimmed distinct ids from every source, inserted
+    only when absent from the existing master (an earlier snapshot)."""
+    inp = Inputs(spark, sf)
+    sup = inp.table("supplier").select(F.col("s_suppkey").alias("provider_id"), F.trim("s_name").alias("provider_name"))
+    master = sup.where(F.col("provider_id") % 2 == 0).distinct()
+    from_claims = inp.table("lineitem").select(F.col("l_suppkey").alias("provider_id")).distinct().select(
+        "provider_id", F.concat(F.lit("Supplier#"), F.lpad(F.col("provider_id").cast("string"), 9, "0")).alias("provider_name"))
+    src = sup.unionByName(from_claims).distinct()
+    return SK.insert_if_absent(master, src, ["provider_id"])
+
+
+@query("clm_locations", """
+WITH master AS (SELECT CAST(n.n_nationkey AS BIGINT) AS location_id, trim(n.n_name) AS location_name, trim(r.r_name) AS region_name
+                FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey WHERE n.n_regionkey = 0),
+src AS (SELECT DISTINCT CAST(n.n_nationkey AS BIGINT) AS location_id, trim(n.n_name) AS location_name, trim(r.r_name) AS region_name
+        FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+        WHERE length(trim(n.n_name)) > 0)
+SELECT * FROM master UNION ALL SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.location_id = s.location_id)""")
+def clm_locations(spark, sf):
+    inp = Inputs(spark, sf)
+    n = inp.table("nation").join(inp.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    loc = n.select(F.col("n_nationkey").alias("location_id"), F.trim("n_name").alias("location_name"),
+                   F.trim("r_name").alias("region_name"), "n_regionkey")
+    master = loc.where(F.col("n_regionkey") == 0).drop("n_regionkey")
+    used = inp.table("customer").select(F.col("c_nationkey").alias("location_id")).distinct()
+    src = OR.trim_strings(loc.drop("n_regionkey").join(used, "location_id", "left_semi"), ["location_name"])
+    return SK.insert_if_absent(master, src, ["location_id"])
+
+
+@query("clm_load_status", """
+SELECT table_name, n_rows, n_null_keys, CASE WHEN n_rows = 0 THEN 'FAILED' WHEN n_null_keys > 0 THEN 'WARNING' ELSE 'SUCCESS' END AS status
+FROM (SELECT 'orders' AS table_name, count(*) AS n_rows, count(*) - count(o_orderkey) AS n_null_keys FROM orders
+  UNION ALL SELECT 'lineitem', count(*), count(*) - count(l_orderkey) FROM lineitem
+  UNION ALL SELECT 'customer', count(*), count(*) - count(c_custkey) FROM customer
+  UNION ALL SELECT 'labels', count(*), count(*) - count(doc_id) FROM labels)""")
+def clm_load_status(spark, sf):
+    """Per-table load summary in one plan: a count aggregate per table, unioned."""
+    inp = Inputs(spark, sf)
+    parts = []
+    for t, k in [("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("customer", "c_custkey"), ("labels", "doc_id")]:
+        parts.append(inp.table(t).agg(F.count(F.lit(1)).alias("n_rows"), F.count(k).alias("_nk"))
+                     .select(F.lit(t).alias("table_name"), "n_rows", (F.col("n_rows") - F.col("_nk")).alias("n_null_keys")))
+    u = SK.union_all(parts)
+    return u.withColumn("status", F.when(F.col("n_rows") == 0, "FAILED").when(F.col("n_null_keys") > 0, "WARNING")
+                        .otherwise("SUCCESS"))

@@ -398,7 +398,12 @@ def jn_fuzzy(spark, sf):
     return J.fuzzy_pairs(p, "p_name", F.substring("v", 1, 1), 0.6)
 
 
-@query("jn_mao_claims")
+def _mao_oracle():
+    from riskspark.queries.q_claims import _MAO
+    return B.q(["claim_header", "claim_line"], _MAO, B.typed("SELECT * FROM mm", ["provider_type"]))
+
+
+@query("jn_mao_claims", _mao_oracle())
 def jn_mao_claims(spark, sf):
     from riskspark.queries.q_claims import mao_matches
     return mao_matches(Inputs(spark, sf))
