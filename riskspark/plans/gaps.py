@@ -262,3 +262,32 @@ def combined_confidence(method_conf: DataFrame) -> DataFrame:
         F.round(RF.noisy_or(F.collect_list("method_confidence")), 6).alias("combined_confidence"),
         F.array_join(F.array_sort(F.collect_set(F.col("method_id").cast("string"))), ",").alias("methods"),
         F.countDistinct("method_id").alias("n_methods"))
+
+
+def m4_persistent(status: DataFrame, default_weight: float = 0.75) -> DataFrame:
+    """gap_m4_persistent: Open Suspect persistence rows of the cycle → the gap
+    layout (method 4), padded code, create flag, confidence (lookup weight or
+    the method default)."""
+    s = status.where(F.col("suspect_status") == "Open Suspect")
+    return s.select(
+        "member_bid", "risk_year", F.lit(4).alias("method_id"), "claim_bid", F.col("claim_dt"),
+        F.lit(None).cast("int").alias("claim_type"), F.lit("PERSISTENCE").alias("claim_cd_type"),
+        F.col("diag_cd").alias("claim_cd"), F.col("hcc").alias("cc_id"), RF.cc_code("hcc").alias("cc_code"),
+        F.lit(0).alias("qualified_claim"), F.lit("Y").alias("qualify_claims"),
+        F.lit("Y").alias("create_gap"),
+        F.coalesce("confidence_factor", F.lit(default_weight)).alias("confidence_factor"))
+
+
+def method_consensus(method_gaps: DataFrame, priority: DataFrame, n_methods_total: int = 4,
+                     keep_at: float = 0.75) -> DataFrame:
+    """agg_method_consensus: distinct methods per member/year/code, share of
+    all methods, kept at ≥ ``keep_at``; the representative method by priority
+    (4 > 10 > 1 > 2)."""
+    g = method_gaps.select("member_bid", "risk_year", "cc_code", "method_id").distinct() \
+        .join(F.broadcast(priority), "method_id", "left")
+    agg = g.groupBy("member_bid", "risk_year", "cc_code").agg(
+        F.count("method_id").alias("n_methods"),
+        F.array_join(F.array_sort(F.collect_list(F.col("method_id").cast("string"))), ",").alias("methods"),
+        F.min(F.struct("priority", "method_id"))["method_id"].alias("primary_method"))
+    agg = agg.withColumn("consensus", F.col("n_methods") / F.lit(float(n_methods_total)))
+    return agg.where(F.col("consensus") >= keep_at)

@@ -68,11 +68,11 @@ CHRONIC_HCC = [1, 5, 6, 9, 17, 18, 20]
 #  cc_id, exclusion_type, exclusion_cd, qualified_claim)
 METHOD_RULES = [
     (1, "CMS", "NDC", "N003", None, None, 21, None, None, 0),
-    (1, "CMS", "NDC", "N007", None, None, 22, None, None, 0),
+    (1, "CMS", "NDC", "N007", None, None, 23, None, None, 0),
     (2, "CMS", "DIAGNOSIS", "D030", None, None, 23, None, None, 0),
     (2, "CMS", "DIAGNOSIS", "D031", None, None, 24, None, None, 1),
     (2, "CMS", "CPT-HCPCS", "C050", None, None, 25, None, None, 0),
-    (10, "CMS", "CPT-HCPCS", "C045", None, None, 26, None, None, 0),
+    (10, "CMS", "CPT-HCPCS", "C045", None, None, 23, None, None, 0),
     (10, "CMS", "CPT-HCPCS", "C007", "GROUP", "MODS", 27, "GROUP", "EXA", 0),
     (10, "CMS", "CPT-HCPCS", "C019", None, None, 28, "GROUP", "EXB", 0),
 ]
