@@ -262,3 +262,12 @@ def gap_pipeline(spark, sf):
         F.sum(F.when(F.col("suppression_ind") == "R", 1).otherwise(0)).alias("n_open"),
         F.round(F.sum(F.when(F.col("suppression_ind") == "R", F.col("adj_coeff_score")).otherwise(0.0)), 6)
         .alias("gap_score"))
+
+
+from oracle import combined as OC  # noqa: E402
+
+
+@query("gap_m4_persistent", B.q(OC.BASE, OC.STEPS, B.typed("SELECT * FROM m4", ["risk_year", "method_id", "claim_type", "cc_id",
+                                                                                "qualified_claim"])))
+def gap_m4_persistent(spark, sf):
+    return G.m4_persistent(Inputs(spark, sf).persistence())
