@@ -121,4 +121,6 @@ def share_of_total(df: DataFrame, key: str, measure: str | None = None) -> DataF
     if measure:
         aggs.append(F.avg(measure).alias(f"avg_{measure}"))
     g = df.groupBy(key).agg(*aggs)
-    return g.withColumn("pct_of_total", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 4))
+    tot = g.agg(F.sum("n").alias("_tot")).withColumn("_one", F.lit(1))
+    j = g.withColumn("_one", F.lit(1)).join(F.broadcast(tot), "_one")
+    return j.withColumn("pct_of_total", F.round(F.col("n") * 100.0 / F.col("_tot"), 4)).drop("_one", "_tot")
