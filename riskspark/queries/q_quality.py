@@ -132,10 +132,10 @@ def dq_incremental(spark, sf):
     return Q.incremental(cur, prev, k, "updated_dt")
 
 
-@query("dq_outliers", B.q(["claim_header"], [], """
+@query("dq_outliers", B.typed(B.q(["claim_header"], [], """
 SELECT h.claim_bid, h.clm_tp_cd, round((h.allwd_amt - s.m) / s.sd, 6) AS z_score, abs((h.allwd_amt - s.m) / s.sd) > 2.0 AS is_outlier
 FROM claim_header h JOIN (SELECT clm_tp_cd, avg(allwd_amt) AS m, stddev_samp(allwd_amt) AS sd FROM claim_header GROUP BY 1) s
-  ON s.clm_tp_cd = h.clm_tp_cd""").replace("SELECT h.claim_bid, h.clm_tp_cd,", "SELECT h.claim_bid, CAST(h.clm_tp_cd AS BIGINT) AS clm_tp_cd,"))
+  ON s.clm_tp_cd = h.clm_tp_cd"""), ["clm_tp_cd"]))
 def dq_outliers(spark, sf):
     h = Inputs(spark, sf).header().select("claim_bid", "clm_tp_cd", "allwd_amt")
     o = Q.outliers(h, "allwd_amt", ["clm_tp_cd"], 2.0)

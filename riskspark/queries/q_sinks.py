@@ -179,9 +179,9 @@ def create_or_upsert(spark, path: str, df, keys) -> str:
     return SK.write_snapshot(SK.upsert(cur, df, keys), spark=spark, name="snapshot")
 
 
-@query("snk_table_from_view", B.q(["claim_header"], [], """SELECT risk_year, clm_tp_cd, count(*) AS n_claims,
-  CAST(sum(CAST(allwd_amt AS DECIMAL(18, 2))) AS DOUBLE) AS total_amount FROM claim_header GROUP BY 1, 2""").replace(
-    "SELECT risk_year, clm_tp_cd,", "SELECT CAST(risk_year AS BIGINT) AS risk_year, CAST(clm_tp_cd AS BIGINT) AS clm_tp_cd,"))
+@query("snk_table_from_view", B.typed(B.q(["claim_header"], [], """SELECT risk_year, clm_tp_cd, count(*) AS n_claims,
+  CAST(sum(CAST(allwd_amt AS DECIMAL(18, 2))) AS DOUBLE) AS total_amount FROM claim_header GROUP BY 1, 2"""),
+    ["risk_year", "clm_tp_cd"]))
 def snk_table_from_view(spark, sf):
     """Drop + CREATE TABLE AS SELECT from a view."""
     from riskspark.operators.aggs import exact_sum

@@ -98,9 +98,9 @@ def win_claim_level_flag(spark, sf):
         "claim_bid", "clm_ln_num", "l_partkey", "l_suppkey", "l_quantity", "line_eligible", "claim_eligible")
 
 
-@query("win_latest_cycle", B.q(["claim_line"], [], """SELECT source_load_month, claim_bid, clm_ln_num, updated_dt FROM (
-  SELECT *, max(updated_dt) OVER (PARTITION BY source_load_month, clm_tp_cd) AS mx FROM claim_line) WHERE updated_dt = mx""")
-    .replace("SELECT source_load_month, claim_bid, clm_ln_num,", "SELECT source_load_month, claim_bid, CAST(clm_ln_num AS BIGINT) AS clm_ln_num,"))
+@query("win_latest_cycle", B.typed(B.q(["claim_line"], [], """SELECT source_load_month, claim_bid, clm_ln_num, updated_dt FROM (
+  SELECT *, max(updated_dt) OVER (PARTITION BY source_load_month, clm_tp_cd) AS mx FROM claim_line) WHERE updated_dt = mx"""),
+    ["clm_ln_num"]))
 def win_latest_cycle(spark, sf):
     """Rows of the latest batch (max update date) per load month and claim type."""
     li = Inputs(spark, sf).lines()
