@@ -293,3 +293,15 @@ def src_claims_base(spark, sf):
     ph = inp.pharmacy().where(F.year("serv_dt") >= 1996).select(
         "claim_bid", "member_bid", F.lit(4).alias("clm_tp_cd"), F.col("serv_dt").alias("claim_dt"), "prod_serv_id_cd")
     return FS.union_claims([med, ph], STANDARD).select(*STANDARD.keys())
+
+
+@query("src_rows", B.q(["claim_line"], [("sl", """SELECT * FROM (VALUES ('SEDITS_DIAG1', 'D001'), ('SEDITS_DIAG2', 'D002'),
+  ('SEDITS_DIAG2', 'D003'), ('SEDITS_DIAG3', 'D004'), ('SEDITS_DIAG4', 'D005'), ('SEDITS_DIAG5', 'D006')) t(list_name, diag_cd)""")],
+    """SELECT sl.list_name, count(l.claim_bid) AS n_lines FROM sl LEFT JOIN claim_line l ON l.diag_cd = sl.diag_cd GROUP BY 1"""))
+def src_rows(spark, sf):
+    """A rule table built from literal rows + schema, joined to the claims:
+    lines per sex/age-edit list."""
+    from riskspark.sources import reference_data as R
+    rows = REF.create_dataframe(spark, "list_name string, diag_cd string", R.SEDITS_LISTS)
+    li = Inputs(spark, sf).lines().select("claim_bid", "diag_cd")
+    return rows.join(li, "diag_cd", "left").groupBy("list_name").agg(F.count("claim_bid").alias("n_lines"))

@@ -158,3 +158,8 @@ def sas_model_versions(spark: SparkSession) -> DataFrame:
 
 def multiplier_rules(spark: SparkSession) -> DataFrame:
     return _df(spark, R.MULTIPLIER_RULES, "hcc1 int, hcc2 int, multiplier double")
+
+
+def create_dataframe(spark: SparkSession, schema: str, rows) -> DataFrame:
+    """src_rows: DataFrame from literal rows and a schema (a local relation)."""
+    return _df(spark, list(rows), schema)

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload is a monthly batch keyed by load month (no stream, watermark or
+state). Incremental loads are handled in batch by ``operators.quality.incremental``
+and the snapshot sinks.
+"""
