@@ -32,13 +32,17 @@ def _unpivot(one_row: DataFrame, items: Sequence[tuple[str, str, str]]) -> DataF
 def quality_checks(df: DataFrame, required: Sequence[str], keys: Sequence[str],
                    valid_values: Mapping[str, Sequence]) -> DataFrame:
     """dq_checks: null counts on required columns, duplicate rows on the key
-    list, invalid-value counts — one aggregate plus one key aggregate."""
-    aggs = [F.sum(F.col(c).isNull().cast("long")).alias(f"null__{c}") for c in required]
-    aggs += [F.sum((~F.coalesce(F.col(c).isin(*vals), F.lit(False))).cast("long")).alias(f"invalid__{c}")
-             for c, vals in valid_values.items()]
-    one = df.agg(*aggs)
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum(F.col("_n") - 1).alias("dup__keys"))
-    one = one1(one, dup)
+    list, invalid-value counts — one keyed aggregate (partial sums per key,
+    map-side combined), then one global sum; no join."""
+    per_key = [F.count(F.lit(1)).alias("_n")]
+    per_key += [F.sum(F.col(c).isNull().cast("long")).alias(f"null__{c}") for c in required]
+    per_key += [F.sum((~F.coalesce(F.col(c).isin(*vals), F.lit(False))).cast("long")).alias(f"invalid__{c}")
+                for c, vals in valid_values.items()]
+    g = df.groupBy(*keys).agg(*per_key)
+    tot = [F.sum(F.col(f"null__{c}")).alias(f"null__{c}") for c in required]
+    tot += [F.sum(F.col(f"invalid__{c}")).alias(f"invalid__{c}") for c in valid_values]
+    tot.append(F.sum(F.col("_n") - 1).alias("dup__keys"))
+    one = g.agg(*tot)
     items = [("null_count", c, f"null__{c}") for c in required]
     items += [("invalid_value", c, f"invalid__{c}") for c in valid_values]
     items.append(("duplicate_key", ",".join(keys), "dup__keys"))
@@ -87,11 +91,12 @@ def expectations(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
 
 def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
     """dq_relationships: null foreign keys and orphans (FK not in parent) —
-    anti join + one aggregate."""
-    nulls = child.agg(F.sum(F.col(fk).isNull().cast("long")).alias("null_fk"), F.count(F.lit(1)).alias("child_rows"))
-    orphans = child.where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti") \
-        .agg(F.count(F.lit(1)).alias("orphan_count"))
-    return one1(nulls, orphans).select(F.lit(name).alias("rule"), "child_rows", "null_fk", "orphan_count")
+    one left join to the distinct parent keys and one aggregate."""
+    keys = parent.select(F.col(pk).alias(fk), F.lit(1).alias("_hit")).distinct()
+    j = child.select(fk).join(keys, fk, "left")
+    return j.agg(F.count(F.lit(1)).alias("child_rows"), F.sum(F.col(fk).isNull().cast("long")).alias("null_fk"),
+                 F.sum((F.col(fk).isNotNull() & F.col("_hit").isNull()).cast("long")).alias("orphan_count")) \
+        .select(F.lit(name).alias("rule"), "child_rows", "null_fk", "orphan_count")
 
 
 def schema_diff(df: DataFrame, expected: T.StructType) -> list[tuple[str, str, str, str]]:

@@ -59,17 +59,23 @@ def dq_expectations(spark, sf):
     return Q.expectations(e.join(c, "member_bid", "left"), _EXP)
 
 
-@query("dq_inputs", B.q(["member", "claim_line"], [], """SELECT
-  (SELECT count(*) - count(member_bid) FROM member) + (SELECT count(*) - count(memb_brth_dt) FROM member) AS null_required,
-  (SELECT count(*) - count(DISTINCT member_bid) FROM member) AS duplicate_members,
-  (SELECT count(*) FROM (SELECT 1 FROM claim_line LIMIT 1)) = 0 AS diagnosis_empty"""))
+@query("dq_inputs", B.q(["member", "claim_line"], [], """
+SELECT 'null_required' AS check_name, (SELECT count(*) - count(member_bid) FROM member) + (SELECT count(*) - count(memb_brth_dt) FROM member) AS value
+UNION ALL SELECT 'duplicate_members', (SELECT count(*) - count(DISTINCT member_bid) FROM member)
+UNION ALL SELECT 'diagnosis_rows_probe', (SELECT count(*) FROM (SELECT 1 FROM claim_line LIMIT 1))"""))
 def dq_inputs(spark, sf):
+    """Required columns non-null, member id unique, diagnosis table not empty
+    (probe = 0) — one small aggregate per check, unioned."""
+    from riskspark.operators.sinks import union_all
     inp = Inputs(spark, sf)
-    m = inp.member().agg((F.sum(F.col("member_bid").isNull().cast("long")) + F.sum(F.col("memb_brth_dt").isNull().cast("long")))
-                         .alias("null_required"),
-                         (F.count(F.lit(1)) - F.countDistinct("member_bid")).alias("duplicate_members"))
-    d = inp.lines().limit(1).agg((F.count(F.lit(1)) == 0).alias("diagnosis_empty"))
-    return Q.one1(m, d)
+    m = inp.member()
+    nulls = m.agg((F.sum(F.col("member_bid").isNull().cast("long")) + F.sum(F.col("memb_brth_dt").isNull().cast("long")))
+                  .alias("value")).select(F.lit("null_required").alias("check_name"), "value")
+    dups = m.groupBy("member_bid").agg(F.count(F.lit(1)).alias("_n")).agg(F.sum(F.col("_n") - 1).alias("value")) \
+        .select(F.lit("duplicate_members").alias("check_name"), "value")
+    probe = inp.lines().limit(1).agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("diagnosis_rows_probe").alias("check_name"), "value")
+    return union_all([nulls, dups, probe])
 
 
 @query("dq_relationships", B.q(["claim_header", "member", "pharmacy"], [], """
