@@ -23,8 +23,9 @@ AUDIT_KEEP = ("created_by", "created_date")
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fail the job (at execution, no extra action) if ``keys`` repeat."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return df.withColumn("_dup", F.when(n > 1, F.raise_error(F.lit(f"duplicate source key on {list(keys)}")))) \
-        .drop("_dup")
+    # a filter predicate cannot be pruned away (an unused column could)
+    guard = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"duplicate source key on {list(keys)}"))).otherwise(F.lit(True))
+    return df.withColumn("_n", n).where(guard).drop("_n")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
