@@ -154,11 +154,42 @@ def m10_scenario2(claims: DataFrame, rules: DataFrame, groups: DataFrame) -> Dat
     return _draft(x.where(F.col("excluded") == 0))
 
 
+def code_matches(claims: DataFrame, rules: DataFrame, method_ids=(2, 10)) -> DataFrame:
+    """One pass over the claims for every code rule: each line contributes its
+    (type, code) pairs — diagnosis, procedure (and principal procedure when
+    present) — and one broadcast equi join on (type, code) matches all rules
+    of the given methods at once."""
+    pairs = [F.struct(F.lit(t).alias("claim_cd_type"), F.col(c).alias("code")) for t, c in CODE_COLUMN.items()
+             if c in claims.columns]
+    exploded = claims.select("member_bid", "risk_year", "claim_bid", "claim_dt", "clm_tp_cd", "qualify_claims",
+                             F.explode(F.array(*pairs)).alias("_p")).select("*", "_p.*").drop("_p")
+    r = rules.where(F.col("method_id").isin(*method_ids) & (F.col("program") == "CMS"))
+    r = r.select("method_id", "claim_cd_type", F.col("claim_cd").alias("code"), "claim_cd", "cc_id", "qualified_claim",
+                 "modifier_cd", "exclusion_cd")
+    return exploded.join(F.broadcast(r), ["claim_cd_type", "code"]).drop("code")
+
+
 def all_methods(claims: DataFrame, pharmacy: DataFrame, rules: DataFrame, groups: DataFrame,
                 extra: Sequence[DataFrame] = ()) -> DataFrame:
-    """set_union_methods: ``unionByName(allowMissingColumns)`` over all methods."""
-    frames = [m1_pharmacy(pharmacy, rules), m2_codes(claims, rules), m10_inclusion(claims, rules),
-              m10_scenario1(claims, rules, groups), m10_scenario2(claims, rules, groups), *extra]
+    """set_union_methods: every method's draft rows, ``unionByName``.
+
+    Codes are matched once (``code_matches``); inclusion rules (no modifier,
+    no exclusion) give M2 / M10-inclusion rows; M10 triggers of both
+    scenarios go through one modifier semi join (scenario 1 only) and one
+    look-back exclusion."""
+    m = code_matches(claims, rules)
+    draft_cols = ["member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", F.col("clm_tp_cd").alias("claim_type"),
+                  "claim_cd_type", "claim_cd", "cc_id", "qualified_claim", "qualify_claims"]
+    incl = m.where(F.col("modifier_cd").isNull() & F.col("exclusion_cd").isNull())
+    m2 = _draft(incl.where(F.col("method_id") == 2).select(*draft_cols)).distinct()
+    m10i = _draft(incl.where((F.col("method_id") == 10) & (F.col("claim_cd_type") == "CPT-HCPCS"))
+                  .select(*draft_cols)).distinct()
+    trig = m.where((F.col("method_id") == 10) & (F.col("claim_cd_type") == "CPT-HCPCS") & F.col("exclusion_cd").isNotNull()) \
+        .select(*draft_cols, "modifier_cd", "exclusion_cd").distinct()
+    with_mod = modifier_same_claim(trig.where(F.col("modifier_cd").isNotNull()), claims, groups)
+    t = with_mod.unionByName(trig.where(F.col("modifier_cd").isNull()))
+    scen = _draft(lookback_exclusion(t, claims, groups).where(F.col("excluded") == 0))
+    frames = [m1_pharmacy(pharmacy, rules), m2, m10i, scen, *extra]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -222,7 +253,12 @@ def gap_status(gaps: DataFrame) -> DataFrame:
 
 
 def suppressed_gaps(claims, pharmacy, rules, groups, hierarchy_pairs, member_hcc, extra=()) -> DataFrame:
-    g = member_gaps(all_methods(claims, pharmacy, rules, groups, extra))
+    """All methods → member gaps → suppression 1 → matching → suppression 2 → status."""
+    return statuses_from_draft(all_methods(claims, pharmacy, rules, groups, extra), hierarchy_pairs, member_hcc)
+
+
+def statuses_from_draft(draft: DataFrame, hierarchy_pairs: DataFrame, member_hcc: DataFrame) -> DataFrame:
+    g = member_gaps(draft)
     g = suppression1(g, hierarchy_pairs)
     g = match_existing(g, member_hcc)
     g = suppression2(g, member_hcc, hierarchy_pairs)

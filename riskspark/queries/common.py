@@ -12,8 +12,13 @@ from riskspark.sources import reference as REF
 class Inputs:
     """Lazy domain tables and rule tables for one (spark, sf_dir)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf = spark, sf_dir
+    # expensive frames read by several consumers; with ``cut=True`` they are
+    # written once to the shared folder and read back (a lineage cut that
+    # also survives executor loss: recomputation restarts from the files)
+    CUT = ("population", "member_hcc", "scores", "gap_claims", "gap_draft", "gaps", "claim_hcc", "persistence")
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cut: bool = False):
+        self.spark, self.sf, self.cut = spark, sf_dir, cut
 
     def member(self) -> DataFrame:
         return D.member(self.spark, self.sf)
@@ -64,9 +69,7 @@ def _v28_hcc(self) -> DataFrame:
 
 def _gaps(self) -> DataFrame:
     from riskspark.plans import gaps as G
-    sp = self.spark
-    return G.suppressed_gaps(self.gap_claims(), self.pharmacy(), REF.method_rules(sp), REF.code_groups(sp),
-                             REF.hierarchy_pairs(sp), self.v28_hcc())
+    return G.statuses_from_draft(self.gap_draft(), REF.hierarchy_pairs(self.spark), self.v28_hcc())
 
 
 def _gap_draft(self) -> DataFrame:
@@ -106,3 +109,31 @@ def _persistence(self) -> DataFrame:
 Inputs.claim_hcc = _claim_hcc
 Inputs.hier28 = _hier28
 Inputs.persistence = _persistence
+
+
+def _memoize(cls) -> None:
+    """Each input frame is built once per Inputs instance: the same DataFrame
+    object is shared by every consumer, which saves driver-side analysis and
+    lets Spark reuse identical exchanges instead of recomputing them."""
+    import functools
+
+    for name, fn in list(vars(cls).items()):
+        if name.startswith("_") or not callable(fn) or name == "table":
+            continue
+
+        def wrap(f, key):
+            @functools.wraps(f)
+            def inner(self):
+                cache = self.__dict__.setdefault("_memo", {})
+                if key not in cache:
+                    df = f(self)
+                    if self.cut and key in self.CUT:
+                        from riskspark.operators.sinks import checkpoint
+                        df = checkpoint(df, key)
+                    cache[key] = df
+                return cache[key]
+            return inner
+        setattr(cls, name, wrap(fn, name))
+
+
+_memoize(Inputs)

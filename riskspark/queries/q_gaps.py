@@ -100,7 +100,7 @@ def gap_suppress2(spark, sf):
 
 @query("gap_status", _o("SELECT * FROM gaps", ["risk_year", "method_id", "cc_id"]))
 def gap_status(spark, sf):
-    return Inputs(spark, sf).gaps().select(*_GAP_COLS, "gap_status", "create_gap")
+    return Inputs(spark, sf, cut=True).gaps().select(*_GAP_COLS, "gap_status", "create_gap")
 
 
 _FC = ["member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", "claim_type", "claim_cd_type", "claim_cd",
@@ -133,7 +133,7 @@ SELECT c.member_bid, c.risk_year, c.cc_code, c.combined_confidence, c.methods, c
 FROM cconf c JOIN sbc s ON s.member_bid = c.member_bid AND s.risk_year = c.risk_year AND s.cc_code = c.cc_code""",
     ["risk_year", "n_methods"])))
 def gap_confidence(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, cut=True)
     st = status_by_code(inp.gaps())
     c = _conf(inp).join(st, ["member_bid", "risk_year", "cc_code"])
     return c.withColumn("passes_threshold", (F.col("combined_confidence") >= R.CONFIDENCE_THRESHOLD)
@@ -160,7 +160,7 @@ SELECT g.member_bid, g.risk_year, g.method_id, g.cc_code, g.gap_status,
       AND p.gap_status <> 'Open Non Suspect') THEN 'ACTIVE' ELSE 'AUDIT' END AS output_split
 FROM gaps g""", ["risk_year", "method_id"]))
 def gap_suppress_cross(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, cut=True)
     g = inp.gaps()
     h = REF.hierarchy_pairs(spark).where(F.col("version") == "v28").select("parent", "child")
     # parents of any method that are not themselves non-suspect audit rows
@@ -183,7 +183,7 @@ WHERE NOT EXISTS (SELECT 1 FROM plan_exclusions x WHERE x.home_plan_id_cd = m.ho
   AND NOT EXISTS (SELECT 1 FROM plan_exclusions x WHERE x.home_plan_id_cd = m.home_plan_id_cd AND x.cc_id = g.cc_id)""",
     ["risk_year", "method_id"]))
 def gap_plan_exclusion(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, cut=True)
     g = inp.gaps().join(inp.member().select("member_bid", "home_plan_id_cd"), "member_bid")
     return plan_exclusion(g, REF.plan_exclusions(spark)).select(
         "member_bid", "home_plan_id_cd", "risk_year", "method_id", "cc_code", "gap_status")
@@ -235,7 +235,7 @@ _HCC_STEPS = OS_STEPS + [("sbc", _STATUS_BY_CODE), ("to_hcc", _TO_HCC)]
 
 @query("gap_to_hcc", B.q(OG.BASE, _HCC_STEPS, B.typed("SELECT * FROM to_hcc", ["risk_year", "age_yr"])))
 def gap_to_hcc(spark, sf):
-    return gap_hcc_rows(Inputs(spark, sf))
+    return gap_hcc_rows(Inputs(spark, sf, cut=True))
 
 
 @query("gap_final_output", B.q(OG.BASE, _HCC_STEPS, B.typed("""
@@ -243,7 +243,7 @@ SELECT t.member_bid, m.home_plan_id_cd, m.contract_id, t.risk_year, t.cc_code, t
   t.combined_confidence, t.adj_coeff_score
 FROM to_hcc t JOIN member m ON m.member_bid = t.member_bid WHERE t.gap_status = 'Open Suspect'""", ["risk_year"])))
 def gap_final_output(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, cut=True)
     t = gap_hcc_rows(inp).where(F.col("gap_status") == "Open Suspect")
     return t.join(inp.member().select("member_bid", "home_plan_id_cd", "contract_id"), "member_bid").select(
         "member_bid", "home_plan_id_cd", "contract_id", "risk_year", "cc_code", "risk_type_detail_id", "methods",
@@ -256,7 +256,7 @@ SELECT member_bid, risk_year, count(*) AS n_gap_codes,
   round(sum(CASE WHEN suppression_ind = 'R' THEN adj_coeff_score ELSE 0.0 END), 6) AS gap_score
 FROM to_hcc GROUP BY 1, 2""", ["risk_year", "n_open"])))
 def gap_pipeline(spark, sf):
-    t = gap_hcc_rows(Inputs(spark, sf))
+    t = gap_hcc_rows(Inputs(spark, sf, cut=True))
     return t.groupBy("member_bid", "risk_year").agg(
         F.count("*").alias("n_gap_codes"),
         F.sum(F.when(F.col("suppression_ind") == "R", 1).otherwise(0)).alias("n_open"),
@@ -270,4 +270,4 @@ from oracle import combined as OC  # noqa: E402
 @query("gap_m4_persistent", B.q(OC.BASE, OC.STEPS, B.typed("SELECT * FROM m4", ["risk_year", "method_id", "claim_type", "cc_id",
                                                                                 "qualified_claim"])))
 def gap_m4_persistent(spark, sf):
-    return G.m4_persistent(Inputs(spark, sf).persistence())
+    return G.m4_persistent(Inputs(spark, sf, cut=True).persistence())

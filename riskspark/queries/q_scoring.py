@@ -21,7 +21,7 @@ def _o(final: str, ints=(), steps=None) -> str:
 
 @query("rsk_raw", _o("SELECT * FROM scores", INTS))
 def rsk_raw(spark, sf):
-    return Inputs(spark, sf).scores()
+    return Inputs(spark, sf, cut=True).scores()
 
 
 @query("rsk_hierarchy", _o("""
@@ -143,7 +143,7 @@ def _claim_diag(inp: Inputs):
 
 @query("rsk_output", _o("SELECT * FROM outp", INTS, _OUT))
 def rsk_output(spark, sf):
-    return _output(Inputs(spark, sf))
+    return _output(Inputs(spark, sf, cut=True))
 
 
 @query("rsk_hcc_detail", _o("SELECT * FROM detail", ["risk_year", "hcc"], _OUT))
@@ -158,7 +158,7 @@ SELECT o.member_bid, o.risk_year, o.version, o.model_segment, o.raw_score, o.wei
 FROM outp o JOIN (SELECT member_bid, risk_year, round(sum(weighted_score), 3) AS blended_score FROM scores GROUP BY 1, 2) b
   ON b.member_bid = o.member_bid AND b.risk_year = o.risk_year""", ["risk_year"], _OUT))
 def rsk_pipeline(spark, sf):
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, cut=True)
     o = _output(inp)
     b = S.blended_scores(o).drop("time_period", "n_versions")
     return o.join(b, ["member_bid", "risk_year"]).select(
