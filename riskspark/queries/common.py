@@ -15,9 +15,9 @@ class Inputs:
     # expensive frames read by several consumers; with ``cut=True`` they are
     # written once to the shared folder and read back (a lineage cut that
     # also survives executor loss: recomputation restarts from the files)
-    CUT = ("population", "member_hcc", "scores", "gap_claims", "gap_draft", "gaps", "claim_hcc", "persistence")
+    CUT = ("population", "claim_diag", "member_hcc", "scores", "gap_claims", "gap_draft", "gaps", "claim_hcc", "persistence")
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cut: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, cut: bool = True):
         self.spark, self.sf, self.cut = spark, sf_dir, cut
 
     def member(self) -> DataFrame:
@@ -42,10 +42,17 @@ class Inputs:
         pop = S.member_population(self.member(), self.enrollment(), REF.time_periods(self.spark))
         return S.with_segment(pop)
 
+    def claim_diag(self) -> DataFrame:
+        """Distinct coded diagnoses per claim (types 1–3) — the one pass over
+        the claim lines that scoring, detail and persistence share."""
+        from pyspark.sql import functions as F
+        return self.lines().where(F.col("clm_tp_cd").isin(1, 2, 3)).select(
+            "member_bid", "risk_year", "claim_bid", "claim_dt", "diag_cd").distinct()
+
     def member_hcc(self) -> DataFrame:
         """Scored condition categories per member, year, version."""
-        return S.scored_hccs(self.population(), S.member_diagnoses(self.lines()),
-                             REF.icd_hcc(self.spark), REF.hierarchy_pairs(self.spark))
+        diag = self.claim_diag().select("member_bid", "risk_year", "diag_cd").distinct()
+        return S.scored_hccs(self.population(), diag, REF.icd_hcc(self.spark), REF.hierarchy_pairs(self.spark))
 
     def scores(self) -> DataFrame:
         sp = self.spark
@@ -88,8 +95,7 @@ def _claim_hcc(self) -> DataFrame:
     """Claim-level v28 categories after SEDITS (persistence input)."""
     from pyspark.sql import functions as F
     pop = self.population().select("member_bid", "risk_year", "age_yr", "memb_gender_cd")
-    d = self.lines().where(F.col("clm_tp_cd").isin(1, 2, 3)).select(
-        "member_bid", "risk_year", "claim_bid", "claim_dt", "diag_cd").distinct()
+    d = self.claim_diag()
     d = d.join(pop, ["member_bid", "risk_year"]).withColumn("version", F.lit("v28"))
     d = S.apply_sedits(S.map_icd_to_hcc(d, REF.icd_hcc(self.spark)))
     return d.where(F.col("hcc").isNotNull() & (F.col("hcc") != -1)).select(

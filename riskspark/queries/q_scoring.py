@@ -137,8 +137,7 @@ def _output(inp: Inputs):
 
 
 def _claim_diag(inp: Inputs):
-    return inp.lines().where(F.col("clm_tp_cd").isin(1, 2, 3)).select(
-        "member_bid", "risk_year", "claim_bid", "diag_cd").distinct()
+    return inp.claim_diag().select("member_bid", "risk_year", "claim_bid", "diag_cd").distinct()
 
 
 @query("rsk_output", _o("SELECT * FROM outp", INTS, _OUT))
