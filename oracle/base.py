@@ -1,7 +1,8 @@
 """Common table expressions for the oracle: the domain projection (same
 contract as ``riskspark.sources.domain``) and the rule tables as VALUES.
 
-``sql(body, *ctes)`` prepends the named CTEs (and their dependencies).
+``q(names, steps, final)`` prepends the named CTEs (and their dependencies)
+and the query-local steps to the final SELECT.
 """
 
 from __future__ import annotations
@@ -193,24 +194,6 @@ def _pos():
     return values(R.PLACE_OF_SERVICE, "bill_prefix, place_of_service")
 
 
-def sql(body: str, *names: str) -> str:
-    """``WITH`` the named CTEs (dependencies first) + body."""
-    order: list[str] = []
-
-    def add(n):
-        if n in order:
-            return
-        for d in CTES[n][1]:
-            add(d)
-        order.append(n)
-
-    for n in names:
-        add(n)
-    if not order:
-        return body
-    return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n][0]}\n)" for n in order) + "\n" + body
-
-
 def q(names, steps, final: str) -> str:
     """Base CTEs ``names`` + query-local ``steps`` [(name, sql)] + final SELECT."""
     order: list[str] = []

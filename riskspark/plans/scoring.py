@@ -153,15 +153,18 @@ def hcc_scores(hcc: DataFrame, coeffs: DataFrame) -> DataFrame:
 
 def group_interactions(hcc: DataFrame, rules: DataFrame) -> DataFrame:
     """rsk_interactions_group: ≥1 code of the primary AND ≥1 of the secondary
-    group → rule score; two semi-style equi joins on exploded groups, no
-    cross product."""
-    prim = rules.select("interaction_name", "score",
-                        F.explode(RF.split_codes("primary_group")).alias("code"))
-    sec = rules.select("interaction_name", F.explode(RF.split_codes("secondary_group")).alias("code"))
+    group → rule score. One broadcast join tags each member code with the
+    (rule, side) pairs it belongs to, one aggregation per member and rule
+    checks both sides — no cross product, no per-member list."""
+    prim = rules.select("interaction_name", "score", F.explode(RF.split_codes("primary_group")).alias("code"),
+                        F.lit(1).alias("_p"), F.lit(0).alias("_s"))
+    sec = rules.select("interaction_name", "score", F.explode(RF.split_codes("secondary_group")).alias("code"),
+                       F.lit(0).alias("_p"), F.lit(1).alias("_s"))
+    sides = prim.unionByName(sec)
     h = hcc.select(*MEMBER_KEYS, F.col("hcc").cast("string").alias("code"))
-    hp = h.join(F.broadcast(prim), "code").select(*MEMBER_KEYS, "interaction_name", "score").distinct()
-    hs = h.join(F.broadcast(sec), "code").select(*MEMBER_KEYS, "interaction_name").distinct()
-    return hp.join(hs, MEMBER_KEYS + ["interaction_name"])
+    g = h.join(F.broadcast(sides), "code").groupBy(*MEMBER_KEYS, "interaction_name", "score") \
+        .agg(F.max("_p").alias("_p"), F.max("_s").alias("_s"))
+    return g.where((F.col("_p") == 1) & (F.col("_s") == 1)).select(*MEMBER_KEYS, "interaction_name", "score")
 
 
 def risk_scores(population: DataFrame, hcc: DataFrame, coeffs: DataFrame,
