@@ -152,10 +152,12 @@ def incremental(current: DataFrame, previous: DataFrame, keys: Sequence[str], up
 
 def outliers(df: DataFrame, value: str, by: Sequence[str], threshold: float = 3.0) -> DataFrame:
     """dq_outliers: z-score with the sample stddev of the group; the group
-    statistics are a small aggregate joined back (broadcast: one row per group)."""
+    statistics (one row per group) are joined back, broadcast only when their
+    estimated size is bounded."""
+    from riskspark.operators.joins import broadcast_if_small
     by = list(by)
     st = df.groupBy(*by).agg(F.avg(value).alias("_mean"), F.stddev(value).alias("_sd"))
-    j = df.join(F.broadcast(st), by) if by else one1(df, st)
+    j = df.join(broadcast_if_small(st), by) if by else one1(df, st)
     z = (F.col(value) - F.col("_mean")) / F.col("_sd")
     return j.withColumn("z_score", z).withColumn("is_outlier", F.abs(z) > threshold).drop("_mean", "_sd")
 

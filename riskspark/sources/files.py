@@ -128,5 +128,6 @@ def latest_slice(df: DataFrame, month_col: str, cycle_col: str, version_col: str
     back by broadcast — no whole-table window, no driver round trip."""
     mm = df.agg(F.max(month_col).alias(month_col))
     m = df.join(F.broadcast(mm), month_col)
+    from riskspark.operators.joins import broadcast_if_small
     mc = m.groupBy(version_col).agg(F.max(cycle_col).alias(cycle_col))
-    return m.join(F.broadcast(mc), [version_col, cycle_col])
+    return m.join(broadcast_if_small(mc), [version_col, cycle_col])
