@@ -9,6 +9,36 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for large clusters (~100 TB inputs, ~1000 executors). Partitions are
+# sized by bytes, not counts: AQE coalesces shuffle output to ~256 MB
+# partitions and splits skewed ones; scans read ~256 MB splits; broadcasts
+# stay small enough to ship to every executor. ``apply_cluster_defaults``
+# sets only what the cluster has not set itself.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> SparkSession:
+    """Apply ``CLUSTER_DEFAULTS`` for keys the session does not set."""
+    for k, v in CLUSTER_DEFAULTS.items():
+        if spark.conf.get(k, None) in (None, ""):
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # noqa: BLE001 - static confs cannot change at runtime
+                pass
+    return spark
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "riskspark") -> SparkSession:
     """Local session for tests and the bench; a cluster passes its own."""
