@@ -30,8 +30,9 @@ CLUSTER_DEFAULTS = {
 
 def apply_cluster_defaults(spark: SparkSession) -> SparkSession:
     """Apply ``CLUSTER_DEFAULTS`` for keys the session does not set."""
+    jconf = spark.conf._jconf
     for k, v in CLUSTER_DEFAULTS.items():
-        if spark.conf.get(k, None) in (None, ""):
+        if not jconf.contains(k):  # explicitly set by the cluster → keep
             try:
                 spark.conf.set(k, v)
             except Exception:  # noqa: BLE001 - static confs cannot change at runtime
