@@ -158,18 +158,23 @@ def clm_risk_member_diag(spark, sf):
 
 
 @query("clm_providers", """
-WITH master AS (SELECT DISTINCT s_suppkey AS provider_id, trim(s_name) AS provider_name FROM supplier WHERE s_suppkey % 2 = 0),
+WITH master AS (SELECT DISTINCT s.s_suppkey AS provider_id, trim(s.s_name) AS provider_name FROM supplier s
+                WHERE s.s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')),
 src AS (SELECT DISTINCT s_suppkey AS provider_id, trim(s_name) AS provider_name FROM supplier
         UNION SELECT DISTINCT l_suppkey, 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') FROM lineitem)
 SELECT * FROM master UNION ALL
 SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.provider_id = s.provider_id)""")
 def clm_providers(spark, sf):
-    """Master provider list: trimmed distinct ids from every source, inserted
-    only when absent from the existing master (an earlier snapshot)."""
+    """Master provider list: the existing master holds the providers already
+    seen on earlier claims; trimmed distinct ids from every source are
+    inserted only when absent."""
     inp = Inputs(spark, sf)
     sup = inp.table("supplier").select(F.col("s_suppkey").alias("provider_id"), F.trim("s_name").alias("provider_name"))
-    master = sup.where(F.col("provider_id") % 2 == 0).distinct()
-    from_claims = inp.table("lineitem").select(F.col("l_suppkey").alias("provider_id")).distinct().select(
+    li = inp.table("lineitem")
+    seen = li.where(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz")).select(
+        F.col("l_suppkey").alias("provider_id")).distinct()
+    master = sup.join(seen, "provider_id", "left_semi").distinct()
+    from_claims = li.select(F.col("l_suppkey").alias("provider_id")).distinct().select(
         "provider_id", F.concat(F.lit("Supplier#"), F.lpad(F.col("provider_id").cast("string"), 9, "0")).alias("provider_name"))
     src = sup.unionByName(from_claims).distinct()
     return SK.insert_if_absent(master, src, ["provider_id"])

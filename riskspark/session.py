@@ -58,21 +58,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     )
 
 
+_FALLBACK: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     Read from the session; a private folder is created only where the
-    setting is unset (tests on one machine).
+    setting is unset (tests on one machine), and registered as the context's
+    checkpoint directory.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="riskspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    key = id(spark.sparkContext)
+    if key not in _FALLBACK:
+        _FALLBACK[key] = tempfile.mkdtemp(prefix="riskspark-ckpt-")
+        spark.sparkContext.setCheckpointDir(_FALLBACK[key])
+    return _FALLBACK[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

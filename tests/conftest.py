@@ -17,8 +17,8 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="riskspark-test-ckpt-"))
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-test-ckpt-"))
     yield s
     s.stop()
 
