@@ -119,10 +119,10 @@ def flag_hierarchy(member_hcc: DataFrame, hierarchy_pairs: DataFrame,
         "suppressed", F.col("suppressed_by").isNotNull().cast("int"))
 
 
-def scored_hccs(spark_pop: DataFrame, diag: DataFrame, icd_map: DataFrame,
+def scored_hccs(population: DataFrame, diag: DataFrame, icd_map: DataFrame,
                 hierarchy_pairs: DataFrame) -> DataFrame:
     """Member-year-version condition categories after SEDITS and hierarchy."""
-    d = diag.join(spark_pop.select(*MEMBER_YEAR, "age_yr", "memb_gender_cd", "model_segment"), MEMBER_YEAR)
+    d = diag.join(population.select(*MEMBER_YEAR, "age_yr", "memb_gender_cd", "model_segment"), MEMBER_YEAR)
     d = with_versions(d)
     d = apply_sedits(map_icd_to_hcc(d, icd_map))
     hcc = (d.where(F.col("hcc").isNotNull() & (F.col("hcc") != -1))
