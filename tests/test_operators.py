@@ -96,3 +96,37 @@ def test_no_cross_joins_or_single_task_windows_in_library():
     assert "partitionBy()" not in src
     assert "localCheckpoint" not in src
     assert "monotonically_increasing_id()" not in src.replace("monotonically_increasing_id`", "")
+
+
+def test_lookback_exclusion_matches_brute_force(spark):
+    from riskspark.plans import gaps as G
+    rnd = random.Random(11)
+    base = dt.date(2019, 1, 1)
+    ev = [(rnd.randint(1, 5), rnd.choice(["D030", "D031", "D001"]), base + dt.timedelta(days=rnd.randint(0, 700)))
+          for _ in range(400)]
+    trig = [(rnd.randint(1, 5), base + dt.timedelta(days=rnd.randint(0, 700)), rnd.choice(["EXA", "EXB"]), i)
+            for i in range(200)]
+    groups = spark.createDataFrame([("DIAGNOSIS", "EXA", "D030"), ("DIAGNOSIS", "EXB", "D031")],
+                                   "claim_cd_type string, group_cd string, code string")
+    claims = spark.createDataFrame(ev, "member_bid long, diag_cd string, claim_dt date")
+    t = spark.createDataFrame(trig, "member_bid long, claim_dt date, exclusion_cd string, tid int")
+    got = {r.tid: (r.excluded, r.excl_dt) for r in G.lookback_exclusion(t, claims, groups).collect()}
+    code = {"EXA": "D030", "EXB": "D031"}
+    want = {}
+    for m, d, g, i in trig:
+        hits = [e[2] for e in ev if e[0] == m and e[1] == code[g] and 0 <= (d - e[2]).days <= 180]
+        want[i] = (1, min(hits)) if hits else (0, None)
+    assert got == want
+
+
+def test_period_filter_matches_brute_force(spark):
+    from riskspark.operators import rules as OR
+    from riskspark.sources import reference_data as R
+    rnd = random.Random(5)
+    days = [dt.date(1994, 6, 1) + dt.timedelta(days=rnd.randint(0, 3000)) for _ in range(300)]
+    claims = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "claim_bid long, claim_dt date")
+    periods = spark.createDataFrame(R.time_period_rows(),
+                                    "time_period int, begin_date date, end_date date, period_type string, risk_year int")
+    got = {(r.claim_bid, r.time_period) for r in OR.period_filter(claims, periods, "claim_dt").collect()}
+    want = {(i, p[0]) for i, d in enumerate(days) for p in R.time_period_rows() if p[1] <= d <= p[2]}
+    assert got == want
