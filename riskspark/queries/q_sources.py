@@ -243,7 +243,9 @@ def src_medical_facility(spark, sf):
 WHERE member_bid > 0 AND year(serv_dt) BETWEEN {RISK_YEAR - N_YEARS + 1} AND {RISK_YEAR}"""))
 def src_pharmacy(spark, sf):
     p = Inputs(spark, sf).pharmacy()
-    return p.where((F.col("member_bid") > 0) & F.year("serv_dt").between(RISK_YEAR - N_YEARS + 1, RISK_YEAR)).select(
+    # a date range (not year(...)) so the bound is pushed into the Parquet scan
+    lo, hi = F.make_date(F.lit(RISK_YEAR - N_YEARS + 1), F.lit(1), F.lit(1)), F.make_date(F.lit(RISK_YEAR), F.lit(12), F.lit(31))
+    return p.where((F.col("member_bid") > 0) & F.col("serv_dt").between(lo, hi)).select(
         "member_bid", "claim_bid", "prod_serv_id_cd", "serv_dt")
 
 
@@ -290,7 +292,7 @@ def src_claims_base(spark, sf):
     inp = Inputs(spark, sf)
     med = inp.lines().where(F.col("source_load_month") >= "1996_01").select(
         "claim_bid", "member_bid", "clm_tp_cd", "claim_dt", "diag_cd", "cpt_cd")
-    ph = inp.pharmacy().where(F.year("serv_dt") >= 1996).select(
+    ph = inp.pharmacy().where(F.col("serv_dt") >= F.lit("1996-01-01").cast("date")).select(
         "claim_bid", "member_bid", F.lit(4).alias("clm_tp_cd"), F.col("serv_dt").alias("claim_dt"), "prod_serv_id_cd")
     return FS.union_claims([med, ph], STANDARD).select(*STANDARD.keys())
 
