@@ -9,6 +9,13 @@ are composed into one machine:
 * target: one that a person is addressed with (up to three words before or
   after) is targeted.
 
+Beside the listed insults, the lexical transducer knows stems learned from the
+labels: prefixes of 4 to 6 letters that toxic documents have and clean ones do
+not (``STEM_SCORE``), in several different contexts, so that the words of a
+group of copies do not become stems. They are learned from at most
+``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` labelled documents outside the held-out
+fold (smallest hashes of their ids).
+
 What the machine emits, not the words alone, is scored: a document's counts of
 each emitted pattern go into a logistic model, fitted on the labelled rows by
 ridge regression towards prior weights. The labelled rows are aggregated in
@@ -29,6 +36,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +64,14 @@ PRIOR_BIAS, RIDGE = -2.5, 0.5
 LEVELS = 3  # a pattern's count saturates here
 NEGATION_REACH, TARGET_REACH = 2, 3
 
+TRAIN_TOXIC, TRAIN_CLEAN = 3000, 6000
+STEM_LETTERS = (4, 5, 6)
+STEM_SUPPORT = 4     # toxic documents and contexts, copies counted once
+STEM_CONTEXTS = 0.3  # contexts per toxic document
+STEM_SCORE = 15.0    # documents times the log ratio of the classes' shares
+STEMS = 1000
+REMEMBER = 300_000   # words whose symbol a task remembers
+
 
 class Transducer:
     """Deterministic: (state, input symbol) gives (state, output symbol); state 0 is the start."""
@@ -112,14 +128,29 @@ def grammar() -> dict:
     return Transducer(_negation).compose(Transducer(_reported)).compose(Transducer(_target)).table("ITNRHO.")
 
 
-def pattern_counts(text: str | None) -> list[int]:
+class Lexicon(dict):
+    """The lexical transducer: a word's symbol, by its stem if it is not listed."""
+
+    def __init__(self, stems: list[str]):
+        super().__init__(SYMBOLS)
+        self.stems = frozenset(stems)
+
+    def __missing__(self, word: str) -> str:
+        symbol = "I" if any(word[:n] in self.stems for n in STEM_LETTERS) else "O"
+        if len(self) > REMEMBER:
+            self.clear()
+            self.update(SYMBOLS)
+        self[word] = symbol
+        return symbol
+
+
+def pattern_counts(text: str | None, lexicon: Lexicon) -> list[int]:
     """How often each pattern is emitted, in the order of ``PATTERNS``."""
     counts = [0] * len(PATTERNS)
-    classes, arcs = SYMBOLS, grammar()
-    state, clause = 0, []
+    arcs, clause = grammar(), []
 
     def close() -> None:
-        symbols = [classes.get(w, "O") for w in clause]
+        symbols = [lexicon[w] for w in clause]
         if "I" not in symbols and "H" not in symbols:
             return
         # a target after the word counts as well: the clause is also read backwards for it
@@ -147,22 +178,71 @@ def pattern_counts(text: str | None) -> list[int]:
     return counts
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        counts = np.array([pattern_counts(t.as_py()) for t in b.column(1)], np.int32).reshape(-1, len(PATTERNS))
-        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(counts[:, i]) for i in range(len(PATTERNS)))], names=["doc_id", *PATTERNS])
-
-
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, stems: list[str]) -> DataFrame:
     """doc_id and the count of every pattern, one row per row of ``docs``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(stems)
+        for b in batches:
+            counts = np.array([pattern_counts(t.as_py(), lexicon) for t in b.column(1)], np.int32).reshape(-1, len(PATTERNS))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(counts[:, i]) for i in range(len(PATTERNS)))], names=["doc_id", *PATTERNS])
     schema = "doc_id bigint, " + ", ".join(f"{p} int" for p in PATTERNS)
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_features, schema)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+
+
+def truth(labelled: DataFrame) -> DataFrame:
+    """doc_id, toxic (0 or 1) of the labelled documents outside the held-out fold."""
+    known = labelled.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every text: a hash that copies share, and its distinct prefixes with the word before their first place."""
+    for b in batches:
+        for text in b.column(0):
+            words = [w for w in TOKEN.findall((text.as_py() or "").lower()) if w not in CLAUSE_END]
+            before = {}
+            for last, w in zip(["", *words], words):
+                for n in STEM_LETTERS:
+                    if len(w) >= n:
+                        before.setdefault(w[:n], last)
+            if before:
+                like = min(xxhash.xxh64_intdigest(w) for w in set(words)) >> 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(list(before), pa.string()), pa.array(list(before.values()), pa.string()), pa.array([like] * len(before), pa.int64())],
+                    names=["stem", "before", "like"])
+
+
+def learn_stems(docs: DataFrame, labelled: DataFrame) -> list[str]:
+    known = truth(labelled)
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+
+    def prefixes(toxic: int, rows: int) -> tuple[DataFrame, int]:
+        sample = cut(known.where(F.col("toxic") == toxic).orderBy(*by_hash).limit(rows).select("doc_id"))
+        texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # bounded by ``rows``
+        return texts.select("text").mapInArrow(_prefixes, "stem string, before string, like bigint"), sample.count()
+
+    toxic, n_toxic = prefixes(1, TRAIN_TOXIC)
+    clean, n_clean = prefixes(0, TRAIN_CLEAN)
+    if not n_toxic or not n_clean:
+        return []
+    support = toxic.groupBy("stem").agg(F.count_distinct("like").alias("p"), F.count_distinct("before").alias("c")).where(
+        (F.col("p") >= STEM_SUPPORT) & (F.col("c") >= STEM_SUPPORT) & (F.col("c") >= STEM_CONTEXTS * F.col("p")))
+    against = clean.groupBy("stem").agg(F.count("*").alias("n"))
+    ratio = F.log((F.col("p") / F.lit(n_toxic)) / ((F.col("n") + 0.5) / F.lit(n_clean)))
+    found = support.join(against, "stem", "left").na.fill(0, ["n"]).withColumn("score", F.col("p") * ratio).where(
+        (F.col("score") >= STEM_SCORE) & (ratio >= 3.0))
+    rows = found.orderBy("n", F.desc("p"), F.length("stem"), "stem").limit(STEMS).collect()
+    chosen: dict[str, int] = {}
+    for r in rows:
+        inside = [s for s in chosen if s.startswith(r["stem"])]
+        if not any(r["stem"].startswith(s) for s in chosen) and r["p"] - sum(chosen[s] for s in inside) >= STEM_SUPPORT:
+            chosen[r["stem"]] = r["p"]
+    return sorted(chosen)
 
 
 def fit(feats: DataFrame, labelled: DataFrame) -> np.ndarray:
     """Bias and pattern weights from the labelled rows outside the held-out fold."""
-    truth = labelled.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    seen = feats.where(~held_out(F.col("doc_id"))).join(truth, "doc_id")
+    seen = feats.join(truth(labelled), "doc_id")
     levels = [F.least(F.col(p), F.lit(LEVELS)).alias(p) for p in PATTERNS]
     cells = seen.groupBy(*levels).agg(F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("pos"), F.count("*").alias("n")).collect()
     prior = np.array([PRIOR_BIAS, *PRIOR.values()])
@@ -192,7 +272,7 @@ def score_column(weights):
 
 def scores(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, and the pattern counts behind the score."""
-    feats = cut(features(docs))
+    feats = cut(features(docs, learn_stems(docs, labelled)))
     w = fit(feats, labelled)
     return feats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_column(w).alias("score"), *PATTERNS).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))
@@ -200,14 +280,14 @@ def scores(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is not predicted toxic (rows without an id go by their own text too)."""
-    feats = features(docs)
-    w = fit(feats, labelled)
+    stems = learn_stems(docs, labelled)
+    w = fit(features(docs, stems), labelled)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = schema.names.index("text")
+        at, lexicon = schema.names.index("text"), Lexicon(stems)
         for b in batches:
-            counts = np.array([pattern_counts(t.as_py()) for t in b.column(at)], float).reshape(-1, len(PATTERNS))
+            counts = np.array([pattern_counts(t.as_py(), lexicon) for t in b.column(at)], float).reshape(-1, len(PATTERNS))
             z = w[0] + np.minimum(counts, LEVELS) @ w[1:]
             yield b.filter(pa.array(1 / (1 + np.exp(-z)) < 0.5))
     return docs.mapInArrow(run, schema)
