@@ -8,6 +8,7 @@ and the query-local steps to the final SELECT.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from riskspark.sources import reference_data as R
 
@@ -208,7 +209,10 @@ def q(names, steps, final: str) -> str:
     for n in names:
         add(n)
     parts = [f"{n} AS (\n{CTES[n][0]}\n)" for n in order]
-    parts += [f"{n} AS (\n{s}\n)" for n, s in steps]
+    rest = [s for _, s in steps] + [final]
+    for i, (n, s) in enumerate(steps):
+        reads = sum(len(re.findall(rf"\b{n}\b", later)) for later in rest[i + 1:])
+        parts.append(f"{n} AS {'MATERIALIZED ' if reads > 1 else ''}(\n{s}\n)")
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 

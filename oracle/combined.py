@@ -3,10 +3,5 @@
 from oracle import gaps as OG
 from oracle import persistence as OP
 
-BASE = OG.BASE + ["chronic", "prior_year", "method_priority"]
-STEPS = OP.STEPS + OG.DRAFT_STEPS + [
-    ("m4", """SELECT member_bid, risk_year, 4 AS method_id, claim_bid, claim_dt, CAST(NULL AS INTEGER) AS claim_type,
-        'PERSISTENCE' AS claim_cd_type, diag_cd AS claim_cd, hcc AS cc_id, 'CC' || lpad(CAST(hcc AS VARCHAR), 3, '0') AS cc_code,
-        0 AS qualified_claim, 'Y' AS qualify_claims, 'Y' AS create_gap, coalesce(confidence_factor, 0.75) AS confidence_factor
-      FROM status WHERE suspect_status = 'Open Suspect'"""),
-]
+BASE = OG.BASE + ["method_priority"]
+STEPS = OP.STEPS + OG.DRAFT_STEPS

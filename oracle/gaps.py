@@ -6,16 +6,17 @@ from oracle import scoring as OS
 from riskspark.sources import reference_data as R
 
 BASE = OS.BASE + ["claim_header", "pharmacy", "method_rules", "code_groups", "qualifying_procedures",
-                  "method_frequency", "method_default_weight", "plan_exclusions"]
+                  "method_frequency", "method_default_weight", "plan_exclusions", "chronic", "prior_year"]
 
 QUAL_STEPS = [
     ("hr", """SELECT h.claim_bid, CASE
         WHEN h.clm_tp_cd = 1 THEN CASE WHEN h.clm_pmt_sts_cd = 'P' AND substring(h.tp_of_bill_cd, 1, 2) IN ('11', '41') THEN 'Y' ELSE 'N' END
         WHEN h.clm_tp_cd = 2 THEN CASE WHEN h.allwd_amt > 0 AND h.clm_pmt_sts_cd = 'P' AND substring(h.tp_of_bill_cd, 1, 2) IN ('13', '85')
-                                       AND h.claim_dt BETWEEN e.covrg_begin_dt AND e.covrg_end_dt THEN 'Y' ELSE 'N' END
+                                       AND EXISTS (SELECT 1 FROM enrollment e WHERE e.member_bid = h.member_bid
+                                         AND h.claim_dt BETWEEN e.covrg_begin_dt AND e.covrg_end_dt) THEN 'Y' ELSE 'N' END
         WHEN h.clm_tp_cd = 3 THEN CASE WHEN h.clm_pmt_sts_cd = 'P' THEN 'Y' ELSE 'N' END
         ELSE 'N' END AS header_ok
-      FROM claim_header h LEFT JOIN enrollment e ON e.member_bid = h.member_bid"""),
+      FROM claim_header h"""),
     ("el", """SELECT l.claim_bid, l.clm_tp_cd, CASE WHEN q.cpt_cd IS NOT NULL THEN 1 ELSE 0 END AS line_eligible
       FROM claim_line l LEFT JOIN qualifying_procedures q ON q.cpt_cd = l.cpt_cd AND l.claim_dt BETWEEN q.valid_from AND q.valid_to"""),
     ("cq", """SELECT el.claim_bid, CASE WHEN max(CASE WHEN hr.header_ok = 'Y' THEN 1 ELSE 0 END) = 1
@@ -56,9 +57,16 @@ DRAFT_STEPS = QUAL_STEPS + [
         SELECT 1 FROM gc m JOIN code_groups g ON g.group_cd = t.modifier_cd AND g.code = m.cpt_cd
         WHERE m.claim_bid = t.claim_bid)"""),
     ("s2", f"""SELECT {DRAFT} FROM trig_x t WHERE t.modifier_cd IS NULL AND t.excl_dt IS NULL"""),
-    ("draft", """SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m10i
-      UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2"""),
-    ("draft_f", """SELECT *, CASE WHEN qualified_claim = 0 OR coalesce(qualify_claims, 'N') = 'Y' THEN 'Create Gap' ELSE 'No Gap' END AS draft_status
+    # needs the persistence steps before it
+    ("m4", """SELECT member_bid, risk_year, 4 AS method_id, claim_bid, claim_dt, CAST(NULL AS INTEGER) AS claim_type,
+        'PERSISTENCE' AS claim_cd_type, diag_cd AS claim_cd, hcc AS cc_id, 'CC' || lpad(CAST(hcc AS VARCHAR), 3, '0') AS cc_code,
+        0 AS qualified_claim, 'Y' AS qualify_claims, CASE WHEN suspect_status = 'Open Suspect' THEN 'Y' ELSE 'N' END AS create_gap,
+        CASE WHEN suspect_status = 'Open Suspect' THEN coalesce(confidence_factor, 0.75) END AS confidence_factor
+      FROM status WHERE suspect_status IN ('Open Suspect', 'Open Non Suspect', 'Closed Suspect')"""),
+    ("draft", """SELECT *, CAST(NULL AS VARCHAR) AS m4_create, CAST(NULL AS DOUBLE) AS m4_confidence FROM (
+        SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m10i
+        UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2) UNION ALL SELECT * FROM m4"""),
+    ("draft_f", """SELECT *, CASE WHEN (qualified_claim = 0 OR coalesce(qualify_claims, 'N') = 'Y') AND coalesce(m4_create, 'Y') = 'Y' THEN 'Create Gap' ELSE 'No Gap' END AS draft_status
       FROM draft"""),
     ("g0", """SELECT DISTINCT member_bid, risk_year, method_id, cc_id, cc_code FROM draft_f WHERE draft_status = 'Create Gap'"""),
     ("g1", """SELECT g.*, CASE WHEN p.parent IS NOT NULL THEN 'Y' ELSE 'N' END AS suppression1_yn,
@@ -87,7 +95,7 @@ DRAFT_STEPS = QUAL_STEPS + [
         count(DISTINCT claim_bid) OVER (PARTITION BY member_bid, risk_year, method_id, cc_code) AS frequency FROM fr0"""),
     ("freqconf", """SELECT f.member_bid, f.risk_year, f.method_id, f.claim_bid, f.claim_dt, f.claim_type, f.claim_cd_type,
         f.claim_cd, f.cc_id, f.cc_code, f.qualified_claim, f.qualify_claims, f.frequency,
-        CASE WHEN f.frequency = mf.frequency THEN mf.percent_weight ELSE dw.default_weight END AS confidence_factor
+        coalesce(f.m4_confidence, CASE WHEN f.frequency = mf.frequency THEN mf.percent_weight ELSE dw.default_weight END) AS confidence_factor
       FROM fr1 f LEFT JOIN method_frequency mf ON mf.method_id = f.method_id AND mf.claim_cd_type = f.claim_cd_type
         AND mf.claim_cd = f.claim_cd
       LEFT JOIN method_default_weight dw ON dw.method_id = f.method_id WHERE f.rn = 1"""),

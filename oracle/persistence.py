@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from oracle import scoring as OS
-from riskspark.sources import reference_data as R
 
 BASE = OS.BASE + ["chronic", "prior_year"]
 H = "(SELECT parent, child FROM hierarchy_pairs WHERE version = 'v28')"
@@ -17,7 +16,7 @@ STEPS = OS.POP_STEPS + [
     ("codes", "SELECT DISTINCT member_bid, risk_year, hcc FROM ch"),
     ("src", "SELECT * FROM ch WHERE hcc IN (SELECT hcc FROM chronic)"),
     ("pe", f"""SELECT * FROM (SELECT member_bid, risk_year AS prior_year, claim_bid, claim_dt, diag_cd, hcc,
-        CAST(unnest(generate_series(risk_year + 1, risk_year + 2)) AS INTEGER) AS risk_year FROM src) WHERE risk_year <= {R.LAST_YEAR}"""),
+        CAST(unnest(generate_series(risk_year + 1, risk_year + 2)) AS INTEGER) AS risk_year FROM src) WHERE risk_year IN (SELECT risk_year FROM time_periods WHERE period_type = 'C')"""),
     ("pl", """SELECT * EXCLUDE (rn) FROM (SELECT *, count(DISTINCT claim_bid) OVER (PARTITION BY member_bid, risk_year, hcc) AS frequency,
         row_number() OVER (PARTITION BY member_bid, risk_year, hcc ORDER BY claim_dt DESC, claim_bid DESC, diag_cd DESC) AS rn
       FROM pe) WHERE rn = 1"""),
@@ -56,7 +55,7 @@ STEPS = OS.POP_STEPS + [
         c.persistent_status, c.suspect_status, c.persistent_status_reason, c.duration,
         CASE WHEN c.suspect_status = 'Open Suspect' THEN py.weight END AS confidence_factor
       FROM cls2 c LEFT JOIN prior_year py ON c.suspect_status = 'Open Suspect'
-        AND py.last_bound = CAST(ceil(c.duration / 30) * 30 AS INTEGER) AND c.frequency BETWEEN py.freq_min AND py.freq_max
+        AND py.last_bound = CAST(ceil(c.duration / 30) * 30 AS INTEGER) AND c.frequency >= py.freq_min AND (c.frequency <= py.freq_max OR py.freq_max = 999)
       UNION ALL SELECT member_bid, risk_year, hcc, prior_year, claim_bid, claim_dt, diag_cd, frequency, relation,
         persistent_status, suspect_status, persistent_status_reason, duration, CAST(NULL AS DOUBLE) FROM newc"""),
 ]

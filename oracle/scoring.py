@@ -29,8 +29,8 @@ VERSIONS_SQL = "(SELECT unnest([" + ", ".join(f"'{v}'" for v in R.VERSIONS) + "]
 
 POP_STEPS = [
     ("ey", f"""SELECT DISTINCT member_bid, CAST(unnest(generate_series(
-        greatest(year(covrg_begin_dt), {R.FIRST_YEAR}), least(year(covrg_end_dt), {R.LAST_YEAR}))) AS INTEGER) AS risk_year
-      FROM enrollment WHERE greatest(year(covrg_begin_dt), {R.FIRST_YEAR}) <= least(year(covrg_end_dt), {R.LAST_YEAR})"""),
+        year(covrg_begin_dt), CASE WHEN year(covrg_end_dt) = 9999 THEN greatest(year(covrg_begin_dt), {R.CURRENT_YEAR})
+          ELSE year(covrg_end_dt) END)) AS INTEGER) AS risk_year FROM enrollment"""),
     ("pop0", """SELECT ey.member_bid, ey.risk_year, tp.time_period, m.memb_gender_cd, m.orec, m.segment,
         CAST(date_sub('year', m.memb_brth_dt, make_date(CAST(year(tp.begin_date) AS INTEGER) + 1, 2, 1)) AS INTEGER) AS age_yr
       FROM ey JOIN time_periods tp ON tp.risk_year = ey.risk_year AND tp.period_type = 'C'

@@ -8,6 +8,7 @@ bounded-memory ``percentile_approx`` sketch (accuracy is a parameter).
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,15 +26,15 @@ def exact_sum(col: str, scale: int = 2, precision: int = 18) -> Column:
 
 
 def multi_aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Sequence[str]]) -> DataFrame:
-    """agg_multi: ``{column: [sum|count|avg|max|min|…]}`` by a key list → ``{func}_{column}``."""
-    aggs = [AGG_FUNCS[f](c).alias(f"{f}_{c}") for c, fs in spec.items() for f in fs]
+    """agg_multi: ``{column: [sum|count|avg|max|min|…]}`` by a key list → ``{func}_{column}``; sums are exact."""
+    aggs = [(exact_sum(c) if f == "sum" else AGG_FUNCS[f](c)).alias(f"{f}_{c}") for c, fs in spec.items() for f in fs]
     return df.groupBy(*keys).agg(*aggs)
 
 
 def crosstab(df: DataFrame, rows: str, cols: str, values: Sequence, measure: str, func: str = "sum") -> DataFrame:
     """agg_crosstab: rows × columns pivot with the column values given (no
     extra job to discover them)."""
-    return df.groupBy(rows).pivot(cols, list(values)).agg(AGG_FUNCS[func](measure))
+    return df.groupBy(rows).pivot(cols, list(values)).agg(exact_sum(measure) if func == "sum" else AGG_FUNCS[func](measure))
 
 
 def period_label(date_col: str, period: str) -> Column:
@@ -63,28 +64,51 @@ def time_series(df: DataFrame, date_col: str, measure: str, periods: Sequence[st
     return g.withColumn("average", F.col("total") / F.col("n"))
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) -> DataFrame:
+def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """agg_summary_stats: count, mean, stddev, min, max, quartiles per column
-    — one aggregate pass over all columns, then unpivoted to rows."""
+    — one aggregate pass over all columns, unpivoted to rows; quartiles exact."""
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev(c).alias(f"{c}__stddev"),
-                 F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"),
-                 F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q")]
+                 F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
     one = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("n"), F.col(f"{c}__mean").alias("mean"),
                      F.col(f"{c}__stddev").alias("stddev"), F.col(f"{c}__min").alias("min_value"),
-                     F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__q")[0].cast("double").alias("q1"),
-                     F.col(f"{c}__q")[1].cast("double").alias("median"), F.col(f"{c}__q")[2].cast("double").alias("q3"))
-            for c in cols]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def percentiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[float], accuracy: int = 10000) -> DataFrame:
-    """agg_percentiles: a percentile list per group (bounded-memory sketch;
-    exact when ``accuracy`` ≥ rows per group)."""
-    p = df.groupBy(*keys).agg(F.percentile_approx(col, list(qs), accuracy).alias("_p"))
-    return p.select(*keys, *[F.col("_p")[i].alias(f"p{int(round(q * 100)):02d}") for i, q in enumerate(qs)])
+                     F.col(f"{c}__max").alias("max_value")) for c in cols]
+    stats = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("r")).select("r.*")
+    q = percentiles(values, ["column_name"], "v", [0.25, 0.5, 0.75]).toDF("column_name", "q1", "median", "q3")
+    return stats.join(q, "column_name", "left")
+
+
+CUTS = 256  # value ranges per group in which positions are counted
+
+
+def percentiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[float]) -> DataFrame:
+    """agg_percentiles: exact discrete percentiles per group, at every size.
+
+    Equal values are counted first. A sketch cuts each group into ``CUTS`` value
+    ranges; positions are running counts inside a range plus the counts of the
+    ranges before it, so no window holds a whole group. The cuts only balance
+    the work: any cuts give the same result. Nulls are not counted.
+    """
+    keys = list(keys)
+    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_v")).agg(F.count("*").alias("_n"))
+    cuts = df.groupBy(*keys).agg(F.percentile_approx(col, [i / CUTS for i in range(1, CUTS)], 4 * CUTS).alias("_cuts"),
+                                 F.count(col).alias("_all"))
+    part = F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_part")
+    same = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
+    placed = counts.alias("c").join(cuts.alias("k"), same).select(*[F.col(f"c.{k}").alias(k) for k in keys], "_v", "_n", "_all", part)
+    by_part = placed.groupBy(*keys, "_part").agg(F.sum("_n").alias("_in"))
+    ranges = by_part.withColumn("_before", F.sum("_in").over(
+        Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).drop("_in")
+    same = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"k.{k}")) for k in [*keys, "_part"]])
+    running = F.sum("_n").over(Window.partitionBy(*[f"c.{k}" for k in keys], "c._part").orderBy("_v"))
+    at = placed.alias("c").join(ranges.alias("k"), same).select(
+        *[F.col(f"c.{k}").alias(k) for k in keys], "_v", "_all", (F.coalesce("_before", F.lit(0)) + running).alias("_upto"))
+    return at.groupBy(*keys).agg(*[
+        F.min(F.when(F.col("_upto") >= F.greatest(F.ceil(F.round(F.col("_all") * q, 6)), F.lit(1)), F.col("_v"))).alias(f"p{int(round(q * 100)):02d}")
+        for q in qs])
 
 
 def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:

@@ -107,10 +107,9 @@ def with_program_pos(df: DataFrame, pos_map: DataFrame) -> DataFrame:
         .withColumn("place_of_service", F.coalesce(fac, F.lit("11"))).drop("_bp", "_fpos")
 
 
-def claim_dates_valid(df: DataFrame, svc: str, start: str, end: str) -> DataFrame:
-    """prj_claim_dates_valid: ``date_valid`` and VALID / OUT_OF_PERIOD."""
-    ok = F.col(svc).between(F.col(start), F.col(end))
-    return df.withColumn("date_valid", F.coalesce(ok, F.lit(False))) \
+def claim_dates_valid(claims: DataFrame, spans: DataFrame) -> DataFrame:
+    """prj_claim_dates_valid: ``date_valid`` and VALID / OUT_OF_PERIOD, one row per claim."""
+    return with_coverage(claims, spans).withColumnRenamed("covered", "date_valid") \
         .withColumn("date_status", F.when(F.col("date_valid"), "VALID").otherwise("OUT_OF_PERIOD"))
 
 
@@ -157,11 +156,19 @@ def qualify_inpatient(df: DataFrame) -> Column:
 
 def qualify_outpatient(df: DataFrame) -> Column:
     """prj_qualify_outpatient: type 2, allowed > 0, status P, bill type 13x/85x,
-    service date within coverage."""
+    service date within coverage (``covered``)."""
     return F.when((F.col("clm_tp_cd") == 2) & (F.col("allwd_amt") > 0) & (F.col("clm_pmt_sts_cd") == "P")
                   & F.substring("tp_of_bill_cd", 1, 2).isin("13", "85")
-                  & F.col("claim_dt").between(F.col("covrg_begin_dt"), F.col("covrg_end_dt")), "Y") \
-        .otherwise("N")
+                  & F.col("covered"), "Y").otherwise("N")
+
+
+def with_coverage(claims: DataFrame, spans: DataFrame, key: str = "claim_bid", svc: str = "claim_dt") -> DataFrame:
+    """``covered``: whether the service date lies in any coverage span of the
+    member. One flag per claim, so several spans never multiply a claim."""
+    inside = claims.select(key, "member_bid", svc).join(spans.select("member_bid", "covrg_begin_dt", "covrg_end_dt"), "member_bid") \
+        .where(F.col(svc).between(F.col("covrg_begin_dt"), F.col("covrg_end_dt")))
+    return claims.join(inside.select(key).distinct().withColumn("covered", F.lit(True)), key, "left") \
+        .withColumn("covered", F.coalesce("covered", F.lit(False)))
 
 
 def qualify_professional() -> Column:

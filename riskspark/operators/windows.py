@@ -41,8 +41,14 @@ def max_over(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFram
 
 
 def at_max(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """Rows at the maximum of ``col`` per key (all ties kept)."""
-    return max_over(df, keys, col, "_mx").where(F.col(col) == F.col("_mx")).drop("_mx")
+    """Rows at the maximum of ``col`` per key (all ties kept). The maxima are an
+    aggregate, combined before its shuffle, so a hot key's rows never meet."""
+    mx = df.groupBy(*keys).agg(F.max(col).alias("_mx"))
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys] + [F.col(f"d.{col}") == F.col("m._mx")]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return df.alias("d").join(mx.alias("m"), cond, "left_semi")
 
 
 def lag_lead_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str) -> DataFrame:

@@ -19,13 +19,12 @@ from riskspark.sources import reference_data as R
 
 def header_rule(header: DataFrame, enrollment: DataFrame) -> DataFrame:
     """Stage 1 (claim header): inpatient / outpatient / professional rules → ``header_ok`` Y/N."""
-    e = enrollment.select("member_bid", "covrg_begin_dt", "covrg_end_dt")
-    h = header.join(e, "member_bid", "left")
+    h = OR.with_coverage(header, enrollment)
     ok = (F.when(F.col("clm_tp_cd") == 1, OR.qualify_inpatient(h))
           .when(F.col("clm_tp_cd") == 2, OR.qualify_outpatient(h))
           .when(F.col("clm_tp_cd") == 3, OR.qualify_professional())
           .otherwise("N"))
-    return h.withColumn("header_ok", ok).drop("covrg_begin_dt", "covrg_end_dt")
+    return h.withColumn("header_ok", ok).drop("covered")
 
 
 def eligible_line(lines: DataFrame, procs: DataFrame, date_col: str = "claim_dt") -> DataFrame:

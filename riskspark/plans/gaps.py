@@ -197,6 +197,8 @@ def with_create_flag(draft: DataFrame) -> DataFrame:
     """Qualified-claim rule: a rule that demands a qualified claim creates a gap
     only on one (null qualification counts as not qualified)."""
     ok = (F.col("qualified_claim") == 0) | (F.coalesce(F.col("qualify_claims"), F.lit("N")) == "Y")
+    if "create_gap" in draft.columns:  # method 4 says itself which rows are gaps
+        ok = ok & (F.coalesce("create_gap", F.lit("Y")) == "Y")
     return draft.withColumn("draft_status", F.when(ok, "Create Gap").otherwise("No Gap")) \
         .withColumn("draft_reason", F.when(ok, F.lit(None).cast("string")).otherwise("Claim not qualified"))
 
@@ -242,6 +244,16 @@ def suppression2(gaps: DataFrame, member_hcc: DataFrame, hierarchy_pairs: DataFr
         .withColumn("suppressed_by_coded", F.when(s2, RF.cc_code("_p2"))).drop("_p2")
 
 
+def cross_suppression(gaps: DataFrame, hierarchy_pairs: DataFrame, version: str = "v28") -> DataFrame:
+    """gap_suppress_cross: an Open Suspect gap is suppressed by a parent gap of
+    any method that is not itself Open Non Suspect; other rows pass."""
+    h = hierarchy_pairs.where(F.col("version") == version).select("parent", "child")
+    par = gaps.where(F.col("gap_status") != "Open Non Suspect").select("member_bid", "risk_year", F.col("cc_id").alias("parent")) \
+        .join(F.broadcast(h), "parent").select("member_bid", "risk_year", F.col("child").alias("cc_id")).distinct()
+    j = gaps.join(par.withColumn("_x", F.lit(1)), ["member_bid", "risk_year", "cc_id"], "left")
+    return j.withColumn("cross_suppressed", F.when((F.col("gap_status") == "Open Suspect") & F.col("_x").isNotNull(), "Y").otherwise("N")).drop("_x")
+
+
 def gap_status(gaps: DataFrame) -> DataFrame:
     """gap_status (D14): matched → Closed Suspect; any suppression → Open Non
     Suspect; else Open Suspect. ``create_gap`` = Y for Open Suspect only."""
@@ -278,6 +290,8 @@ def frequency_confidence(draft: DataFrame, freq: DataFrame, default_w: DataFrame
     out = first.join(cnt, key).join(F.broadcast(f), ["method_id", "claim_cd_type", "claim_cd"], "left") \
         .join(F.broadcast(default_w), "method_id", "left")
     conf = F.when(F.col("frequency") == F.col("_rf"), F.col("percent_weight")).otherwise(F.col("default_weight"))
+    if "confidence_factor" in d.columns:  # method 4 brings its own
+        conf = F.coalesce("confidence_factor", conf)
     return out.withColumn("confidence_factor", conf).drop("_rf", "percent_weight", "default_weight")
 
 
@@ -301,17 +315,19 @@ def combined_confidence(method_conf: DataFrame) -> DataFrame:
 
 
 def m4_persistent(status: DataFrame, default_weight: float = 0.75) -> DataFrame:
-    """gap_m4_persistent: Open Suspect persistence rows of the cycle → the gap
-    layout (method 4), padded code, create flag, confidence (lookup weight or
-    the method default)."""
-    s = status.where(F.col("suspect_status") == "Open Suspect")
+    """gap_m4_persistent: persistence rows of the cycle (Open Suspect, Open Non
+    Suspect, Closed Suspect) → the gap layout (method 4) with padded code;
+    ``create_gap`` is Y for Open Suspect rows, which also get the confidence
+    (lookup weight or the method default)."""
+    s = status.where(F.col("suspect_status").isNotNull())
+    is_open = F.col("suspect_status") == "Open Suspect"
     return s.select(
         "member_bid", "risk_year", F.lit(4).alias("method_id"), "claim_bid", F.col("claim_dt"),
         F.lit(None).cast("int").alias("claim_type"), F.lit("PERSISTENCE").alias("claim_cd_type"),
         F.col("diag_cd").alias("claim_cd"), F.col("hcc").alias("cc_id"), RF.cc_code("hcc").alias("cc_code"),
         F.lit(0).alias("qualified_claim"), F.lit("Y").alias("qualify_claims"),
-        F.lit("Y").alias("create_gap"),
-        F.coalesce("confidence_factor", F.lit(default_weight)).alias("confidence_factor"))
+        F.when(is_open, "Y").otherwise("N").alias("create_gap"),
+        F.when(is_open, F.coalesce("confidence_factor", F.lit(default_weight))).alias("confidence_factor"))
 
 
 def method_consensus(method_gaps: DataFrame, priority: DataFrame, n_methods_total: int = 4,

@@ -14,9 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.sources import reference_data as R
-
 PRIOR_YEARS = 2
+OPEN_FREQUENCY = 999  # the highest band of the lookup has no upper bound
 M = ["member_bid", "risk_year"]
 KEY = ["member_bid", "risk_year", "hcc"]
 
@@ -38,11 +37,12 @@ def latest_with_frequency(rows: DataFrame, key) -> DataFrame:
     return r.withColumn("_rn", F.row_number().over(lw)).where(F.col("_rn") == 1).drop("_rn", "_fc")
 
 
-def prior_filter(src: DataFrame, n: int = PRIOR_YEARS) -> DataFrame:
-    """per_prior_filter: rows of the last n years before each target year."""
+def prior_filter(src: DataFrame, years: DataFrame, n: int = PRIOR_YEARS) -> DataFrame:
+    """per_prior_filter: rows of the last n years before each target year of
+    ``years`` (risk_year: one row per year of the time-period table)."""
     e = src.withColumnRenamed("risk_year", "prior_year").withColumn(
         "risk_year", F.explode(F.sequence(F.col("prior_year") + 1, F.col("prior_year") + n)))
-    e = e.where(F.col("risk_year") <= R.LAST_YEAR)
+    e = e.join(F.broadcast(years.select("risk_year").distinct()), "risk_year", "left_semi")
     return latest_with_frequency(e, KEY)
 
 
@@ -151,17 +151,17 @@ def confidence_lookup(df: DataFrame, table: DataFrame) -> DataFrame:
     (broadcast); no match → null (D23)."""
     t = table.select(F.col("last_bound").alias("_L"), "freq_min", "freq_max", F.col("weight").alias("confidence_factor"))
     j = df.withColumn("_L", (F.ceil(F.col("duration") / 30) * 30).cast("int"))
-    j = j.join(F.broadcast(t), (j["_L"] == t["_L"]) & F.col("frequency").between(F.col("freq_min"), F.col("freq_max")),
-               "left")
+    j = j.join(F.broadcast(t), (j["_L"] == t["_L"]) & (F.col("frequency") >= F.col("freq_min"))
+               & ((F.col("frequency") <= F.col("freq_max")) | (F.col("freq_max") == OPEN_FREQUENCY)), "left")
     return j.drop("_L", "freq_min", "freq_max")
 
 
 def statuses(claim_hcc: DataFrame, chronic: DataFrame, hier: DataFrame, lookup: DataFrame,
-             n: int = PRIOR_YEARS) -> DataFrame:
+             years: DataFrame, n: int = PRIOR_YEARS) -> DataFrame:
     """Full classification for every target year: prior-based rows plus new
     codes; Open Suspect rows carry duration and confidence (per_confidence)."""
     codes = year_codes(claim_hcc)
-    prior = prior_filter(chronic_source(claim_hcc, chronic), n)
+    prior = prior_filter(chronic_source(claim_hcc, chronic), years, n)
     cls = with_duration(classify(prior, codes, hier))
     open_ = confidence_lookup(cls.where(F.col("suspect_status") == "Open Suspect"), lookup)
     other = cls.where(F.col("suspect_status") != "Open Suspect").withColumn(
@@ -176,12 +176,12 @@ def statuses(claim_hcc: DataFrame, chronic: DataFrame, hier: DataFrame, lookup:
     return open_.select(*cols).unionByName(other.select(*cols)).unionByName(new.select(*cols))
 
 
-def year_flags(codes: DataFrame, chronic: DataFrame) -> DataFrame:
+def year_flags(codes: DataFrame, chronic: DataFrame, years: DataFrame) -> DataFrame:
     """per_year_flags: presence in the year and the two before, persistence
     flag (all three), carry-forward eligible (≥ 2 prior years and chronic)."""
     e = codes.withColumn("_off", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))) \
         .withColumn("target_year", F.col("risk_year") + F.col("_off")) \
-        .where(F.col("target_year") <= R.LAST_YEAR)
+        .join(F.broadcast(years.select(F.col("risk_year").alias("target_year")).distinct()), "target_year", "left_semi")
     g = e.groupBy("member_bid", "target_year", "hcc").agg(
         *[F.max(F.when(F.col("_off") == i, 1).otherwise(0)).alias(f"in_y{i}") for i in range(3)])
     g = g.join(F.broadcast(chronic.select("hcc", "chronic")), "hcc", "left")

@@ -25,15 +25,14 @@ MEMBER_YEAR = ["member_bid", "risk_year"]
 MEMBER_KEYS = ["member_bid", "risk_year", "version"]
 
 
-def enrollment_years(enrollment: DataFrame, first_year: int = R.FIRST_YEAR,
-                     last_year: int = R.LAST_YEAR) -> DataFrame:
+def enrollment_years(enrollment: DataFrame, current_year: int = R.CURRENT_YEAR) -> DataFrame:
     """prj_enrollment_split: one row per calendar year of coverage.
 
-    The open end date (9999-12-31) is capped to ``last_year`` *before*
-    ``sequence`` so one enrollment row cannot explode into thousands.
+    Only the open end date (9999-12-31) is capped, to ``current_year``, so one
+    row cannot explode into thousands; genuine end dates keep their years.
     """
-    y0 = F.greatest(F.year("covrg_begin_dt"), F.lit(first_year))
-    y1 = F.least(F.year("covrg_end_dt"), F.lit(last_year))
+    y0 = F.year("covrg_begin_dt")
+    y1 = F.when(F.year("covrg_end_dt") == 9999, F.greatest(y0, F.lit(current_year))).otherwise(F.year("covrg_end_dt"))
     e = enrollment.where(y0 <= y1)
     out = e.select("*", F.explode(F.sequence(y0, y1)).alias("risk_year"))
     return out.select(

@@ -35,6 +35,11 @@ class Inputs:
     def pharmacy(self) -> DataFrame:
         return D.pharmacy(self.spark, self.sf)
 
+    def years(self) -> DataFrame:
+        """The requested risk years: calendar years of the time-period table."""
+        from pyspark.sql import functions as F
+        return REF.time_periods(self.spark).where(F.col("period_type") == "C").select("risk_year").distinct()
+
     def table(self, name: str) -> DataFrame:
         return D.table(self.spark, self.sf, name)
 
@@ -82,7 +87,8 @@ def _gaps(self) -> DataFrame:
 def _gap_draft(self) -> DataFrame:
     from riskspark.plans import gaps as G
     sp = self.spark
-    return G.all_methods(self.gap_claims(), self.pharmacy(), REF.method_rules(sp), REF.code_groups(sp))
+    m4 = G.m4_persistent(self.persistence())
+    return G.all_methods(self.gap_claims(), self.pharmacy(), REF.method_rules(sp), REF.code_groups(sp), [m4])
 
 
 Inputs.gap_claims = _gap_claims
@@ -109,7 +115,7 @@ def _hier28(self) -> DataFrame:
 
 def _persistence(self) -> DataFrame:
     from riskspark.plans import persistence as P
-    return P.statuses(self.claim_hcc(), REF.chronic(self.spark), self.hier28(), REF.prior_year(self.spark))
+    return P.statuses(self.claim_hcc(), REF.chronic(self.spark), self.hier28(), REF.prior_year(self.spark), self.years())
 
 
 Inputs.claim_hcc = _claim_hcc

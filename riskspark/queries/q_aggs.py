@@ -17,7 +17,6 @@ from riskspark.registry import query
 from riskspark.sources import reference as REF
 
 MK = ["member_bid", "risk_year", "version"]
-EXACT = 1_000_000  # sketch accuracy: exact for up to 1M rows per group
 
 
 def _s(final, ints=(), steps=(), doubles=()):
@@ -39,8 +38,8 @@ FROM (SELECT mh.member_bid, mh.risk_year, mh.version, sum(coalesce(cf.score, 0.0
 LEFT JOIN (SELECT a.member_bid, a.risk_year, a.version, sum(coalesce(m.multiplier, 1.0) - 1.0) AS adj
   FROM mh a JOIN mh b ON a.member_bid = b.member_bid AND a.risk_year = b.risk_year AND a.version = b.version AND a.hcc < b.hcc
   LEFT JOIN multiplier_rules m ON m.hcc1 = a.hcc AND m.hcc2 = b.hcc
-  WHERE a.hcc IN (SELECT hcc1 FROM pair_rules UNION SELECT hcc2 FROM pair_rules)
-    AND b.hcc IN (SELECT hcc1 FROM pair_rules UNION SELECT hcc2 FROM pair_rules) GROUP BY 1, 2, 3) i
+  WHERE a.hcc IN (SELECT hcc1 FROM multiplier_rules UNION SELECT hcc2 FROM multiplier_rules)
+    AND b.hcc IN (SELECT hcc1 FROM multiplier_rules UNION SELECT hcc2 FROM multiplier_rules) GROUP BY 1, 2, 3) i
   ON i.member_bid = h.member_bid AND i.risk_year = h.risk_year AND i.version = h.version""", ["risk_year"]))
 def agg_member_hcc(spark, sf):
     inp = Inputs(spark, sf)
@@ -51,7 +50,7 @@ def agg_member_hcc(spark, sf):
     h = named.groupBy(*MK).agg(
         F.round(F.sum(F.coalesce("coeff", F.lit(0.0))), 6).alias("hcc_score"),
         F.array_join(F.transform(F.array_sort(F.collect_list("hcc")), lambda x: x.cast("string")), ",").alias("hcc_list"))
-    pairs = S.interaction_multiplier(S.hcc_pairs(hcc, REF.pair_rules(spark)), REF.multiplier_rules(spark))
+    pairs = S.interaction_multiplier(S.hcc_pairs(hcc, REF.multiplier_rules(spark)), REF.multiplier_rules(spark))
     i = pairs.groupBy(*MK).agg(F.sum(F.col("multiplier") - 1.0).alias("adj"))
     return h.join(i, MK, "left").select(*MK, "hcc_score", "hcc_list",
                                         F.round(F.coalesce("adj", F.lit(0.0)), 6).alias("interaction_adjustment"))
@@ -117,15 +116,13 @@ SELECT member_bid, risk_year, cc_code, n_methods, methods, primary_method, n_met
   SELECT x.member_bid, x.risk_year, x.cc_code, count(*) AS n_methods,
     string_agg(CAST(x.method_id AS VARCHAR), ',' ORDER BY CAST(x.method_id AS VARCHAR)) AS methods,
     arg_min(x.method_id, (p.priority, x.method_id)) AS primary_method
-  FROM (SELECT DISTINCT member_bid, risk_year, cc_code, method_id FROM (
-          SELECT member_bid, risk_year, cc_code, method_id FROM g0 UNION ALL SELECT member_bid, risk_year, cc_code, method_id FROM m4)) x
+  FROM (SELECT DISTINCT member_bid, risk_year, cc_code, method_id FROM g0) x
   LEFT JOIN method_priority p ON p.method_id = x.method_id GROUP BY 1, 2, 3)
 WHERE n_methods / 4.0 >= 0.75""", ["risk_year", "primary_method"]))
 def agg_method_consensus(spark, sf):
     inp = Inputs(spark, sf)
     g = G.member_gaps(inp.gap_draft()).select("member_bid", "risk_year", "cc_code", "method_id")
-    m4 = G.m4_persistent(inp.persistence()).select("member_bid", "risk_year", "cc_code", "method_id")
-    return G.method_consensus(g.unionByName(m4), REF.method_priority(spark)).select(
+    return G.method_consensus(g, REF.method_priority(spark)).select(
         "member_bid", "risk_year", "cc_code", "n_methods", "methods", "primary_method", "consensus")
 
 
@@ -149,21 +146,20 @@ def agg_claims_by_member(spark, sf):
     return g.withColumn("avg_amount", F.col("total_amount") / F.col("n_claims"))
 
 
-@query("agg_multi", B.typed(B.q(["claim_line"], [], """SELECT risk_year, clm_tp_cd, round(sum(line_amt), 2) AS sum_line_amt,
+@query("agg_multi", B.typed(B.q(["claim_line"], [], """SELECT risk_year, clm_tp_cd, CAST(sum(CAST(line_amt AS DECIMAL(18, 2))) AS DOUBLE) AS sum_line_amt,
   count(line_amt) AS count_line_amt, round(avg(l_quantity), 6) AS avg_l_quantity, max(l_quantity) AS max_l_quantity,
   min(l_quantity) AS min_l_quantity FROM claim_line GROUP BY 1, 2"""), ["risk_year", "clm_tp_cd"]))
 def agg_multi(spark, sf):
     g = A.multi_aggregate(Inputs(spark, sf).lines(), ["risk_year", "clm_tp_cd"],
                           {"line_amt": ["sum", "count"], "l_quantity": ["avg", "max", "min"]})
-    return g.withColumn("sum_line_amt", F.round("sum_line_amt", 2)).withColumn("avg_l_quantity", F.round("avg_l_quantity", 6))
+    return g.withColumn("avg_l_quantity", F.round("avg_l_quantity", 6))
 
 
 @query("agg_crosstab", B.typed(B.q(["claim_header"], [], """SELECT risk_year,
-  round(sum(CASE WHEN clm_tp_cd = 1 THEN allwd_amt END), 2) AS "1", round(sum(CASE WHEN clm_tp_cd = 2 THEN allwd_amt END), 2) AS "2",
-  round(sum(CASE WHEN clm_tp_cd = 3 THEN allwd_amt END), 2) AS "3" FROM claim_header GROUP BY 1"""), ["risk_year"]))
+  CAST(sum(CASE WHEN clm_tp_cd = 1 THEN CAST(allwd_amt AS DECIMAL(18, 2)) END) AS DOUBLE) AS "1", CAST(sum(CASE WHEN clm_tp_cd = 2 THEN CAST(allwd_amt AS DECIMAL(18, 2)) END) AS DOUBLE) AS "2",
+  CAST(sum(CASE WHEN clm_tp_cd = 3 THEN CAST(allwd_amt AS DECIMAL(18, 2)) END) AS DOUBLE) AS "3" FROM claim_header GROUP BY 1"""), ["risk_year"]))
 def agg_crosstab(spark, sf):
-    x = A.crosstab(Inputs(spark, sf).header(), "risk_year", "clm_tp_cd", [1, 2, 3], "allwd_amt")
-    return x.select("risk_year", *[F.round(F.col(c), 2).alias(c) for c in ("1", "2", "3")])
+    return A.crosstab(Inputs(spark, sf).header(), "risk_year", "clm_tp_cd", [1, 2, 3], "allwd_amt")
 
 
 @query("agg_time_series", B.q(["claim_header"], [], """SELECT granularity, period,
@@ -185,7 +181,7 @@ _SUMMARY_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
   CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value, CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS q1,
   CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median, CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS q3 FROM lineitem""" for c in _SUMMARY_COLS))
 def agg_summary_stats(spark, sf):
-    s = A.summary_stats(Inputs(spark, sf).table("lineitem"), _SUMMARY_COLS, EXACT)
+    s = A.summary_stats(Inputs(spark, sf).table("lineitem"), _SUMMARY_COLS)
     return s.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
 
 
@@ -194,7 +190,7 @@ def agg_summary_stats(spark, sf):
 FROM lineitem GROUP BY 1""")
 def agg_percentiles(spark, sf):
     return A.percentiles(Inputs(spark, sf).table("lineitem"), ["l_returnflag"], "l_extendedprice",
-                         [0.1, 0.25, 0.5, 0.75, 0.9], EXACT)
+                         [0.1, 0.25, 0.5, 0.75, 0.9])
 
 
 def _profile_sql():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from oracle import base as B
 from oracle import combined as OC
 from oracle import gaps as OG
-from oracle import scoring as OS
+from oracle import persistence as OP
 from riskspark import functions as RF
 from riskspark.plans import gaps as G
 from riskspark.queries.common import Inputs
@@ -20,7 +20,7 @@ DRAFT_OUT = ["member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", "c
 DRAFT_INTS = ["risk_year", "method_id", "claim_type", "cc_id", "qualified_claim"]
 
 
-OS_STEPS = OS.POP_STEPS + OG.DRAFT_STEPS
+OS_STEPS = OP.STEPS + OG.DRAFT_STEPS
 
 
 def _o(final: str, ints=()) -> str:
@@ -115,12 +115,22 @@ def gap_frequency_confidence(spark, sf):
                                   REF.method_default_weight(spark)).select(*_FC)
 
 
-def _conf(inp: Inputs):
+def _conf(inp: Inputs, only=None):
+    """Combined confidences, of the methods' gaps in ``only`` where given."""
     sp = inp.spark
     fc = G.frequency_confidence(inp.gap_draft(), REF.method_frequency(sp), REF.method_default_weight(sp))
+    if only is not None:
+        fc = fc.join(only, ["member_bid", "risk_year", "method_id", "cc_code"], "left_semi")
     return G.combined_confidence(G.method_confidence(fc))
 
 
+def active_gaps(inp: Inputs):
+    """Gaps that no other method's parent suppresses and the plan does not exclude."""
+    g = G.cross_suppression(inp.gaps(), REF.hierarchy_pairs(inp.spark)).where(F.col("cross_suppressed") == "N")
+    g = g.join(inp.member().select("member_bid", "home_plan_id_cd"), "member_bid")
+    return plan_exclusion(g, REF.plan_exclusions(inp.spark))
+
+
 _STATUS_BY_CODE = """SELECT member_bid, risk_year, cc_code,
     CASE WHEN bool_or(gap_status = 'Closed Suspect') THEN 'Closed Suspect'
          WHEN bool_or(gap_status = 'Open Suspect') THEN 'Open Suspect' ELSE 'Open Non Suspect' END AS gap_status
@@ -148,32 +158,19 @@ def status_by_code(gaps):
         .otherwise("Open Non Suspect").alias("gap_status"))
 
 
-@query("gap_suppress_cross", _o("""
-SELECT g.member_bid, g.risk_year, g.method_id, g.cc_code, g.gap_status,
-  CASE WHEN g.gap_status = 'Open Suspect' AND EXISTS (SELECT 1 FROM gaps p JOIN hierarchy_pairs h
+_CROSS = """SELECT g.*, CASE WHEN g.gap_status = 'Open Suspect' AND EXISTS (SELECT 1 FROM gaps p JOIN hierarchy_pairs h
       ON h.version = 'v28' AND h.parent = p.cc_id
     WHERE p.member_bid = g.member_bid AND p.risk_year = g.risk_year AND h.child = g.cc_id
-      AND p.gap_status <> 'Open Non Suspect') THEN 'Y' ELSE 'N' END AS cross_suppressed,
-  CASE WHEN g.gap_status = 'Open Suspect' AND NOT EXISTS (SELECT 1 FROM gaps p JOIN hierarchy_pairs h
-      ON h.version = 'v28' AND h.parent = p.cc_id
-    WHERE p.member_bid = g.member_bid AND p.risk_year = g.risk_year AND h.child = g.cc_id
-      AND p.gap_status <> 'Open Non Suspect') THEN 'ACTIVE' ELSE 'AUDIT' END AS output_split
-FROM gaps g""", ["risk_year", "method_id"]))
+      AND p.gap_status <> 'Open Non Suspect') THEN 'Y' ELSE 'N' END AS cross_suppressed FROM gaps g"""
+
+
+@query("gap_suppress_cross", B.q(OG.BASE, OS_STEPS + [("crossed", _CROSS)], B.typed("""
+SELECT member_bid, risk_year, method_id, cc_code, gap_status, cross_suppressed,
+  CASE WHEN cross_suppressed = 'Y' THEN 'AUDIT' ELSE 'ACTIVE' END AS output_split FROM crossed""", ["risk_year", "method_id"])))
 def gap_suppress_cross(spark, sf):
-    inp = Inputs(spark, sf, cut=True)
-    g = inp.gaps()
-    h = REF.hierarchy_pairs(spark).where(F.col("version") == "v28").select("parent", "child")
-    # parents of any method that are not themselves non-suspect audit rows
-    par = g.where(F.col("gap_status") != "Open Non Suspect").select(
-        "member_bid", "risk_year", F.col("cc_id").alias("parent")).distinct() \
-        .join(F.broadcast(h), "parent").select("member_bid", "risk_year", F.col("child").alias("cc_id")).distinct() \
-        .withColumn("_x", F.lit(1))
-    out = g.join(par, ["member_bid", "risk_year", "cc_id"], "left")
-    cs = (F.col("gap_status") == "Open Suspect") & F.col("_x").isNotNull()
-    return out.select("member_bid", "risk_year", "method_id", "cc_code", "gap_status",
-                      F.when(cs, "Y").otherwise("N").alias("cross_suppressed"),
-                      F.when((F.col("gap_status") == "Open Suspect") & ~cs, "ACTIVE").otherwise("AUDIT")
-                      .alias("output_split"))
+    g = G.cross_suppression(Inputs(spark, sf, cut=True).gaps(), REF.hierarchy_pairs(spark))
+    return g.select("member_bid", "risk_year", "method_id", "cc_code", "gap_status", "cross_suppressed",
+                    F.when(F.col("cross_suppressed") == "Y", "AUDIT").otherwise("ACTIVE").alias("output_split"))
 
 
 @query("gap_plan_exclusion", _o("""
@@ -202,8 +199,8 @@ def gap_hcc_rows(inp: Inputs):
     """gap_to_hcc: gaps passing the threshold → member attributes, coefficient,
     adjusted score (coefficient × combined confidence), R/S indicator."""
     sp = inp.spark
-    st = status_by_code(inp.gaps())
-    c = _conf(inp).join(st, ["member_bid", "risk_year", "cc_code"])
+    active = active_gaps(inp)
+    c = _conf(inp, active).join(status_by_code(active), ["member_bid", "risk_year", "cc_code"])
     c = c.where((F.col("combined_confidence") >= R.CONFIDENCE_THRESHOLD) | (F.col("gap_status") == "Open Non Suspect"))
     pop = inp.population().select("member_bid", "risk_year", "model_segment", "age_yr", "memb_gender_cd")
     j = c.join(pop, ["member_bid", "risk_year"])
@@ -224,13 +221,21 @@ _TO_HCC = f"""SELECT c.member_bid, c.risk_year, 'v28' AS version, p.model_segmen
   'HCC' || substring(c.cc_code, 3) AS risk_type_detail_id, c.cc_code, c.methods, c.combined_confidence,
   round(coalesce(cf.score, 0.0), 3) AS coeff_score, round(coalesce(cf.score, 0.0) * c.combined_confidence, 6) AS adj_coeff_score,
   CASE WHEN s.gap_status = 'Open Non Suspect' THEN 'S' ELSE 'R' END AS suppression_ind, s.gap_status
-FROM cconf c JOIN sbc s ON s.member_bid = c.member_bid AND s.risk_year = c.risk_year AND s.cc_code = c.cc_code
+FROM cconf_active c JOIN sbc_active s ON s.member_bid = c.member_bid AND s.risk_year = c.risk_year AND s.cc_code = c.cc_code
 JOIN pop p ON p.member_bid = c.member_bid AND p.risk_year = c.risk_year
 LEFT JOIN coefficients cf ON cf.version = 'v28' AND upper(cf.name) = upper(p.model_segment || '_HCC' ||
   CAST(CAST(substring(c.cc_code, 3) AS INTEGER) AS VARCHAR))
 WHERE c.combined_confidence >= {R.CONFIDENCE_THRESHOLD} OR s.gap_status = 'Open Non Suspect'"""
 
-_HCC_STEPS = OS_STEPS + [("sbc", _STATUS_BY_CODE), ("to_hcc", _TO_HCC)]
+_MCONF_ACTIVE = """SELECT * FROM mconf c WHERE EXISTS (SELECT 1 FROM active a WHERE a.member_bid = c.member_bid
+  AND a.risk_year = c.risk_year AND a.method_id = c.method_id AND a.cc_code = c.cc_code)"""
+_ACTIVE = """SELECT g.* FROM crossed g JOIN member m ON m.member_bid = g.member_bid WHERE g.cross_suppressed = 'N'
+  AND NOT EXISTS (SELECT 1 FROM plan_exclusions x WHERE x.home_plan_id_cd = m.home_plan_id_cd AND x.method_id = g.method_id)
+  AND NOT EXISTS (SELECT 1 FROM plan_exclusions x WHERE x.home_plan_id_cd = m.home_plan_id_cd AND x.cc_id = g.cc_id)"""
+_HCC_STEPS = OS_STEPS + [
+    ("crossed", _CROSS), ("active", _ACTIVE), ("mconf_active", _MCONF_ACTIVE),
+    ("cconf_active", dict(OG.DRAFT_STEPS)["cconf"].replace("FROM mconf", "FROM mconf_active")),
+    ("sbc_active", _STATUS_BY_CODE.replace("FROM gaps", "FROM active")), ("to_hcc", _TO_HCC)]
 
 
 @query("gap_to_hcc", B.q(OG.BASE, _HCC_STEPS, B.typed("SELECT * FROM to_hcc", ["risk_year", "age_yr"])))

@@ -28,7 +28,7 @@ def _s(final, ints=(), extra_steps=(), extra_base=()):
 
 
 def _g(final, ints=(), extra_steps=()):
-    return B.q(OG.BASE + ["chronic"], OS.POP_STEPS + OG.DRAFT_STEPS + list(extra_steps), B.typed(final, list(ints)))
+    return B.q(OG.BASE, OP.STEPS + OG.DRAFT_STEPS + list(extra_steps), B.typed(final, list(ints)))
 
 
 def _p(final, ints=(), extra_steps=()):
@@ -192,7 +192,7 @@ def jn_member_claims(spark, sf):
         "member_bid", "segment", "claim_bid", "time_period")
 
 
-@query("jn_member_existing_cc", B.q(OG.BASE, OS.POP_STEPS + OG.DRAFT_STEPS, B.typed(
+@query("jn_member_existing_cc", B.q(OG.BASE, OP.STEPS + OG.DRAFT_STEPS, B.typed(
     "SELECT member_bid, risk_year, method_id, cc_code, matching_yn FROM g2", ["risk_year", "method_id"])))
 def jn_member_existing_cc(spark, sf):
     inp = Inputs(spark, sf)
@@ -224,11 +224,11 @@ def jn_interaction_match(spark, sf):
   round(sum(coalesce(m.multiplier, 1.0) - 1.0), 6) AS interaction_adjustment, count(*) AS n_pairs
 FROM (SELECT a.member_bid, a.risk_year, a.version, a.hcc AS hcc1, b.hcc AS hcc2 FROM mh a JOIN mh b
   ON a.member_bid = b.member_bid AND a.risk_year = b.risk_year AND a.version = b.version AND a.hcc < b.hcc
-  WHERE a.hcc IN (SELECT hcc1 FROM pair_rules UNION SELECT hcc2 FROM pair_rules)
-    AND b.hcc IN (SELECT hcc1 FROM pair_rules UNION SELECT hcc2 FROM pair_rules)) p
+  WHERE a.hcc IN (SELECT hcc1 FROM multiplier_rules UNION SELECT hcc2 FROM multiplier_rules)
+    AND b.hcc IN (SELECT hcc1 FROM multiplier_rules UNION SELECT hcc2 FROM multiplier_rules)) p
 LEFT JOIN multiplier_rules m ON m.hcc1 = p.hcc1 AND m.hcc2 = p.hcc2 GROUP BY 1, 2, 3""", ["risk_year"]))
 def jn_interaction_multiplier(spark, sf):
-    pairs = S.hcc_pairs(Inputs(spark, sf).member_hcc(), REF.pair_rules(spark))
+    pairs = S.hcc_pairs(Inputs(spark, sf).member_hcc(), REF.multiplier_rules(spark))
     j = S.interaction_multiplier(pairs, REF.multiplier_rules(spark))
     return j.groupBy(*MK).agg(F.round(F.sum(F.col("multiplier") - 1.0), 6).alias("interaction_adjustment"),
                               F.count("*").alias("n_pairs"))
@@ -269,13 +269,13 @@ def jn_anti_existing(spark, sf):
 SELECT DISTINCT p.member_bid, m.home_plan_id_cd, m.contract_id, p.risk_year, 'CC' || lpad(CAST(p.hcc AS VARCHAR), 3, '0') AS cc_code
 FROM (SELECT DISTINCT member_bid, hcc, CAST(unnest(generate_series(risk_year + 1, risk_year + 2)) AS INTEGER) AS risk_year FROM codes) p
 JOIN member m ON m.member_bid = p.member_bid
-WHERE p.risk_year <= 2001 AND NOT EXISTS (SELECT 1 FROM codes c WHERE c.member_bid = p.member_bid
+WHERE p.risk_year IN (SELECT risk_year FROM time_periods WHERE period_type = 'C') AND NOT EXISTS (SELECT 1 FROM codes c WHERE c.member_bid = p.member_bid
   AND c.risk_year = p.risk_year AND c.hcc = p.hcc)""", ["risk_year"]))
 def jn_carryforward(spark, sf):
     inp = Inputs(spark, sf)
     codes = P.year_codes(inp.claim_hcc())
     prior = codes.withColumn("risk_year", F.explode(F.sequence(F.col("risk_year") + 1, F.col("risk_year") + 2))) \
-        .where(F.col("risk_year") <= R.LAST_YEAR).distinct()
+        .join(F.broadcast(inp.years()), "risk_year", "left_semi").distinct()
     plan = inp.member().select("member_bid", "home_plan_id_cd", "contract_id")
     keys = ["member_bid", "home_plan_id_cd", "contract_id", "risk_year", "hcc"]
     return prior.join(plan, "member_bid").join(codes.join(plan, "member_bid"), keys, "left_anti").select(
@@ -288,7 +288,7 @@ def jn_carryforward(spark, sf):
 def jn_backing_split(spark, sf):
     inp = Inputs(spark, sf)
     ch = inp.claim_hcc()
-    prior = P.prior_filter(P.chronic_source(ch, REF.chronic(spark))).select(*P.KEY)
+    prior = P.prior_filter(P.chronic_source(ch, REF.chronic(spark)), inp.years()).select(*P.KEY)
     codes = P.year_codes(ch)
     backed = prior.join(codes, P.KEY, "left_semi").withColumn("backing", F.lit("BACKED"))
     unbacked = prior.join(codes, P.KEY, "left_anti").withColumn("backing", F.lit("UNBACKED"))
@@ -300,17 +300,17 @@ def jn_backing_split(spark, sf):
 def jn_prior_current_priority(spark, sf):
     inp = Inputs(spark, sf)
     ch = inp.claim_hcc()
-    prior = P.prior_filter(P.chronic_source(ch, REF.chronic(spark)))
+    prior = P.prior_filter(P.chronic_source(ch, REF.chronic(spark)), inp.years())
     return P.prior_current_relation(prior, P.year_codes(ch), inp.hier28())
 
 
 @query("jn_confidence_lookup", _p("""SELECT p.member_bid, p.risk_year, p.hcc, p.frequency,
   abs(datediff('day', p.claim_dt, make_date(p.risk_year, 1, 1))) AS duration, py.weight AS confidence_factor
 FROM pl p LEFT JOIN prior_year py ON py.last_bound = CAST(ceil(abs(datediff('day', p.claim_dt, make_date(p.risk_year, 1, 1))) / 30) * 30 AS INTEGER)
-  AND p.frequency BETWEEN py.freq_min AND py.freq_max""", ["risk_year", "hcc", "frequency", "duration"]))
+  AND p.frequency >= py.freq_min AND (p.frequency <= py.freq_max OR py.freq_max = 999)""", ["risk_year", "hcc", "frequency", "duration"]))
 def jn_confidence_lookup(spark, sf):
     inp = Inputs(spark, sf)
-    prior = P.with_duration(P.prior_filter(P.chronic_source(inp.claim_hcc(), REF.chronic(spark))))
+    prior = P.with_duration(P.prior_filter(P.chronic_source(inp.claim_hcc(), REF.chronic(spark)), inp.years()))
     return P.confidence_lookup(prior, REF.prior_year(spark)).select(
         "member_bid", "risk_year", "hcc", "frequency", "duration", "confidence_factor")
 

@@ -24,7 +24,7 @@ _PL = "member_bid, risk_year, hcc, prior_year, claim_bid, claim_dt, diag_cd, fre
 @query("per_prior_filter", _o(f"SELECT {_PL} FROM pl", ["risk_year", "hcc", "prior_year", "frequency"]))
 def per_prior_filter(spark, sf):
     inp = Inputs(spark, sf)
-    return P.prior_filter(P.chronic_source(inp.claim_hcc(), REF.chronic(spark))).select(*_PL.split(", "))
+    return P.prior_filter(P.chronic_source(inp.claim_hcc(), REF.chronic(spark)), inp.years()).select(*_PL.split(", "))
 
 
 @query("per_current_filter", _o("SELECT member_bid, risk_year, hcc, claim_bid, claim_dt, diag_cd, frequency FROM curl",
@@ -47,7 +47,7 @@ JOIN supy s ON s.member_bid = p.member_bid AND s.risk_year = p.prior_year AND s.
 def per_suppress_prior(spark, sf):
     inp = Inputs(spark, sf)
     ch = inp.claim_hcc()
-    prior = P.prior_filter(P.chronic_source(ch, REF.chronic(spark)))
+    prior = P.prior_filter(P.chronic_source(ch, REF.chronic(spark)), inp.years())
     _, removed = P.suppress_prior(prior, P.year_codes(ch), inp.hier28())
     return removed.select("member_bid", "risk_year", "hcc", "prior_year", "suppressed_by")
 
@@ -141,8 +141,8 @@ SELECT c.member_bid, c.risk_year + o AS risk_year, c.hcc,
   CASE WHEN max(CASE WHEN o = 1 THEN 1 ELSE 0 END) + max(CASE WHEN o = 2 THEN 1 ELSE 0 END) >= 2
         AND max(coalesce(ck.chronic, 0)) = 1 THEN 1 ELSE 0 END AS carry_forward_eligible
 FROM codes c CROSS JOIN (SELECT unnest([0, 1, 2]) AS o) t LEFT JOIN chronic ck ON ck.hcc = c.hcc
-WHERE c.risk_year + o <= 2001 GROUP BY 1, 2, 3""",
+WHERE c.risk_year + o IN (SELECT risk_year FROM time_periods WHERE period_type = 'C') GROUP BY 1, 2, 3""",
     ["risk_year", "hcc", "in_y0", "in_y1", "in_y2", "persistent_flag", "carry_forward_eligible"]))
 def per_year_flags(spark, sf):
     inp = Inputs(spark, sf)
-    return P.year_flags(P.year_codes(inp.claim_hcc()), REF.chronic(spark))
+    return P.year_flags(P.year_codes(inp.claim_hcc()), REF.chronic(spark), inp.years())

@@ -195,14 +195,12 @@ def prj_coeff_keys(spark, sf):
 
 
 @query("prj_claim_dates_valid", B.q(["claim_header", "enrollment"], [], """
-SELECT h.claim_bid, coalesce(h.claim_dt BETWEEN e.covrg_begin_dt AND e.covrg_end_dt, FALSE) AS date_valid,
-  CASE WHEN coalesce(h.claim_dt BETWEEN e.covrg_begin_dt AND e.covrg_end_dt, FALSE) THEN 'VALID' ELSE 'OUT_OF_PERIOD' END AS date_status
-FROM claim_header h LEFT JOIN enrollment e ON e.member_bid = h.member_bid"""))
+SELECT claim_bid, date_valid, CASE WHEN date_valid THEN 'VALID' ELSE 'OUT_OF_PERIOD' END AS date_status FROM (
+  SELECT h.claim_bid, EXISTS (SELECT 1 FROM enrollment e WHERE e.member_bid = h.member_bid
+    AND h.claim_dt BETWEEN e.covrg_begin_dt AND e.covrg_end_dt) AS date_valid FROM claim_header h)"""))
 def prj_claim_dates_valid(spark, sf):
     inp = Inputs(spark, sf)
-    j = inp.header().select("claim_bid", "member_bid", "claim_dt").join(
-        inp.enrollment().select("member_bid", "covrg_begin_dt", "covrg_end_dt"), "member_bid", "left")
-    return OR.claim_dates_valid(j, "claim_dt", "covrg_begin_dt", "covrg_end_dt").select(
+    return OR.claim_dates_valid(inp.header().select("claim_bid", "member_bid", "claim_dt"), inp.enrollment()).select(
         "claim_bid", "date_valid", "date_status")
 
 
@@ -250,13 +248,12 @@ def prj_qualify_inpatient(spark, sf):
 
 @query("prj_qualify_outpatient", B.q(["claim_header", "enrollment"], [], """
 SELECT h.claim_bid, CASE WHEN h.clm_tp_cd = 2 AND h.allwd_amt > 0 AND h.clm_pmt_sts_cd = 'P'
-  AND substring(h.tp_of_bill_cd, 1, 2) IN ('13', '85') AND h.claim_dt BETWEEN e.covrg_begin_dt AND e.covrg_end_dt
-  THEN 'Y' ELSE 'N' END AS qualify_claims
-FROM claim_header h LEFT JOIN enrollment e ON e.member_bid = h.member_bid WHERE h.clm_tp_cd = 2"""))
+  AND substring(h.tp_of_bill_cd, 1, 2) IN ('13', '85') AND EXISTS (SELECT 1 FROM enrollment e WHERE e.member_bid = h.member_bid
+    AND h.claim_dt BETWEEN e.covrg_begin_dt AND e.covrg_end_dt) THEN 'Y' ELSE 'N' END AS qualify_claims
+FROM claim_header h WHERE h.clm_tp_cd = 2"""))
 def prj_qualify_outpatient(spark, sf):
     inp = Inputs(spark, sf)
-    h = inp.header().where(F.col("clm_tp_cd") == 2).join(
-        inp.enrollment().select("member_bid", "covrg_begin_dt", "covrg_end_dt"), "member_bid", "left")
+    h = OR.with_coverage(inp.header().where(F.col("clm_tp_cd") == 2), inp.enrollment())
     return h.select("claim_bid", OR.qualify_outpatient(h).alias("qualify_claims"))
 
 
@@ -264,8 +261,8 @@ def prj_qualify_outpatient(spark, sf):
 SELECT member_bid, risk_year, greatest(covrg_begin_dt, make_date(risk_year, 1, 1)) AS year_begin_dt,
   least(covrg_end_dt, make_date(risk_year, 12, 31)) AS year_end_dt
 FROM (SELECT member_bid, covrg_begin_dt, covrg_end_dt, CAST(unnest(generate_series(
-        greatest(year(covrg_begin_dt), 1995), least(year(covrg_end_dt), 2001))) AS INTEGER) AS risk_year
-      FROM enrollment WHERE greatest(year(covrg_begin_dt), 1995) <= least(year(covrg_end_dt), 2001))""",
+        year(covrg_begin_dt), CASE WHEN year(covrg_end_dt) = 9999 THEN greatest(year(covrg_begin_dt), 2001)
+          ELSE year(covrg_end_dt) END)) AS INTEGER) AS risk_year FROM enrollment)""",
     ["risk_year"])))
 def prj_enrollment_split(spark, sf):
     return S.enrollment_years(Inputs(spark, sf).enrollment()).select(

@@ -22,7 +22,7 @@ from riskspark.sources import reference as REF
 _DR = ["member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", "claim_type", "claim_cd_type", "claim_cd", "cc_code"]
 
 
-@query("set_union_methods", B.q(OG.BASE, OS.POP_STEPS + OG.DRAFT_STEPS, B.typed(
+@query("set_union_methods", B.q(OG.BASE, OP.STEPS + OG.DRAFT_STEPS, B.typed(
     f"SELECT {', '.join(_DR)} FROM draft", ["risk_year", "method_id", "claim_type"])))
 def set_union_methods(spark, sf):
     return Inputs(spark, sf).gap_draft().select(*_DR)

@@ -21,21 +21,24 @@ K = ["claim_bid", "clm_ln_num"]
 CUTOFF = "1998-01-01"
 
 
-def _snap(inp: Inputs, before: bool, created_by: str):
+def _snap(inp: Inputs, before: bool | None, created_by: str):
+    """Latest lines loaded before the cutoff, from it on, or (None) all."""
     li = inp.lines()
     cond = F.col("updated_dt") < F.lit(CUTOFF).cast("date")
-    li = li.where(cond if before else ~cond)
+    if before is not None:
+        li = li.where(cond if before else ~cond)
     latest = W.pick_one(li, K, ["updated_dt", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "cpt_cd"])
     return latest.select(*K, "clm_tp_cd", "cpt_cd", "updated_dt", F.lit(created_by).alias("created_by"))
 
 
-def _snap_sql(name, op, created_by):
+def _snap_sql(name, op, created_by, cutoff=CUTOFF):
     return (name, f"""SELECT claim_bid, clm_ln_num, clm_tp_cd, cpt_cd, updated_dt, '{created_by}' AS created_by FROM (
   SELECT *, row_number() OVER (PARTITION BY claim_bid, clm_ln_num ORDER BY updated_dt DESC, l_partkey DESC, l_suppkey DESC,
-    l_extendedprice DESC, l_quantity DESC, cpt_cd DESC) AS rn FROM claim_line WHERE updated_dt {op} DATE '{CUTOFF}') WHERE rn = 1""")
+    l_extendedprice DESC, l_quantity DESC, cpt_cd DESC) AS rn FROM claim_line WHERE updated_dt {op} DATE '{cutoff}') WHERE rn = 1""")
 
 
-_TS = [_snap_sql("tgt", "<", "loader_v1"), _snap_sql("src", ">=", "loader_v2")]
+_TS = [_snap_sql("tgt", "<", "loader_v1"), _snap_sql("src", ">=", "loader_v2"),
+       _snap_sql("every", ">=", "loader_v1", "0001-01-01")]
 _INTS = ["clm_ln_num", "clm_tp_cd"]
 _COLS = "claim_bid, clm_ln_num, clm_tp_cd, cpt_cd, updated_dt, created_by"
 _UPSERT = """SELECT t.* FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.claim_bid = t.claim_bid AND s.clm_ln_num = t.clm_ln_num)
@@ -71,16 +74,16 @@ def snk_insert_if_absent(spark, sf):
 
 @query("snk_update", _o("""SELECT claim_bid, clm_ln_num, clm_tp_cd,
   CASE WHEN cpt_cd IN ('C003', 'C011', 'C023', 'C041') THEN 'MODIFIER' ELSE cpt_cd END AS cpt_cd, updated_dt,
-  CASE WHEN cpt_cd IN ('C003', 'C011', 'C023', 'C041') THEN 'updater' ELSE created_by END AS created_by FROM tgt"""))
+  CASE WHEN cpt_cd IN ('C003', 'C011', 'C023', 'C041') THEN 'updater' ELSE created_by END AS created_by FROM every"""))
 def snk_update(spark, sf):
-    t = _snap(Inputs(spark, sf), True, "loader_v1")
+    t = _snap(Inputs(spark, sf), None, "loader_v1")
     cond = F.col("cpt_cd").isin("C003", "C011", "C023", "C041")
     return SK.update_where(t, cond, {"created_by": F.lit("updater"), "cpt_cd": F.lit("MODIFIER")}).select(*_COLS.split(", "))
 
 
-@query("snk_delete", _o("SELECT * FROM tgt WHERE NOT (clm_tp_cd = 2)"))
+@query("snk_delete", _o("SELECT * FROM every WHERE NOT (clm_tp_cd = 2)"))
 def snk_delete(spark, sf):
-    return SK.delete_where(_snap(Inputs(spark, sf), True, "loader_v1"), F.col("clm_tp_cd") == 2)
+    return SK.delete_where(_snap(Inputs(spark, sf), None, "loader_v1"), F.col("clm_tp_cd") == 2)
 
 
 @query("snk_member_erase", B.q(["claim_header", "claim_line", "pharmacy", "member"], [

@@ -30,7 +30,7 @@ def win_latest(spark, sf):
         "claim_bid", "clm_ln_num", "cpt_cd", "updated_dt", "l_partkey")
 
 
-@query("win_oldest", B.q(OG.BASE, OS.POP_STEPS + OG.DRAFT_STEPS, B.typed(
+@query("win_oldest", B.q(OG.BASE, OP.STEPS + OG.DRAFT_STEPS, B.typed(
     "SELECT member_bid, risk_year, method_id, cc_code, claim_bid, claim_dt FROM fr1 WHERE rn = 1", ["risk_year", "method_id"])))
 def win_oldest(spark, sf):
     d = G.with_create_flag(Inputs(spark, sf).gap_draft()).where(F.col("draft_status") == "Create Gap")

@@ -9,37 +9,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-# Settings for large clusters (~100 TB inputs, ~1000 executors). Partitions are
-# sized by bytes, not counts: AQE coalesces shuffle output to ~256 MB
-# partitions and splits skewed ones; scans read ~256 MB splits; broadcasts
-# stay small enough to ship to every executor. ``apply_cluster_defaults``
-# sets only what the cluster has not set itself.
-CLUSTER_DEFAULTS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.parquet.filterPushdown": "true",
-}
-
-
-def apply_cluster_defaults(spark: SparkSession) -> SparkSession:
-    """Apply ``CLUSTER_DEFAULTS`` for keys the session does not set."""
-    jconf = spark.conf._jconf
-    for k, v in CLUSTER_DEFAULTS.items():
-        if not jconf.contains(k):  # explicitly set by the cluster → keep
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # noqa: BLE001 - static confs cannot change at runtime
-                pass
-    return spark
-
-
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "riskspark") -> SparkSession:
     """Local session for tests and the bench; a cluster passes its own."""
@@ -64,13 +33,16 @@ _FALLBACK: dict[int, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; a private folder is created only where the
-    setting is unset (tests on one machine), and registered as the context's
-    checkpoint directory.
+    Read from the session. Only where it is unset and driver and executors are
+    one process (``local[n]``, as in tests) a private folder is created and
+    registered as the context's checkpoint directory; a cluster without the
+    setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     key = id(spark.sparkContext)
     if key not in _FALLBACK:
         _FALLBACK[key] = tempfile.mkdtemp(prefix="riskspark-ckpt-")

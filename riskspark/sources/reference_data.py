@@ -12,7 +12,9 @@ import datetime as _dt
 MODEL = "cms_hcc"
 VERSIONS = ("v24", "v28")
 SEGMENTS = ("CNA", "CFA", "CPA", "INS")
+#: Calendar years of the time-period table; open coverage ends in the current year.
 FIRST_YEAR, LAST_YEAR = 1995, 2001
+CURRENT_YEAR = LAST_YEAR
 
 # --- fixed values: diagnosis -> condition category, by model version -------
 # v28: D000..D029 -> 1..30; v24: D000..D019 -> 1..20; D030..D039 unmapped.
