@@ -186,7 +186,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     cuts = d.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)).first()[0] or []
     cuts = sorted(set(cuts))  # at most one a part
     bounds = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
-    part = F.coalesce(F.size(F.filter(bounds, lambda c: c > F.col("doc_id"))), F.lit(len(cuts) + 1))
+    part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.size(F.filter(bounds, lambda c: c > F.col("doc_id"))))
     dealt = d.withColumn("part", part)
     heads = sorted((r["part"], r["head"]) for r in dealt.groupBy("part").agg(F.max("doc_id").alias("head")).collect())  # one row a part
     if not heads:

@@ -127,8 +127,8 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) ->
 def dedup_lines(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated runs deleted from ``text``, and ``deleted`` (line numbers from 0)."""
     d = docs.drop("deleted")
-    runs = repeated_runs(d.select("doc_id", "text"), noise, window).select(F.col("doc_id").alias("_id"), "t", "deleted")
-    joined = d.join(runs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("t")), "left")
+    runs = repeated_runs(d.select("doc_id", "text"), noise, window).select(F.struct("doc_id", "t").alias("_run_of"), "deleted")
+    joined = d.join(runs, F.col("doc_id").eqNullSafe(F.col("_run_of.doc_id")) & (F.xxhash64("text") == F.col("_run_of.t")), "left")
 
     def rest(lines: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("deleted"))

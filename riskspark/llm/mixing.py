@@ -21,7 +21,7 @@ of the id, so that expected domain totals match the targets.
 
 Null and empty texts weigh nothing: they have the prior membership and do not
 move the totals. Repeated rows are weighed each. Without labelled rows all
-memberships equal the targets. Domains without documents cannot be filled;
+memberships are equal. Domains without documents cannot be filled;
 their targets are spread over the others. Extra columns stay.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.common import cut, sql_array
 
-BUCKETS = 1 << 13
+BUCKETS = 1 << 12
 TRAIN_ROWS = 10_000
 EVIDENCE = 40
 GRID = 100
@@ -62,7 +62,8 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[Colum
     buckets = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     filled = buckets.join(by_bucket, "bucket", "left").na.fill(0.0)
     total = filled.agg(*[F.sum(f"c{i}").alias(f"t{i}") for i in range(len(domains))])
-    logs = [F.log((F.col(f"c{i}") + 0.5) / (F.col(f"t{i}") + 0.5 * BUCKETS)) for i in range(len(domains))]
+    # rounded, as the model travels as text in the plan
+    logs = [F.round(F.log((F.col(f"c{i}") + 0.5) / (F.col(f"t{i}") + 0.5 * BUCKETS)), 4) for i in range(len(domains))]
     for i in range(len(domains)):
         filled = filled.withColumn(f"t{i}", total.select(f"t{i}").scalar())
     weights = filled.select("bucket", F.array(*logs).alias("l"))
@@ -160,4 +161,5 @@ def realise(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], lea
     history = solve(memberships(docs.select("text"), model, names), targets, least, keep_all)
     d = memberships(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, names)
     copies = copies_column(F.col("row.doc_id"), rate_column(F.col("p"), history, least))
-    return d.where(copies > 0).select("row.*", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy")
+    # no filter on the copies: pushed down, it would repeat the classifier in every use of the rate
+    return d.select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")
