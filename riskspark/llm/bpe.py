@@ -22,6 +22,7 @@ column of that name.
 from __future__ import annotations
 
 import base64
+import heapq
 from array import array
 from collections.abc import Iterator
 
@@ -54,6 +55,8 @@ class TreeBPE:
     def merge(self, data: bytes) -> list[int]:
         """The merges by rank, lowest first, leftmost of equals."""
         ranks = self.ranks
+        if len(data) > 4 * LEAF_BYTES:
+            return self.merge_long(data)
         parts = [data[i:i + 1] for i in range(len(data))]
         while len(parts) > 1:
             best, at = None, -1
@@ -66,6 +69,36 @@ class TreeBPE:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [ranks[p] for p in parts]
 
+    def merge_long(self, data: bytes) -> list[int]:
+        """The same merges from a heap of pairs, for bytes of any length."""
+        ranks, n = self.ranks, len(data)
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # part i is data[i:end[i]]; -1: merged away
+        heap = []
+
+        def offer(i: int) -> None:
+            j = end[i]
+            if j < n:
+                r = ranks.get(data[i:end[j]])
+                if r is not None:
+                    heapq.heappush(heap, (r, i, j, end[j]))
+        for i in range(n - 1):
+            offer(i)
+        while heap:
+            _, i, j, stop = heapq.heappop(heap)
+            if end[i] != j or end[j] != stop:
+                continue  # one of the two has changed since
+            end[i], end[j] = stop, -1
+            if stop < n:
+                before[stop] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        out, i = [], 0
+        while i < n:
+            out.append(ranks[data[i:end[i]]])
+            i = end[i]
+        return out
+
     def stable(self, a: int, b: int) -> bool:
         """Whether the two tokens are the encoding of their own bytes."""
         known = self.seams.get((a, b))
@@ -85,20 +118,16 @@ class TreeBPE:
         while True:
             i, j = max(0, len(left) - reach), min(len(right), reach)
             data = b"".join([self.bytes_of[t] for t in left[i:]] + [self.bytes_of[t] for t in right[:j]])
-            # a window as large as the whole has nothing outside that could differ
-            window = self.merge(data) if len(data) <= 4 * LEAF_BYTES or reach > 1 << 10 else self.tree(data[:len(data) // 2], data[len(data) // 2:])
+            window = self.merge(data)  # as large as the whole, it has nothing outside that could differ
             if (i == 0 or self.stable(left[i - 1], window[0])) and (j == len(right) or self.stable(window[-1], right[j])):
                 return left[:i] + window + right[j:]
             reach *= 2
 
-    def tree(self, a: bytes, b: bytes) -> list[int]:
-        return self.join(self.encode_bytes(a), self.encode_bytes(b))
-
     def encode_bytes(self, data: bytes) -> list[int]:
         if len(data) <= LEAF_BYTES:
             return self.merge(data)
         half = len(data) // 2
-        return self.tree(data[:half], data[half:])
+        return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8", "surrogatepass")

@@ -27,6 +27,8 @@ their targets are spread over the others. Extra columns stay.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,7 +105,7 @@ def rate_column(p: Column, history: list[list[float]], least: float) -> Column:
     """The rate that the rounds so far give to memberships ``p``."""
     if not history:
         return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in e]) for e in history])
+    steps = F.from_json(F.lit(json.dumps(history)), "array<array<double>>")
     return F.aggregate(steps, F.lit(1.0), lambda r, e: F.greatest(
         F.lit(float(least)), r - F.aggregate(F.zip_with(p, e, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)))
 
