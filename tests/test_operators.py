@@ -130,3 +130,39 @@ def test_period_filter_matches_brute_force(spark):
     got = {(r.claim_bid, r.time_period) for r in OR.period_filter(claims, periods, "claim_dt").collect()}
     want = {(i, p[0]) for i, d in enumerate(days) for p in R.time_period_rows() if p[1] <= d <= p[2]}
     assert got == want
+
+
+def test_several_coverage_spans_do_not_multiply_claims(spark):
+    import datetime as dt
+
+    from riskspark.operators import rules
+    d = dt.date
+    claims = spark.createDataFrame([(1, 7, d(2000, 5, 1)), (2, 7, d(2003, 5, 1)), (3, 8, d(2000, 1, 1))], "claim_bid long, member_bid long, claim_dt date")
+    spans = spark.createDataFrame([(7, d(1999, 1, 1), d(2000, 12, 31)), (7, d(2000, 1, 1), d(2001, 12, 31)), (7, d(2010, 1, 1), d(2011, 1, 1))],
+                                  "member_bid long, covrg_begin_dt date, covrg_end_dt date")
+    got = sorted((r["claim_bid"], r["date_status"]) for r in rules.claim_dates_valid(claims, spans).collect())
+    assert got == [(1, "VALID"), (2, "OUT_OF_PERIOD"), (3, "OUT_OF_PERIOD")]
+
+
+def test_percentiles_are_exact(spark):
+    import math
+    import random
+
+    from riskspark.operators import aggs
+    rng = random.Random(0)
+    rows = [(g, float(rng.choice([rng.randrange(5), rng.randrange(10_000)]))) for g in "aab" for _ in range(4000)] + [("c", 1.0), ("d", None)]
+    got = {r["g"]: tuple(r)[1:] for r in aggs.percentiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", [0.1, 0.5, 0.9]).collect()}
+    for g in "abc":
+        v = sorted(x for k, x in rows if k == g)
+        assert got[g] == tuple(v[max(1, math.ceil(round(len(v) * q, 6))) - 1] for q in (0.1, 0.5, 0.9))
+
+
+def test_coverage_keeps_years_beyond_the_period_table(spark):
+    import datetime as dt
+
+    from riskspark.plans import scoring
+    d = dt.date
+    e = spark.createDataFrame([(1, d(1990, 3, 1), d(1991, 2, 1)), (2, d(2010, 1, 1), d(2011, 6, 1)), (3, d(2000, 1, 1), d(9999, 12, 31))],
+                              "member_bid long, covrg_begin_dt date, covrg_end_dt date")
+    got = sorted((r["member_bid"], r["risk_year"]) for r in scoring.enrollment_years(e, 2002).collect())
+    assert got == [(1, 1990), (1, 1991), (2, 2010), (2, 2011), (3, 2000), (3, 2001), (3, 2002)]
