@@ -46,10 +46,11 @@ BITS = 2048
 HASHES = 5
 CAPACITY = 160
 BLOCK = 1 << 14  # windows whose entropy is taken at a time
+COUNTERS = 1 << 16  # byte counts held at a time
 CHANCE = 0.25    # share of the bits beyond chance that still counts as chance
 
-_G = np.concatenate([[0.0], np.arange(1, WINDOW + 1) * np.log2(np.arange(1, WINDOW + 1))])
-_GAIN = np.diff(_G, prepend=0.0).astype(np.float32)  # of the c-th equal byte
+#: n log2 n in whole steps, so that a window's entropy does not depend on the order of the sum.
+_G = np.round(np.concatenate([[0.0], np.arange(1, WINDOW + 1) * np.log2(np.arange(1, WINDOW + 1))]) * (1 << 20)).astype(np.int32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,16 +59,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def windows(data: bytes) -> Iterator[np.ndarray]:
-    """The windows of the text, in blocks of rows, in order."""
+def windows(data: bytes) -> np.ndarray:
+    """A view of the window at every place; a shorter text is one window, an empty one none."""
+    a = np.frombuffer(data if not data or len(data) >= WINDOW else data.ljust(WINDOW, b"\0"), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(a, WINDOW) if len(a) else np.zeros((0, WINDOW), np.uint8)
+
+
+def places(data: bytes) -> Iterator[np.ndarray]:
+    """Where the features begin, in blocks, in order."""
     if len(data) < WINDOW:
         if data:
-            yield np.frombuffer(data.ljust(WINDOW, b"\0"), np.uint8).reshape(1, -1)
+            yield np.array([0])
         return
     a = np.frombuffer(data, np.uint8)
     last = len(a) - WINDOW + 1
     step = BLOCK * EVERY
-    view = np.lib.stride_tricks.sliding_window_view(a, WINDOW)
     for start in range(0, last, step):
         part = a[start:min(last, start + step) + 3].astype(np.uint32)
         four = part[:-3] | part[1:-2] << 8 | part[2:-1] << 16 | part[3:] << 24
@@ -75,26 +81,29 @@ def windows(data: bytes) -> Iterator[np.ndarray]:
         if not len(at) and last <= step:
             at = np.array([0])  # a text without a place has its beginning
         if len(at):
-            yield view[start + at]
+            yield start + at
 
 
 def classes(rows: np.ndarray) -> np.ndarray:
     """Entropy class of every window."""
-    s = np.sort(rows, axis=1)
-    run = np.zeros(s.shape, np.int8)  # place of a byte among its equals
-    new = s[:, 1:] != s[:, :-1]
-    place = np.arange(1, WINDOW, dtype=np.int8)
-    run[:, 1:] = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
-    repeated = _GAIN[run + 1].sum(axis=1)
-    return np.clip(((6.0 - repeated / WINDOW) / 6.0 * CLASSES).astype(np.int64), 0, CLASSES)
+    symbols = np.flatnonzero(np.bincount(rows.ravel(), minlength=256))  # the bytes in use, few in most texts
+    number, k = np.zeros(256, np.int32), len(symbols)
+    number[symbols] = np.arange(k)
+    repeated = np.empty(len(rows), np.int64)
+    step = max(1, COUNTERS // k)
+    for at in range(0, len(rows), step):
+        part = number[rows[at:at + step]]
+        part += np.arange(0, len(part) * k, k, dtype=np.int32)[:, None]
+        counts = np.bincount(part.ravel(), minlength=len(part) * k)
+        repeated[at:at + step] = _G[counts].reshape(-1, k).sum(axis=1)
+    entropy = np.log2(WINDOW) - repeated / (WINDOW << 20)
+    return np.clip((entropy / np.log2(WINDOW) * CLASSES).astype(np.int64), 0, CLASSES)
 
 
 def hashes(rows: np.ndarray) -> np.ndarray:
     words = np.ascontiguousarray(rows).view(np.uint64)
-    h = np.full(len(words), 0x9E3779B97F4A7C15, np.uint64)
-    for i in range(words.shape[1]):
-        h = _mix(h ^ words[:, i]) + np.uint64(i + 1)
-    return h
+    odd = 2 * _mix(np.arange(1, words.shape[1] + 1, dtype=np.uint64)) + np.uint64(1)
+    return _mix((_mix(words) * odd).sum(axis=1, dtype=np.uint64))
 
 
 def select(kind: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -112,14 +121,11 @@ def select(kind: np.ndarray, rarity: np.ndarray) -> np.ndarray:
 def digest(text: str | None, rarity: np.ndarray) -> np.ndarray:
     """The chain: one row of 256 bytes per filter, preceded by its number of windows (2 bytes)."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    kinds, marks = [], []
-    for rows in windows(data):
-        kinds.append(classes(rows))
-        marks.append(hashes(rows))
-    if not kinds:
+    view, blocks = windows(data), list(places(data))
+    if not blocks:
         return np.zeros((0, 2 + BITS // 8), np.uint8)
-    kind, mark = np.concatenate(kinds), np.concatenate(marks)
-    chosen = np.unique(mark[select(kind, rarity)], return_index=True)
+    kind, at = np.concatenate([classes(view[p]) for p in blocks]), np.concatenate(blocks)
+    chosen = np.unique(hashes(view[at[select(kind, rarity)]]), return_index=True)
     features = chosen[0][np.argsort(chosen[1])]  # in the order of the text
     chain = []
     for at in range(0, len(features), CAPACITY):
@@ -158,8 +164,9 @@ def rarities(docs: DataFrame) -> np.ndarray:
         total = np.zeros(CLASSES + 1, np.int64)
         for b in batches:
             for t in b.column(0):
-                for rows in windows((t.as_py() or "").encode("utf-8", "surrogatepass")):
-                    total += np.bincount(classes(rows), minlength=CLASSES + 1)
+                data = (t.as_py() or "").encode("utf-8", "surrogatepass")
+                for p in places(data):
+                    total += np.bincount(classes(windows(data)[p]), minlength=CLASSES + 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 1)), pa.array(total)], names=["kind", "n"])
     rows = docs.select("text").mapInArrow(count, "kind bigint, n bigint").groupBy("kind").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(CLASSES + 1, np.int64)
