@@ -158,13 +158,11 @@ def jn_visit_type(spark, sf):
 SELECT h.claim_bid, h.tp_of_bill_cd, p.place_of_service FROM claim_header h
 LEFT JOIN place_of_service p ON h.clm_tp_cd IN (1, 2) AND p.bill_prefix = substring(h.tp_of_bill_cd, 1, 2)"""))
 def jn_place_of_service(spark, sf):
-    h = Inputs(spark, sf).header().select("claim_bid", "clm_tp_cd", "tp_of_bill_cd")
-    pos = REF.place_of_service(spark)
-    fac = h.where(F.col("clm_tp_cd").isin(1, 2))
-    j = fac.join(F.broadcast(pos), F.substring(fac["tp_of_bill_cd"], 1, 2) == pos["bill_prefix"], "left")
-    other = h.where(~F.col("clm_tp_cd").isin(1, 2)).withColumn("place_of_service", F.lit(None).cast("string"))
-    return j.select("claim_bid", "tp_of_bill_cd", "place_of_service").unionByName(
-        other.select("claim_bid", "tp_of_bill_cd", "place_of_service"))
+    h = Inputs(spark, sf).header().select(
+        "claim_bid", "tp_of_bill_cd",
+        F.when(F.col("clm_tp_cd").isin(1, 2), F.substring("tp_of_bill_cd", 1, 2)).alias("bill_prefix"))
+    return h.join(F.broadcast(REF.place_of_service(spark)), "bill_prefix", "left").select(
+        "claim_bid", "tp_of_bill_cd", "place_of_service")
 
 
 @query("jn_enrollment", B.q(["claim_header", "enrollment"], [], """

@@ -83,13 +83,14 @@ def prj_regex_extract(spark, sf):
     return OR.regex_extract(p, {"p_name": "^[a-z]+", "p_brand": "[0-9]+"})
 
 
-@query("prj_summary", B.q(OS.BASE, OS.POP_STEPS, B.typed(
-    "SELECT DISTINCT member_bid, risk_year, version, model_segment, hcc FROM mh", ["risk_year", "hcc"])))
+@query("prj_summary", B.q(OS.BASE, OS.SCORE_STEPS + OS.DETAIL_STEPS, B.typed("""
+SELECT DISTINCT member_bid, risk_year, version, hcc, risk_type_detail_id, suppression_ind FROM detail""", ["risk_year", "hcc"])))
 def prj_summary(spark, sf):
+    """Claim-level detail rows without their claim columns, one row per member, version and category."""
     inp = Inputs(spark, sf)
-    detail = S.scored_hccs(inp.population(), S.member_diagnoses(inp.lines()),
-                           REF.icd_hcc(spark), REF.hierarchy_pairs(spark))
-    return OR.summary_dedupe(detail, [], ["member_bid", "risk_year", "version", "hcc"])
+    claim_diag = inp.claim_diag().select("member_bid", "risk_year", "claim_bid", "diag_cd").distinct()
+    detail = S.hcc_detail(claim_diag, inp.population(), REF.icd_hcc(spark), inp.member_hcc())
+    return OR.summary_dedupe(detail, ["claim_bid", "diag_cd"], ["member_bid", "risk_year", "version", "hcc"])
 
 
 @query("prj_trim_keys", """
