@@ -23,8 +23,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LEAF_BYTES = 24       # below, merges run directly
-REMEMBER = 150_000    # pre-tokens and seams remembered per task
+REMEMBER = 300_000    # pre-tokens and seams remembered per task
 REMEMBER_CHARS = 40   # longer pre-tokens are not
+NEVER = 1 << 62       # the rank of two parts that do not merge
 BATCH_TOKENS = 1 << 20  # a result batch is sent when it holds so many tokens
 
 
@@ -44,29 +45,50 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(i) for token, i in map(bytes.split, f)}
 
 
+class Pieces(dict):
+    """The ids of short pre-tokens, in two generations: one that was not asked for
+    while ``REMEMBER / 2`` others came up is forgotten, so frequent ones stay."""
+
+    def __init__(self, encode: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.older.get(piece) or self.encode(piece)
+        if len(piece) <= REMEMBER_CHARS:
+            if len(self) >= REMEMBER // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class TreeBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = Pieces(self.encode_piece)
         self.seams: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """The merges by rank, lowest first, leftmost of equals."""
-        ranks = self.ranks
         if len(data) > 4 * LEAF_BYTES:
             return self.merge_long(data)
+        ranks, rank = self.ranks, self.ranks.get
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        pairs = [rank(data[i:i + 2], NEVER) for i in range(len(data) - 1)]  # of each part and the next one
+        while pairs:
+            best = min(pairs)
+            if best == NEVER:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            i = pairs.index(best)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], NEVER)
         return [ranks[p] for p in parts]
 
     def merge_long(self, data: bytes) -> list[int]:
@@ -134,22 +156,12 @@ class TreeBPE:
         whole = self.ranks.get(data)
         return (whole,) if whole is not None else tuple(self.encode_bytes(data))
 
-    def encode(self, text: str | None) -> array:
-        out, pieces = array("i"), self.pieces
-        for piece in self.split(text or ""):
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = self.encode_piece(piece)
-                if len(piece) <= REMEMBER_CHARS:
-                    if len(pieces) >= REMEMBER:
-                        pieces.clear()
-                    pieces[piece] = ids
-            out.extend(ids)
-        return out
+    def encode(self, text: str | None) -> list[int]:
+        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text or ""))))
 
     def decode(self, ids) -> bytes:
         """Concatenates up a tree of fixed fan-out."""
-        level = [self.bytes_of[i] for i in ids]
+        level = list(map(self.bytes_of.__getitem__, ids))
         while len(level) > 1:
             level = [b"".join(level[i:i + 512]) for i in range(0, len(level), 512)]
         return level[0] if level else b""
@@ -181,7 +193,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, column: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, pattern)
         for b in batches:
-            at, flat, offsets = 0, array("i"), array("i", [0])
+            at, flat, offsets = 0, [], [0]
             for k in range(b.num_rows):
                 flat.extend(codec.encode(b.column(0)[k].as_py()))
                 offsets.append(len(flat))
@@ -189,7 +201,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, column: str = "text")
                     ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
                     part = b.slice(at, k + 1 - at)
                     yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*rest, "ids"])
-                    at, flat, offsets = k + 1, array("i"), array("i", [0])
+                    at, flat, offsets = k + 1, [], [0]
 
     return docs.select(column, *rest).mapInArrow(run, schema)
 
