@@ -29,11 +29,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 64
@@ -47,6 +49,8 @@ HASHES = 5
 CAPACITY = 160
 BLOCK = 1 << 14  # windows whose entropy is taken at a time
 COUNTERS = 1 << 16  # byte counts held at a time
+PART_CHARS = 1 << 30  # a range of ids dealt to one task holds about so many characters at most
+FINE = 4         # narrow ranges of ids counted for each part
 CHANCE = 0.25    # share of the bits beyond chance that still counts as chance
 
 #: n log2 n in whole steps, so that a window's entropy does not depend on the order of the sum.
@@ -185,24 +189,50 @@ def fingerprints(docs: DataFrame, rarity: np.ndarray | None = None) -> DataFrame
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
+def _above(value: Column, cuts: list[int]) -> Column:
+    """How many of ``cuts`` (descending) are greater: by whole blocks, then inside one."""
+    step = max(1, isqrt(len(cuts)))
+    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    least = F.from_json(F.lit(json.dumps([b[-1] for b in blocks])), "array<bigint>")
+    inside = F.from_json(F.lit(json.dumps(blocks)), "array<array<bigint>>")
+    whole = F.size(F.filter(least, lambda c: c > value))
+    block = F.coalesce(F.get(inside, whole), F.array().cast("array<bigint>"))
+    return F.least(whole * step + F.size(F.filter(block, lambda c: c > value)), F.lit(len(cuts)))  # the last block may be short
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """doc_id, text, part, guest: each part holds a range of ids in descending
-    order, then, as a guest, the row that follows its last one."""
+    order, then, as a guest, the row that follows its last one.
+
+    Ids are counted and their characters summed in ``FINE`` narrow ranges a part;
+    neighbouring ranges form parts of about equal length.
+    """
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = d.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)).first()[0] or []
-    cuts = sorted(set(cuts))  # at most one a part
-    bounds = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
-    part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.size(F.filter(bounds, lambda c: c > F.col("doc_id"))))
-    dealt = d.withColumn("part", part)
-    heads = sorted((r["part"], r["head"]) for r in dealt.groupBy("part").agg(F.max("doc_id").alias("head")).collect())  # one row a part
-    if not heads:
-        return dealt.withColumn("guest", F.lit(False))
-    before = {p: heads[i - 1][0] for i, (p, _) in enumerate(heads)}
-    to = docs.sparkSession.createDataFrame([(p, h, before[p]) for p, h in heads], "part int, head bigint, to int")
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
+    size = d.agg(F.sum(length)).first()[0] or 0
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PART_CHARS)
+    n = FINE * parts
+    cuts = d.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+    cuts = sorted(set(cuts), reverse=True)  # at most one a range
+    dealt = d.withColumn("range", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(_above(F.col("doc_id"), cuts)))
+    # one row a range
+    ranges = sorted((r["range"], r["head"], r["size"]) for r in dealt.groupBy("range").agg(
+        F.max("doc_id").alias("head"), F.sum(length + F.lit(1)).alias("size")).collect())
+    if not ranges:
+        return d.select("*", F.lit(0).alias("part"), F.lit(False).alias("guest"))
+    every, before, part_of, heads = sum(r[2] for r in ranges), 0, [0] * (len(cuts) + 2), {}
+    for k, head, chars in ranges:
+        # ids that are null have a part of their own; a range belongs where its middle lies
+        part_of[k] = parts if k > len(cuts) else (2 * before + chars) * parts // (2 * every)
+        before += chars
+        heads.setdefault(part_of[k], head)  # ranges come in descending order of ids
+    dealt = dealt.withColumn("part", F.get(F.from_json(F.lit(json.dumps(part_of)), "array<int>"), F.col("range"))).drop("range")
+    order = sorted(heads)
+    to = docs.sparkSession.createDataFrame([(p, heads[p], order[i - 1]) for i, p in enumerate(order)], "part int, head bigint, to int")
+    # one row a part
     guests = dealt.join(F.broadcast(to), "part").where(F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", F.col("to").alias("part"), F.lit(True).alias("guest"))
     both = dealt.withColumn("guest", F.lit(False)).unionByName(guests)
-    return both.repartition(parts, "part").sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
+    return both.repartitionById(parts + 1, F.col("part")).sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
 
 
 def edited(text: str, following: str) -> str:
