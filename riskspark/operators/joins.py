@@ -18,6 +18,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.operators.sinks import checkpoint
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -83,27 +85,56 @@ def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_dat
     return left.join(hit, list(keys) + [left_date], how)
 
 
-def fuzzy_pairs(df: DataFrame, col: str, block: Column, threshold: float) -> DataFrame:
-    """jn_fuzzy: pairs of **distinct** values of ``col`` in the same block
-    with ``1 − levenshtein / greatest(length) ≥ threshold``. Work is bounded by
-    the distinct values per block, not by rows (duplicates collapse first)."""
-    v = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct().withColumn("_blk", block)
-    a = v.select(F.col("v").alias("value_a"), "_blk")
-    b = v.select(F.col("v").alias("value_b"), "_blk")
+def fuzzy_pairs(df: DataFrame, col: str, threshold: float) -> DataFrame:
+    """jn_fuzzy: pairs of **distinct** values of ``col`` with
+    ``1 − levenshtein / greatest(length) ≥ threshold`` (above 0), none lost.
+
+    The longer value of such a pair, of length L, allows k = floor((1 − threshold) · L)
+    edits. Cut into k + 1 segments, one of them stays whole in the other value, at
+    most k places away (pigeonhole). So segments join substrings by (L, segment
+    number, characters), and the distance is only taken for values that share one."""
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold is above 0 and at most 1")
+    v = df.select(F.col(col).alias("v")).where(F.col(col) != "").distinct().withColumn("n", F.length("v"))
+
+    def edits(n: Column) -> Column:
+        return F.floor((1.0 - threshold) * n + 1e-9).cast("int")
+
+    def begin(n: Column, i: Column) -> Column:  # of segment i, from 0
+        return F.floor(i * n / (edits(n) + 1)).cast("int")
+
+    def keys(text: Column, n: Column, i: Column, at: Column) -> Column:
+        return F.struct(n.alias("size"), i.alias("i"), F.substring(text, at + 1, begin(n, i + 1) - begin(n, i)).alias("part"))
+    text, size = F.col("v"), F.col("n")
+    long_ = v.select(F.col("v").alias("longer"), F.inline(F.transform(
+        F.sequence(F.lit(0), edits(size)), lambda i: keys(text, size, i, begin(size, i)))))
+
+    def places(n: Column, i: Column) -> Column:
+        last = size - begin(n, i + 1) + begin(n, i)  # where the segment would end with the text
+        first = F.greatest(begin(n, i) - edits(n), F.lit(0))
+        end = F.least(begin(n, i) + edits(n), last)
+        return F.when(first <= end, F.transform(F.sequence(first, F.greatest(first, end)), lambda q: keys(text, n, i, q))).otherwise(F.array())
+    sizes = F.sequence(size, F.floor(size / threshold + 1e-9).cast("int"))
+    short = v.select(F.col("v").alias("shorter"), F.inline(F.array_distinct(F.flatten(F.transform(
+        sizes, lambda n: F.flatten(F.transform(F.sequence(F.lit(0), edits(n)), lambda i: places(n, i))))))))
+    pairs = short.join(long_, ["size", "i", "part"]).where(F.col("shorter") != F.col("longer")).select(
+        F.least("shorter", "longer").alias("value_a"), F.greatest("shorter", "longer").alias("value_b")).distinct()
     sim = F.lit(1.0) - F.levenshtein("value_a", "value_b") / F.greatest(F.length("value_a"), F.length("value_b"))
-    return a.join(b, "_blk").where(F.col("value_a") < F.col("value_b")) \
-        .withColumn("similarity", sim).where(F.col("similarity") >= threshold).drop("_blk")
+    return pairs.withColumn("similarity", sim).where(F.col("similarity") >= threshold)
 
 
-def assign_bid(df: DataFrame, keys: Sequence[str], prefix: int, n_ranges: int = 64,
+def assign_bid(df: DataFrame, keys: Sequence[str], prefix: int, n_ranges: int | None = None,
                width: int = 10 ** 12) -> DataFrame:
     """jn_bid_assign: surrogate id = prefix · width + dense rank of the natural
     key, computed without a global single-task window: distinct keys are
-    range-partitioned (order-preserving), ranked inside each range, and
-    offset by the counts of the preceding ranges (a tiny aggregate)."""
+    range-partitioned (order-preserving; ``n_ranges`` is the session's number of
+    shuffle partitions if not given), ranked inside each range, and offset by the
+    counts of the preceding ranges (one row a range). The ranges are written once,
+    so that counts and ranks see the same bounds."""
     keys = list(keys)
-    k = df.select(*keys).distinct().repartitionByRange(n_ranges, *keys) \
-        .withColumn("_pid", F.spark_partition_id())
+    n_ranges = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = checkpoint(df.select(*keys).distinct().repartitionByRange(n_ranges, *keys)
+                   .withColumn("_pid", F.spark_partition_id()), "bid-ranges")
     counts = k.groupBy("_pid").agg(F.count("*").alias("_n"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_pid", "_off")

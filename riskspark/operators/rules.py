@@ -115,15 +115,15 @@ def claim_dates_valid(claims: DataFrame, spans: DataFrame) -> DataFrame:
 
 def period_filter(claims: DataFrame, periods: DataFrame, date_col: str) -> DataFrame:
     """prj_period_filter: keep claims whose date lies inside a period, one row
-    per (claim, period). Range join made equi: each claim probes the periods
-    that begin in its year or the year before (periods span ≤ 1 year), then
-    the residual ``between`` filter is exact — no nested-loop join."""
+    per (claim, period). Range join made equi: a period is listed under every
+    calendar year it reaches into and a claim probes its own year; the residual
+    ``between`` filter is exact for periods of any length."""
     p = periods.select("time_period", "begin_date", "end_date", "period_type",
                        F.col("risk_year").alias("period_risk_year"),
-                       F.year("begin_date").alias("_by"))
-    c = claims.withColumn("_by", F.explode(F.array(F.year(date_col) - 1, F.year(date_col))))
-    return c.join(F.broadcast(p), "_by").where(
-        F.col(date_col).between(F.col("begin_date"), F.col("end_date"))).drop("_by")
+                       F.explode(F.sequence(F.year("begin_date"), F.year("end_date"))).alias("_year"))
+    c = claims.withColumn("_year", F.year(date_col))
+    return c.join(F.broadcast(p), "_year").where(
+        F.col(date_col).between(F.col("begin_date"), F.col("end_date"))).drop("_year")
 
 
 def pseudo_claims(supp: DataFrame) -> DataFrame:

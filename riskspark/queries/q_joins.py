@@ -386,14 +386,14 @@ def jn_member_details(spark, sf):
 
 
 @query("jn_fuzzy", """
-WITH v AS (SELECT DISTINCT p_name AS v, substring(p_name, 1, 1) AS blk FROM part WHERE p_name IS NOT NULL)
+WITH v AS (SELECT DISTINCT p_name AS v FROM part WHERE p_name IS NOT NULL)
 SELECT a.v AS value_a, b.v AS value_b,
   1.0 - levenshtein(a.v, b.v) / greatest(length(a.v), length(b.v)) AS similarity
-FROM v a JOIN v b ON a.blk = b.blk AND a.v < b.v
+FROM v a JOIN v b ON a.v < b.v
 WHERE 1.0 - levenshtein(a.v, b.v) / greatest(length(a.v), length(b.v)) >= 0.6""")
 def jn_fuzzy(spark, sf):
     p = Inputs(spark, sf).table("part")
-    return J.fuzzy_pairs(p, "p_name", F.substring("v", 1, 1), 0.6)
+    return J.fuzzy_pairs(p, "p_name", 0.6)
 
 
 def _mao_oracle():

@@ -36,7 +36,9 @@ def test_assign_bid_is_dense_rank(spark):
 
 
 def test_fuzzy_pairs_matches_brute_force(spark):
-    vals = ["small ring", "smal ring", "small rings", "red widget", "red widgets", "rod widget", "blue bolt"]
+    rnd = random.Random(3)
+    vals = ["small ring", "smal ring", "small rings", "red widget", "red widgets", "rod widget", "blue bolt", "mall ring", "a", ""]
+    vals += sorted({"".join(rnd.choice("ab c") for _ in range(rnd.randint(1, 9))) for _ in range(80)} - set(vals))
     df = spark.createDataFrame([(v,) for v in vals * 3], "v string")
 
     def lev(a, b):
@@ -46,10 +48,10 @@ def test_fuzzy_pairs_matches_brute_force(spark):
             for j, cb in enumerate(b, 1):
                 p, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, p + (ca != cb))
         return d[-1]
-    want = {(a, b) for a in vals for b in vals if a < b and a[0] == b[0]
-            and 1 - lev(a, b) / max(len(a), len(b)) >= 0.8}
-    got = {(r.value_a, r.value_b) for r in J.fuzzy_pairs(df, "v", F.substring("v", 1, 1), 0.8).collect()}
-    assert got == want
+    near = {(a, b): 1.0 - lev(a, b) / max(len(a), len(b)) for a in vals for b in vals if a < b}
+    for t in (0.8, 0.6, 1.0):
+        got = {(r.value_a, r.value_b) for r in J.fuzzy_pairs(df, "v", t).collect()}
+        assert got == {p for p, s in near.items() if s >= t}
 
 
 def test_broadcast_size_check(spark):
@@ -125,10 +127,11 @@ def test_period_filter_matches_brute_force(spark):
     rnd = random.Random(5)
     days = [dt.date(1994, 6, 1) + dt.timedelta(days=rnd.randint(0, 3000)) for _ in range(300)]
     claims = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "claim_bid long, claim_dt date")
-    periods = spark.createDataFrame(R.time_period_rows(),
+    rows = [*R.time_period_rows(), (9001, dt.date(1995, 3, 1), dt.date(1999, 2, 1), "LONG", 1999), (9002, dt.date(1996, 1, 1), dt.date(9999, 12, 31), "OPEN", 1996)]
+    periods = spark.createDataFrame(rows,
                                     "time_period int, begin_date date, end_date date, period_type string, risk_year int")
     got = {(r.claim_bid, r.time_period) for r in OR.period_filter(claims, periods, "claim_dt").collect()}
-    want = {(i, p[0]) for i, d in enumerate(days) for p in R.time_period_rows() if p[1] <= d <= p[2]}
+    want = {(i, p[0]) for i, d in enumerate(days) for p in rows if p[1] <= d <= p[2]}
     assert got == want
 
 
