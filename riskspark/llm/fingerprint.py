@@ -1,14 +1,16 @@
 """Document fingerprints: an improbable-feature digest.
 
-Features are windows of ``WINDOW`` bytes that begin where a hash of the next
-four bytes says so (one place in ``EVERY`` on average), so that an edit moves
-no feature beyond its own place. A window's class is the entropy of its bytes,
-in thousandths of the most that the window can have; a class is the rarer, the
-fewer windows of the whole corpus have it (counted over all documents in
-Spark). Among every ``NEIGHBOURS`` windows in a row the rarest, the first on
-ties, gets a point; windows with ``POINTS`` or more are selected, unless their
-entropy is under ``FLOOR``. Each selected window sets five bits of a Bloom
-filter of 2048; after ``CAPACITY`` windows the chain gets another filter.
+Features are windows of ``WINDOW`` bytes, one at every byte of the text. A
+window's class is the entropy of its bytes, in thousandths of the most that the
+window can have; a class is the rarer, the fewer windows of the whole corpus
+have it (counted over all documents in Spark). Among every ``NEIGHBOURS``
+windows in a row the rarest, the first on ties, gets a point; windows with
+``POINTS`` or more are selected, unless their entropy is under ``FLOOR``; a text
+without such a window has its rarest. Each selected window sets five bits of a
+Bloom filter of 2048; after ``CAPACITY`` windows the chain gets another filter.
+
+Entropies slide: from one window to the next a byte leaves and one comes, and
+how often each stands in the window is counted for all places at once.
 
 Two chains compare filter by filter: the bits in common, beyond those that
 chance explains, over the most there could be; each filter of the shorter
@@ -39,7 +41,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 64
-EVERY = 8
 NEIGHBOURS = 8
 POINTS = 3
 CLASSES = 1000
@@ -47,14 +48,16 @@ FLOOR = 100
 BITS = 2048
 HASHES = 5
 CAPACITY = 160
-BLOCK = 1 << 14  # windows whose entropy is taken at a time
-COUNTERS = 1 << 16  # byte counts held at a time
+BLOCK = 1 << 14  # windows classified, ranked or hashed at a time
+PAIRS = 1 << 20  # filter pairs compared at a time
 PART_CHARS = 1 << 30  # a range of ids dealt to one task holds about so many characters at most
 FINE = 4         # narrow ranges of ids counted for each part
 CHANCE = 0.25    # share of the bits beyond chance that still counts as chance
 
 #: n log2 n in whole steps, so that a window's entropy does not depend on the order of the sum.
-_G = np.round(np.concatenate([[0.0], np.arange(1, WINDOW + 1) * np.log2(np.arange(1, WINDOW + 1))]) * (1 << 20)).astype(np.int32)
+_G = np.round(np.concatenate([[0.0], np.arange(1, WINDOW + 1) * np.log2(np.arange(1, WINDOW + 1))]) * (1 << 20)).astype(np.int64)
+_STEP = np.diff(_G)  # what one more of a byte adds
+NONE = np.zeros(0, np.int16)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,45 +66,42 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def windows(data: bytes) -> np.ndarray:
-    """A view of the window at every place; a shorter text is one window, an empty one none."""
-    a = np.frombuffer(data if not data or len(data) >= WINDOW else data.ljust(WINDOW, b"\0"), np.uint8)
-    return np.lib.stride_tricks.sliding_window_view(a, WINDOW) if len(a) else np.zeros((0, WINDOW), np.uint8)
-
-
-def places(data: bytes) -> Iterator[np.ndarray]:
-    """Where the features begin, in blocks, in order."""
-    if len(data) < WINDOW:
-        if data:
-            yield np.array([0])
-        return
-    a = np.frombuffer(data, np.uint8)
-    last = len(a) - WINDOW + 1
-    step = BLOCK * EVERY
-    for start in range(0, last, step):
-        part = a[start:min(last, start + step) + 3].astype(np.uint32)
-        four = part[:-3] | part[1:-2] << 8 | part[2:-1] << 16 | part[3:] << 24
-        at = np.flatnonzero((four * np.uint32(2654435761)) >> 16 & (EVERY - 1) == 0)
-        if not len(at) and last <= step:
-            at = np.array([0])  # a text without a place has its beginning
-        if len(at):
-            yield start + at
-
-
-def classes(rows: np.ndarray) -> np.ndarray:
-    """Entropy class of every window."""
-    symbols = np.flatnonzero(np.bincount(rows.ravel(), minlength=256))  # the bytes in use, few in most texts
-    number, k = np.zeros(256, np.int32), len(symbols)
-    number[symbols] = np.arange(k)
-    repeated = np.empty(len(rows), np.int64)
-    step = max(1, COUNTERS // k)
-    for at in range(0, len(rows), step):
-        part = number[rows[at:at + step]]
-        part += np.arange(0, len(part) * k, k, dtype=np.int32)[:, None]
-        counts = np.bincount(part.ravel(), minlength=len(part) * k)
-        repeated[at:at + step] = _G[counts].reshape(-1, k).sum(axis=1)
+def utf8(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def padded(data: bytes) -> np.ndarray:
+    """The bytes; those of a shorter text than a window are filled up to one, an empty text has none."""
+    return np.frombuffer(data if not data or len(data) >= WINDOW else data.ljust(WINDOW, b"\0"), np.uint8)
+
+
+def classes(a: np.ndarray) -> np.ndarray:
+    """Entropy class of the window at every place of the last axis."""
+    ahead, behind = np.zeros(a.shape, np.uint8), np.zeros(a.shape, np.uint8)  # the same byte, in the window from here on and up to here
+    for d in range(1, WINDOW):
+        same = (a[..., d:] == a[..., :-d]).view(np.uint8)
+        ahead[..., :-d] += same
+        behind[..., d:] += same
+    repeated = np.cumsum(_STEP[behind], axis=-1)[..., WINDOW - 1:]
+    repeated[..., 1:] -= np.cumsum(_STEP[ahead[..., :-WINDOW]], axis=-1)
     entropy = np.log2(WINDOW) - repeated / (WINDOW << 20)
-    return np.clip((entropy / np.log2(WINDOW) * CLASSES).astype(np.int64), 0, CLASSES)
+    return np.clip((entropy / np.log2(WINDOW) * CLASSES).astype(np.int16), 0, CLASSES)
+
+
+def kinds(data: bytes) -> Iterator[np.ndarray]:
+    """Classes of all windows, in blocks, in order."""
+    a = padded(data)
+    for start in range(0, len(a) - WINDOW + 1, BLOCK):
+        yield classes(a[start:start + BLOCK + WINDOW - 1])
+
+
+def joined_kinds(data: bytes, at: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Classes of all windows of ``data``, which up to ``at`` is the beginning of a text with the
+    classes ``left`` and from there on that of one with ``right``: only windows over the seam are new."""
+    first, last = max(0, at - WINDOW + 1), max(0, len(data) - at - WINDOW + 1)
+    seam = data[first:len(data) - last]
+    new = kinds(seam) if len(seam) >= WINDOW or not first + last else ()
+    return np.concatenate([left[:first], *new, right[:last]])
 
 
 def hashes(rows: np.ndarray) -> np.ndarray:
@@ -112,24 +112,32 @@ def hashes(rows: np.ndarray) -> np.ndarray:
 
 def select(kind: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Places of the selected windows, given all classes of a text."""
-    rank = rarity[kind]
+    n = min(len(kind), NEIGHBOURS)
+    points = np.zeros(len(kind), np.uint8)
+    for start in range(0, len(kind) - n + 1, BLOCK):
+        part = rarity[kind[start:start + BLOCK + n - 1]]
+        key = part * len(part) + np.arange(len(part))  # the rarest, then the first
+        best = key[:len(key) - n + 1].copy()
+        for d in range(1, n):
+            np.minimum(best, key[d:len(key) - n + 1 + d], out=best)
+        points[start:start + len(part)] += np.bincount(best % len(part), minlength=len(part)).astype(np.uint8)
     if len(kind) <= NEIGHBOURS:
-        points = np.bincount([rank.argmin()], minlength=len(kind)) * POINTS if len(kind) else np.zeros(0, int)
-    else:
-        best = np.lib.stride_tricks.sliding_window_view(rank, NEIGHBOURS).argmin(axis=1)
-        points = np.bincount(best + np.arange(len(best)), minlength=len(kind))
+        points *= POINTS
     chosen = np.flatnonzero((points >= POINTS) & (kind >= FLOOR))
-    return chosen if len(chosen) or not len(kind) else np.array([rank.argmin()])
+    return chosen if len(chosen) or not len(kind) else np.array([rarity[kind].argmin()])
 
 
 def digest(text: str | None, rarity: np.ndarray) -> np.ndarray:
     """The chain: one row of 256 bytes per filter, preceded by its number of windows (2 bytes)."""
-    data = (text or "").encode("utf-8", "surrogatepass")
-    view, blocks = windows(data), list(places(data))
-    if not blocks:
+    data = utf8(text)
+    return chain_of(data, np.concatenate([NONE, *kinds(data)]), rarity)
+
+
+def chain_of(data: bytes, kind: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    if not data:
         return np.zeros((0, 2 + BITS // 8), np.uint8)
-    kind, at = np.concatenate([classes(view[p]) for p in blocks]), np.concatenate(blocks)
-    chosen = np.unique(hashes(view[at[select(kind, rarity)]]), return_index=True)
+    view, chosen = np.lib.stride_tricks.sliding_window_view(padded(data), WINDOW), select(kind, rarity)
+    chosen = np.unique(np.concatenate([hashes(view[chosen[i:i + BLOCK]]) for i in range(0, len(chosen), BLOCK)]), return_index=True)
     features = chosen[0][np.argsort(chosen[1])]  # in the order of the text
     chain = []
     for at in range(0, len(features), CAPACITY):
@@ -145,6 +153,15 @@ def encode(chain: np.ndarray) -> str:
     return base64.b64encode(chain.tobytes()).decode()
 
 
+def _best(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For every filter of ``a`` the score of its best partner in ``b``."""
+    x, y = np.unpackbits(a[:, 2:], axis=1).astype(np.float32), np.unpackbits(b[:, 2:], axis=1).astype(np.float32)
+    nx, ny = x.sum(axis=1)[:, None], y.sum(axis=1)[None, :]
+    chance, most = nx * ny / BITS, np.minimum(nx, ny)
+    chance = chance + CHANCE * (most - chance)
+    return np.clip((x @ y.T - chance) / np.maximum(most - chance, 1e-6), 0, 1).max(axis=1)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """0 to 1; 1 for equal chains."""
     if a.shape == b.shape and (a == b).all():
@@ -153,11 +170,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         return 0.0
     if len(a) > len(b) or len(a) == len(b) and a.tobytes() > b.tobytes():
         a, b = b, a
-    x, y = np.unpackbits(a[:, 2:], axis=1).astype(np.float32), np.unpackbits(b[:, 2:], axis=1).astype(np.float32)
-    nx, ny = x.sum(axis=1)[:, None], y.sum(axis=1)[None, :]
-    chance, most = nx * ny / BITS, np.minimum(nx, ny)
-    chance = chance + CHANCE * (most - chance)
-    score = np.clip((x @ y.T - chance) / np.maximum(most - chance, 1e-6), 0, 1).max(axis=1)
+    step = max(1, PAIRS // len(b))
+    score = np.concatenate([_best(a[i:i + step], b) for i in range(0, len(a), step)])
     weight = a[:, :2].copy().view(">u2").ravel().astype(float)
     return round(float((score * weight).sum() / weight.sum()), 9)
 
@@ -168,9 +182,8 @@ def rarities(docs: DataFrame) -> np.ndarray:
         total = np.zeros(CLASSES + 1, np.int64)
         for b in batches:
             for t in b.column(0):
-                data = (t.as_py() or "").encode("utf-8", "surrogatepass")
-                for p in places(data):
-                    total += np.bincount(classes(windows(data)[p]), minlength=CLASSES + 1)
+                for kind in kinds(utf8(t.as_py())):
+                    total += np.bincount(kind, minlength=CLASSES + 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 1)), pa.array(total)], names=["kind", "n"])
     rows = docs.select("text").mapInArrow(count, "kind bigint, n bigint").groupBy("kind").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(CLASSES + 1, np.int64)
@@ -251,13 +264,15 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
         for b in batches:
             for doc_id, text, part, guest in zip(*(b.column(i) for i in range(4))):
                 text, part = text.as_py() or "", part.as_py()
-                chain = digest(text, rarity)
+                data = utf8(text)
+                kind = np.concatenate([NONE, *kinds(data)])
+                chain = chain_of(data, kind, rarity)
                 if held is not None and held[2] == part:
-                    own_id, own, _, own_chain = held
-                    new = edited(own, text)
-                    new_chain = digest(new, rarity)
-                    out.append((own_id, len(own), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), encode(own_chain), encode(new_chain), likeness(own_chain, new_chain), likeness(own_chain, chain)))
-                held = None if guest.as_py() else (doc_id.as_py(), text, part, chain)
+                    own_id, own, _, own_chain, own_kind = held
+                    new_data, at = utf8(edited(own, text)), len(utf8(own[:len(own) - len(own) // 2]))
+                    new_chain = chain_of(new_data, joined_kinds(new_data, at, own_kind, kind), rarity)
+                    out.append((own_id, len(own), hashlib.sha256(new_data).hexdigest(), encode(own_chain), encode(new_chain), likeness(own_chain, new_chain), likeness(own_chain, chain)))
+                held = None if guest.as_py() else (doc_id.as_py(), text, part, chain, kind)
                 if len(out) >= 1000:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], SCHEMA)
                     out = []

@@ -399,6 +399,34 @@ def test_fingerprints(docs):
     assert fingerprint.edited_pairs(docs).count() == docs.count()
 
 
+def test_every_window_is_ranked(spark):
+    docs = spark.read.parquet(f"{SF0001}/../sf0.01/documents.parquet").where("length(text) between 150 and 400")
+    rarity = fingerprint.rarities(docs)
+    texts = [r["text"] for r in rows(docs.orderBy(F.desc("doc_id")))]
+    n = fingerprint.WINDOW
+    assert len(texts) > 20 and rarity.sum() == sum(len(t.encode()) - n + 1 for t in texts)
+
+    def brute(text):
+        a = np.frombuffer(text.encode(), np.uint8)
+        kind = [int(fingerprint.classes(a[i:i + n])[0]) for i in range(len(a) - n + 1)]
+        points = Counter(min(range(i, i + 8), key=lambda j: (rarity[kind[j]], j)) for i in range(len(kind) - 7))
+        return [i for i in range(len(kind)) if points[i] >= 3 and kind[i] >= fingerprint.FLOOR] or [min(range(len(kind)), key=lambda j: rarity[kind[j]])]
+
+    def features(text):
+        data = text.encode()
+        at = fingerprint.select(np.concatenate(list(fingerprint.kinds(data))), rarity).tolist()
+        assert at == brute(text)
+        return {data[i:i + n] for i in at}
+    for text, after in zip(texts, texts[1:] + texts[:1]):  # the first half stays: some features do
+        assert features(text) & features(fingerprint.edited(text, after))
+    for k in (0, 1, 3, 63, 64, 65, 126, 127, 128, 129, 300):  # classes of an edited text from those of its halves
+        for m in (0, 1, 62, 63, 64, 65, 127, 128, 300):
+            left, right = "".join(map(chr, range(40, 340))), texts[0] * 2
+            data = left[:k].encode() + right.encode()[:m]
+            one, two, whole = (np.concatenate([fingerprint.NONE, *fingerprint.kinds(d)]) for d in (left.encode(), right.encode(), data))
+            assert (fingerprint.joined_kinds(data, len(left[:k].encode()), one, two) == whole).all() and len(whole) == (max(1, len(data) - n + 1) if data else 0)
+
+
 # --- all
 def test_empty_tables(spark, docs, labelled, tmp_path):
     d, none = docs.limit(0), labelled.limit(0)
