@@ -427,6 +427,14 @@ def test_every_window_is_ranked(spark):
             assert (fingerprint.joined_kinds(data, len(left[:k].encode()), one, two) == whole).all() and len(whole) == (max(1, len(data) - n + 1) if data else 0)
 
 
+@pytest.mark.parametrize("unit", ["a", "x", " ", "-", "\n", "ab", "lol "])
+def test_long_texts_of_one_period_have_a_feature(unit):
+    rarity = np.arange(fingerprint.CLASSES + 1)
+    long, short, other = (fingerprint.digest(t, rarity) for t in (unit * (200_000 // len(unit)), unit * 5_000, "another text " * 20_000))
+    assert len(long) == 1 and fingerprint.encode(long) != "" and fingerprint.likeness(long, short) == 1
+    assert fingerprint.likeness(long, fingerprint.digest("", rarity)) == 0 and fingerprint.likeness(long, other) < 1
+
+
 # --- all
 def test_empty_tables(spark, docs, labelled, tmp_path):
     d, none = docs.limit(0), labelled.limit(0)
