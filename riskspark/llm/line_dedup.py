@@ -10,6 +10,10 @@
   the same shingle, the first that also has the same line before it, and the
   first that also has the same line after it: one partner per key, so a
   passage in a million documents makes a million rows, not its square.
+* A shingle at three places or more may have other partners than these: there
+  every whole window around it, the shortest that starts at a line and the
+  shortest that ends at one, joins its own first place and is deleted at every
+  later one. So each line of an equal run of ``WINDOW`` words goes.
 * A match is extended both ways, line by line, as far as the next fingerprint
   can be (``WINDOW`` lines; that one extends further), and verified by two
   64-bit hashes of every shingle and one of every line.
@@ -70,27 +74,36 @@ def _shingles(lines: Column, noise: int, window: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(lines) - 1), at)
 
 
-def _selected(s: Column) -> Column:
-    """Positions of the window minima."""
-    starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: s[i]["m"] > 0)
-
+def _minima(s: Column) -> Column:
+    """For every line the position of the minimum of the window that starts there, null without a window."""
     def least(i: Column) -> Column:
         end = i + s[i]["m"]
         inside = F.filter(F.sequence(i, end - 1), lambda j: (s[j]["n"] > 0) & (j + s[j]["n"] <= end))
         return F.array_min(F.transform(inside, lambda j: F.struct(s[j]["a"].alias("a"), j.alias("j"))))["j"]
-    return F.array_distinct(F.transform(starts, least))
+    return F.transform(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.when(s[i]["m"] > 0, least(i)))
+
+
+def _around(s: Column, least: Column, j: Column, window: int) -> Column:
+    """The windows with the minimum ``j`` as (lines before j) * (window + 1) + lines: the shortest
+    from their first line, and those that are the shortest up to a later last line."""
+    def of(i: Column) -> Column:
+        beyond = F.when(F.coalesce(F.get(s["m"], i + 1), F.lit(0)) > 0, F.get(s["m"], i + 1)).otherwise(F.size(s) - i)
+        sizes = F.sequence(s[i]["m"], F.greatest(s[i]["m"], beyond))
+        return F.transform(sizes, lambda n: ((j - i) * (window + 1) + n).cast("smallint"))
+    starts = F.filter(F.sequence(F.greatest(j - window, F.lit(0)), j), lambda i: F.coalesce(least[i] == j, F.lit(False)))
+    return F.flatten(F.transform(starts, of))
 
 
 def seeds(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> DataFrame:
     """One row per selected shingle: its hashes (a, b), place (doc_id, t, j), its
-    length n, and the line hashes before it (nearest first) and from it on."""
+    length n, the windows around it, and the line hashes before it (nearest first) and from it on."""
     def of(lines: Column) -> Column:
         def rows(s: Column) -> Column:
             h = F.transform(lines, lambda x: x["h"])
-            return F.transform(_selected(s), lambda j: F.struct(
-                s[j]["a"].alias("a"), s[j]["b"].alias("b"), j.alias("j"), s[j]["n"].alias("n"),
+            return let(_minima(s), lambda least: F.transform(F.array_distinct(F.filter(least, lambda j: j.isNotNull())), lambda j: F.struct(
+                s[j]["a"].alias("a"), s[j]["b"].alias("b"), j.alias("j"), s[j]["n"].alias("n"), _around(s, least, j, window).alias("windows"),
                 F.reverse(F.slice(h, F.greatest(j - window, F.lit(0)) + 1, F.least(j, F.lit(window)))).alias("before"),
-                F.slice(h, j + 1, s[j]["n"] + window).alias("on")))
+                F.slice(h, j + 1, s[j]["n"] + window).alias("on"))))
         return let(_shingles(lines, noise, window), rows)
 
     found = docs.select("doc_id", F.xxhash64("text").alias("t"), F.inline(let(_lines(F.col("text")), of)))
@@ -103,25 +116,40 @@ def _equal(a: Column, b: Column) -> Column:
                lambda same: let(F.array_position(same, False), lambda p: F.when(p > 0, p - 1).otherwise(F.size(same)))).cast("int")
 
 
+def _repeated_windows(shared: DataFrame, window: int) -> DataFrame:
+    """doc_id, t, run (first and last line): every window but the first of its kind, of shingles at three places or more."""
+    by = ["a", "b", "code", "lines"]
+    around = F.concat(F.reverse("before"), F.col("on"))
+    size = (F.col("code") % (window + 1)).cast("int")
+    ahead = F.floor(F.col("code") / (window + 1)).cast("int")
+    every = shared.where("copies > 2").select("a", "b", "doc_id", "t", "j", around.alias("around"), F.size("before").alias("n_before"), F.explode("windows").alias("code"))
+    every = every.select("a", "b", "code", F.xxhash64(F.slice("around", F.col("n_before") - ahead + 1, size)).alias("lines"), "doc_id", "t", "j")
+    first = every.groupBy(*by).agg(F.min(F.struct("doc_id", "t", "j")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    later = every.join(first, by).where(F.struct("doc_id", "t", "j") != F.col("first"))
+    return later.select("doc_id", "t", F.struct((F.col("j") - ahead).alias("first"), (F.col("j") - ahead + size - 1).alias("last")).alias("run"))
+
+
 def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> DataFrame:
     """doc_id, t, deleted (sorted line numbers from 0) of the documents that repeat earlier runs."""
     found = cut(seeds(docs, noise, window))
-    twice = found.groupBy("a", "b").agg(F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    twice = found.groupBy("a", "b").agg(F.count("*").alias("copies")).where("copies > 1")
     shared = cut(found.join(twice, ["a", "b"]))
     keys = F.array(
         F.struct(F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("beside")),
         F.struct(F.lit(1).alias("kind"), F.get("before", F.lit(0)).alias("beside")),
         F.struct(F.lit(2).alias("kind"), F.get("on", F.col("n")).alias("beside")))
     by = ["a", "b", "kind", "beside"]
-    keyed = shared.select("*", F.inline(keys)).where("beside is not null")
+    keyed = shared.drop("windows", "copies").select("*", F.inline(keys)).where("beside is not null")
     first = keyed.groupBy(*by).agg(F.min(F.struct("doc_id", "t", "j", "before", "on")).alias("first"), F.count("*").alias("copies"))
     later = keyed.join(first.where("copies > 1"), by).where(
         F.struct("doc_id", "t", "j") != F.struct("first.doc_id", "first.t", "first.j"))
     runs = later.select(
         "doc_id", "t", "j", "n", _equal(F.col("before"), F.col("first.before")).alias("back"),
         _equal(F.col("on"), F.col("first.on")).alias("ahead")).where("ahead >= n")
-    lines = runs.select("doc_id", "t", F.explode(F.sequence(F.col("j") - F.col("back"), F.col("j") + F.col("ahead") - 1)).alias("line"))
-    return lines.distinct().groupBy("doc_id", "t").agg(F.sort_array(F.collect_list("line")).alias("deleted"))
+    runs = runs.select("doc_id", "t", F.struct((F.col("j") - F.col("back")).alias("first"), (F.col("j") + F.col("ahead") - 1).alias("last")).alias("run"))
+    lines = F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"])))
+    return runs.unionByName(_repeated_windows(shared, window)).groupBy("doc_id", "t").agg(F.collect_set("run").alias("runs")).select(
+        "doc_id", "t", F.sort_array(F.array_distinct(lines)).alias("deleted"))
 
 
 def dedup_lines(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> DataFrame:

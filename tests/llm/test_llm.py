@@ -250,6 +250,21 @@ def test_line_dedup_properties(spark, docs):
     assert hit > 50
 
 
+def test_line_dedup_finds_partners_beyond_a_shared_core(spark):
+    rng = random.Random(5)
+    table = []
+    for k in range(0, 300, 10):  # the core S1 S2 stands first beside another line
+        a, x1, x2, s1, s2, y = (" ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(4)) for _ in range(6))
+        more = [" ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(4)) for _ in range(4)]
+        table += [(k, "\n".join([a, x2, s1, s2, y])), (k + 1, "\n".join([x1, x2, s1, s2, y, *more[:2]])), (k + 2, "\n".join([x1, x2, s1, s2, y, *more[2:]]))]
+        w = " ".join(f"v{rng.randrange(10 ** 9)}" for _ in range(16))  # windows that end at a line
+        table += [(k + 3, f"{a}1\n{w}\n{y}1"), (k + 4, f"{a}2\n{w}\nend\n{y}2"), (k + 5, f"{a}3\n{w}\nend\n{y}3")]
+    got = {r["doc_id"]: r["deleted"] for r in rows(line_dedup.dedup_lines(spark.createDataFrame(table, "doc_id bigint, text string")))}
+    for k in range(0, 300, 10):
+        assert got[k] == [] and got[k + 1] == [1, 2, 3, 4] and got[k + 2] == [0, 1, 2, 3, 4], (k, got[k + 1], got[k + 2])
+        assert got[k + 3] == [] and got[k + 4] == [1] and got[k + 5] == [1, 2], k
+
+
 # --- op7
 def _dedup_truth(table):
     drop = {ord(c): None for c in exact_dedup.BLANKS}
