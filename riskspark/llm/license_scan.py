@@ -4,13 +4,13 @@ Every word k-gram of every text is joined, by a rolling-window hash and then
 by its words, to the places of that gram in the templates. A hit of document
 word ``i`` on template word ``j`` votes for the diagonal ``i - j``, the place
 where the template would begin. Votes are aggregated by diagonal as a bit mask
-of template grams. Diagonals up to ``SHIFT`` words apart (a word more or less
-in the text) are merged, and a merged span is verified: the share of the
-template's grams found in it is its coverage, and it may be no longer than
-``STRETCH`` times the template.
+of template grams. A phrase stands where one diagonal has all its grams.
 
-A base phrase stands where one diagonal has all its grams; other templates are
-found at a coverage of ``COVER`` or more. Templates are a fixed, short list,
+Other templates are also found near one. Diagonals up to ``SHIFT`` words apart
+(a word more or less in the text) form a chain; in a chain without a complete
+diagonal, the hits from each hit on that span no more than ``STRETCH`` times
+the template are merged. The share of the template's grams among them is their
+coverage; the chain's best span counts at a coverage of ``COVER`` or more. Templates are a fixed, short list,
 so that side of the join is broadcast; texts are exploded but only hits are
 shuffled.
 
@@ -27,6 +27,7 @@ K = 2
 SHIFT = 3
 STRETCH = 1.5
 COVER = 0.8
+SCALE = 1 << 20  # the longest span in the order of hits; at least the square of its words
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Phrases and labels. At most 63 grams each (the votes' bit mask).
@@ -83,16 +84,25 @@ def spans(votes: DataFrame, templates: DataFrame) -> DataFrame:
     of = F.broadcast(templates.select("template", "label", "base", "grams", "size").distinct())  # as few as templates
     v = votes.join(of, "template")
     v = v.withColumn("full", F.bit_count("mask") == F.col("grams"))
+    key = ["doc_id", "t", "template", "label", "base", "grams", "size", "span"]
     by = Window.partitionBy("doc_id", "t", "template").orderBy("diagonal")
+    chain = Window.partitionBy("doc_id", "t", "template", "span")
     new = F.when(F.col("diagonal") - F.lag("diagonal").over(by) <= SHIFT, 0).otherwise(1)
-    merged = v.where("not base").withColumn("new", new).withColumn("span", F.sum("new").over(by)).groupBy(
-        "doc_id", "t", "template", "label", "base", "grams", "size", "span").agg(
-        F.max("full").alias("exact"), F.bit_or("mask").alias("mask"), F.min("first").alias("first"), F.max("last").alias("last"))
-    exact = v.where("base and full").select(
-        "doc_id", "t", "template", "label", "base", "grams", "size", F.lit(0).cast("bigint").alias("span"), F.col("full").alias("exact"), "mask", "first", "last")
-    both = exact.unionByName(merged).withColumn("coverage", F.bit_count("mask") / F.col("grams"))
-    ok = F.col("base") | ((F.col("coverage") >= COVER) & (F.col("last") + K - F.col("first") <= F.col("size") * STRETCH))
-    return both.where(ok).select("doc_id", "t", "label", "base", "exact", "first", (F.col("last") + (K - 1)).alias("last"), "coverage")
+    chained = v.where("not base").withColumn("new", new).withColumn("span", F.sum("new").over(by)).select(
+        *key, "diagonal", "mask", F.bit_or("mask").over(chain).alias("all"), F.max("full").over(chain).alias("complete"))
+    hits = chained.where(~F.col("complete") & (F.bit_count("all") / F.col("grams") >= COVER)).select(
+        *key, "diagonal", F.explode(F.filter(F.sequence(F.lit(0), F.col("grams") - 1), lambda j: F.getbit("mask", j) == 1)).alias("j")).withColumn("i", F.col("diagonal") + F.col("j"))
+    # a range frame has one length for all templates: words are scaled to it
+    words_on = F.floor(F.col("size") * STRETCH) - K
+    within = chain.orderBy("at").rangeBetween(0, SCALE)
+    near = hits.withColumn("at", F.col("i") * F.floor(F.lit(SCALE) / words_on)).select(
+        *key, "i", F.bit_or(F.expr("shiftleft(1L, j)")).over(within).alias("mask"), F.max("i").over(within).alias("last"))
+    best = F.max(F.struct((F.bit_count("mask") / F.col("grams")).alias("coverage"), (F.col("i") - F.col("last")).alias("shortest"), (-F.col("i")).alias("first")))
+    merged = near.groupBy(*key).agg(best.alias("b")).where(F.col("b.coverage") >= COVER).select(
+        "doc_id", "t", "label", "base", F.lit(False).alias("exact"), (-F.col("b.first")).alias("first"),
+        (-F.col("b.first") - F.col("b.shortest") + (K - 1)).alias("last"), "b.coverage")
+    exact = v.where("full").select("doc_id", "t", "label", "base", F.col("full").alias("exact"), "first", (F.col("last") + (K - 1)).alias("last"), F.lit(1.0).alias("coverage"))
+    return exact.unionByName(merged)
 
 
 def scan(docs: DataFrame, base: list = BASE, own: list = TEMPLATES) -> DataFrame:

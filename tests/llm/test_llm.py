@@ -206,6 +206,21 @@ def test_license_places(spark, docs):
     assert "apache-2.0" in labels[5002] and labels[5005] == "" and all(set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) for r in out)
 
 
+def test_license_notices_after_stray_hits(spark):
+    texts = [("Creative Commons License: Creative Commons Attribution-ShareAlike", "cc-by-sa", 1.0), ("Creative Commons License: Creative Commons Attribution-NonCommercial", "cc-by-nc", 1.0),
+             ("gnu lesser X gnu lesser general public license", "lgpl", 1.0), ("gnu lesser " * 40 + "gnu lesser general public license" + " gnu lesser" * 40, "lgpl", 1.0),
+             ("licensed under x licensed under x licensed under the very apache license version 2 0", "apache-2.0", 6 / 7),
+             ("creative commons attribution creative commons x x x attribution sharealike", "", 0.0), ("gnu lesser " * 40 + "public license", "", 0.0)]
+    d = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "doc_id bigint, text string")
+    for r in rows(license_scan.scan(d)):
+        _, label, score = texts[r["doc_id"]]
+        own = set(filter(None, r["labels"].split(","))) - {"gpl"}
+        assert own == {label} - {""} and r["score"] == pytest.approx(score), r
+    templates = license_scan.template_grams(spark, license_scan.BASE, license_scan.TEMPLATES)
+    found = rows(license_scan.spans(license_scan.diagonals(d, templates), templates).where("label = 'cc-by-sa'"))
+    assert [(r["doc_id"], r["exact"], r["first"], r["last"]) for r in found] == [(0, True, 3, 6)]
+
+
 # --- op6
 def test_line_dedup_properties(spark, docs):
     rng = random.Random(2)
