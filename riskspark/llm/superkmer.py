@@ -63,19 +63,17 @@ def text_key(text: Column, doc_id: Column) -> list[Column]:
     return [F.coalesce(doc_id.cast("bigint"), F.lit(0)).alias("doc"), F.xxhash64(text, doc_id.isNull()).alias("tid")]
 
 
-class Words:
+class Words(dict):
     """Hashes of words, remembered."""
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > _KNOWN:
-            known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        if len(self) > _KNOWN:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def super_kmers(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
