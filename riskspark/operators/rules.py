@@ -185,8 +185,8 @@ def unpivot_pairs(df: DataFrame, ids: Sequence[str], code_fmt: str, flag_fmt: st
         if flag_fmt:
             fields.append(F.col(flag_fmt.format(i)).alias("flag"))
         structs.append(F.struct(*fields))
-    out = df.select(*ids, F.explode(F.array(*structs)).alias("_p")).select(*ids, "_p.*")
-    return out.where(F.col("code").isNotNull() & (F.trim("code") != ""))
+    filled = F.filter(F.array(*structs), lambda p: p["code"].isNotNull() & (F.trim(p["code"]) != ""))
+    return df.select(*ids, F.explode(filled).alias("_p")).select(*ids, "_p.*")
 
 
 def cc_array_from_json(df: DataFrame, list_col: str, out: str = "cc_codes") -> DataFrame:

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators import rules as OR
+from riskspark.operators.intervals import interval_join
+from riskspark.operators.sinks import checkpoint
+from riskspark.sources.records import MAO_004, deal_codes
 from riskspark.sources import reference_data as R
 
 
@@ -80,54 +83,75 @@ def latest_per_key(df: DataFrame, keys, order_cols) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-MAO_CODES = 3
-
-
-def mao_encounters(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """MAO-004-like encounter detail derived from the driver tables (lines
-    with return flag 'A'): member, ICN, service-through date, provider type
-    and three diagnosis code slots in the wide layout."""
-    li = lineitem.where(F.col("l_returnflag") == "A")
-    o = orders.select("o_orderkey", "o_custkey")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-
-    def dx(c):
-        return F.concat(F.lit("D"), F.lpad((c % 40).cast("string"), 3, "0"))
-    return j.select(
-        F.concat(F.lit("E"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"),
-                 F.lit("-"), F.col("l_partkey").cast("string")).alias("icn"),
-        (F.lit(1100000000) + F.col("o_custkey")).alias("member_bid"),
-        F.col("l_shipdate").cast("date").alias("dos_thru"),
-        (F.lit(1) + F.col("l_suppkey") % 3).cast("int").alias("provider_type"),
-        dx(F.col("l_partkey")).alias("diag_code_01"),
-        dx(F.col("l_partkey") + 7).alias("diag_code_02"),
-        dx(F.col("l_suppkey")).alias("diag_code_03"),
-    ).distinct()
-
-
-def mao_matches(enc: DataFrame, header: DataFrame, window_days: int = 30) -> DataFrame:
-    """jn_mao_claims: encounter ⋈ claim on member and provider type with
-    claim_dt ≤ dos_thru ≤ claim_dt + window (bucketed interval join)."""
-    from riskspark.operators.joins import window_join
-    h = header.select("member_bid", F.col("clm_tp_cd").alias("provider_type"), "claim_bid", "claim_dt")
-    e = enc.select("icn", "member_bid", "provider_type", "dos_thru")
-    return window_join(e, h, ["member_bid", "provider_type"], "dos_thru", "claim_dt", -window_days, 0) \
-        .select("icn", "member_bid", "provider_type", "dos_thru", "claim_bid", "claim_dt")
-
-
-def pseudo_claims(enc: DataFrame, header: DataFrame, lines: DataFrame) -> DataFrame:
-    """clm_pseudo_claims: unpivot encounter diagnoses; a diagnosis already on
-    a matched claim is dropped; the rest become pseudo claims (type 5) with
-    the encounter type MATCHED / UNMATCHED."""
-    from riskspark.operators.rules import unpivot_pairs
-    d = unpivot_pairs(enc, ["icn", "member_bid", "dos_thru"], "diag_code_{:02d}", None, MAO_CODES) \
-        .select("icn", "member_bid", "dos_thru", F.col("code").alias("diag_cd")).distinct()
-    m = mao_matches(enc, header)
-    covered = m.select("icn", "claim_bid").join(lines.select("claim_bid", "diag_cd").distinct(), "claim_bid") \
-        .select("icn", "diag_cd").distinct()
-    matched_icn = m.select("icn").distinct().withColumn("_m", F.lit(1))
-    p = d.join(covered, ["icn", "diag_cd"], "left_anti").join(matched_icn, "icn", "left")
+#: What a pseudo claim is called, by whether its encounter matches a claim.
+VISIT_PROVIDER, VISIT_HOME = "Visit – Provider", "Visit – Home Assessment"
+
+
+def mao_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Stand-in for the encounter feed, one row a coded diagnosis: encounters are
+    the lines of an order by supplier group, with their first and last service date."""
+    rows = lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat(F.lit("E"), F.col("l_orderkey").cast("string"), F.lit("-"), (F.col("l_suppkey") % 3).cast("string")).alias("icn"),
+        (F.lit(1100000000) + F.col("o_custkey")).cast("string").alias("mbi"),
+        F.lpad((1 + F.col("l_suppkey") % 3).cast("string"), 2, "0").alias("encounter_type"),
+        F.when(F.col("l_orderkey") % 10 == 0, "D").otherwise("A").alias("allowed_flag"),
+        F.concat(F.lit("D"), F.lpad(((F.col("l_partkey") + 7 * (F.col("l_linenumber") % 2)) % 40).cast("string"), 3, "0")).alias("diag_cd"),
+        F.when(F.col("l_quantity") > 10, "A").otherwise("D").alias("diag_flag"),
+        F.col("l_shipdate").cast("date").alias("dos"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    dates = rows.groupBy("icn").agg(F.min("dos").alias("dos_from"), F.max("dos").alias("dos_thru"))
+    return rows.join(dates, "icn")
+
+
+MAO_KEYS = ["icn", "mbi", "encounter_type", "allowed_flag", "dos_from", "dos_thru"]
+MAO_ORDER = ["l_linenumber", "dos", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+
+
+def mao_records(lines: DataFrame) -> DataFrame:
+    """The feed in its wide layout: an encounter's diagnoses in numbered records of 38 code/flag pairs."""
+    return deal_codes(lines, MAO_KEYS, "diag_cd", "diag_flag", MAO_ORDER, MAO_004)
+
+
+def _numbers(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumns({"member_bid": F.col("mbi").cast("bigint"), "provider_type": F.col("encounter_type").cast("int")}).drop("mbi", "encounter_type")
+
+
+def mao_pairs(records: DataFrame) -> DataFrame:
+    """One row a code/flag pair of the wide records: the encounter's columns, pos, code, flag."""
+    ids = [*MAO_KEYS, *(["record"] if "record" in records.columns else [])]
+    return _numbers(OR.unpivot_pairs(records, ids, MAO_004.code, MAO_004.flag, MAO_004.pairs))
+
+
+def line_pairs(lines: DataFrame) -> DataFrame:
+    """The same rows, without record and pos, from a feed that has one row a diagnosis."""
+    return _numbers(lines.select(*MAO_KEYS, F.col("diag_cd").alias("code"), F.col("diag_flag").alias("flag")))
+
+
+def claim_spans(lines: DataFrame) -> DataFrame:
+    """Each claim's first and last service date, from its lines, and its diagnoses."""
+    return lines.groupBy("claim_bid", "member_bid", F.col("clm_tp_cd").alias("provider_type")).agg(
+        F.min("updated_dt").alias("first_dt"), F.max("updated_dt").alias("last_dt"), F.collect_set("diag_cd").alias("diags"))
+
+
+def mao_matches(pairs: DataFrame, spans: DataFrame) -> DataFrame:
+    """jn_mao_claims: allowed encounters with the claims of the same member and
+    provider type whose service dates hold the encounter's last day."""
+    enc = pairs.where(F.col("allowed_flag") == "A").select("icn", "member_bid", "provider_type", "dos_thru").distinct()
+    return interval_join(enc, spans.drop("diags"), ["member_bid", "provider_type"], "dos_thru", "first_dt", "last_dt")
+
+
+def pseudo_claims(pairs: DataFrame, spans: DataFrame) -> DataFrame:
+    """clm_pseudo_claims: the accepted diagnoses (flag A) of allowed encounters
+    that no matching claim has become pseudo claims (type 5), named by whether
+    the encounter matches a claim at all. Both are questions of existence: the
+    claims' dates are merged per member and type, and per diagnosis."""
+    key = ["member_bid", "provider_type"]
+    dx = pairs.where((F.col("allowed_flag") == "A") & (F.col("flag") == "A")).select(
+        "icn", *key, "dos_thru", F.col("code").alias("diag_cd")).distinct()
+    by_diag = spans.select(*key, "first_dt", "last_dt", F.explode("diags").alias("diag_cd"))
+    left = checkpoint(interval_join(dx, by_diag, [*key, "diag_cd"], "dos_thru", "first_dt", "last_dt", "left_anti"), "pseudo-diagnoses")
+    hit = interval_join(left.select(*key, "dos_thru").distinct(), spans, key, "dos_thru", "first_dt", "last_dt", "left_semi")
+    p = left.join(hit.withColumn("_m", F.lit(1)), [*key, "dos_thru"], "left")
     return p.select("icn", "member_bid", F.lit(5).alias("clm_tp_cd"), F.col("dos_thru").alias("claim_dt"),
                     F.year("dos_thru").alias("risk_year"), "diag_cd",
-                    F.when(F.col("_m") == 1, "MATCHED").otherwise("UNMATCHED").alias("encounter_type"),
-                    F.lit("MAO").alias("dx_source"))
+                    F.when(F.col("_m") == 1, VISIT_PROVIDER).otherwise(VISIT_HOME).alias("encounter_type"),
+                    F.lit("Pseudo claim").alias("dx_source"))

@@ -102,36 +102,42 @@ def clm_risk_member(spark, sf):
                     "covrg_begin_dt", "covrg_end_dt", "institutional_status", "medicaid_status")
 
 
-def _enc_sql():
-    dx = lambda e: f"'D' || lpad(CAST(({e}) % 40 AS VARCHAR), 3, '0')"
-    return f"""SELECT DISTINCT 'E' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) || '-' ||
-    CAST(l.l_partkey AS VARCHAR) AS icn, 1100000000 + o.o_custkey AS member_bid, CAST(l.l_shipdate AS DATE) AS dos_thru,
-    CAST(1 + l.l_suppkey % 3 AS INTEGER) AS provider_type, {dx('l.l_partkey')} AS diag_code_01,
-    {dx('l.l_partkey + 7')} AS diag_code_02, {dx('l.l_suppkey')} AS diag_code_03
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_returnflag = 'A'"""
-
-
-_MAO = [("enc", _enc_sql()),
-        ("mm", """SELECT e.icn, e.member_bid, e.provider_type, e.dos_thru, c.claim_bid, c.claim_dt FROM enc e
-          JOIN claim_header c ON c.member_bid = e.member_bid AND c.clm_tp_cd = e.provider_type
-            AND e.dos_thru BETWEEN c.claim_dt AND c.claim_dt + 30"""),
-        ("ed", """SELECT DISTINCT icn, member_bid, dos_thru, diag_cd FROM (
-          SELECT icn, member_bid, dos_thru, diag_code_01 AS diag_cd FROM enc UNION ALL
-          SELECT icn, member_bid, dos_thru, diag_code_02 FROM enc UNION ALL SELECT icn, member_bid, dos_thru, diag_code_03 FROM enc)"""),
-        ("pseudo", """SELECT d.icn, d.member_bid, 5 AS clm_tp_cd, d.dos_thru AS claim_dt, CAST(year(d.dos_thru) AS INTEGER) AS risk_year,
-          d.diag_cd, CASE WHEN EXISTS (SELECT 1 FROM mm WHERE mm.icn = d.icn) THEN 'MATCHED' ELSE 'UNMATCHED' END AS encounter_type,
-          'MAO' AS dx_source FROM ed d
-          WHERE NOT EXISTS (SELECT 1 FROM mm JOIN claim_line l ON l.claim_bid = mm.claim_bid WHERE mm.icn = d.icn AND l.diag_cd = d.diag_cd)""")]
+def mao_line_sql() -> str:
+    """The encounter feed, one row a coded diagnosis, numbered within its encounter."""
+    return """SELECT *, row_number() OVER (PARTITION BY icn ORDER BY l_linenumber, dos, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS n,
+    min(dos) OVER (PARTITION BY icn) AS dos_from, max(dos) OVER (PARTITION BY icn) AS dos_thru FROM (
+  SELECT 'E' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_suppkey % 3 AS VARCHAR) AS icn, 1100000000 + o.o_custkey AS member_bid,
+    CAST(1 + l.l_suppkey % 3 AS INTEGER) AS provider_type, CASE WHEN l.l_orderkey % 10 = 0 THEN 'D' ELSE 'A' END AS allowed_flag,
+    'D' || lpad(CAST((l.l_partkey + 7 * (l.l_linenumber % 2)) % 40 AS VARCHAR), 3, '0') AS code,
+    CASE WHEN l.l_quantity > 10 THEN 'A' ELSE 'D' END AS flag, CAST(l.l_shipdate AS DATE) AS dos,
+    l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_quantity
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)"""
+
+
+_MAO = [("enc", mao_line_sql()),
+        ("span", """SELECT claim_bid, member_bid, clm_tp_cd AS provider_type, min(updated_dt) AS first_dt, max(updated_dt) AS last_dt
+          FROM claim_line GROUP BY claim_bid, member_bid, clm_tp_cd"""),
+        ("mm", """SELECT e.icn, e.member_bid, e.provider_type, e.dos_thru, c.claim_bid, c.first_dt, c.last_dt
+          FROM (SELECT DISTINCT icn, member_bid, provider_type, dos_thru FROM enc WHERE allowed_flag = 'A') e
+          JOIN span c ON c.member_bid = e.member_bid AND c.provider_type = e.provider_type AND c.first_dt <= e.dos_thru AND c.last_dt >= e.dos_thru"""),
+        ("pseudo", f"""SELECT d.icn, d.member_bid, 5 AS clm_tp_cd, d.dos_thru AS claim_dt, CAST(year(d.dos_thru) AS INTEGER) AS risk_year,
+          d.code AS diag_cd, CASE WHEN EXISTS (SELECT 1 FROM mm WHERE mm.icn = d.icn) THEN '{C.VISIT_PROVIDER}' ELSE '{C.VISIT_HOME}' END AS encounter_type,
+          'Pseudo claim' AS dx_source FROM (SELECT DISTINCT icn, member_bid, dos_thru, code FROM enc WHERE allowed_flag = 'A' AND flag = 'A') d
+          WHERE NOT EXISTS (SELECT 1 FROM mm JOIN claim_line l ON l.claim_bid = mm.claim_bid WHERE mm.icn = d.icn AND l.diag_cd = d.code)""")]
+
+
+def _mao(inp: Inputs):
+    """The encounter feed as pairs (``src_fixed_width`` and ``prj_unpivot_mao`` run the wide layout), the claims' service dates."""
+    return SK.checkpoint(C.line_pairs(C.mao_lines(inp.table("lineitem"), inp.table("orders"))), "mao-pairs"), C.claim_spans(inp.lines())
 
 
 def mao_matches(inp: Inputs):
-    enc = C.mao_encounters(inp.table("lineitem"), inp.table("orders"))
-    return C.mao_matches(enc, inp.header())
+    return C.mao_matches(*_mao(inp))
 
 
 def _pseudo(inp: Inputs):
-    enc = C.mao_encounters(inp.table("lineitem"), inp.table("orders"))
-    return C.pseudo_claims(enc, inp.header(), inp.lines())
+    pairs, spans = _mao(inp)
+    return C.pseudo_claims(pairs, SK.checkpoint(spans, "claim-spans"))
 
 
 @query("clm_pseudo_claims", B.q(["claim_header", "claim_line"], _MAO, B.typed("SELECT * FROM pseudo", ["clm_tp_cd", "risk_year"])))

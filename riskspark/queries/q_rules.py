@@ -11,6 +11,7 @@ from riskspark.operators import rules as OR
 from riskspark.plans import scoring as S
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
+from riskspark.sources.records import MAO_004, deal_codes
 from riskspark.sources import reference as REF
 
 
@@ -270,35 +271,18 @@ def prj_enrollment_split(spark, sf):
         "member_bid", "risk_year", "year_begin_dt", "year_end_dt")
 
 
-_WIDE_N = 7
+LINE_ORDER = ["clm_ln_num", "updated_dt", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
-def _wide_claims(spark, sf):
-    """Claims in a wide MAO-like layout: DIAG_CODE_nn / DIAG_FLAG_nn per line number."""
-    li = Inputs(spark, sf).lines()
-    aggs = []
-    for i in range(1, _WIDE_N + 1):
-        aggs.append(F.max(F.when(F.col("clm_ln_num") == i, F.col("diag_cd"))).alias(f"diag_code_{i:02d}"))
-        aggs.append(F.max(F.when(F.col("clm_ln_num") == i, F.when(F.col("l_quantity") > 25, "A").otherwise("D")))
-                    .alias(f"diag_flag_{i:02d}"))
-    return li.groupBy("claim_bid", "member_bid").agg(*aggs)
-
-
-def _wide_sql():
-    cols = ", ".join(
-        f"max(CASE WHEN clm_ln_num = {i} THEN diag_cd END) AS diag_code_{i:02d}, "
-        f"max(CASE WHEN clm_ln_num = {i} THEN CASE WHEN l_quantity > 25 THEN 'A' ELSE 'D' END END) AS diag_flag_{i:02d}"
-        for i in range(1, _WIDE_N + 1))
-    return f"SELECT claim_bid, member_bid, {cols} FROM claim_line GROUP BY claim_bid, member_bid"
-
-
-@query("prj_unpivot_mao", B.q(["claim_line"], [("wide", _wide_sql())], B.typed(
-    " UNION ALL ".join(f"SELECT claim_bid, member_bid, {i} AS pos, diag_code_{i:02d} AS code, diag_flag_{i:02d} AS flag "
-                       f"FROM wide WHERE diag_code_{i:02d} IS NOT NULL AND trim(diag_code_{i:02d}) <> ''"
-                       for i in range(1, _WIDE_N + 1)), ["pos"])))
+@query("prj_unpivot_mao", B.q(["claim_line"], [], f"""
+SELECT claim_bid, member_bid, n // {MAO_004.pairs} + 1 AS record, n % {MAO_004.pairs} + 1 AS pos, diag_cd AS code, flag FROM (
+  SELECT claim_bid, member_bid, diag_cd, CASE WHEN l_quantity > 25 THEN 'A' ELSE 'D' END AS flag,
+    row_number() OVER (PARTITION BY claim_bid ORDER BY {', '.join(LINE_ORDER)}) - 1 AS n FROM claim_line)"""))
 def prj_unpivot_mao(spark, sf):
-    return OR.unpivot_pairs(_wide_claims(spark, sf), ["claim_bid", "member_bid"],
-                            "diag_code_{:02d}", "diag_flag_{:02d}", _WIDE_N)
+    """Every claim line into the wide layout (38 code/flag pairs a record, the rest in further records) and back."""
+    lines = Inputs(spark, sf).lines().withColumn("flag", F.when(F.col("l_quantity") > 25, "A").otherwise("D"))
+    wide = deal_codes(lines, ["claim_bid", "member_bid"], "diag_cd", "flag", LINE_ORDER, MAO_004)
+    return OR.unpivot_pairs(wide, ["claim_bid", "member_bid", "record"], MAO_004.code, MAO_004.flag, MAO_004.pairs)
 
 
 @query("prj_member_cc_array", B.q(OS.BASE, OS.POP_STEPS, B.typed("""

@@ -17,6 +17,8 @@ from riskspark.queries.common import Inputs
 from riskspark.registry import query
 from riskspark.session import scratch_path
 from riskspark.sources import files as FS
+from riskspark.sources import records as RS
+from riskspark.sources.records import MAO_004
 from riskspark.sources import reference as REF
 
 MEMBER_SCHEMA = T.StructType([
@@ -48,31 +50,22 @@ def src_pipe_txt(spark, sf):
                       F.to_date("b", "yyyyMMdd").alias("covrg_begin_dt"), F.to_date("e", "yyyyMMdd").alias("covrg_end_dt"))
 
 
-# fixed-width detail layout: (name, start, end, type), 0-based start, exclusive end
-MAO_DETAIL = [("icn", 1, 31, "string"), ("member_bid", 31, 43, "bigint"), ("dos_thru", 43, 51, "date"),
-              ("provider_type", 51, 52, "int"), ("diag_code_01", 52, 57, "string"), ("diag_code_02", 57, 62, "string"),
-              ("diag_code_03", 62, 67, "string")]
+def _fixed_oracle():
+    from riskspark.queries.q_claims import mao_line_sql
+    return B.q([], [("enc", mao_line_sql())], B.typed(f"""
+SELECT icn, allowed_flag, dos_from, dos_thru, member_bid, provider_type, n % {MAO_004.pairs} + 1 AS pos, code, flag FROM enc""", ["provider_type"]))
 
 
-def _enc_oracle():
-    from riskspark.queries.q_claims import _enc_sql
-    return B.typed(_enc_sql(), ["provider_type"])
-
-
-@query("src_fixed_width", _enc_oracle())
+@query("src_fixed_width", _fixed_oracle())
 def src_fixed_width(spark, sf):
-    """Header / detail / trailer records routed by their first character;
-    detail fields sliced by position."""
-    from riskspark.operators.sinks import union_all
-    from riskspark.plans.claims import mao_encounters
+    """The encounter feed as a fixed-width file (header, details of 38 code/flag
+    pairs, trailer with the count), read back by the layout: one row a pair."""
+    from riskspark.plans import claims as C
     inp = Inputs(spark, sf)
-    enc = mao_encounters(inp.table("lineitem"), inp.table("orders"))
+    records = C.mao_records(C.mao_lines(inp.table("lineitem"), inp.table("orders")))
     path = scratch_path(spark, "mao_fixed")
-    detail = FS.to_fixed_width(enc, MAO_DETAIL, "D")
-    header = enc.limit(1).select(F.lit("H").alias("value"))
-    trailer = enc.agg(F.count(F.lit(1)).alias("n")).select(F.concat(F.lit("T"), F.lpad(F.col("n").cast("string"), 12, "0")).alias("value"))
-    union_all([header, detail, trailer]).write.text(path)
-    return FS.load_fixed_width(spark, path, MAO_DETAIL, "D")
+    RS.write_records(records, path, MAO_004, {"report_id": F.lit("MAO004"), "contract_id": F.lit("H0001")})
+    return C.mao_pairs(RS.read_records(spark, path, MAO_004))
 
 
 @query("src_table", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000""")
