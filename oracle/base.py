@@ -158,6 +158,14 @@ def _mr():
                    "exclusion_cd": "VARCHAR"})
 
 
+@cte("method_rules_v24")
+def _mr24():
+    return values(R.METHOD_RULES_V24, "method_id, program, claim_cd_type, claim_cd, modifier_type, "
+                  "modifier_cd, cc_id, exclusion_type, exclusion_cd, qualified_claim",
+                  {"modifier_type": "VARCHAR", "modifier_cd": "VARCHAR", "exclusion_type": "VARCHAR",
+                   "exclusion_cd": "VARCHAR"})
+
+
 @cte("code_groups")
 def _cg():
     return values(R.CODE_GROUPS, "claim_cd_type, group_cd, code")
@@ -180,7 +188,7 @@ def _mp():
 
 @cte("prior_year")
 def _py():
-    return values(R.prior_year_rows(), "last_bound, freq_min, freq_max, weight")
+    return values(R.prior_year_rows(), "last_bound, freq_min, freq_max, weight", {"last_bound": "INTEGER"})
 
 
 @cte("qualifying_procedures")

@@ -55,7 +55,7 @@ STEPS = OS.POP_STEPS + [
         c.persistent_status, c.suspect_status, c.persistent_status_reason, c.duration,
         CASE WHEN c.suspect_status = 'Open Suspect' THEN py.weight END AS confidence_factor
       FROM cls2 c LEFT JOIN prior_year py ON c.suspect_status = 'Open Suspect'
-        AND py.last_bound = CAST(ceil(c.duration / 30) * 30 AS INTEGER) AND c.frequency >= py.freq_min AND (c.frequency <= py.freq_max OR py.freq_max = 999)
+        AND py.last_bound IS NOT DISTINCT FROM (SELECT min(b.last_bound) FROM prior_year b WHERE b.last_bound >= c.duration) AND c.frequency >= py.freq_min AND (c.frequency <= py.freq_max OR py.freq_max = 999)
       UNION ALL SELECT member_bid, risk_year, hcc, prior_year, claim_bid, claim_dt, diag_cd, frequency, relation,
         persistent_status, suspect_status, persistent_status_reason, duration, CAST(NULL AS DOUBLE) FROM newc"""),
 ]

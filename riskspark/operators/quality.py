@@ -11,10 +11,13 @@ from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Observation
 from pyspark.sql import types as T
 
+from riskspark.session import scratch_path
+
 
 def one1(a: DataFrame, b: DataFrame) -> DataFrame:
     """Attach a single-row aggregate ``b`` to every row of ``a`` (equi join on a
@@ -180,13 +183,41 @@ def cached(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def step_log(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """dq_step_log: rows in / out / change % per pipeline step, as one plan
-    (a count aggregate per step, unioned) instead of eager counts in the job."""
-    counts = [df.agg(F.count(F.lit(1)).alias("rows_out")).select(F.lit(i).alias("step_no"), F.lit(n).alias("step"), "rows_out")
-              for i, (n, df) in enumerate(steps)]
-    u = reduce(lambda a, b: a.unionByName(b), counts)
-    prev = u.select((F.col("step_no") + 1).alias("step_no"), F.col("rows_out").alias("rows_in"))
-    j = u.join(prev, "step_no", "left")
-    return j.select("step_no", "step", "rows_in", "rows_out",
-                    F.round((F.col("rows_out") - F.col("rows_in")) * 100.0 / F.col("rows_in"), 4).alias("change_pct"))
+class StepLog:
+    """dq_step_log: rows in / out / change % per pipeline step, taken from the
+    pipeline's own run by Spark's observed metrics: no count job, no cache."""
+
+    def __init__(self) -> None:
+        self._steps: list[tuple[str, Observation]] = []
+
+    def step(self, name: str, df: DataFrame) -> DataFrame:
+        """``df``, observed; the count is known once a job has run through it to the end."""
+        seen = Observation(f"step-{len(self._steps)}-{name}")
+        self._steps.append((name, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows_out"))
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """step_no, step, rows_in, rows_out, change_pct: one row a step."""
+        rows, before = [], None
+        for i, (name, seen) in enumerate(self._steps):
+            n = seen.get["rows_out"]
+            rows.append((i, name, before, n, None if not before else (n - before) * 100.0 / before))
+            before = n
+        out = spark.createDataFrame(rows, "step_no int, step string, rows_in bigint, rows_out bigint, change_pct double")
+        return out.withColumn("change_pct", F.round("change_pct", 4))
+
+
+def quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Splits rows in one pass: (accepted, rejected). ``rules`` maps a reason code
+    to the condition of a valid row (null counts as not met). Rejected rows have
+    ``reasons``, the sorted codes of all rules they break. Both sides are written
+    by the one job that tags the rows, so the input is read once and the rejected
+    rows stay as files whatever becomes of the run that goes on with the others."""
+    broken = F.array_sort(F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(code)) for code, ok in rules.items()])))
+    path = scratch_path(df.sparkSession, "quarantine")
+    tagged = df.withColumn("reasons", broken)
+    tagged.withColumn("_side", F.when(F.size("reasons") == 0, "accepted").otherwise("rejected")) \
+        .write.partitionBy("_side").parquet(path)
+    back = df.sparkSession.read.schema(tagged.schema.add("_side", "string")).parquet(path)
+    accepted, rejected = (back.where(F.col("_side") == side).drop("_side") for side in ("accepted", "rejected"))
+    return accepted.drop("reasons"), rejected

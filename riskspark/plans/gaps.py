@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark import functions as RF
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.sources import reference_data as R
 
-GAP_KEY = ["member_bid", "risk_year", "cc_code"]
-DRAFT_COLS = ["member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", "claim_type",
+#: Rules, codes and categories of several model versions go through one plan; the version is part of every key.
+GAP_KEY = ["version", "member_bid", "risk_year", "cc_code"]
+DRAFT_COLS = ["version", "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", "claim_type",
               "claim_cd_type", "claim_cd", "cc_id", "cc_code", "qualified_claim", "qualify_claims"]
 
 
@@ -47,7 +49,7 @@ def m1_pharmacy(pharmacy: DataFrame, rules: DataFrame) -> DataFrame:
     r = rules_inclusion(rules, 1).where(F.col("claim_cd_type") == "NDC")
     j = pharmacy.join(F.broadcast(r), pharmacy["prod_serv_id_cd"] == r["claim_cd"])
     return _draft(j.select(
-        "member_bid", F.year("serv_dt").alias("risk_year"), "method_id", "claim_bid",
+        "version", "member_bid", F.year("serv_dt").alias("risk_year"), "method_id", "claim_bid",
         F.col("serv_dt").alias("claim_dt"), F.lit(4).alias("claim_type"), "claim_cd_type", "claim_cd",
         "cc_id", "qualified_claim", F.lit("Y").alias("qualify_claims")))
 
@@ -70,7 +72,7 @@ def any_code_join(claims: DataFrame, rules: DataFrame) -> DataFrame:
 
 def _claim_draft(j: DataFrame) -> DataFrame:
     return _draft(j.select(
-        "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt",
+        "version", "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt",
         F.col("clm_tp_cd").alias("claim_type"), "claim_cd_type", "claim_cd", "cc_id",
         "qualified_claim", "qualify_claims"))
 
@@ -121,13 +123,13 @@ def lookback_exclusion(triggers: DataFrame, claims: DataFrame, groups: DataFrame
           .join(F.broadcast(g), "code")
           .select("member_bid", "exclusion_cd", F.col("code").alias("excl_diag_cd"), "excl_dt").distinct()
           .withColumn("_b", F.floor(_day("excl_dt") / width)))
-    t = triggers.withColumn("_tid", F.xxhash64(*triggers.columns))
-    tb = t.select("_tid", "member_bid", "exclusion_cd", "claim_dt",
-                  F.explode(F.array(F.floor(_day("claim_dt") / width), F.floor(_day("claim_dt") / width) - 1)).alias("_b"))
-    hits = (tb.join(ev, ["member_bid", "exclusion_cd", "_b"])
+    asked = ["member_bid", "exclusion_cd", "claim_dt"]  # all that the answer depends on
+    probe = triggers.select(*asked).distinct().withColumn(
+        "_b", F.explode(F.array(F.floor(_day("claim_dt") / width), F.floor(_day("claim_dt") / width) - 1)))
+    hits = (probe.join(ev, ["member_bid", "exclusion_cd", "_b"])
             .where(F.datediff("claim_dt", "excl_dt").between(0, days))
-            .groupBy("_tid").agg(F.min("excl_diag_cd").alias("excl_diag_cd"), F.min("excl_dt").alias("excl_dt")))
-    return t.join(hits, "_tid", "left").withColumn("excluded", F.col("excl_dt").isNotNull().cast("int")).drop("_tid")
+            .groupBy(*asked).agg(F.min("excl_diag_cd").alias("excl_diag_cd"), F.min("excl_dt").alias("excl_dt")))
+    return triggers.join(hits, asked, "left").withColumn("excluded", F.col("excl_dt").isNotNull().cast("int"))
 
 
 def m10_scenario_triggers(claims: DataFrame, rules: DataFrame, with_modifier: bool) -> DataFrame:
@@ -135,7 +137,7 @@ def m10_scenario_triggers(claims: DataFrame, rules: DataFrame, with_modifier: bo
                     & F.col("exclusion_cd").isNotNull())
     r = r.where(F.col("modifier_cd").isNotNull() if with_modifier else F.col("modifier_cd").isNull())
     return claims.join(F.broadcast(r), claims["cpt_cd"] == r["claim_cd"]).select(
-        "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt",
+        "version", "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt",
         F.col("clm_tp_cd").alias("claim_type"), "claim_cd_type", "claim_cd", "cc_id",
         "qualified_claim", "qualify_claims", "modifier_cd", "exclusion_cd").distinct()
 
@@ -164,7 +166,7 @@ def code_matches(claims: DataFrame, rules: DataFrame, method_ids=(2, 10)) -> Dat
     exploded = claims.select("member_bid", "risk_year", "claim_bid", "claim_dt", "clm_tp_cd", "qualify_claims",
                              F.explode(F.array(*pairs)).alias("_p")).select("*", "_p.*").drop("_p")
     r = rules.where(F.col("method_id").isin(*method_ids) & (F.col("program") == "CMS"))
-    r = r.select("method_id", "claim_cd_type", F.col("claim_cd").alias("code"), "claim_cd", "cc_id", "qualified_claim",
+    r = r.select("version", "method_id", "claim_cd_type", F.col("claim_cd").alias("code"), "claim_cd", "cc_id", "qualified_claim",
                  "modifier_cd", "exclusion_cd")
     return exploded.join(F.broadcast(r), ["claim_cd_type", "code"]).drop("code")
 
@@ -178,7 +180,7 @@ def all_methods(claims: DataFrame, pharmacy: DataFrame, rules: DataFrame, groups
     scenarios go through one modifier semi join (scenario 1 only) and one
     look-back exclusion."""
     m = code_matches(claims, rules)
-    draft_cols = ["member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", F.col("clm_tp_cd").alias("claim_type"),
+    draft_cols = ["version", "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt", F.col("clm_tp_cd").alias("claim_type"),
                   "claim_cd_type", "claim_cd", "cc_id", "qualified_claim", "qualify_claims"]
     incl = m.where(F.col("modifier_cd").isNull() & F.col("exclusion_cd").isNull())
     m2 = _draft(incl.where(F.col("method_id") == 2).select(*draft_cols)).distinct()
@@ -206,18 +208,18 @@ def with_create_flag(draft: DataFrame) -> DataFrame:
 def member_gaps(draft: DataFrame) -> DataFrame:
     """Distinct "Create Gap" rows per member, year, method and code."""
     return (with_create_flag(draft).where(F.col("draft_status") == "Create Gap")
-            .select("member_bid", "risk_year", "method_id", "cc_id", "cc_code").distinct())
+            .select("version", "member_bid", "risk_year", "method_id", "cc_id", "cc_code").distinct())
 
 
-def suppression1(gaps: DataFrame, hierarchy_pairs: DataFrame, version: str = "v28") -> DataFrame:
+def suppression1(gaps: DataFrame, hierarchy_pairs: DataFrame) -> DataFrame:
     """gap_suppress1: a child is suppressed by a parent gap **in the same
     method**; ``suppressed_by_parent`` = min parent code."""
-    h = hierarchy_pairs.where(F.col("version") == version).select("parent", "child")
-    par = gaps.select("member_bid", "risk_year", "method_id", F.col("cc_id").alias("parent")) \
-        .join(F.broadcast(h), "parent") \
-        .groupBy("member_bid", "risk_year", "method_id", F.col("child").alias("cc_id")) \
+    h = hierarchy_pairs.select("version", "parent", "child")
+    par = gaps.select("version", "member_bid", "risk_year", "method_id", F.col("cc_id").alias("parent")) \
+        .join(broadcast_if_small(h), ["version", "parent"]) \
+        .groupBy("version", "member_bid", "risk_year", "method_id", F.col("child").alias("cc_id")) \
         .agg(F.min("parent").alias("_p"))
-    out = gaps.join(par, ["member_bid", "risk_year", "method_id", "cc_id"], "left")
+    out = gaps.join(par, ["version", "member_bid", "risk_year", "method_id", "cc_id"], "left")
     return out.withColumn("suppression1_yn", F.when(F.col("_p").isNotNull(), "Y").otherwise("N")) \
         .withColumn("suppressed_by_parent", F.when(F.col("_p").isNotNull(), RF.cc_code("_p"))).drop("_p")
 
@@ -225,32 +227,31 @@ def suppression1(gaps: DataFrame, hierarchy_pairs: DataFrame, version: str = "v2
 def match_existing(gaps: DataFrame, member_hcc: DataFrame) -> DataFrame:
     """jn_member_existing_cc: ``matching_yn`` = the code is already coded for
     the member in the year (left join on a distinct right side + flag)."""
-    m = member_hcc.select("member_bid", "risk_year", F.col("hcc").alias("cc_id"), F.lit("Y").alias("_m")).distinct()
-    return gaps.join(m, ["member_bid", "risk_year", "cc_id"], "left") \
+    m = member_hcc.select("version", "member_bid", "risk_year", F.col("hcc").alias("cc_id"), F.lit("Y").alias("_m")).distinct()
+    return gaps.join(m, ["version", "member_bid", "risk_year", "cc_id"], "left") \
         .withColumn("matching_yn", F.coalesce("_m", F.lit("N"))).drop("_m")
 
 
-def suppression2(gaps: DataFrame, member_hcc: DataFrame, hierarchy_pairs: DataFrame,
-                 version: str = "v28") -> DataFrame:
+def suppression2(gaps: DataFrame, member_hcc: DataFrame, hierarchy_pairs: DataFrame) -> DataFrame:
     """gap_suppress2: a not-yet-suppressed gap whose parent is among the
     member's coded conditions (left semi on member, year, parent)."""
-    h = hierarchy_pairs.where(F.col("version") == version).select("parent", "child")
-    coded_parent = member_hcc.select("member_bid", "risk_year", F.col("hcc").alias("parent")).distinct() \
-        .join(F.broadcast(h), "parent").select("member_bid", "risk_year", F.col("child").alias("cc_id"), "parent") \
-        .groupBy("member_bid", "risk_year", "cc_id").agg(F.min("parent").alias("_p2"))
-    out = gaps.join(coded_parent, ["member_bid", "risk_year", "cc_id"], "left")
+    h = hierarchy_pairs.select("version", "parent", "child")
+    coded_parent = member_hcc.select("version", "member_bid", "risk_year", F.col("hcc").alias("parent")).distinct() \
+        .join(broadcast_if_small(h), ["version", "parent"]).select("version", "member_bid", "risk_year", F.col("child").alias("cc_id"), "parent") \
+        .groupBy("version", "member_bid", "risk_year", "cc_id").agg(F.min("parent").alias("_p2"))
+    out = gaps.join(coded_parent, ["version", "member_bid", "risk_year", "cc_id"], "left")
     s2 = (F.col("suppression1_yn") == "N") & F.col("_p2").isNotNull()
     return out.withColumn("suppression2_yn", F.when(s2, "Y").otherwise("N")) \
         .withColumn("suppressed_by_coded", F.when(s2, RF.cc_code("_p2"))).drop("_p2")
 
 
-def cross_suppression(gaps: DataFrame, hierarchy_pairs: DataFrame, version: str = "v28") -> DataFrame:
+def cross_suppression(gaps: DataFrame, hierarchy_pairs: DataFrame) -> DataFrame:
     """gap_suppress_cross: an Open Suspect gap is suppressed by a parent gap of
     any method that is not itself Open Non Suspect; other rows pass."""
-    h = hierarchy_pairs.where(F.col("version") == version).select("parent", "child")
-    par = gaps.where(F.col("gap_status") != "Open Non Suspect").select("member_bid", "risk_year", F.col("cc_id").alias("parent")) \
-        .join(F.broadcast(h), "parent").select("member_bid", "risk_year", F.col("child").alias("cc_id")).distinct()
-    j = gaps.join(par.withColumn("_x", F.lit(1)), ["member_bid", "risk_year", "cc_id"], "left")
+    h = hierarchy_pairs.select("version", "parent", "child")
+    par = gaps.where(F.col("gap_status") != "Open Non Suspect").select("version", "member_bid", "risk_year", F.col("cc_id").alias("parent")) \
+        .join(broadcast_if_small(h), ["version", "parent"]).select("version", "member_bid", "risk_year", F.col("child").alias("cc_id")).distinct()
+    j = gaps.join(par.withColumn("_x", F.lit(1)), ["version", "member_bid", "risk_year", "cc_id"], "left")
     return j.withColumn("cross_suppressed", F.when((F.col("gap_status") == "Open Suspect") & F.col("_x").isNotNull(), "Y").otherwise("N")).drop("_x")
 
 
@@ -270,7 +271,10 @@ def suppressed_gaps(claims, pharmacy, rules, groups, hierarchy_pairs, member_hcc
 
 
 def statuses_from_draft(draft: DataFrame, hierarchy_pairs: DataFrame, member_hcc: DataFrame) -> DataFrame:
-    g = member_gaps(draft)
+    return statuses_from_gaps(member_gaps(draft), hierarchy_pairs, member_hcc)
+
+
+def statuses_from_gaps(g: DataFrame, hierarchy_pairs: DataFrame, member_hcc: DataFrame) -> DataFrame:
     g = suppression1(g, hierarchy_pairs)
     g = match_existing(g, member_hcc)
     g = suppression2(g, member_hcc, hierarchy_pairs)
@@ -282,7 +286,7 @@ def frequency_confidence(draft: DataFrame, freq: DataFrame, default_w: DataFrame
     (ties by claim id) + distinct-claim count; if the count equals the
     reference frequency of the rule use its weight, else the method default."""
     d = with_create_flag(draft).where(F.col("draft_status") == "Create Gap")
-    key = ["member_bid", "risk_year", "method_id", "cc_code"]
+    key = ["version", "member_bid", "risk_year", "method_id", "cc_code"]
     w = Window.partitionBy(*key).orderBy("claim_dt", "claim_bid", "claim_cd")
     first = d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     cnt = d.groupBy(*key).agg(F.countDistinct("claim_bid").alias("frequency"))
@@ -298,7 +302,7 @@ def frequency_confidence(draft: DataFrame, freq: DataFrame, default_w: DataFrame
 def method_confidence(scored: DataFrame) -> DataFrame:
     """agg_method_confidence: max confidence per member/year/code/method with
     the representative (oldest) claim picked by a total order."""
-    key = ["member_bid", "risk_year", "cc_code", "method_id"]
+    key = ["version", "member_bid", "risk_year", "cc_code", "method_id"]
     return scored.groupBy(*key).agg(
         F.max("confidence_factor").alias("method_confidence"),
         F.min_by("claim_bid", F.struct("claim_dt", "claim_bid")).alias("claim_bid"),
@@ -308,7 +312,7 @@ def method_confidence(scored: DataFrame) -> DataFrame:
 def combined_confidence(method_conf: DataFrame) -> DataFrame:
     """agg_combined_confidence: 1 − Π(1 − c) over distinct methods (noisy-OR);
     nulls dropped, all-null → 0.0 (D9)."""
-    return method_conf.groupBy("member_bid", "risk_year", "cc_code").agg(
+    return method_conf.groupBy(*GAP_KEY).agg(
         F.round(RF.noisy_or(F.collect_list("method_confidence")), 6).alias("combined_confidence"),
         F.array_join(F.array_sort(F.collect_set(F.col("method_id").cast("string"))), ",").alias("methods"),
         F.countDistinct("method_id").alias("n_methods"))
@@ -322,7 +326,7 @@ def m4_persistent(status: DataFrame, default_weight: float = 0.75) -> DataFrame:
     s = status.where(F.col("suspect_status").isNotNull())
     is_open = F.col("suspect_status") == "Open Suspect"
     return s.select(
-        "member_bid", "risk_year", F.lit(4).alias("method_id"), "claim_bid", F.col("claim_dt"),
+        "version", "member_bid", "risk_year", F.lit(4).alias("method_id"), "claim_bid", F.col("claim_dt"),
         F.lit(None).cast("int").alias("claim_type"), F.lit("PERSISTENCE").alias("claim_cd_type"),
         F.col("diag_cd").alias("claim_cd"), F.col("hcc").alias("cc_id"), RF.cc_code("hcc").alias("cc_code"),
         F.lit(0).alias("qualified_claim"), F.lit("Y").alias("qualify_claims"),
@@ -343,3 +347,25 @@ def method_consensus(method_gaps: DataFrame, priority: DataFrame, n_methods_tota
         F.min(F.struct("priority", "method_id"))["method_id"].alias("primary_method"))
     agg = agg.withColumn("consensus", F.col("n_methods") / F.lit(float(n_methods_total)))
     return agg.where(F.col("consensus") >= keep_at)
+
+
+def gap_interactions(gaps: DataFrame, coded: DataFrame, pair_rules: DataFrame) -> DataFrame:
+    """Pair interactions that open gaps bring about: both codes of a rule are
+    among the member's open gaps and coded categories of a version and year, at
+    least one of them a gap. A gap counts with its confidence, a coded category
+    with 1 (it wins where a code is both). One aggregate per member and rule,
+    no self join: the codes a rule does not name never leave the first join.
+
+    ``gaps``: version, member_bid, risk_year, cc_id, combined_confidence;
+    ``coded``: version, member_bid, risk_year, hcc."""
+    key = ["version", "member_bid", "risk_year"]
+    both = gaps.select(*key, F.col("cc_id").alias("hcc"), F.col("combined_confidence").alias("_c"), F.lit(1).alias("_gap")) \
+        .unionByName(coded.select(*key, "hcc").distinct().withColumns({"_c": F.lit(1.0), "_gap": F.lit(0)}))
+    side = [pair_rules.select("interaction_name", "score", F.col(c).alias("hcc"), F.lit(i).alias("_side")) for i, c in ((1, "hcc1"), (2, "hcc2"))]
+    tagged = both.join(broadcast_if_small(side[0].unionByName(side[1])), "hcc")
+    one = tagged.groupBy(*key, "interaction_name", "score", "_side").agg(F.min_by(F.struct("_c", "_gap"), F.struct("_gap", (-F.col("_c")).alias("c"))).alias("_b"))
+    pair = one.groupBy(*key, "interaction_name", "score").agg(
+        F.count("*").alias("_n"), F.max("_b._gap").alias("_any"), F.min(F.when(F.col("_side") == 1, F.col("_b._c"))).alias("_c1"),
+        F.min(F.when(F.col("_side") == 2, F.col("_b._c"))).alias("_c2"))
+    return pair.where("_n = 2 AND _any = 1").select(
+        *key, "interaction_name", "score", F.round(F.col("_c1") * F.col("_c2"), 6).alias("confidence"))

@@ -3,21 +3,25 @@ years are coded again this year, which are suspected, and with which
 confidence.
 
 All risk years are processed at once — the year is a join column, never a
-driver loop: each prior row is exploded to the ≤ n target years it informs.
-Frequencies are distinct claims counted on the raw rows **before** the
-latest-row dedupe (D11). Hierarchy relations are equi joins through the
+driver loop: each prior state is expanded to the ≤ n target years it informs.
+Frequencies are distinct claims of the raw rows, newest claims a total order
+(D11); both are kept as one mergeable state per member, year and code. Hierarchy relations are equi joins through the
 broadcast (parent, child) table, never a prior × current cross product.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.operators.joins import broadcast_if_small
+
 PRIOR_YEARS = 2
+OPEN_BOUND = 2 ** 31 - 1
 OPEN_FREQUENCY = 999  # the highest band of the lookup has no upper bound
-M = ["member_bid", "risk_year"]
-KEY = ["member_bid", "risk_year", "hcc"]
+#: The model version is part of every key: several versions go through one plan.
+M = ["version", "member_bid", "risk_year"]
+KEY = [*M, "hcc"]
 
 
 def chronic_source(claim_hcc: DataFrame, chronic: DataFrame) -> DataFrame:
@@ -25,30 +29,35 @@ def chronic_source(claim_hcc: DataFrame, chronic: DataFrame) -> DataFrame:
     return claim_hcc.join(F.broadcast(chronic.select("hcc")), "hcc", "left_semi")
 
 
-def latest_with_frequency(rows: DataFrame, key) -> DataFrame:
-    """win_frequency → win_latest: distinct claims per key on the raw rows,
-    then the newest row per key (claim date, claim id, code: a total order)."""
-    key = list(key)
-    w = Window.partitionBy(*key)
-    first_of_claim = F.row_number().over(Window.partitionBy(*key, "claim_bid").orderBy("claim_dt", "diag_cd"))
-    r = rows.withColumn("_fc", F.when(first_of_claim == 1, 1).otherwise(0))
-    r = r.withColumn("frequency", F.sum("_fc").over(w)).withColumn("last_claim_dt", F.max("claim_dt").over(w))
-    lw = Window.partitionBy(*key).orderBy(F.col("claim_dt").desc(), F.col("claim_bid").desc(), F.col("diag_cd").desc())
-    return r.withColumn("_rn", F.row_number().over(lw)).where(F.col("_rn") == 1).drop("_rn", "_fc")
+def code_years(rows: DataFrame) -> DataFrame:
+    """The state of a code in a year, one row per member, year and code: the
+    number of its claims and the newest of them (claim date, claim id, code: a
+    total order). States merge: counts add up (a claim has one risk year, its
+    header's) and the newest of the newest is the newest."""
+    claims = rows.groupBy(*KEY, "claim_bid").agg(F.max(F.struct("claim_dt", "diag_cd")).alias("c"))
+    return claims.groupBy(*KEY).agg(
+        F.count("*").alias("frequency"), F.max(F.struct("c.claim_dt", "claim_bid", "c.diag_cd")).alias("latest"))
+
+
+def _newest(state: DataFrame) -> DataFrame:
+    return state.select("*", "latest.*").drop("latest")
 
 
 def prior_filter(src: DataFrame, years: DataFrame, n: int = PRIOR_YEARS) -> DataFrame:
-    """per_prior_filter: rows of the last n years before each target year of
-    ``years`` (risk_year: one row per year of the time-period table)."""
-    e = src.withColumnRenamed("risk_year", "prior_year").withColumn(
+    """per_prior_filter: what the last n years before each target year of
+    ``years`` (risk_year: one row per year of the time-period table) say of a
+    code. Claims are reduced to one state a year first; only states are
+    expanded to the target years and merged there."""
+    state = code_years(src).withColumnRenamed("risk_year", "prior_year").withColumn(
         "risk_year", F.explode(F.sequence(F.col("prior_year") + 1, F.col("prior_year") + n)))
-    e = e.join(F.broadcast(years.select("risk_year").distinct()), "risk_year", "left_semi")
-    return latest_with_frequency(e, KEY)
+    state = state.join(broadcast_if_small(years.select("risk_year").distinct()), "risk_year", "left_semi")
+    newest = F.struct("latest.claim_dt", "latest.claim_bid", "latest.diag_cd", "prior_year")
+    return _newest(state.groupBy(*KEY).agg(F.sum("frequency").alias("frequency"), F.max(newest).alias("latest")))
 
 
 def current_filter(claim_hcc: DataFrame) -> DataFrame:
-    """per_current_filter: latest row per member, year and code of the year itself."""
-    return latest_with_frequency(claim_hcc, KEY)
+    """per_current_filter: the newest claim per member, year and code of the year itself."""
+    return _newest(code_years(claim_hcc))
 
 
 def year_codes(claim_hcc: DataFrame) -> DataFrame:
@@ -57,16 +66,16 @@ def year_codes(claim_hcc: DataFrame) -> DataFrame:
 
 def suppressed_in_year(codes: DataFrame, hier: DataFrame) -> DataFrame:
     """(member, year, child) whose parent is coded in the same year; min parent."""
-    h = hier.select("parent", "child")
-    return codes.withColumnRenamed("hcc", "parent").join(F.broadcast(h), "parent") \
-        .groupBy("member_bid", "risk_year", F.col("child").alias("hcc")).agg(F.min("parent").alias("suppressed_by"))
+    h = hier.select("version", "parent", "child")
+    return codes.withColumnRenamed("hcc", "parent").join(broadcast_if_small(h), ["version", "parent"]) \
+        .groupBy(*M, F.col("child").alias("hcc")).agg(F.min("parent").alias("suppressed_by"))
 
 
 def suppress_prior(prior: DataFrame, codes: DataFrame, hier: DataFrame):
     """per_suppress_prior: (kept, removed) — a prior row is removed when its
     parent is coded in the same prior year it comes from."""
     sup = suppressed_in_year(codes, hier).withColumnRenamed("risk_year", "prior_year")
-    j = prior.join(sup, ["member_bid", "prior_year", "hcc"], "left")
+    j = prior.join(sup, ["version", "member_bid", "prior_year", "hcc"], "left")
     return j.where(F.col("suppressed_by").isNull()).drop("suppressed_by"), j.where(F.col("suppressed_by").isNotNull())
 
 
@@ -82,13 +91,13 @@ def prior_current_relation(prior: DataFrame, codes: DataFrame, hier: DataFrame)
     relation to the current year's codes — SAME, CHILD_CODED (a child of the
     prior code is coded), PARENT_CODED — via member-level equi joins through
     the broadcast hierarchy."""
-    h = hier.select("parent", "child")
+    h = broadcast_if_small(hier.select("version", "parent", "child"))
     p = prior.select(*KEY).distinct()
     same = p.join(codes, KEY).select(*KEY, F.col("hcc").alias("current_hcc"), F.lit("SAME").alias("relation"))
-    child = p.join(F.broadcast(h), p["hcc"] == h["parent"]).select(*M, "hcc", F.col("child").alias("current_hcc")) \
+    child = p.join(h.withColumnRenamed("parent", "hcc"), ["version", "hcc"]).select(*M, "hcc", F.col("child").alias("current_hcc")) \
         .join(codes.withColumnRenamed("hcc", "current_hcc"), M + ["current_hcc"]) \
         .withColumn("relation", F.lit("CHILD_CODED"))
-    par = p.join(F.broadcast(h), p["hcc"] == h["child"]).select(*M, "hcc", F.col("parent").alias("current_hcc")) \
+    par = p.join(h.withColumnRenamed("child", "hcc"), ["version", "hcc"]).select(*M, "hcc", F.col("parent").alias("current_hcc")) \
         .join(codes.withColumnRenamed("hcc", "current_hcc"), M + ["current_hcc"]) \
         .withColumn("relation", F.lit("PARENT_CODED"))
     return same.unionByName(child).unionByName(par)
@@ -119,8 +128,8 @@ def classify(prior: DataFrame, codes: DataFrame, hier: DataFrame) -> DataFrame:
     best = rel.groupBy(*KEY).agg(F.min(F.struct(pr.alias("p"), "relation", "current_hcc")).alias("b")) \
         .select(*KEY, F.col("b.relation").alias("relation"), F.col("b.current_hcc").alias("current_hcc"))
     sup = suppressed_in_year(codes, hier).withColumnRenamed("risk_year", "prior_year").select(
-        "member_bid", "prior_year", "hcc", F.lit(1).alias("_ps"))
-    j = prior.join(best, KEY, "left").join(sup, ["member_bid", "prior_year", "hcc"], "left")
+        "version", "member_bid", "prior_year", "hcc", F.lit(1).alias("_ps"))
+    j = prior.join(best, KEY, "left").join(sup, ["version", "member_bid", "prior_year", "hcc"], "left")
     rel_final = F.coalesce(F.col("relation"), F.when(F.col("_ps") == 1, "PRIOR_SUPPRESSED"), F.lit("NONE"))
     j = j.withColumn("relation", rel_final).drop("_ps")
     return j.withColumn("persistent_status", _from_map("relation", 0)) \
@@ -130,9 +139,9 @@ def classify(prior: DataFrame, codes: DataFrame, hier: DataFrame) -> DataFrame:
 
 def new_codes(current: DataFrame, prior_codes: DataFrame, hier: DataFrame) -> DataFrame:
     """Rule 6: current code never seen in the prior years, nor any parent of it."""
-    h = hier.select("parent", "child")
+    h = broadcast_if_small(hier.select("version", "parent", "child"))
     seen = prior_codes.select(*KEY)
-    seen_parent = prior_codes.select(*M, F.col("hcc").alias("parent")).join(F.broadcast(h), "parent") \
+    seen_parent = prior_codes.select(*M, F.col("hcc").alias("parent")).join(h, ["version", "parent"]) \
         .select(*M, F.col("child").alias("hcc"))
     return current.join(seen, KEY, "left_anti").join(seen_parent, KEY, "left_anti") \
         .withColumn("persistent_status", F.lit("New")).withColumn("suspect_status", F.lit(None).cast("string")) \
@@ -145,13 +154,16 @@ def with_duration(df: DataFrame) -> DataFrame:
 
 
 def confidence_lookup(df: DataFrame, table: DataFrame) -> DataFrame:
-    """jn_confidence_lookup: DURATION in [L−29, L] and FREQUENCY in [min, max].
-    The bucket bounds are multiples of 30, so ``ceil(duration / 30) · 30``
-    is the only candidate L: an equi join on it plus the frequency range
-    (broadcast); no match → null (D23)."""
-    t = table.select(F.col("last_bound").alias("_L"), "freq_min", "freq_max", F.col("weight").alias("confidence_factor"))
-    j = df.withColumn("_L", (F.ceil(F.col("duration") / 30) * 30).cast("int"))
-    j = j.join(F.broadcast(t), (j["_L"] == t["_L"]) & (F.col("frequency") >= F.col("freq_min"))
+    """jn_confidence_lookup: the weight at the least bound that the duration does
+    not exceed, by frequency band; a null bound is open-ended and takes every
+    longer duration. The bounds may be uneven: they are one sorted array
+    (a scalar subquery), searched in each row, then an equi join on the bound
+    found with the frequency band as condition; no band → null (D23)."""
+    bound = F.coalesce("last_bound", F.lit(OPEN_BOUND))
+    t = table.select(bound.alias("_L"), "freq_min", "freq_max", F.col("weight").alias("confidence_factor"))
+    bounds = table.agg(F.array_sort(F.collect_set(bound))).scalar()
+    j = df.withColumn("_bounds", bounds).withColumn("_L", F.array_min(F.filter("_bounds", lambda b: b >= F.col("duration")))).drop("_bounds")
+    j = j.join(broadcast_if_small(t), (j["_L"] == t["_L"]) & (F.col("frequency") >= F.col("freq_min"))
                & ((F.col("frequency") <= F.col("freq_max")) | (F.col("freq_max") == OPEN_FREQUENCY)), "left")
     return j.drop("_L", "freq_min", "freq_max")
 
@@ -170,7 +182,7 @@ def statuses(claim_hcc: DataFrame, chronic: DataFrame, hier: DataFrame, lookup:
         .withColumn("relation", F.lit("NEW")).withColumn("current_hcc", F.col("hcc"))
     new = with_duration(new_codes(cur, prior.select(*KEY), hier)).withColumn(
         "confidence_factor", F.lit(None).cast("double"))
-    cols = ["member_bid", "risk_year", "hcc", "prior_year", "claim_bid", "claim_dt", "diag_cd", "frequency",
+    cols = ["version", "member_bid", "risk_year", "hcc", "prior_year", "claim_bid", "claim_dt", "diag_cd", "frequency",
             "relation", "persistent_status", "suspect_status", "persistent_status_reason", "duration",
             "confidence_factor"]
     return open_.select(*cols).unionByName(other.select(*cols)).unionByName(new.select(*cols))
@@ -182,7 +194,7 @@ def year_flags(codes: DataFrame, chronic: DataFrame, years: DataFrame) -> DataFr
     e = codes.withColumn("_off", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))) \
         .withColumn("target_year", F.col("risk_year") + F.col("_off")) \
         .join(F.broadcast(years.select(F.col("risk_year").alias("target_year")).distinct()), "target_year", "left_semi")
-    g = e.groupBy("member_bid", "target_year", "hcc").agg(
+    g = e.groupBy("version", "member_bid", "target_year", "hcc").agg(
         *[F.max(F.when(F.col("_off") == i, 1).otherwise(0)).alias(f"in_y{i}") for i in range(3)])
     g = g.join(F.broadcast(chronic.select("hcc", "chronic")), "hcc", "left")
     return g.select(

@@ -17,8 +17,13 @@ class Inputs:
     # also survives executor loss: recomputation restarts from the files)
     CUT = ("population", "member_hcc", "scores", "gap_claims", "gap_draft", "gaps", "claim_hcc", "persistence")
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cut: bool = True):
-        self.spark, self.sf, self.cut = spark, sf_dir, cut
+    def __init__(self, spark: SparkSession, sf_dir: str, cut: bool = True, versions: tuple[str, ...] = ("v28",)):
+        """``versions``: the model versions of the gap and persistence frames (one plan for all)."""
+        self.spark, self.sf, self.cut, self.versions = spark, sf_dir, cut, versions
+
+    def use(self, name: str, frame: DataFrame) -> None:
+        """From now on ``name`` is ``frame``, for every frame built on it."""
+        self.__dict__.setdefault("_memo", {})[name] = frame
 
     def member(self) -> DataFrame:
         return D.member(self.spark, self.sf)
@@ -76,7 +81,7 @@ def _gap_claims(self) -> DataFrame:
 
 def _v28_hcc(self) -> DataFrame:
     from pyspark.sql import functions as F
-    return self.member_hcc().where(F.col("version") == "v28")
+    return self.member_hcc().where(F.col("version").isin(*self.versions))
 
 
 def _gaps(self) -> DataFrame:
@@ -88,7 +93,7 @@ def _gap_draft(self) -> DataFrame:
     from riskspark.plans import gaps as G
     sp = self.spark
     m4 = G.m4_persistent(self.persistence())
-    return G.all_methods(self.gap_claims(), self.pharmacy(), REF.method_rules(sp), REF.code_groups(sp), [m4])
+    return G.all_methods(self.gap_claims(), self.pharmacy(), REF.method_rules(sp, self.versions), REF.code_groups(sp), [m4])
 
 
 Inputs.gap_claims = _gap_claims
@@ -98,19 +103,19 @@ Inputs.gap_draft = _gap_draft
 
 
 def _claim_hcc(self) -> DataFrame:
-    """Claim-level v28 categories after SEDITS (persistence input)."""
+    """Claim-level categories of the requested versions after SEDITS (persistence input)."""
     from pyspark.sql import functions as F
     pop = self.population().select("member_bid", "risk_year", "age_yr", "memb_gender_cd")
     d = self.claim_diag()
-    d = d.join(pop, ["member_bid", "risk_year"]).withColumn("version", F.lit("v28"))
+    d = d.join(pop, ["member_bid", "risk_year"]).withColumn("version", F.explode(F.array(*[F.lit(v) for v in self.versions])))
     d = S.apply_sedits(S.map_icd_to_hcc(d, REF.icd_hcc(self.spark)))
     return d.where(F.col("hcc").isNotNull() & (F.col("hcc") != -1)).select(
-        "member_bid", "risk_year", "claim_bid", "claim_dt", "diag_cd", "hcc")
+        "version", "member_bid", "risk_year", "claim_bid", "claim_dt", "diag_cd", "hcc")
 
 
 def _hier28(self) -> DataFrame:
     from pyspark.sql import functions as F
-    return REF.hierarchy_pairs(self.spark).where(F.col("version") == "v28")
+    return REF.hierarchy_pairs(self.spark).where(F.col("version").isin(*self.versions))
 
 
 def _persistence(self) -> DataFrame:
@@ -130,7 +135,7 @@ def _memoize(cls) -> None:
     import functools
 
     for name, fn in list(vars(cls).items()):
-        if name.startswith("_") or not callable(fn) or name == "table":
+        if name.startswith("_") or not callable(fn) or name in ("table", "use"):
             continue
 
         def wrap(f, key):

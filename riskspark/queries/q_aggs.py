@@ -103,12 +103,12 @@ def _conf_inputs(inp: Inputs):
 
 @query("agg_method_confidence", _c("SELECT * FROM mconf", ["risk_year", "method_id"]))
 def agg_method_confidence(spark, sf):
-    return G.method_confidence(_conf_inputs(Inputs(spark, sf)))
+    return G.method_confidence(_conf_inputs(Inputs(spark, sf))).drop("version")
 
 
 @query("agg_combined_confidence", _c("SELECT * FROM cconf", ["risk_year", "n_methods"]))
 def agg_combined_confidence(spark, sf):
-    return G.combined_confidence(G.method_confidence(_conf_inputs(Inputs(spark, sf))))
+    return G.combined_confidence(G.method_confidence(_conf_inputs(Inputs(spark, sf)))).drop("version")
 
 
 @query("agg_method_consensus", _c("""

@@ -8,9 +8,11 @@ from oracle import base as B
 from oracle import gaps as OG
 from riskspark.operators import rules as OR
 from riskspark.operators import sinks as SK
+from riskspark.operators.snapshots import Snapshot, key_range
 from riskspark.plans import claims as C
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
+from riskspark.session import scratch_path
 from riskspark.sources import reference as REF
 from riskspark.sources import reference_data as R
 
@@ -65,17 +67,30 @@ FROM (SELECT x.*, row_number() OVER (PARTITION BY claim_bid, clm_ln_num, clm_tp_
 def clm_medical_claims(spark, sf):
     inp = Inputs(spark, sf)
     procs = REF.qualifying_procedures(spark)
-    fac = _qualified(inp, (1, 2))
-    prof = _qualified(inp, (3,))
-    u = fac.unionByName(prof)
-    u = C.with_visit_type(u, procs)
+    u = C.with_visit_type(_qualified(inp, (1, 2, 3)), procs)  # facility and professional in one pass
     pos = REF.place_of_service(spark)
     u = u.join(F.broadcast(pos), F.substring(u["tp_of_bill_cd"], 1, 2) == pos["bill_prefix"], "left") \
         .withColumn("place_of_service", F.when(F.col("clm_tp_cd").isin(1, 2), F.col("place_of_service")))
     latest = C.latest_per_key(u, ["claim_bid", "clm_ln_num", "clm_tp_cd"],
                               ["updated_dt", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "cpt_cd"])
-    return latest.select("claim_bid", "clm_ln_num", "clm_tp_cd", "cpt_cd", "qualify_claims", "invalid_cpt_hcpcs",
-                         "visit_type", "place_of_service", "updated_dt")
+    rows = latest.select("claim_bid", "clm_ln_num", "clm_tp_cd", "cpt_cd", "qualify_claims", "invalid_cpt_hcpcs",
+                         "visit_type", "place_of_service", "updated_dt", "claim_dt")
+    month = F.date_format("claim_dt", "yyyy-MM")  # a claim's month never changes
+    return _two_loads(rows, "medical-claims", ["claim_bid", "clm_ln_num", "clm_tp_cd"], month, F.col("claim_dt"), CUTOFF).drop("claim_dt")
+
+
+CUTOFF, OVERLAP_DAYS = "1998-07-01", 90
+
+
+def _two_loads(rows, name: str, keys, part, date, cutoff: str):
+    """The table after two loads: rows dated before the cutoff, then those from 90 days
+    before it on, which rewrite the partitions they touch and leave the others' files."""
+    spark = rows.sparkSession
+    snap = Snapshot(scratch_path(spark, name), tuple(keys), part)
+    day = F.lit(cutoff).cast("date")
+    snap.load(rows.where(date < day))
+    snap.load(rows.where(date >= F.date_sub(day, OVERLAP_DAYS)))
+    return snap.read(spark).select(*rows.columns)
 
 
 @query("clm_risk_member", """
@@ -98,8 +113,9 @@ def clm_risk_member(spark, sf):
     m = inp.member().join(inp.enrollment().select("member_bid", "covrg_begin_dt", "covrg_end_dt"), "member_bid") \
         .join(mmr.select("member_bid", "institutional_status", "medicaid_status"), "member_bid")
     m = C.latest_per_key(m, ["member_bid"], ["covrg_end_dt", "covrg_begin_dt"])
-    return m.select("member_bid", "home_plan_id_cd", "contract_id", "memb_brth_dt", "memb_gender_cd", "orec",
+    rows = m.select("member_bid", "home_plan_id_cd", "contract_id", "memb_brth_dt", "memb_gender_cd", "orec",
                     "covrg_begin_dt", "covrg_end_dt", "institutional_status", "medicaid_status")
+    return _two_loads(rows, "risk-member", ["member_bid"], key_range("member_bid", 100_000), F.col("covrg_begin_dt"), "1995-10-01")
 
 
 def mao_line_sql() -> str:
@@ -160,7 +176,8 @@ def clm_risk_member_diag(spark, sf):
     ps = _pseudo(inp).select("member_bid", F.col("icn").alias("claim_ref"), "clm_tp_cd", "claim_dt", "diag_cd", "dx_source")
     periods = REF.time_periods(spark).where(F.col("period_type") == "C")
     u = OR.period_filter(claims.unionByName(ps), periods, "claim_dt")
-    return u.select("member_bid", "claim_ref", "clm_tp_cd", "claim_dt", "diag_cd", "dx_source", "time_period").distinct()
+    rows = u.select("member_bid", "claim_ref", "clm_tp_cd", "claim_dt", "diag_cd", "dx_source", "time_period").distinct()
+    return _two_loads(rows, "risk-member-diag", ["claim_ref", "diag_cd", "dx_source"], F.date_format("claim_dt", "yyyy-MM"), F.col("claim_dt"), CUTOFF)
 
 
 @query("clm_providers", """

@@ -83,7 +83,7 @@ def gap_m10_scenario2(spark, sf):
                            ["risk_year", "method_id", "cc_id"]))
 def gap_suppress1(spark, sf):
     inp = Inputs(spark, sf)
-    return G.suppression1(G.member_gaps(inp.gap_draft()), REF.hierarchy_pairs(spark))
+    return G.suppression1(G.member_gaps(inp.gap_draft()), REF.hierarchy_pairs(spark)).drop("version")
 
 
 _GAP_COLS = ["member_bid", "risk_year", "method_id", "cc_id", "cc_code", "suppression1_yn", "suppressed_by_parent",
@@ -120,7 +120,7 @@ def _conf(inp: Inputs, only=None):
     sp = inp.spark
     fc = G.frequency_confidence(inp.gap_draft(), REF.method_frequency(sp), REF.method_default_weight(sp))
     if only is not None:
-        fc = fc.join(only, ["member_bid", "risk_year", "method_id", "cc_code"], "left_semi")
+        fc = fc.join(only, ["version", "member_bid", "risk_year", "method_id", "cc_code"], "left_semi")
     return G.combined_confidence(G.method_confidence(fc))
 
 
@@ -145,14 +145,14 @@ FROM cconf c JOIN sbc s ON s.member_bid = c.member_bid AND s.risk_year = c.risk_
 def gap_confidence(spark, sf):
     inp = Inputs(spark, sf, cut=True)
     st = status_by_code(inp.gaps())
-    c = _conf(inp).join(st, ["member_bid", "risk_year", "cc_code"])
+    c = _conf(inp).join(st, G.GAP_KEY).drop("version")
     return c.withColumn("passes_threshold", (F.col("combined_confidence") >= R.CONFIDENCE_THRESHOLD)
                         | (F.col("gap_status") == "Open Non Suspect"))
 
 
 def status_by_code(gaps):
-    """One status per member/year/code over methods: Closed wins, then Open Suspect."""
-    return gaps.groupBy("member_bid", "risk_year", "cc_code").agg(
+    """One status per version/member/year/code over methods: Closed wins, then Open Suspect."""
+    return gaps.groupBy(*G.GAP_KEY).agg(
         F.when(F.max((F.col("gap_status") == "Closed Suspect").cast("int")) == 1, "Closed Suspect")
         .when(F.max((F.col("gap_status") == "Open Suspect").cast("int")) == 1, "Open Suspect")
         .otherwise("Open Non Suspect").alias("gap_status"))
@@ -197,27 +197,33 @@ def plan_exclusion(gaps, excl):
 
 def gap_hcc_rows(inp: Inputs):
     """gap_to_hcc: gaps passing the threshold → member attributes, coefficient,
-    adjusted score (coefficient × combined confidence), R/S indicator."""
+    adjusted score (coefficient × combined confidence), R/S indicator, for every
+    model version of ``inp``; and the pair interactions that open gaps bring
+    about, with the coded categories or each other."""
+    from riskspark.operators.sinks import checkpoint
+    from riskspark.plans import scoring as S
     sp = inp.spark
-    active = active_gaps(inp)
-    c = _conf(inp, active).join(status_by_code(active), ["member_bid", "risk_year", "cc_code"])
-    c = c.where((F.col("combined_confidence") >= R.CONFIDENCE_THRESHOLD) | (F.col("gap_status") == "Open Non Suspect"))
+    active = checkpoint(active_gaps(inp), "active-gaps")  # read for the confidences and for the statuses
+    c = _conf(inp, active).join(status_by_code(active), G.GAP_KEY)
+    c = checkpoint(c.where((F.col("combined_confidence") >= R.CONFIDENCE_THRESHOLD) | (F.col("gap_status") == "Open Non Suspect"))
+                   .withColumn("cc_id", F.regexp_extract("cc_code", r"(\d+)$", 1).cast("int")), "gap-confidence")
     pop = inp.population().select("member_bid", "risk_year", "model_segment", "age_yr", "memb_gender_cd")
-    j = c.join(pop, ["member_bid", "risk_year"])
-    j = j.withColumn("version", F.lit("v28")).withColumn(
-        "coeff_name", RF.hcc_coeff_name("model_segment", F.regexp_extract("cc_code", r"(\d+)$", 1)))
-    from riskspark.plans import scoring as S
-    j = S.coefficient_lookup(j, REF.coefficients(sp), "coeff_name", "coeff_score")
-    return j.select(
-        "member_bid", "risk_year", "version", "model_segment", "age_yr", "memb_gender_cd",
-        RF.hcc_detail_id("cc_code").alias("risk_type_detail_id"), "cc_code", "methods", "combined_confidence",
-        F.round(F.coalesce("coeff_score", F.lit(0.0)), 3).alias("coeff_score"),
-        F.round(F.coalesce("coeff_score", F.lit(0.0)) * F.col("combined_confidence"), 6).alias("adj_coeff_score"),
-        F.when(F.col("gap_status") == "Open Non Suspect", "S").otherwise("R").alias("suppression_ind"),
-        "gap_status")
-
-
-_TO_HCC = f"""SELECT c.member_bid, c.risk_year, 'v28' AS version, p.model_segment, p.age_yr, p.memb_gender_cd,
+    j = c.join(pop, ["member_bid", "risk_year"]).withColumn("coeff_name", RF.hcc_coeff_name("model_segment", "cc_id"))
+    j = S.coefficient_lookup(j, REF.coefficients(sp), "coeff_name", "coeff_score").withColumn("row_type", F.lit("HCC"))
+    j = j.withColumns({"risk_type_detail_id": RF.hcc_detail_id("cc_code"), "coeff_score": F.coalesce("coeff_score", F.lit(0.0))})
+    pairs = G.gap_interactions(c.where(F.col("gap_status") == "Open Suspect"), inp.v28_hcc(), REF.pair_rules(sp))
+    i = pairs.join(pop, ["member_bid", "risk_year"]).select(
+        "version", "member_bid", "risk_year", "model_segment", "age_yr", "memb_gender_cd", F.lit("INTERACTION").alias("row_type"),
+        F.col("interaction_name").alias("risk_type_detail_id"), F.col("interaction_name").alias("cc_code"), F.lit(None).cast("string").alias("methods"),
+        F.col("confidence").alias("combined_confidence"), F.col("score").alias("coeff_score"), F.lit("Open Suspect").alias("gap_status"))
+    return j.select(*i.columns).unionByName(i).select(
+        "member_bid", "risk_year", "version", "row_type", "model_segment", "age_yr", "memb_gender_cd", "risk_type_detail_id", "cc_code",
+        "methods", "combined_confidence", F.round("coeff_score", 3).alias("coeff_score"),
+        F.round(F.col("coeff_score") * F.col("combined_confidence"), 6).alias("adj_coeff_score"),
+        F.when(F.col("gap_status") == "Open Non Suspect", "S").otherwise("R").alias("suppression_ind"), "gap_status")
+
+
+_TO_HCC = f"""SELECT c.member_bid, c.risk_year, 'v28' AS version, 'HCC' AS row_type, p.model_segment, p.age_yr, p.memb_gender_cd,
   'HCC' || substring(c.cc_code, 3) AS risk_type_detail_id, c.cc_code, c.methods, c.combined_confidence,
   round(coalesce(cf.score, 0.0), 3) AS coeff_score, round(coalesce(cf.score, 0.0) * c.combined_confidence, 6) AS adj_coeff_score,
   CASE WHEN s.gap_status = 'Open Non Suspect' THEN 'S' ELSE 'R' END AS suppression_ind, s.gap_status
@@ -235,42 +241,68 @@ _ACTIVE = """SELECT g.* FROM crossed g JOIN member m ON m.member_bid = g.member_
 _HCC_STEPS = OS_STEPS + [
     ("crossed", _CROSS), ("active", _ACTIVE), ("mconf_active", _MCONF_ACTIVE),
     ("cconf_active", dict(OG.DRAFT_STEPS)["cconf"].replace("FROM mconf", "FROM mconf_active")),
-    ("sbc_active", _STATUS_BY_CODE.replace("FROM gaps", "FROM active")), ("to_hcc", _TO_HCC)]
-
-
-@query("gap_to_hcc", B.q(OG.BASE, _HCC_STEPS, B.typed("SELECT * FROM to_hcc", ["risk_year", "age_yr"])))
+    ("sbc_active", _STATUS_BY_CODE.replace("FROM gaps", "FROM active")), ("hcc_rows", _TO_HCC),
+    ("side", """SELECT member_bid, risk_year, hcc, 1.0 AS c, 0 AS gap FROM mh28 UNION ALL
+  SELECT member_bid, risk_year, CAST(substring(cc_code, 3) AS INTEGER), combined_confidence, 1 FROM hcc_rows t WHERE gap_status = 'Open Suspect'
+    AND NOT EXISTS (SELECT 1 FROM mh28 m WHERE m.member_bid = t.member_bid AND m.risk_year = t.risk_year AND m.hcc = CAST(substring(t.cc_code, 3) AS INTEGER))"""),
+    ("pairs", """SELECT a.member_bid, a.risk_year, r.interaction_name, r.score, round(a.c * b.c, 6) AS confidence FROM pair_rules r
+  JOIN side a ON a.hcc = r.hcc1 JOIN side b ON b.hcc = r.hcc2 AND b.member_bid = a.member_bid AND b.risk_year = a.risk_year
+  WHERE a.gap = 1 OR b.gap = 1"""),
+    ("to_hcc", """SELECT * FROM hcc_rows UNION ALL
+  SELECT i.member_bid, i.risk_year, 'v28', 'INTERACTION', p.model_segment, p.age_yr, p.memb_gender_cd, i.interaction_name, i.interaction_name,
+    NULL, i.confidence, round(i.score, 3), round(i.score * i.confidence, 6), 'R', 'Open Suspect'
+  FROM pairs i JOIN pop p ON p.member_bid = i.member_bid AND p.risk_year = i.risk_year""")]
+
+
+def _versions(final: str, ints) -> str:
+    """The whole chain once for each model version: its own rules, hierarchy, map and coefficients."""
+    common = len(OP.OS.POP_STEPS)  # population and scored categories have all versions
+    parts = []
+    for v, rules in (("v28", "method_rules"), ("v24", "method_rules_v24")):
+        edits = OP.OS._sedits_case()  # names the version of each of its rules
+        own = [(n, q.replace(edits, "@").replace("'v28'", f"'{v}'").replace("@", edits).replace("method_rules", rules)) for n, q in _HCC_STEPS[common:]]
+        base = [rules if n == "method_rules" else n for n in OG.BASE] + ["pair_rules"]
+        parts.append(B.q(base, _HCC_STEPS[:common] + own, B.typed(final, list(ints))))
+    return " UNION ALL ".join(f"SELECT * FROM ({q})" for q in parts)
+
+
+def _all_versions(spark, sf) -> Inputs:
+    return Inputs(spark, sf, versions=R.VERSIONS)
+
+
+@query("gap_to_hcc", _versions("SELECT * FROM to_hcc", ["risk_year", "age_yr"]))
 def gap_to_hcc(spark, sf):
-    return gap_hcc_rows(Inputs(spark, sf, cut=True))
+    return gap_hcc_rows(_all_versions(spark, sf))
 
 
-@query("gap_final_output", B.q(OG.BASE, _HCC_STEPS, B.typed("""
-SELECT t.member_bid, m.home_plan_id_cd, m.contract_id, t.risk_year, t.cc_code, t.risk_type_detail_id, t.methods,
+@query("gap_final_output", _versions("""
+SELECT t.member_bid, m.home_plan_id_cd, m.contract_id, t.version, t.row_type, t.risk_year, t.cc_code, t.risk_type_detail_id, t.methods,
   t.combined_confidence, t.adj_coeff_score
-FROM to_hcc t JOIN member m ON m.member_bid = t.member_bid WHERE t.gap_status = 'Open Suspect'""", ["risk_year"])))
+FROM to_hcc t JOIN member m ON m.member_bid = t.member_bid WHERE t.gap_status = 'Open Suspect'""", ["risk_year"]))
 def gap_final_output(spark, sf):
-    inp = Inputs(spark, sf, cut=True)
+    inp = _all_versions(spark, sf)
     t = gap_hcc_rows(inp).where(F.col("gap_status") == "Open Suspect")
     return t.join(inp.member().select("member_bid", "home_plan_id_cd", "contract_id"), "member_bid").select(
-        "member_bid", "home_plan_id_cd", "contract_id", "risk_year", "cc_code", "risk_type_detail_id", "methods",
+        "member_bid", "home_plan_id_cd", "contract_id", "version", "row_type", "risk_year", "cc_code", "risk_type_detail_id", "methods",
         "combined_confidence", "adj_coeff_score")
 
 
-@query("gap_pipeline", B.q(OG.BASE, _HCC_STEPS, B.typed("""
-SELECT member_bid, risk_year, count(*) AS n_gap_codes,
-  sum(CASE WHEN suppression_ind = 'R' THEN 1 ELSE 0 END) AS n_open,
-  round(sum(CASE WHEN suppression_ind = 'R' THEN adj_coeff_score ELSE 0.0 END), 6) AS gap_score
-FROM to_hcc GROUP BY 1, 2""", ["risk_year", "n_open"])))
+@query("gap_pipeline", _versions("""
+SELECT member_bid, risk_year, version, sum(CASE WHEN row_type = 'HCC' THEN 1 ELSE 0 END) AS n_gap_codes,
+  sum(CASE WHEN row_type = 'HCC' AND suppression_ind = 'R' THEN 1 ELSE 0 END) AS n_open,
+  round(sum(CASE WHEN row_type = 'HCC' AND suppression_ind = 'R' THEN adj_coeff_score ELSE 0.0 END), 6) AS gap_score,
+  round(sum(CASE WHEN row_type = 'INTERACTION' THEN adj_coeff_score ELSE 0.0 END), 6) AS interaction_score
+FROM to_hcc GROUP BY 1, 2, 3""", ["risk_year", "n_gap_codes", "n_open"]))
 def gap_pipeline(spark, sf):
-    t = gap_hcc_rows(Inputs(spark, sf, cut=True))
-    return t.groupBy("member_bid", "risk_year").agg(
-        F.count("*").alias("n_gap_codes"),
-        F.sum(F.when(F.col("suppression_ind") == "R", 1).otherwise(0)).alias("n_open"),
-        F.round(F.sum(F.when(F.col("suppression_ind") == "R", F.col("adj_coeff_score")).otherwise(0.0)), 6)
-        .alias("gap_score"))
-
+    """Every model version in one plan: codes, open codes, their score, and the score of the interactions they bring about."""
+    hcc, open_ = F.col("row_type") == "HCC", F.col("suppression_ind") == "R"
+    return gap_hcc_rows(_all_versions(spark, sf)).groupBy("member_bid", "risk_year", "version").agg(
+        F.sum(hcc.cast("int")).alias("n_gap_codes"), F.sum((hcc & open_).cast("int")).alias("n_open"),
+        F.round(F.sum(F.when(hcc & open_, F.col("adj_coeff_score")).otherwise(0.0)), 6).alias("gap_score"),
+        F.round(F.sum(F.when(~hcc, F.col("adj_coeff_score")).otherwise(0.0)), 6).alias("interaction_score"))
 
 
 @query("gap_m4_persistent", B.q(OC.BASE, OC.STEPS, B.typed("SELECT * FROM m4", ["risk_year", "method_id", "claim_type", "cc_id",
                                                                                 "qualified_claim"])))
 def gap_m4_persistent(spark, sf):
-    return G.m4_persistent(Inputs(spark, sf, cut=True).persistence())
+    return G.m4_persistent(Inputs(spark, sf, cut=True).persistence()).drop("version")

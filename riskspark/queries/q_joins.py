@@ -290,7 +290,7 @@ def jn_backing_split(spark, sf):
     codes = P.year_codes(ch)
     backed = prior.join(codes, P.KEY, "left_semi").withColumn("backing", F.lit("BACKED"))
     unbacked = prior.join(codes, P.KEY, "left_anti").withColumn("backing", F.lit("UNBACKED"))
-    return backed.unionByName(unbacked)
+    return backed.unionByName(unbacked).drop("version")
 
 
 @query("jn_prior_current_priority", _p("SELECT member_bid, risk_year, hcc, current_hcc, relation FROM rel",
@@ -299,12 +299,12 @@ def jn_prior_current_priority(spark, sf):
     inp = Inputs(spark, sf)
     ch = inp.claim_hcc()
     prior = P.prior_filter(P.chronic_source(ch, REF.chronic(spark)), inp.years())
-    return P.prior_current_relation(prior, P.year_codes(ch), inp.hier28())
+    return P.prior_current_relation(prior, P.year_codes(ch), inp.hier28()).drop("version")
 
 
-@query("jn_confidence_lookup", _p("""SELECT p.member_bid, p.risk_year, p.hcc, p.frequency,
-  abs(datediff('day', p.claim_dt, make_date(p.risk_year, 1, 1))) AS duration, py.weight AS confidence_factor
-FROM pl p LEFT JOIN prior_year py ON py.last_bound = CAST(ceil(abs(datediff('day', p.claim_dt, make_date(p.risk_year, 1, 1))) / 30) * 30 AS INTEGER)
+@query("jn_confidence_lookup", _p("""SELECT p.member_bid, p.risk_year, p.hcc, p.frequency, p.duration, py.weight AS confidence_factor
+FROM (SELECT *, abs(datediff('day', claim_dt, make_date(risk_year, 1, 1))) AS duration FROM pl) p
+LEFT JOIN prior_year py ON py.last_bound IS NOT DISTINCT FROM (SELECT min(b.last_bound) FROM prior_year b WHERE b.last_bound >= p.duration)
   AND p.frequency >= py.freq_min AND (p.frequency <= py.freq_max OR py.freq_max = 999)""", ["risk_year", "hcc", "frequency", "duration"]))
 def jn_confidence_lookup(spark, sf):
     inp = Inputs(spark, sf)

@@ -11,6 +11,7 @@ from oracle import persistence as OP
 from riskspark.operators import quality as Q
 from riskspark.plans import gaps as G
 from riskspark.plans import persistence as P
+from riskspark.operators.sinks import checkpoint
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
 from riskspark.sources import reference as REF
@@ -183,11 +184,15 @@ WITH s AS (SELECT 0 AS step_no, 'draft' AS step, (SELECT count(*) FROM draft) AS
 SELECT s.step_no, s.step, p.rows_out AS rows_in, s.rows_out, round((s.rows_out - p.rows_out) * 100.0 / p.rows_out, 4) AS change_pct
 FROM s LEFT JOIN s p ON p.step_no = s.step_no - 1""", ["step_no", "rows_in", "rows_out"])))
 def dq_step_log(spark, sf):
-    inp = Inputs(spark, sf)
-    draft = Q.cached(inp.gap_draft())  # four counts read it: compute once
-    created = G.with_create_flag(draft).where(F.col("draft_status") == "Create Gap")
-    return Q.step_log([("draft", draft), ("create_gap", created), ("member_gaps", G.member_gaps(draft)),
-                       ("open_suspect", inp.gaps().where(F.col("gap_status") == "Open Suspect"))])
+    """The gap steps run once; their counts are observed on the way, and the
+    member gaps, which the suppression reads several times, are written once."""
+    inp, log = Inputs(spark, sf), Q.StepLog()
+    draft = log.step("draft", inp.gap_draft())
+    created = log.step("create_gap", G.with_create_flag(draft).where(F.col("draft_status") == "Create Gap"))
+    gaps = checkpoint(log.step("member_gaps", G.member_gaps(created)), "member-gaps")
+    status = G.statuses_from_gaps(gaps, REF.hierarchy_pairs(spark), inp.v28_hcc())
+    log.step("open_suspect", status.where(F.col("gap_status") == "Open Suspect")).write.format("noop").mode("overwrite").save()
+    return log.frame(spark)
 
 
 @query("lay_skew", B.q(["claim_line"], [], """SELECT member_bid, CAST(sum(CAST(line_amt AS DECIMAL(18, 2))) AS DOUBLE) AS sum_line_amt,

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from oracle import base as B
 from oracle import scoring as OS
+from riskspark.operators.joins import broadcast_if_small
+from riskspark.operators.quality import quarantine
 from riskspark.plans import scoring as S
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
@@ -151,18 +153,53 @@ def rsk_hcc_detail(spark, sf):
     return S.hcc_detail(_claim_diag(inp), inp.population(), REF.icd_hcc(spark), inp.member_hcc())
 
 
-@query("rsk_pipeline", _o("""
+_CHECKED = [
+    ("dx", f"""SELECT d.*, CASE WHEN NOT EXISTS (SELECT 1 FROM pop p WHERE p.member_bid = d.member_bid AND p.risk_year = d.risk_year) THEN 1 ELSE 0 END AS bad_member,
+      CASE WHEN NOT EXISTS (SELECT 1 FROM icd_hcc i WHERE i.diag_cd = d.diag_cd) THEN 1 ELSE 0 END AS bad_code
+      FROM (SELECT DISTINCT member_bid, risk_year, claim_bid, claim_dt, diag_cd FROM claim_line WHERE clm_tp_cd IN (1, 2, 3)) d"""),
+    ("dxn", """SELECT member_bid, risk_year, sum(CASE WHEN bad_member + bad_code = 0 THEN 1 ELSE 0 END) AS n_accepted,
+      sum(CASE WHEN bad_member + bad_code > 0 THEN 1 ELSE 0 END) AS n_rejected FROM dx GROUP BY 1, 2"""),
+    ("chr", """SELECT mh.member_bid, mh.risk_year, mh.version, count(DISTINCT mh.hcc) AS n_chronic FROM mh JOIN chronic c ON c.hcc = mh.hcc GROUP BY 1, 2, 3"""),
+    ("prs", "SELECT member_bid, risk_year, version, round(sum(score), 3) AS pair_score FROM pairs GROUP BY 1, 2, 3")]
+
+
+@query("rsk_pipeline", B.q(OS.BASE + ["chronic", "pair_rules"], _OUT + _PAIRS + _CHECKED, B.typed("""
 SELECT o.member_bid, o.risk_year, o.version, o.model_segment, o.raw_score, o.weighted_score, b.blended_score,
-  o.diag_to_hcc_list, o.hcc_to_score_list
+  coalesce(c.n_chronic, 0) AS n_chronic, coalesce(p.pair_score, 0.0) AS pair_score,
+  coalesce(n.n_accepted, 0) AS n_accepted, coalesce(n.n_rejected, 0) AS n_rejected, o.diag_to_hcc_list, o.hcc_to_score_list
 FROM outp o JOIN (SELECT member_bid, risk_year, round(sum(weighted_score), 3) AS blended_score FROM scores GROUP BY 1, 2) b
-  ON b.member_bid = o.member_bid AND b.risk_year = o.risk_year""", ["risk_year"], _OUT))
+  ON b.member_bid = o.member_bid AND b.risk_year = o.risk_year
+LEFT JOIN chr c ON c.member_bid = o.member_bid AND c.risk_year = o.risk_year AND c.version = o.version
+LEFT JOIN prs p ON p.member_bid = o.member_bid AND p.risk_year = o.risk_year AND p.version = o.version
+LEFT JOIN dxn n ON n.member_bid = o.member_bid AND n.risk_year = o.risk_year""", ["risk_year", "n_accepted", "n_rejected"])))
 def rsk_pipeline(spark, sf):
+    """Validate, score, chronic conditions, pair interactions, blending, trace
+    lists. Diagnoses that fail a check go to quarantine with their reasons; the
+    scores see the accepted ones only."""
     inp = Inputs(spark, sf, cut=True)
-    o = _output(inp)
+    accepted, rejected = validated(inp)
+    inp.use("claim_diag", accepted)
+    o, hcc = _output(inp), inp.member_hcc()
     b = S.blended_scores(o).drop("time_period", "n_versions")
-    return o.join(b, ["member_bid", "risk_year"]).select(
-        "member_bid", "risk_year", "version", "model_segment", "raw_score", "weighted_score", "blended_score",
-        "diag_to_hcc_list", "hcc_to_score_list")
+    chronic = hcc.join(broadcast_if_small(REF.chronic(spark).select("hcc")), "hcc", "left_semi") \
+        .groupBy(*S.MEMBER_KEYS).agg(F.countDistinct("hcc").alias("n_chronic"))
+    pairs = S.pair_interactions(hcc, REF.pair_rules(spark)).groupBy(*S.MEMBER_KEYS).agg(F.round(F.sum("score"), 3).alias("pair_score"))
+    checked = accepted.select("member_bid", "risk_year", F.lit(1).alias("a")).unionByName(rejected.select("member_bid", "risk_year", F.lit(0).alias("a"))) \
+        .groupBy("member_bid", "risk_year").agg(F.sum("a").alias("n_accepted"), F.sum(1 - F.col("a")).alias("n_rejected"))
+    j = o.join(b, ["member_bid", "risk_year"]).join(chronic, S.MEMBER_KEYS, "left").join(pairs, S.MEMBER_KEYS, "left") \
+        .join(checked, ["member_bid", "risk_year"], "left")
+    return j.select("member_bid", "risk_year", "version", "model_segment", "raw_score", "weighted_score", "blended_score",
+                    *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_chronic", "n_accepted", "n_rejected")],
+                    F.coalesce("pair_score", F.lit(0.0)).alias("pair_score"), "diag_to_hcc_list", "hcc_to_score_list")
+
+
+def validated(inp: Inputs):
+    """(accepted, rejected) coded diagnoses: the member is covered in the year, the code is mapped by a model."""
+    pop = inp.population().select("member_bid", "risk_year", F.lit(True).alias("_member"))
+    codes = REF.icd_hcc(inp.spark).select("diag_cd", F.lit(True).alias("_code")).distinct()
+    rows = inp.claim_diag().join(pop, ["member_bid", "risk_year"], "left").join(broadcast_if_small(codes), "diag_cd", "left")
+    accepted, rejected = quarantine(rows, {"MEMBER_NOT_COVERED": F.col("_member"), "CODE_NOT_MAPPED": F.col("_code")})
+    return accepted.drop("_member", "_code"), rejected.drop("_member", "_code")
 
 
 @query("rsk_models", _o("SELECT * FROM scores WHERE version = 'v24'", INTS))

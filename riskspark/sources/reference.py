@@ -100,9 +100,11 @@ def chronic(spark: SparkSession) -> DataFrame:
     return _df(spark, [(h, 1) for h in R.CHRONIC_HCC], "hcc int, chronic int")
 
 
-def method_rules(spark: SparkSession) -> DataFrame:
-    return _df(spark, R.METHOD_RULES,
-               "method_id int, program string, claim_cd_type string, claim_cd string, "
+def method_rules(spark: SparkSession, versions=("v28",)) -> DataFrame:
+    """The method rules with the model ``version`` of their categories."""
+    rows = [(v, *r) for v, rules in (("v28", R.METHOD_RULES), ("v24", R.METHOD_RULES_V24)) if v in versions for r in rules]
+    return _df(spark, rows,
+               "version string, method_id int, program string, claim_cd_type string, claim_cd string, "
                "modifier_type string, modifier_cd string, cc_id int, exclusion_type string, "
                "exclusion_cd string, qualified_claim int")
 

@@ -79,6 +79,9 @@ METHOD_RULES = [
     (10, "CMS", "CPT-HCPCS", "C019", None, None, 28, "GROUP", "EXB", 0),
 ]
 
+# The same rules' categories in the older version, in the order of the rules.
+METHOD_RULES_V24 = [(*r[:6], cc, *r[7:]) for r, cc in zip(METHOD_RULES, (19, 18, 17, 18, 9, 6, 7, 8))]
+
 # --- fixed values: code groups ---------------------------------------------
 CODE_GROUPS = [("CPT-HCPCS", "MODS", "C003"), ("CPT-HCPCS", "MODS", "C011"),
                ("CPT-HCPCS", "MODS", "C023"), ("CPT-HCPCS", "MODS", "C041"),
@@ -140,13 +143,13 @@ def time_period_rows() -> list[tuple]:
     return rows
 
 
-PRIOR_YEAR_BOUNDS = (30, 60, 90, 120, 180, 360)
+PRIOR_YEAR_BOUNDS = (30, 60, 90, 120, 180, 360, None)  # None: above the last bound, open-ended
 PRIOR_YEAR_FREQ_BANDS = ((1, 2), (3, 5), (6, 999))
 
 
 def prior_year_rows() -> list[tuple]:
-    """(last_occurrence_bound, freq_min, freq_max, weight): bucket
-    [bound-29, bound] x frequency band; weight 0.80 at the shortest bound and
+    """(last_occurrence_bound, freq_min, freq_max, weight): durations above the
+    bound before and up to this one x frequency band; weight 0.80 at the shortest bound and
     highest band, minus 0.05 per longer bound and per lower band."""
     rows = []
     for li, b in enumerate(PRIOR_YEAR_BOUNDS):

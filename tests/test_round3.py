@@ -128,3 +128,23 @@ assert not [n for n in q if n == 'pipeline' or n.startswith('op')]
     root = __file__.rsplit("/", 2)[0]
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_snapshot_load_rewrites_touched_partitions_only(spark, tmp_path):
+    from riskspark.operators.snapshots import Snapshot, key_range
+    schema = "id bigint, v string, created_by string"
+    snap = Snapshot(f"{tmp_path}/snap", ("id",), key_range("id", 100))
+    assert snap.read(spark) is None
+    first = [(i, f"old{i}", "one") for i in range(1000)] + [(None, "no key", "one")]
+    assert snap.load(spark.createDataFrame(first, schema)) == [*[str(i) for i in range(10)], "none"]
+    before = snap.manifest(spark)
+    files = {p: sorted((f.name, f.stat().st_mtime_ns) for f in __import__("pathlib").Path(d).iterdir()) for p, d in before.items()}
+    second = [(250, "new", "two"), (251, "new", "two"), (1234, "new", "two")]
+    assert snap.load(spark.createDataFrame(second, schema)) == ["12", "2"]
+    after = snap.manifest(spark)
+    assert {p for p in after if after[p] != before.get(p)} == {"2", "12"}
+    assert all(files[p] == sorted((f.name, f.stat().st_mtime_ns) for f in __import__("pathlib").Path(after[p]).iterdir()) for p in before if p != "2")
+    want = {i: (f"old{i}", "one") for i in range(1000)} | {None: ("no key", "one"), 250: ("new", "one"), 251: ("new", "one"), 1234: ("new", "two")}
+    assert {r["id"]: (r["v"], r["created_by"]) for r in snap.read(spark).collect()} == want and snap.read(spark).count() == len(want)
+    assert snap.read(spark, 1).count() == 1001  # the load before is still whole
+    assert snap.load(spark.createDataFrame([], schema)) == [] and snap.read(spark).count() == len(want)
