@@ -111,21 +111,22 @@ def percentiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[float
         for q in qs])
 
 
-def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """agg_profile: per column null count, null %, distinct count and type,
-    plus row and column counts — one aggregate, then unpivoted."""
-    cd = F.count_distinct if exact_distinct else F.approx_count_distinct
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for f in df.schema.fields:
-        aggs += [F.sum(F.col(f.name).isNull().cast("long")).alias(f"{f.name}__nulls"), cd(f.name).alias(f"{f.name}__d")]
-    one = df.agg(*aggs)
-    ncols = len(df.columns)
-    rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                     F.col(f"{f.name}__nulls").alias("null_count"),
-                     F.round(F.col(f"{f.name}__nulls") * 100.0 / F.col("__rows"), 4).alias("null_pct"),
-                     F.col(f"{f.name}__d").alias("distinct_count")) for f in df.schema.fields]
-    return one.select("__rows", F.explode(F.array(*rows)).alias("r")).select(
-        "r.*", F.col("__rows").alias("row_count"), F.lit(ncols).alias("column_count"))
+def profile(df: DataFrame) -> DataFrame:
+    """agg_profile: per column null count, null %, exact distinct count and
+    type, plus row and column counts. Each column is counted by value in a scan
+    of its own, which reads that column only: values are combined in the map
+    tasks (a value that most rows share is one row a task), then counted. No
+    row is expanded over the columns."""
+    n = len(df.columns)
+
+    def column(f: T.StructField) -> DataFrame:
+        values = df.select(F.col(f"`{f.name}`").alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("k"))
+        return values.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("row_count"), F.count("v").alias("distinct_count"),
+                          F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("k"))), F.lit(0)).alias("null_count")).select(
+            F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), "null_count",
+            F.round(F.col("null_count") * 100.0 / F.when(F.col("row_count") > 0, F.col("row_count")), 4).alias("null_pct"), "distinct_count",
+            "row_count", F.lit(n).alias("column_count"))
+    return reduce(lambda a, b: a.unionByName(b), [column(f) for f in df.schema.fields])
 
 
 def hcc_tier(n: Column) -> Column:

@@ -112,16 +112,57 @@ def with_audit(df: DataFrame, operation: str, source: str, target: str, user: st
                            "processed_ts": t, "created_by": F.lit(user), "updated_by": F.lit(user)})
 
 
+#: Bytes of one file of a partitioned write, by the sizes of the values before encoding.
+FILE_BYTES = 256 * 1024 * 1024
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """A row's size: the bytes of its texts, 8 for any other value (lists and structs as their text)."""
+    parts = []
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        elif kind.startswith(("array", "map", "struct")):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    return reduce(lambda a, b: a + b, parts).cast("bigint")
+
+
+def file_plan(df: DataFrame, partition_by: Sequence[str], file_bytes: int = FILE_BYTES) -> DataFrame:
+    """One row a partition value: the value's bytes, its ``files`` (as many as
+    the bytes need) and ``first``, the number of the first of them."""
+    counted = df.groupBy(*partition_by).agg(F.sum(row_bytes(df)).alias("bytes"))
+    plan = counted.withColumn("files", F.greatest(F.lit(1), F.ceil(F.col("bytes") / file_bytes)).cast("int"))
+    before = F.sum("files").over(Window.orderBy(*partition_by)) - F.col("files")  # one row a partition value
+    return checkpoint(plan.withColumn("first", before.cast("int")), "file-plan")
+
+
+def spread(df: DataFrame, partition_by: Sequence[str], file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``df`` dealt out for a partitioned write: one task a file of the plan, so a
+    value with most of the rows is written by many tasks and no small one by several."""
+    from riskspark.operators.joins import broadcast_if_small
+    plan = file_plan(df, partition_by, file_bytes)
+    total = plan.agg(F.sum("files")).first()[0]
+    if not total:
+        return df
+    named = plan.select(*[F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(partition_by)], "files", "first")
+    same = reduce(lambda a, b: a & b, [df[f"`{c}`"].eqNullSafe(F.col(f"_v{i}")) for i, c in enumerate(partition_by)])
+    salt = F.pmod(F.xxhash64(*[df[f"`{c}`"] for c in df.columns]), F.col("files"))
+    at = df.join(broadcast_if_small(named), same).withColumn("_file", (F.col("first") + salt).cast("int"))
+    return at.repartitionById(int(total), "_file").select(*df.columns)
+
+
 def write_snapshot(df: DataFrame, path: str | None = None, partition_by: Sequence[str] = (),
-                   mode: str = "errorifexists", spark: SparkSession | None = None, name: str = "snapshot") -> str:
+                   mode: str = "errorifexists", spark: SparkSession | None = None, name: str = "snapshot",
+                   file_bytes: int = FILE_BYTES) -> str:
     """snk_overwrite / snk_checkpoint: write Parquet to a new path under the
-    shared folder (or ``path``); partitioned writes repartition by the
-    partition columns first (no tiny-file explosion, no single writer)."""
+    shared folder (or ``path``); a partitioned write goes by a file plan from
+    the counted bytes of each partition value."""
     spark = spark or df.sparkSession
     path = path or scratch_path(spark, name)
-    w = df
-    if partition_by:
-        w = df.repartition(*partition_by)
+    w = spread(df, partition_by, file_bytes) if partition_by else df
     writer = w.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -148,3 +148,62 @@ def test_snapshot_load_rewrites_touched_partitions_only(spark, tmp_path):
     assert {r["id"]: (r["v"], r["created_by"]) for r in snap.read(spark).collect()} == want and snap.read(spark).count() == len(want)
     assert snap.read(spark, 1).count() == 1001  # the load before is still whole
     assert snap.load(spark.createDataFrame([], schema)) == [] and snap.read(spark).count() == len(want)
+
+
+def test_partitioned_write_splits_a_big_value(spark, tmp_path):
+    import pathlib
+    from riskspark.operators import sinks as SK
+    df = spark.range(10_000).select("id", F.when(F.col("id") % 10 != 0, "big").when(F.col("id") % 100 == 0, F.lit(None)).otherwise(
+        F.concat(F.lit("v"), (F.col("id") % 70).cast("string"))).alias("p"), F.lit("x" * 20).alias("t"))
+    path = SK.write_snapshot(df, f"{tmp_path}/out", ["p"], file_bytes=40_000)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in pathlib.Path(path).iterdir() if d.is_dir()}
+    assert files["p=big"] >= 6 and all(n == 1 for d, n in files.items() if d != "p=big")
+    back = spark.read.schema(df.schema).parquet(path)
+    assert back.select("id", "p", "t").exceptAll(df.select("id", "p", "t")).count() == 0 and back.count() == 10_000
+    assert spark.read.parquet(SK.write_snapshot(df.limit(0), f"{tmp_path}/none")).count() == 0
+
+
+def test_profile(spark):
+    from riskspark.operators import aggs as A
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 1.0), (None, "a", 1.0), (2, None, 2.5)], "`a.b` int, s string, d double")
+    got = {r["column_name"]: (r["null_count"], r["null_pct"], r["distinct_count"], r["row_count"], r["column_count"]) for r in A.profile(df).collect()}
+    assert got == {"a.b": (1, 25.0, 2, 4, 3), "s": (1, 25.0, 1, 4, 3), "d": (1, 25.0, 2, 4, 3)}
+    assert "Expand" not in A.profile(df)._jdf.queryExecution().toString()
+    assert {r["row_count"] for r in A.profile(df.limit(0)).collect()} == {0}
+
+
+def test_quarantine_keeps_every_row(spark):
+    from riskspark.operators.quality import quarantine
+    df = spark.createDataFrame([(1, "D1"), (2, None), (None, "D1"), (None, "bad"), (1, "D1")], "m int, c string")
+    good, bad = quarantine(df, {"NO_MEMBER": F.col("m").isNotNull(), "BAD_CODE": F.col("c").startswith("D")})
+    assert sorted(map(tuple, good.collect())) == [(1, "D1"), (1, "D1")] and good.columns == df.columns
+    assert {(r["m"], r["c"]): r["reasons"] for r in bad.collect()} == {(2, None): ["BAD_CODE"], (None, "D1"): ["NO_MEMBER"], (None, "bad"): ["BAD_CODE", "NO_MEMBER"]}
+
+
+def test_step_log_counts_in_one_run(spark):
+    from riskspark.operators.quality import StepLog
+    log = StepLog()
+    a = log.step("all", spark.range(100))
+    b = log.step("even", a.where("id % 2 = 0"))
+    log.step("none", b.where("id < 0")).write.format("noop").mode("overwrite").save()
+    assert [tuple(r) for r in log.frame(spark).collect()] == [(0, "all", None, 100, None), (1, "even", 100, 50, -50.0), (2, "none", 50, 0, -100.0)]
+
+
+def test_confidence_bounds_are_uneven_and_open(spark):
+    from riskspark.plans import persistence as P
+    table = spark.createDataFrame([(30, 1, 2, 0.9), (120, 1, 2, 0.8), (180, 1, 2, 0.7), (360, 1, 999, 0.6), (None, 1, 2, 0.5), (None, 3, 999, 0.4)],
+                                  "last_bound int, freq_min int, freq_max int, weight double")
+    asked = [(0, 1, 0.9), (30, 2, 0.9), (31, 1, 0.8), (125, 1, 0.7), (150, 2, 0.7), (181, 1, 0.6), (330, 50, 0.6), (361, 1, 0.5), (9000, 1000, 0.4), (125, 3, None), (None, 1, None)]
+    got = P.confidence_lookup(spark.createDataFrame([x[:2] for x in asked], "duration int, frequency int"), table).collect()
+    assert Counter((r["duration"], r["frequency"], r["confidence_factor"]) for r in got) == Counter(asked)
+
+
+def test_gap_interactions(spark):
+    from riskspark.plans import gaps as G
+    gaps = spark.createDataFrame([("v28", 1, 1999, 5, 0.8), ("v28", 1, 1999, 17, 0.9), ("v24", 1, 1999, 5, 0.8), ("v28", 2, 1999, 9, 0.75)],
+                                 "version string, member_bid int, risk_year int, cc_id int, combined_confidence double")
+    coded = spark.createDataFrame([("v28", 1, 1999, 1), ("v28", 1, 1999, 1), ("v24", 1, 1998, 1), ("v28", 3, 1999, 1), ("v28", 3, 1999, 5), ("v28", 2, 1999, 9)],
+                                  "version string, member_bid int, risk_year int, hcc int")
+    rules = spark.createDataFrame([("A", 1, 5, 0.1), ("B", 5, 17, 0.2), ("C", 9, 20, 0.3)], "interaction_name string, hcc1 int, hcc2 int, score double")
+    got = {(r["version"], r["member_bid"], r["interaction_name"], r["confidence"]) for r in G.gap_interactions(gaps, coded, rules).collect()}
+    assert got == {("v28", 1, "A", 0.8), ("v28", 1, "B", 0.72)}  # member 3's pair is coded already
