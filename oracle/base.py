@@ -246,3 +246,8 @@ def _sas():
 @cte("multiplier_rules")
 def _mult():
     return values(R.MULTIPLIER_RULES, "hcc1, hcc2, multiplier")
+
+
+@cte("models")
+def _models():
+    return values(R.MODELS, "model_id, family, map_set, hierarchy_set, coefficient_set, segments, scores_count")

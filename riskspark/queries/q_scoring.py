@@ -8,6 +8,7 @@ from oracle import base as B
 from oracle import scoring as OS
 from riskspark.operators.joins import broadcast_if_small
 from riskspark.operators.quality import quarantine
+from riskspark.plans import models as MD
 from riskspark.plans import scoring as S
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
@@ -202,17 +203,31 @@ def validated(inp: Inputs):
     return accepted.drop("_member", "_code"), rejected.drop("_member", "_code")
 
 
-@query("rsk_models", _o("SELECT * FROM scores WHERE version = 'v24'", INTS))
+_MODELS = OS.POP_STEPS[:4] + [
+    ("mm", """SELECT m.*, p.member_bid, p.risk_year, p.model_segment, p.age_yr, p.memb_gender_cd FROM models m
+      JOIN pop p ON list_contains(string_split(m.segments, ','), p.model_segment)"""),
+    ("md", """SELECT mm.*, mm.map_set AS version, d.diag_cd, i.hcc FROM mm JOIN diag d ON d.member_bid = mm.member_bid AND d.risk_year = mm.risk_year
+      LEFT JOIN icd_hcc i ON i.version = mm.map_set AND i.diag_cd = d.diag_cd"""),
+    ("me", f"SELECT DISTINCT model_id, member_bid, risk_year, hierarchy_set, coefficient_set, model_segment, hcc2 AS hcc FROM "
+           f"(SELECT *, {OS._sedits_case()} AS hcc2 FROM md) WHERE hcc2 IS NOT NULL AND hcc2 <> -1"),
+    ("mk", """SELECT * FROM me c WHERE NOT EXISTS (SELECT 1 FROM me p JOIN hierarchy_pairs h ON h.version = p.hierarchy_set AND h.parent = p.hcc
+      WHERE p.model_id = c.model_id AND p.member_bid = c.member_bid AND p.risk_year = c.risk_year AND h.child = c.hcc)"""),
+    ("ms", """SELECT k.model_id, k.member_bid, k.risk_year, sum(coalesce(cf.score, 0.0)) AS hcc_score, count(*) AS hcc_count FROM mk k
+      LEFT JOIN coefficients cf ON cf.version = k.coefficient_set AND upper(cf.name) = upper(k.model_segment || '_HCC' || CAST(k.hcc AS VARCHAR))
+      GROUP BY 1, 2, 3"""),
+    ("mo", """SELECT mm.model_id, mm.member_bid, mm.risk_year, mm.family, mm.model_segment, coalesce(cd.score, 0.0) AS demog, coalesce(ms.hcc_score, 0.0) AS hcc,
+        coalesce(cc.score, 0.0) AS cnt, coalesce(ms.hcc_count, 0) AS hcc_count FROM mm
+      LEFT JOIN ms ON ms.model_id = mm.model_id AND ms.member_bid = mm.member_bid AND ms.risk_year = mm.risk_year
+      LEFT JOIN coefficients cd ON cd.version = mm.coefficient_set AND upper(cd.name) = upper(mm.model_segment || '_' || mm.memb_gender_cd || CAST(mm.age_yr AS VARCHAR))
+      LEFT JOIN coefficients cc ON mm.scores_count = 'Y' AND cc.version = mm.coefficient_set AND upper(cc.name) = upper(mm.model_segment || '_D' ||
+        CASE WHEN ms.hcc_count >= 10 THEN '10P' ELSE CAST(ms.hcc_count AS VARCHAR) END)""")]
+
+
+@query("rsk_models", B.q(OS.BASE + ["models"], _MODELS, B.typed("""
+SELECT model_id, member_bid, risk_year, family, model_segment, round(demog, 3) AS demog_score, round(hcc, 3) AS hcc_score,
+  round(cnt, 3) AS count_score, hcc_count, round(demog + hcc + cnt, 3) AS raw_score FROM mo""", ["risk_year", "hcc_count"])))
 def rsk_models(spark, sf):
-    """The same pipeline run for one model version: every rule table is
-    filtered by (model, version) — the version is a parameter, not code."""
+    """Every model of the registry, of two families, in one plan."""
     inp = Inputs(spark, sf)
-    sp = spark
-    v = ("v24",)
-    pop = inp.population()
-    icd = REF.icd_hcc(sp).where(F.col("version").isin(*v))
-    hcc = S.scored_hccs(pop, S.member_diagnoses(inp.lines()), icd, REF.hierarchy_pairs(sp))
-    hcc = hcc.where(F.col("version").isin(*v))
-    scores = S.risk_scores(pop, hcc, REF.coefficients(sp), REF.group_rules(sp), REF.adjustment_factors(sp),
-                           REF.version_weights(sp))
-    return scores.where(F.col("version").isin(*v))
+    diagnoses = inp.claim_diag().select("member_bid", "risk_year", "diag_cd").distinct()
+    return MD.score_models(inp.population(), diagnoses, REF.models(spark), REF.icd_hcc(spark), REF.hierarchy_pairs(spark), REF.coefficients(spark))

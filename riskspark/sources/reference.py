@@ -109,6 +109,11 @@ def method_rules(spark: SparkSession, versions=("v28",)) -> DataFrame:
                "exclusion_cd string, qualified_claim int")
 
 
+def models(spark: SparkSession) -> DataFrame:
+    return _df(spark, R.MODELS, "model_id string, family string, map_set string, hierarchy_set string, "
+               "coefficient_set string, segments string, scores_count string")
+
+
 def code_groups(spark: SparkSession) -> DataFrame:
     return _df(spark, R.CODE_GROUPS, "claim_cd_type string, group_cd string, code string")
 

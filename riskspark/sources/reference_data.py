@@ -164,6 +164,11 @@ PLAN_EXCLUSIONS = [("007", 1, None), ("012", None, 25), ("003", 10, 27)]
 # --- fixed values: SAS model version by model version -----------------------
 SAS_MODEL_VERSIONS = [("v24", "V2419P1M"), ("v28", "V2825T1M")]
 
+# --- fixed values: risk models: (id, family, code map, hierarchy, coefficients, segments, count scored) --
+MODELS = [("CMS-HCC-V24", "cms_hcc", "v24", "v24", "v24", "CNA,CFA,CPA,INS", "Y"),
+          ("CMS-HCC-V28", "cms_hcc", "v28", "v28", "v28", "CNA,CFA,CPA,INS", "Y"),
+          ("RX-HCC-V08", "rx_hcc", "v28", "v24", "v24", "CNA,INS", "N")]
+
 # --- fixed values: visit type of a qualifying procedure ---------------------
 VISIT_TYPE_MATCHED, VISIT_TYPE_OTHER = "FACE_TO_FACE", "OTHER"
 
