@@ -8,6 +8,7 @@ from oracle import base as B
 from oracle import gaps as OG
 from riskspark.operators import rules as OR
 from riskspark.operators import sinks as SK
+from riskspark.operators.master import merge_sources
 from riskspark.operators.snapshots import Snapshot, key_range
 from riskspark.plans import claims as C
 from riskspark.queries.common import Inputs
@@ -180,45 +181,83 @@ def clm_risk_member_diag(spark, sf):
     return _two_loads(rows, "risk-member-diag", ["claim_ref", "diag_cd", "dx_source"], F.date_format("claim_dt", "yyyy-MM"), F.col("claim_dt"), CUTOFF)
 
 
-@query("clm_providers", """
-WITH master AS (SELECT DISTINCT s.s_suppkey AS provider_id, trim(s.s_name) AS provider_name FROM supplier s
-                WHERE s.s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')),
-src AS (SELECT DISTINCT s_suppkey AS provider_id, trim(s_name) AS provider_name FROM supplier
-        UNION SELECT DISTINCT l_suppkey, 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') FROM lineitem)
-SELECT * FROM master UNION ALL
-SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.provider_id = s.provider_id)""")
+def _merged_sql(parts: list[str], keys: str, attributes: list[str], names: list[str]) -> str:
+    """The first source that has it, per attribute, over numbered source SELECTs."""
+    rows = " UNION ALL ".join(f"SELECT {i} AS rk, * FROM ({q})" for i, q in enumerate(parts))
+    def best(a: str) -> str:
+        return f"min(lpad(CAST(rk AS VARCHAR), 2, '0') || trim({a})) FILTER (coalesce(trim({a}), '') <> '')"
+    k = keys.split(", ")
+    cols = ", ".join(f"substring({best(a)}, 3) AS {a}" for a in attributes)
+    first = "CASE min(rk) " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names)) + " END"
+    blank = " AND ".join(f"coalesce(trim({c}), '') <> ''" for c in k)
+    return (f"SELECT {', '.join(f'trim({c}) AS {c}' for c in k)}, {cols}, {first} AS first_source, count(DISTINCT rk) AS n_sources "
+            f"FROM ({rows}) WHERE {blank} GROUP BY {', '.join(f'trim({c})' for c in k)}")
+
+
+_L = "(SELECT l.*, m.home_plan_id_cd FROM claim_line l JOIN member m ON m.member_bid = l.member_bid)"
+_RX = "(SELECT p.*, m.home_plan_id_cd FROM pharmacy p JOIN member m ON m.member_bid = p.member_bid)"
+PROVIDER_SOURCES = ["facility", "professional", "lab", "quality_events", "rx_prescriber", "rx_pharmacy", "rx_pcp"]
+
+
+@query("clm_providers", B.q(["claim_line", "member", "pharmacy"], [], _merged_sql([
+    f"SELECT home_plan_id_cd, ' S' || CAST(l_suppkey AS VARCHAR) AS prov_id_cd, NULL AS prov_name, 'BILL' || substring(tp_of_bill_cd, 1, 2) AS specialty FROM {_L} WHERE clm_tp_cd IN (1, 2)",
+    f"SELECT home_plan_id_cd, 'S' || CAST(l_suppkey AS VARCHAR) || ' ', s_name, NULL FROM {_L} JOIN supplier ON s_suppkey = l_suppkey WHERE clm_tp_cd = 3",
+    f"SELECT home_plan_id_cd, 'S' || CAST(l_partkey % 100 + 1 AS VARCHAR), NULL, 'LAB' FROM {_L} WHERE cpt_cd IN ('C050', 'C051')",
+    f"SELECT home_plan_id_cd, CASE WHEN l_quantity > 49 THEN '' ELSE 'S' || CAST(l_suppkey AS VARCHAR) END, '', 'QUALITY' FROM {_L} WHERE l_quantity > 45",
+    f"SELECT home_plan_id_cd, 'S' || CAST(l_partkey % 100 + 1 AS VARCHAR), 'RX ' || CAST(l_partkey % 100 + 1 AS VARCHAR), 'PRESCRIBER' FROM {_RX}",
+    f"SELECT home_plan_id_cd, 'F' || CAST(l_partkey % 50 AS VARCHAR), NULL, 'PHARMACY' FROM {_RX}",
+    f"SELECT home_plan_id_cd, 'S' || CAST(l_partkey % 70 + 1 AS VARCHAR), NULL, 'PCP' FROM {_RX}"],
+    "home_plan_id_cd, prov_id_cd", ["prov_name", "specialty"], PROVIDER_SOURCES)))
 def clm_providers(spark, sf):
-    """Master provider list: the existing master holds the providers already
-    seen on earlier claims; trimmed distinct ids from every source are
-    inserted only when absent."""
+    """Master provider list of seven sources, by plan and provider id."""
     inp = Inputs(spark, sf)
-    sup = inp.table("supplier").select(F.col("s_suppkey").alias("provider_id"), F.trim("s_name").alias("provider_name"))
-    li = inp.table("lineitem")
-    seen = li.where(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz")).select(
-        F.col("l_suppkey").alias("provider_id")).distinct()
-    master = sup.join(seen, "provider_id", "left_semi").distinct()
-    from_claims = li.select(F.col("l_suppkey").alias("provider_id")).distinct().select(
-        "provider_id", F.concat(F.lit("Supplier#"), F.lpad(F.col("provider_id").cast("string"), 9, "0")).alias("provider_name"))
-    src = sup.unionByName(from_claims).distinct()
-    return SK.insert_if_absent(master, src, ["provider_id"])
-
-
-@query("clm_locations", """
-WITH master AS (SELECT CAST(n.n_nationkey AS BIGINT) AS location_id, trim(n.n_name) AS location_name, trim(r.r_name) AS region_name
-                FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey WHERE n.n_regionkey = 0),
-src AS (SELECT DISTINCT CAST(n.n_nationkey AS BIGINT) AS location_id, trim(n.n_name) AS location_name, trim(r.r_name) AS region_name
-        FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
-        WHERE length(trim(n.n_name)) > 0)
-SELECT * FROM master UNION ALL SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.location_id = s.location_id)""")
+    plan = inp.member().select("member_bid", "home_plan_id_cd")
+    li, rx = inp.lines().join(plan, "member_bid"), inp.pharmacy().join(plan, "member_bid")
+    sup = inp.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("prov_name"))
+
+    def src(df, prov, name=None, specialty=None):
+        return df.select("home_plan_id_cd", prov.alias("prov_id_cd"), F.lit(name).cast("string").alias("prov_name"), F.lit(specialty).cast("string").alias("specialty"))
+
+    def s(n):
+        return F.concat(F.lit("S"), n.cast("string"))
+    supp, part = F.col("l_suppkey"), F.col("l_partkey")
+    frames = [
+        src(li.where(F.col("clm_tp_cd").isin(1, 2)), F.concat(F.lit(" "), s(supp)), None, F.concat(F.lit("BILL"), F.substring("tp_of_bill_cd", 1, 2))),
+        src(li.where(F.col("clm_tp_cd") == 3).join(sup, "l_suppkey"), F.concat(s(supp), F.lit(" ")), F.col("prov_name")),
+        src(li.where(F.col("cpt_cd").isin("C050", "C051")), s(part % 100 + 1), None, "LAB"),
+        src(li.where(F.col("l_quantity") > 45), F.when(F.col("l_quantity") > 49, "").otherwise(s(supp)), "", "QUALITY"),
+        src(rx, s(part % 100 + 1), F.concat(F.lit("RX "), (part % 100 + 1).cast("string")), "PRESCRIBER"),
+        src(rx, F.concat(F.lit("F"), (part % 50).cast("string")), None, "PHARMACY"),
+        src(rx, s(part % 70 + 1), None, "PCP")]
+    return merge_sources(dict(zip(PROVIDER_SOURCES, frames)), ["home_plan_id_cd", "prov_id_cd"], ["prov_name", "specialty"])
+
+
+LOCATION_SOURCES = ["facility", "professional", "rx_retail", "rx_mail", "location"]
+
+
+@query("clm_locations", B.q(["claim_line", "member", "pharmacy"], [], _merged_sql([
+    f"SELECT home_plan_id_cd, 'L' || tp_of_bill_cd AS location_id, 'Facility ' || tp_of_bill_cd AS location_name, NULL AS region_name FROM {_L} WHERE clm_tp_cd IN (1, 2)",
+    f"SELECT home_plan_id_cd, 'N' || CAST(l_suppkey % 30 AS VARCHAR), NULL, NULL FROM {_L} WHERE clm_tp_cd = 3",
+    f"SELECT home_plan_id_cd, 'N' || CAST(l_partkey % 25 AS VARCHAR), 'Pharmacy ' || CAST(l_partkey % 25 AS VARCHAR), NULL FROM {_RX}",
+    f"SELECT home_plan_id_cd, CASE WHEN l_partkey % 25 = 0 THEN ' ' ELSE 'M' || CAST(l_partkey % 25 AS VARCHAR) END, NULL, NULL FROM {_RX}",
+    "SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0'), 'N' || CAST(n_nationkey AS VARCHAR), n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey"],
+    "home_plan_id_cd, location_id", ["location_name", "region_name"], LOCATION_SOURCES)))
 def clm_locations(spark, sf):
+    """Master location list of five sources, by plan and location id."""
     inp = Inputs(spark, sf)
+    plan = inp.member().select("member_bid", "home_plan_id_cd")
+    li, rx = inp.lines().join(plan, "member_bid"), inp.pharmacy().join(plan, "member_bid")
     n = inp.table("nation").join(inp.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    loc = n.select(F.col("n_nationkey").alias("location_id"), F.trim("n_name").alias("location_name"),
-                   F.trim("r_name").alias("region_name"), "n_regionkey")
-    master = loc.where(F.col("n_regionkey") == 0).drop("n_regionkey")
-    used = inp.table("customer").select(F.col("c_nationkey").alias("location_id")).distinct()
-    src = OR.trim_strings(loc.drop("n_regionkey").join(used, "location_id", "left_semi"), ["location_name"])
-    return SK.insert_if_absent(master, src, ["location_id"])
+    key = (F.col("l_partkey") % 25).cast("string")
+    frames = [
+        li.where(F.col("clm_tp_cd").isin(1, 2)).select("home_plan_id_cd", F.concat(F.lit("L"), "tp_of_bill_cd").alias("location_id"),
+                                                       F.concat(F.lit("Facility "), "tp_of_bill_cd").alias("location_name")),
+        li.where(F.col("clm_tp_cd") == 3).select("home_plan_id_cd", F.concat(F.lit("N"), (F.col("l_suppkey") % 30).cast("string")).alias("location_id")),
+        rx.select("home_plan_id_cd", F.concat(F.lit("N"), key).alias("location_id"), F.concat(F.lit("Pharmacy "), key).alias("location_name")),
+        rx.select("home_plan_id_cd", F.when(F.col("l_partkey") % 25 == 0, " ").otherwise(F.concat(F.lit("M"), key)).alias("location_id")),
+        n.select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("home_plan_id_cd"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("location_id"),
+                 F.col("n_name").alias("location_name"), F.col("r_name").alias("region_name"))]
+    return merge_sources(dict(zip(LOCATION_SOURCES, frames)), ["home_plan_id_cd", "location_id"], ["location_name", "region_name"])
 
 
 @query("clm_load_status", """

@@ -207,3 +207,26 @@ def test_gap_interactions(spark):
     rules = spark.createDataFrame([("A", 1, 5, 0.1), ("B", 5, 17, 0.2), ("C", 9, 20, 0.3)], "interaction_name string, hcc1 int, hcc2 int, score double")
     got = {(r["version"], r["member_bid"], r["interaction_name"], r["confidence"]) for r in G.gap_interactions(gaps, coded, rules).collect()}
     assert got == {("v28", 1, "A", 0.8), ("v28", 1, "B", 0.72)}  # member 3's pair is coded already
+
+
+def test_merge_sources_takes_the_first_that_has_it(spark):
+    from riskspark.operators.master import merge_sources
+    a = spark.createDataFrame([(" p1 ", "n1", None), ("p2", "", "x"), ("", "lost", "lost")], "id string, name string, kind string")
+    b = spark.createDataFrame([("p1", "other", "b2"), ("p1", "other", "b1"), ("p3", None, " "), (None, "lost", "lost")], "id string, name string, kind string")
+    c = spark.createDataFrame([("p2", "c"), ("p3", "c")], "id string, name string")
+    got = {r["id"]: (r["name"], r["kind"], r["first_source"], r["n_sources"]) for r in merge_sources({"a": a, "b": b, "c": c}, ["id"], ["name", "kind"]).collect()}
+    assert got == {"p1": ("n1", "b1", "a", 2), "p2": ("c", "x", "a", 2), "p3": ("c", None, "b", 2)}
+
+
+def test_a_new_model_is_a_row(spark):
+    from riskspark.plans import models as MD
+    pop = spark.createDataFrame([(1, 1999, "CNA", 70, "F"), (2, 1999, "INS", 80, "M")], "member_bid int, risk_year int, model_segment string, age_yr int, memb_gender_cd string")
+    diag = spark.createDataFrame([(1, 1999, "X1"), (1, 1999, "X2"), (1, 1999, "X9"), (2, 1999, "X2")], "member_bid int, risk_year int, diag_cd string")
+    icd = spark.createDataFrame([("mapA", "X1", 5), ("mapA", "X2", 6), ("mapB", "X2", 7)], "version string, diag_cd string, hcc int")
+    hier = spark.createDataFrame([("hA", 5, 6)], "version string, parent int, child int")
+    coef = spark.createDataFrame([("cA", "CNA_HCC5", 0.5), ("cA", "CNA_HCC6", 0.25), ("cB", "cna_hcc7", 0.125), ("cA", "CNA_F70", 1.0), ("cA", "CNA_D1", 2.0)], "version string, name string, score double")
+    schema = "model_id string, family string, map_set string, hierarchy_set string, coefficient_set string, segments string, scores_count string"
+    rows = [("one", "f", "mapA", "hA", "cA", "CNA", "Y"), ("two", "f", "mapA", "none", "cA", "CNA", "N"), ("new", "g", "mapB", "hA", "cB", "CNA,INS", "N")]
+    got = {(r["model_id"], r["member_bid"]): (r["hcc_score"], r["hcc_count"], r["raw_score"]) for r in
+           MD.score_models(pop, diag, spark.createDataFrame(rows, schema), icd, hier, coef).collect()}
+    assert got == {("one", 1): (0.5, 1, 3.5), ("two", 1): (0.75, 2, 1.75), ("new", 1): (0.125, 1, 0.125), ("new", 2): (0.0, 1, 0.0)}
