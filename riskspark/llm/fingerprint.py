@@ -10,7 +10,8 @@ without such a window has its rarest. Each selected window sets five bits of a
 Bloom filter of 2048; after ``CAPACITY`` windows the chain gets another filter.
 
 Entropies slide: from one window to the next a byte leaves and one comes, and
-how often each stands in the window is counted for all places at once.
+how often each stands in the window is counted for all places at once, of a
+whole batch of texts laid end to end; windows over a text's end do not count.
 
 Two chains compare filter by filter: the bits in common, beyond those that
 chance explains, over the most there could be; each filter of the shorter
@@ -49,10 +50,11 @@ BITS = 2048
 HASHES = 5
 CAPACITY = 160
 BLOCK = 1 << 14  # windows classified, ranked or hashed at a time
+GROUP = 1 << 20  # bytes of texts that are laid end to end at a time
+ROWS = 512       # rows whose classes are held at a time
 PAIRS = 1 << 20  # filter pairs compared at a time
 PART_CHARS = 1 << 30  # a range of ids dealt to one task holds about so many characters at most
 FINE = 4         # narrow ranges of ids counted for each part
-CHANCE = 0.25    # share of the bits beyond chance that still counts as chance
 
 #: n log2 n in whole steps, so that a window's entropy does not depend on the order of the sum.
 _G = np.round(np.concatenate([[0.0], np.arange(1, WINDOW + 1) * np.log2(np.arange(1, WINDOW + 1))]) * (1 << 20)).astype(np.int64)
@@ -95,13 +97,51 @@ def kinds(data: bytes) -> Iterator[np.ndarray]:
         yield classes(a[start:start + BLOCK + WINDOW - 1])
 
 
+def many_kinds(texts: list[bytes]) -> list[np.ndarray]:
+    """Classes of all windows of each text. Texts are laid end to end and
+    classified block by block; windows over a text's end are left out."""
+    out: list[np.ndarray] = [NONE] * len(texts)
+    group, size = [], 0
+
+    def flush() -> None:
+        if group:
+            line = np.concatenate([padded(texts[i]) for i in group])
+            found = np.concatenate([classes(line[at:at + BLOCK + WINDOW - 1]) for at in range(0, len(line) - WINDOW + 1, BLOCK)])
+            at = 0
+            for i in group:
+                n = max(len(texts[i]), WINDOW)
+                out[i] = found[at:at + n - WINDOW + 1]
+                at += n
+    for i, data in enumerate(texts):
+        if not data:
+            continue
+        group.append(i)
+        size += len(data)
+        if size >= GROUP:
+            flush()
+            group, size = [], 0
+    flush()
+    return out
+
+
+def seam(data: bytes, at: int) -> tuple[int, int, bytes]:
+    """How many windows of ``data`` end before ``at``, how many begin from there on, and the bytes of all others."""
+    first, last = max(0, at - WINDOW + 1), max(0, len(data) - at - WINDOW + 1)
+    between = data[first:len(data) - last]
+    return first, last, between if len(between) >= WINDOW or not first + last else b""
+
+
 def joined_kinds(data: bytes, at: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Classes of all windows of ``data``, which up to ``at`` is the beginning of a text with the
     classes ``left`` and from there on that of one with ``right``: only windows over the seam are new."""
-    first, last = max(0, at - WINDOW + 1), max(0, len(data) - at - WINDOW + 1)
-    seam = data[first:len(data) - last]
-    new = kinds(seam) if len(seam) >= WINDOW or not first + last else ()
-    return np.concatenate([left[:first], *new, right[:last]])
+    first, last, between = seam(data, at)
+    return np.concatenate([left[:first], *many_kinds([between]), right[:last]])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
 
 
 def hashes(rows: np.ndarray) -> np.ndarray:
@@ -158,7 +198,6 @@ def _best(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x, y = np.unpackbits(a[:, 2:], axis=1).astype(np.float32), np.unpackbits(b[:, 2:], axis=1).astype(np.float32)
     nx, ny = x.sum(axis=1)[:, None], y.sum(axis=1)[None, :]
     chance, most = nx * ny / BITS, np.minimum(nx, ny)
-    chance = chance + CHANCE * (most - chance)
     return np.clip((x @ y.T - chance) / np.maximum(most - chance, 1e-6), 0, 1).max(axis=1)
 
 
@@ -180,10 +219,9 @@ def rarities(docs: DataFrame) -> np.ndarray:
     """Windows of every entropy class over all documents: the fewer, the rarer."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES + 1, np.int64)
-        for b in batches:
-            for t in b.column(0):
-                for kind in kinds(utf8(t.as_py())):
-                    total += np.bincount(kind, minlength=CLASSES + 1)
+        for b in _slices(batches):
+            for kind in many_kinds([utf8(t.as_py()) for t in b.column(0)]):
+                total += np.bincount(kind, minlength=CLASSES + 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 1)), pa.array(total)], names=["kind", "n"])
     rows = docs.select("text").mapInArrow(count, "kind bigint, n bigint").groupBy("kind").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(CLASSES + 1, np.int64)
@@ -197,8 +235,10 @@ def fingerprints(docs: DataFrame, rarity: np.ndarray | None = None) -> DataFrame
     rarity = rarities(docs) if rarity is None else rarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([encode(digest(t.as_py(), rarity)) for t in b.column(1)], pa.string())], names=["doc_id", "fingerprint"])
+        for b in _slices(batches):
+            texts = [utf8(t.as_py()) for t in b.column(1)]
+            chains = [encode(chain_of(t, kind, rarity)) for t, kind in zip(texts, many_kinds(texts))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(chains, pa.string())], names=["doc_id", "fingerprint"])
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
@@ -260,23 +300,24 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, out = None, []  # the row whose successor comes next
-        for b in batches:
-            for doc_id, text, part, guest in zip(*(b.column(i) for i in range(4))):
-                text, part = text.as_py() or "", part.as_py()
-                data = utf8(text)
-                kind = np.concatenate([NONE, *kinds(data)])
+        held = None  # the row whose successor comes next
+        for b in _slices(batches):
+            rows = []
+            for i, kind in enumerate(many_kinds([utf8(t.as_py()) for t in b.column(1)])):
+                text = b.column(1)[i].as_py() or ""
+                rows.append((b.column(0)[i].as_py(), text, b.column(2)[i].as_py(), chain_of(utf8(text), kind, rarity), kind, b.column(3)[i].as_py()))
+            pairs = []  # each row with its successor
+            for row in rows:
+                if held is not None and held[2] == row[2]:
+                    pairs.append((held, row))
+                held = None if row[5] else row
+            texts = [utf8(edited(own[1], after[1])) for own, after in pairs]
+            seams = [seam(t, len(utf8(own[1][:len(own[1]) - len(own[1]) // 2]))) for t, (own, _) in zip(texts, pairs)]
+            out = []
+            for data, (first, last, _), between, (own, after) in zip(texts, seams, many_kinds([x[2] for x in seams]), pairs):
+                kind = np.concatenate([own[4][:first], between, after[4][:last]])
                 chain = chain_of(data, kind, rarity)
-                if held is not None and held[2] == part:
-                    own_id, own, _, own_chain, own_kind = held
-                    new_data, at = utf8(edited(own, text)), len(utf8(own[:len(own) - len(own) // 2]))
-                    new_chain = chain_of(new_data, joined_kinds(new_data, at, own_kind, kind), rarity)
-                    out.append((own_id, len(own), hashlib.sha256(new_data).hexdigest(), encode(own_chain), encode(new_chain), likeness(own_chain, new_chain), likeness(own_chain, chain)))
-                held = None if guest.as_py() else (doc_id.as_py(), text, part, chain, kind)
-                if len(out) >= 1000:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], SCHEMA)
-                    out = []
-        if out:
+                out.append((own[0], len(own[1]), hashlib.sha256(data).hexdigest(), encode(own[3]), encode(chain), likeness(own[3], chain), likeness(own[3], after[3])))
             yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], SCHEMA)
 
     return in_order(docs).select("doc_id", "text", "part", "guest").mapInArrow(run, schema)

@@ -234,3 +234,45 @@ def test_window_ranks_are_exact():
 
 def test_substrings_empty(spark):
     assert superkmer.dedup_substrings(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+# --- op10, a batch at a time
+def test_kinds_of_a_batch_are_those_of_each_text():
+    from riskspark.llm import fingerprint as f
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab cdé\n") for _ in range(rng.choice([0, 1, 30, 63, 64, 65, 400]))).encode() for _ in range(60)] + [b"x" * 40_000, b"ab" * 700_000, b"end"]
+    for data, kind in zip(texts, f.many_kinds(texts)):
+        assert (kind == np.concatenate([f.NONE, *f.kinds(data)])).all()
+    assert f.many_kinds([]) == [] and [len(k) for k in f.many_kinds([b"", b""])] == [0, 0]
+
+
+def test_bloom_bits_and_likeness_by_hand():
+    from riskspark.llm import fingerprint as f
+    rarity = np.arange(f.CLASSES + 1)[::-1].copy()
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(900))
+    other = text[:len(text) // 2] + " ".join("".join(rng.choice("klmnopqrst") for _ in range(5)) for _ in range(400))
+    chains = []
+    for t in (text, other):
+        data = t.encode()
+        kind = np.concatenate(list(f.kinds(data)))
+        seen, filters = set(), []
+        for i in f.select(kind, rarity).tolist():
+            h = int(f.hashes(np.frombuffer(data[i:i + 64], np.uint8).reshape(1, -1))[0])
+            if h in seen:
+                continue
+            seen.add(h)
+            if not filters or filters[-1][0] == f.CAPACITY:
+                filters.append([0, set()])
+            filters[-1][0] += 1
+            filters[-1][1].update(h >> 11 * k & 2047 for k in range(5))
+        chain = f.digest(t, rarity)
+        assert [(int.from_bytes(row[:2].tobytes(), "big"), set(np.flatnonzero(np.unpackbits(row[2:])).tolist())) for row in chain] == [tuple(x) for x in filters]
+        chains.append((chain, filters))
+    (a, fa), (b, fb) = sorted(chains, key=lambda c: (len(c[1]), c[0].tobytes()))
+
+    def score(x, y):
+        chance, most = len(x) * len(y) / 2048, min(len(x), len(y))
+        return min(max((len(x & y) - chance) / max(most - chance, 1e-6), 0), 1)
+    want = sum(n * max(score(x, y) for _, y in fb) for n, x in fa) / sum(n for n, _ in fa)
+    assert abs(f.likeness(a, b) - want) < 1e-5 and 0.2 < want < 0.95
