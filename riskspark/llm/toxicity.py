@@ -274,8 +274,8 @@ def scores(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, and the pattern counts behind the score."""
     feats = cut(features(docs, learn_stems(docs, labelled)))
     w = fit(feats, labelled)
-    return feats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_column(w).alias("score"), *PATTERNS).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int"))
+    return feats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_column(w).alias("score"),
+                        (score_column(w) >= 0.5).cast("int").alias("predicted"), *PATTERNS)
 
 
 def keep_clean(docs: DataFrame, labelled: DataFrame) -> DataFrame:
