@@ -283,8 +283,9 @@ def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *text_key(F.col("text"), F.col("doc_id")), body)
     named = rows.where(F.col("doc_id").isNotNull()).select(*key, "text")
 
-    minis = (named.mapInArrow(_minimisers, "mini bigint, doc bigint").groupBy("mini")
-             .agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("mini"))
+    # written, so that the joins' sides are plain shuffles, whose large parts Spark can split
+    minis = checkpoint(named.mapInArrow(_minimisers, "mini bigint, doc bigint").groupBy("mini")
+                       .agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("mini"), "superkmer-minimisers")
     members = checkpoint(named.mapInArrow(_narrow, "mini bigint, s1 bigint, s2 bigint, doc bigint, tid bigint, at bigint, windows bigint")
                          .join(minis, "mini", "left_semi"), "superkmer-members")
     strings = checkpoint(members.groupBy("mini", "s1", "s2").agg(
@@ -304,7 +305,8 @@ def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
         windows = packed.join(many, "mini", "left_semi").mapInArrow(
             _single_windows, "s1 bigint, s2 bigint, lo bigint, hi bigint, j bigint, w1 bigint, w2 bigint")
         windows = checkpoint(windows, "superkmer-windows")
-        least = windows.groupBy("w1", "w2").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most").drop("most")
+        least = checkpoint(windows.groupBy("w1", "w2").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
+                           .where("least < most").drop("most"), "superkmer-least")
         found = found.unionByName(windows.join(least, ["w1", "w2"]).where("least < hi").select(
             "s1", "s2", "j", F.lit(1).cast("bigint").alias("n"), "least"))
 
