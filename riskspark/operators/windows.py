@@ -67,20 +67,20 @@ def list_over(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "n") -> DataFrame:
-    """Numbers each key's rows from 1 by ``order`` without a window over the key:
-    rows are sorted into ranges that are written once, and a row's number is
-    its place in the range plus the key's rows in the ranges before (a table of
-    one row a key and range). A key that holds most rows spreads over ranges."""
+    """Numbers each key's rows from 1 by ``order`` (a total order, but for equal
+    rows) without a window over the key: rows are dealt into ranges that are
+    written once, and a row's number is its place among the key's rows of the
+    range plus the key's rows in the ranges before (a table of one row a key and
+    range). A key that holds most rows spreads over ranges."""
     from riskspark.operators.sinks import checkpoint
-    by = [F.col(c).asc_nulls_first() for c in [*keys, *order, "_tie"]]
-    ranged = checkpoint(
-        df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
-        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
-    spans = ranged.groupBy(*keys, "_part").agg(F.count("*").alias("_size"), F.min("_row").alias("_first"))
+    by = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    ranged = checkpoint(df.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "numbered")
+    spans = ranged.groupBy(*keys, "_part").agg(F.count("*").alias("_size"))
     before = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_part")) - F.col("_size")
-    offsets = spans.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"), (before - F.col("_first")).alias("_shift"))
+    offsets = spans.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"), before.alias("_before"))
+    here = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]))
     same = F.col("_part") == F.col("_p")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return ranged.join(offsets, same).withColumn(out, F.col("_row") + F.col("_shift") + 1) \
-        .drop("_part", "_row", "_p", "_shift", *[f"_k_{k}" for k in keys])
+    return ranged.withColumn("_here", here).join(offsets, same).withColumn(out, F.col("_before") + F.col("_here")) \
+        .drop("_part", "_here", "_p", "_before", *[f"_k_{k}" for k in keys])

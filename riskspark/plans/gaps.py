@@ -312,7 +312,8 @@ def method_confidence(scored: DataFrame) -> DataFrame:
 def combined_confidence(method_conf: DataFrame) -> DataFrame:
     """agg_combined_confidence: 1 − Π(1 − c) over distinct methods (noisy-OR);
     nulls dropped, all-null → 0.0 (D9)."""
-    return method_conf.groupBy(*GAP_KEY).agg(
+    key = [k for k in GAP_KEY if k in method_conf.columns]  # a frame of one version may leave it out
+    return method_conf.groupBy(*key).agg(
         F.round(RF.noisy_or(F.collect_list("method_confidence")), 6).alias("combined_confidence"),
         F.array_join(F.array_sort(F.collect_set(F.col("method_id").cast("string"))), ",").alias("methods"),
         F.countDistinct("method_id").alias("n_methods"))

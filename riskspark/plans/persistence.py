@@ -34,8 +34,9 @@ def code_years(rows: DataFrame) -> DataFrame:
     number of its claims and the newest of them (claim date, claim id, code: a
     total order). States merge: counts add up (a claim has one risk year, its
     header's) and the newest of the newest is the newest."""
-    claims = rows.groupBy(*KEY, "claim_bid").agg(F.max(F.struct("claim_dt", "diag_cd")).alias("c"))
-    return claims.groupBy(*KEY).agg(
+    key = [k for k in KEY if k in rows.columns]  # a frame of one version may leave it out
+    claims = rows.groupBy(*key, "claim_bid").agg(F.max(F.struct("claim_dt", "diag_cd")).alias("c"))
+    return claims.groupBy(*key).agg(
         F.count("*").alias("frequency"), F.max(F.struct("c.claim_dt", "claim_bid", "c.diag_cd")).alias("latest"))
 
 
@@ -52,7 +53,7 @@ def prior_filter(src: DataFrame, years: DataFrame, n: int = PRIOR_YEARS) -> Data
         "risk_year", F.explode(F.sequence(F.col("prior_year") + 1, F.col("prior_year") + n)))
     state = state.join(broadcast_if_small(years.select("risk_year").distinct()), "risk_year", "left_semi")
     newest = F.struct("latest.claim_dt", "latest.claim_bid", "latest.diag_cd", "prior_year")
-    return _newest(state.groupBy(*KEY).agg(F.sum("frequency").alias("frequency"), F.max(newest).alias("latest")))
+    return _newest(state.groupBy(*[k for k in KEY if k in state.columns]).agg(F.sum("frequency").alias("frequency"), F.max(newest).alias("latest")))
 
 
 def current_filter(claim_hcc: DataFrame) -> DataFrame:
