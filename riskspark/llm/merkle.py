@@ -5,9 +5,9 @@ stand by id; every ``FAN`` consecutive nodes become one node of the next
 level until one is left, the source's subroot. The subroots, by source, give
 the root in the same way.
 
-* Positions come from a range sort that is written once: a row's number in
-  its range, plus the rows of its source in the ranges before (a table of one
-  row a range and source). A source that holds a third of all rows spreads
+* Positions come from ranges that are written once: a row's number among its
+  source's rows in its range, plus the source's rows in the ranges before (a
+  table of one row a range and source). A source that holds a third of all rows spreads
   over many ranges, so no task holds a source.
 * Only every ``STRIDE``-th level is written (levels 0, 2, 4 ...). A stored
   level's nodes are grouped into aligned subtrees of ``FAN ** STRIDE`` nodes,
@@ -39,7 +39,6 @@ from riskspark.operators.sinks import checkpoint
 FAN = 16
 STRIDE = 2
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-_LOW = (1 << 33) - 1  # the row number part of monotonically_increasing_id
 _TOP = "top"
 
 
@@ -78,17 +77,14 @@ class Manifest:
 
 def _placed(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """``rows`` (with ``grp``, the first of ``order``) with ``pos`` within the group and the group's ``height``."""
-    ranged = checkpoint(
-        rows.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*order, "_tie"]])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in [*order, "_tie"]]).drop("_tie")
-        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW))}), name)
-    spans = ranged.groupBy("grp", "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    by = [F.col(c).asc_nulls_first() for c in order]
+    ranged = checkpoint(rows.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), name)
     of = Window.partitionBy("grp")
-    offsets = spans.select(
-        "grp", "_part", height(F.sum("_n").over(of)).alias("height"),
-        (F.sum("_n").over(of.orderBy("_part")) - F.col("_n") - F.col("_first")).alias("_shift"))
-    return ranged.join(offsets, ["grp", "_part"]).withColumn("pos", F.col("_row") + F.col("_shift")).drop("_part", "_row", "_shift")
+    spans = ranged.groupBy("grp", "_part").agg(F.count("*").alias("_n"))
+    offsets = spans.select("grp", "_part", height(F.sum("_n").over(of)).alias("height"),
+                           (F.sum("_n").over(of.orderBy("_part")) - F.col("_n") - 1).alias("_shift"))
+    here = F.row_number().over(Window.partitionBy("_part", "grp").orderBy(*by[1:]))
+    return ranged.withColumn("_here", here).join(offsets, ["grp", "_part"]).withColumn("pos", F.col("_here") + F.col("_shift")).drop("_part", "_here", "_shift")
 
 
 def _above(line: Column) -> Column:
