@@ -90,9 +90,13 @@ def fuzzy_pairs(df: DataFrame, col: str, threshold: float) -> DataFrame:
     ``1 − levenshtein / greatest(length) ≥ threshold`` (above 0), none lost.
 
     The longer value of such a pair, of length L, allows k = floor((1 − threshold) · L)
-    edits. Cut into k + 1 segments, one of them stays whole in the other value, at
-    most k places away (pigeonhole). So segments join substrings by (L, segment
-    number, characters), and the distance is only taken for values that share one."""
+    edits. Cut it into k + 1 segments, from 0: the edits before segment i less i
+    begin at 0, end below 0 and fall by at most 1 a segment, so at some unedited
+    segment i exactly i edits lie before it and at most k - i after. It is moved
+    by at most i places seen from the beginning and by at most k - i seen from
+    the end, where the lengths' difference counts. Segments join substrings at
+    those places by (L, i, characters); the distance, given up beyond k + 1, is
+    only taken for values that share one."""
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is above 0 and at most 1")
     v = df.select(F.col(col).alias("v")).where(F.col(col) != "").distinct().withColumn("n", F.length("v"))
@@ -111,16 +115,19 @@ def fuzzy_pairs(df: DataFrame, col: str, threshold: float) -> DataFrame:
 
     def places(n: Column, i: Column) -> Column:
         last = size - begin(n, i + 1) + begin(n, i)  # where the segment would end with the text
-        first = F.greatest(begin(n, i) - edits(n), F.lit(0))
-        end = F.least(begin(n, i) + edits(n), last)
+        shorter = n - size
+        first = F.greatest(begin(n, i) - i, begin(n, i) - shorter - edits(n) + i, F.lit(0))
+        end = F.least(begin(n, i) + i, begin(n, i) - shorter + edits(n) - i, last)
         return F.when(first <= end, F.transform(F.sequence(first, F.greatest(first, end)), lambda q: keys(text, n, i, q))).otherwise(F.array())
     sizes = F.sequence(size, F.floor(size / threshold + 1e-9).cast("int"))
     short = v.select(F.col("v").alias("shorter"), F.inline(F.array_distinct(F.flatten(F.transform(
         sizes, lambda n: F.flatten(F.transform(F.sequence(F.lit(0), edits(n)), lambda i: places(n, i))))))))
     pairs = short.join(long_, ["size", "i", "part"]).where(F.col("shorter") != F.col("longer")).select(
         F.least("shorter", "longer").alias("value_a"), F.greatest("shorter", "longer").alias("value_b")).distinct()
-    sim = F.lit(1.0) - F.levenshtein("value_a", "value_b") / F.greatest(F.length("value_a"), F.length("value_b"))
-    return pairs.withColumn("similarity", sim).where(F.col("similarity") >= threshold)
+    longest = F.greatest(F.length("value_a"), F.length("value_b"))
+    near = pairs.withColumn("_k", edits(longest) + 1).withColumn("_d", F.expr("levenshtein(value_a, value_b, _k)")).where("_d >= 0")
+    return near.select("value_a", "value_b", (F.lit(1.0) - F.col("_d") / longest).alias("similarity")).where(
+        F.col("similarity") >= threshold)
 
 
 def assign_bid(df: DataFrame, keys: Sequence[str], prefix: int, n_ranges: int | None = None,

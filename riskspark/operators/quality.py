@@ -7,6 +7,8 @@ tables use one full-outer / anti join on the keys.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from typing import Mapping, Sequence
 
@@ -178,9 +180,16 @@ def salted_sum(df: DataFrame, key: str, value: str, salt_by: Sequence[str], n_sa
     return part.groupBy(key).agg(F.sum("_p").cast("double").alias(f"sum_{value}"), F.sum("_n").alias("n_rows"))
 
 
-def cached(df: DataFrame) -> DataFrame:
-    """lay_cache: persist a frame used more than once (memory, spilling to disk)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """lay_cache: a frame used more than once, persisted (memory, spilling to
+    disk) within the ``with`` block and released after it. What the block builds
+    must be written before its end, or it is computed from the lineage."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
 
 
 class StepLog:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark import functions as RF
+from riskspark.operators.joins import broadcast_if_small
 
 
 def ensure_columns(df: DataFrame, columns: Mapping[str, str], default=None) -> DataFrame:
@@ -99,7 +100,7 @@ def with_program_pos(df: DataFrame, pos_map: DataFrame) -> DataFrame:
     """prj_program_pos: PROGRAM bucket; facility claims take the place of
     service of their bill-type prefix, others keep the professional default."""
     m = pos_map.select(F.col("bill_prefix").alias("_bp"), F.col("place_of_service").alias("_fpos"))
-    j = df.join(F.broadcast(m), F.substring("tp_of_bill_cd", 1, 2) == F.col("_bp"), "left")
+    j = df.join(broadcast_if_small(m), F.substring("tp_of_bill_cd", 1, 2) == F.col("_bp"), "left")
     program = F.when(F.col("clm_tp_cd").isin(1, 2), "FACILITY").when(F.col("clm_tp_cd") == 3, "PROFESSIONAL") \
         .otherwise("OTHER")
     fac = F.when(F.col("clm_tp_cd").isin(1, 2), F.col("_fpos"))
@@ -122,7 +123,7 @@ def period_filter(claims: DataFrame, periods: DataFrame, date_col: str) -> DataF
                        F.col("risk_year").alias("period_risk_year"),
                        F.explode(F.sequence(F.year("begin_date"), F.year("end_date"))).alias("_year"))
     c = claims.withColumn("_year", F.year(date_col))
-    return c.join(F.broadcast(p), "_year").where(
+    return c.join(broadcast_if_small(p), "_year").where(
         F.col(date_col).between(F.col("begin_date"), F.col("end_date"))).drop("_year")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import rules as OR
 from riskspark.operators.intervals import interval_join
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.operators.sinks import checkpoint
 from riskspark.sources.records import MAO_004, deal_codes
 from riskspark.sources import reference_data as R
@@ -34,7 +35,7 @@ def eligible_line(lines: DataFrame, procs: DataFrame, date_col: str = "claim_dt"
     """jn_visit_type core: procedure code valid on the line's date (broadcast
     left join with a ``between`` residual on the equi key)."""
     p = procs.select(F.col("cpt_cd").alias("_pc"), "valid_from", "valid_to")
-    j = lines.join(F.broadcast(p), (F.col("cpt_cd") == F.col("_pc")) &
+    j = lines.join(broadcast_if_small(p), (F.col("cpt_cd") == F.col("_pc")) &
                    F.col(date_col).between(F.col("valid_from"), F.col("valid_to")), "left")
     return j.withColumn("line_eligible", F.col("_pc").isNotNull().cast("int")) \
         .drop("_pc", "valid_from", "valid_to")

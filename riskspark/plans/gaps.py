@@ -47,7 +47,7 @@ def m1_pharmacy(pharmacy: DataFrame, rules: DataFrame) -> DataFrame:
     """gap_m1_pharmacy / jn_pharmacy_method: NDC rule ⋈ pharmacy claim; all
     rows create a gap, claim type 4. The type filter is on the rule side."""
     r = rules_inclusion(rules, 1).where(F.col("claim_cd_type") == "NDC")
-    j = pharmacy.join(F.broadcast(r), pharmacy["prod_serv_id_cd"] == r["claim_cd"])
+    j = pharmacy.join(broadcast_if_small(r), pharmacy["prod_serv_id_cd"] == r["claim_cd"])
     return _draft(j.select(
         "version", "member_bid", F.year("serv_dt").alias("risk_year"), "method_id", "claim_bid",
         F.col("serv_dt").alias("claim_dt"), F.lit(4).alias("claim_type"), "claim_cd_type", "claim_cd",
@@ -66,10 +66,23 @@ def any_code_join(claims: DataFrame, rules: DataFrame) -> DataFrame:
         if col not in claims.columns:
             continue
         r = rules.where(F.col("claim_cd_type") == cd_type)
-        parts.append(claims.join(F.broadcast(r), claims[col] == r["claim_cd"]))
+        parts.append(claims.join(broadcast_if_small(r), claims[col] == r["claim_cd"]))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def with_rule_code(claims: DataFrame, rules: DataFrame, groups: DataFrame) -> DataFrame:
+    """The claim lines that any rule, modifier or exclusion can match: those
+    with a code of its type among the rules or the code groups."""
+    codes = rules.select("claim_cd_type", F.col("claim_cd").alias("code")).unionByName(groups.select("claim_cd_type", "code")).distinct()
+    out, found = claims, []
+    for cd_type, col in CODE_COLUMN.items():
+        if col in claims.columns:
+            known = codes.where(F.col("claim_cd_type") == cd_type).select(F.col("code").alias(col), F.lit(True).alias(f"_{col}"))
+            out = out.join(broadcast_if_small(known), col, "left")
+            found.append(F.col(f"_{col}"))
+    return out.where(F.coalesce(*found, F.lit(False))).select(*claims.columns)
+
+
 def _claim_draft(j: DataFrame) -> DataFrame:
     return _draft(j.select(
         "version", "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt",
@@ -85,7 +98,7 @@ def m2_codes(claims: DataFrame, rules: DataFrame) -> DataFrame:
 def m10_inclusion(claims: DataFrame, rules: DataFrame) -> DataFrame:
     """gap_m10_inclusion: procedure-only version of M2."""
     r = rules_inclusion(rules, 10).where(F.col("claim_cd_type") == "CPT-HCPCS")
-    return _claim_draft(claims.join(F.broadcast(r), claims["cpt_cd"] == r["claim_cd"])).distinct()
+    return _claim_draft(claims.join(broadcast_if_small(r), claims["cpt_cd"] == r["claim_cd"])).distinct()
 
 
 def expand_groups(groups: DataFrame, group_col_alias: str = "group_cd") -> DataFrame:
@@ -98,7 +111,7 @@ def modifier_same_claim(triggers: DataFrame, claims: DataFrame, groups: DataFram
     the rule's modifier group (semi join on (claim, group))."""
     g = expand_groups(groups, "modifier_cd").drop("claim_cd_type")
     mods = claims.select("claim_bid", F.col("cpt_cd").alias("code")).distinct() \
-        .join(F.broadcast(g), "code").select("claim_bid", "modifier_cd").distinct()
+        .join(broadcast_if_small(g), "code").select("claim_bid", "modifier_cd").distinct()
     return triggers.join(mods, ["claim_bid", "modifier_cd"], "left_semi")
 
 
@@ -120,7 +133,7 @@ def lookback_exclusion(triggers: DataFrame, claims: DataFrame, groups: DataFrame
     width = days + 1
     g = expand_groups(groups, "exclusion_cd").where(F.col("claim_cd_type") == "DIAGNOSIS").drop("claim_cd_type")
     ev = (claims.select("member_bid", F.col("diag_cd").alias("code"), F.col("claim_dt").alias("excl_dt"))
-          .join(F.broadcast(g), "code")
+          .join(broadcast_if_small(g), "code")
           .select("member_bid", "exclusion_cd", F.col("code").alias("excl_diag_cd"), "excl_dt").distinct()
           .withColumn("_b", F.floor(_day("excl_dt") / width)))
     asked = ["member_bid", "exclusion_cd", "claim_dt"]  # all that the answer depends on
@@ -136,7 +149,7 @@ def m10_scenario_triggers(claims: DataFrame, rules: DataFrame, with_modifier: bo
     r = rules.where((F.col("method_id") == 10) & (F.col("claim_cd_type") == "CPT-HCPCS")
                     & F.col("exclusion_cd").isNotNull())
     r = r.where(F.col("modifier_cd").isNotNull() if with_modifier else F.col("modifier_cd").isNull())
-    return claims.join(F.broadcast(r), claims["cpt_cd"] == r["claim_cd"]).select(
+    return claims.join(broadcast_if_small(r), claims["cpt_cd"] == r["claim_cd"]).select(
         "version", "member_bid", "risk_year", "method_id", "claim_bid", "claim_dt",
         F.col("clm_tp_cd").alias("claim_type"), "claim_cd_type", "claim_cd", "cc_id",
         "qualified_claim", "qualify_claims", "modifier_cd", "exclusion_cd").distinct()
@@ -168,7 +181,7 @@ def code_matches(claims: DataFrame, rules: DataFrame, method_ids=(2, 10)) -> Dat
     r = rules.where(F.col("method_id").isin(*method_ids) & (F.col("program") == "CMS"))
     r = r.select("version", "method_id", "claim_cd_type", F.col("claim_cd").alias("code"), "claim_cd", "cc_id", "qualified_claim",
                  "modifier_cd", "exclusion_cd")
-    return exploded.join(F.broadcast(r), ["claim_cd_type", "code"]).drop("code")
+    return exploded.join(broadcast_if_small(r), ["claim_cd_type", "code"]).drop("code")
 
 
 def all_methods(claims: DataFrame, pharmacy: DataFrame, rules: DataFrame, groups: DataFrame,
@@ -291,8 +304,8 @@ def frequency_confidence(draft: DataFrame, freq: DataFrame, default_w: DataFrame
     first = d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     cnt = d.groupBy(*key).agg(F.countDistinct("claim_bid").alias("frequency"))
     f = freq.select("method_id", "claim_cd_type", "claim_cd", F.col("frequency").alias("_rf"), "percent_weight")
-    out = first.join(cnt, key).join(F.broadcast(f), ["method_id", "claim_cd_type", "claim_cd"], "left") \
-        .join(F.broadcast(default_w), "method_id", "left")
+    out = first.join(cnt, key).join(broadcast_if_small(f), ["method_id", "claim_cd_type", "claim_cd"], "left") \
+        .join(broadcast_if_small(default_w), "method_id", "left")
     conf = F.when(F.col("frequency") == F.col("_rf"), F.col("percent_weight")).otherwise(F.col("default_weight"))
     if "confidence_factor" in d.columns:  # method 4 brings its own
         conf = F.coalesce("confidence_factor", conf)
@@ -341,7 +354,7 @@ def method_consensus(method_gaps: DataFrame, priority: DataFrame, n_methods_tota
     all methods, kept at ≥ ``keep_at``; the representative method by priority
     (4 > 10 > 1 > 2)."""
     g = method_gaps.select("member_bid", "risk_year", "cc_code", "method_id").distinct() \
-        .join(F.broadcast(priority), "method_id", "left")
+        .join(broadcast_if_small(priority), "method_id", "left")
     agg = g.groupBy("member_bid", "risk_year", "cc_code").agg(
         F.count("method_id").alias("n_methods"),
         F.array_join(F.array_sort(F.collect_list(F.col("method_id").cast("string"))), ",").alias("methods"),

@@ -26,7 +26,7 @@ KEY = [*M, "hcc"]
 
 def chronic_source(claim_hcc: DataFrame, chronic: DataFrame) -> DataFrame:
     """per_chronic_source: rows of chronic categories only (broadcast semi join)."""
-    return claim_hcc.join(F.broadcast(chronic.select("hcc")), "hcc", "left_semi")
+    return claim_hcc.join(broadcast_if_small(chronic.select("hcc")), "hcc", "left_semi")
 
 
 def code_years(rows: DataFrame) -> DataFrame:
@@ -194,10 +194,10 @@ def year_flags(codes: DataFrame, chronic: DataFrame, years: DataFrame) -> DataFr
     flag (all three), carry-forward eligible (≥ 2 prior years and chronic)."""
     e = codes.withColumn("_off", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))) \
         .withColumn("target_year", F.col("risk_year") + F.col("_off")) \
-        .join(F.broadcast(years.select(F.col("risk_year").alias("target_year")).distinct()), "target_year", "left_semi")
+        .join(broadcast_if_small(years.select(F.col("risk_year").alias("target_year")).distinct()), "target_year", "left_semi")
     g = e.groupBy("version", "member_bid", "target_year", "hcc").agg(
         *[F.max(F.when(F.col("_off") == i, 1).otherwise(0)).alias(f"in_y{i}") for i in range(3)])
-    g = g.join(F.broadcast(chronic.select("hcc", "chronic")), "hcc", "left")
+    g = g.join(broadcast_if_small(chronic.select("hcc", "chronic")), "hcc", "left")
     return g.select(
         "member_bid", F.col("target_year").alias("risk_year"), "hcc", "in_y0", "in_y1", "in_y2",
         ((F.col("in_y0") + F.col("in_y1") + F.col("in_y2")) == 3).cast("int").alias("persistent_flag"),

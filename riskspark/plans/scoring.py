@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark import functions as RF
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.sources import reference_data as R
 
 MEMBER_YEAR = ["member_bid", "risk_year"]
@@ -48,7 +49,7 @@ def member_population(member: DataFrame, enrollment: DataFrame, periods: DataFra
     cal = periods.where(F.col("period_type") == "C").select(
         "risk_year", "time_period", "begin_date", "end_date", "period_type")
     ey = enrollment_years(enrollment).select("member_bid", "risk_year").distinct()
-    pop = ey.join(F.broadcast(cal), "risk_year").join(member, "member_bid")
+    pop = ey.join(broadcast_if_small(cal), "risk_year").join(member, "member_bid")
     ref = RF.payment_year_reference_date("period_type", "begin_date", "end_date")
     pop = pop.withColumn("age_yr", RF.age_as_of("memb_brth_dt", ref))
     return with_origds(pop)
@@ -80,7 +81,7 @@ def member_diagnoses(claim_lines: DataFrame, claim_types=(1, 2, 3)) -> DataFrame
 
 def map_icd_to_hcc(diag: DataFrame, icd_map: DataFrame) -> DataFrame:
     """jn_icd_hcc: left broadcast join on (version, code); unmapped keep a null hcc."""
-    return diag.join(F.broadcast(icd_map), ["version", "diag_cd"], "left")
+    return diag.join(broadcast_if_small(icd_map), ["version", "diag_cd"], "left")
 
 
 def apply_sedits(df: DataFrame, rules: Sequence[tuple] = R.SEDITS_RULES,
@@ -102,7 +103,7 @@ def apply_hierarchy(member_hcc: DataFrame, hierarchy_pairs: DataFrame,
     same member keys (left anti join on the exploded hierarchy)."""
     keys = list(keys)
     suppressed = (member_hcc.select(*keys, F.col("hcc").alias("parent"))
-                  .join(F.broadcast(hierarchy_pairs), ["version", "parent"])
+                  .join(broadcast_if_small(hierarchy_pairs), ["version", "parent"])
                   .select(*keys, F.col("child").alias("hcc")))
     return member_hcc.join(suppressed, keys + ["hcc"], "left_anti")
 
@@ -112,7 +113,7 @@ def flag_hierarchy(member_hcc: DataFrame, hierarchy_pairs: DataFrame,
     """Flag form: every row kept, ``suppressed`` 1/0 and the lowest suppressing parent."""
     keys = list(keys)
     sup = (member_hcc.select(*keys, F.col("hcc").alias("parent"))
-           .join(F.broadcast(hierarchy_pairs), ["version", "parent"])
+           .join(broadcast_if_small(hierarchy_pairs), ["version", "parent"])
            .groupBy(*keys, F.col("child").alias("hcc")).agg(F.min("parent").alias("suppressed_by")))
     return member_hcc.join(sup, keys + ["hcc"], "left").withColumn(
         "suppressed", F.col("suppressed_by").isNotNull().cast("int"))
@@ -133,7 +134,7 @@ def coefficient_lookup(df: DataFrame, coeffs: DataFrame, name_col: str, out: str
     """jn_coefficients: broadcast left join on (version, upper(trim(name)))."""
     c = coeffs.select(F.col("version").alias("_cv"), F.upper(F.trim("name")).alias("_ck"),
                       F.col("score").alias(out))
-    j = df.join(F.broadcast(c), (F.col("version") == F.col("_cv")) &
+    j = df.join(broadcast_if_small(c), (F.col("version") == F.col("_cv")) &
                 (F.upper(F.trim(F.col(name_col))) == F.col("_ck")), "left")
     return j.drop("_cv", "_ck")
 
@@ -161,7 +162,7 @@ def group_interactions(hcc: DataFrame, rules: DataFrame) -> DataFrame:
                        F.lit(0).alias("_p"), F.lit(1).alias("_s"))
     sides = prim.unionByName(sec)
     h = hcc.select(*MEMBER_KEYS, F.col("hcc").cast("string").alias("code"))
-    g = h.join(F.broadcast(sides), "code").groupBy(*MEMBER_KEYS, "interaction_name", "score") \
+    g = h.join(broadcast_if_small(sides), "code").groupBy(*MEMBER_KEYS, "interaction_name", "score") \
         .agg(F.max("_p").alias("_p"), F.max("_s").alias("_s"))
     return g.where((F.col("_p") == 1) & (F.col("_s") == 1)).select(*MEMBER_KEYS, "interaction_name", "score")
 
@@ -186,8 +187,8 @@ def risk_scores(population: DataFrame, hcc: DataFrame, coeffs: DataFrame,
            + F.coalesce("interaction_score", z) + F.coalesce("origds_score", z))
     f = factors.select(F.lower("version").alias("version"), "normalization_factor", "coding_pattern_adjustment")
     out = (out.withColumn("raw_score", F.round(raw, 3))
-           .join(F.broadcast(f), "version", "left")
-           .join(F.broadcast(weights), "version", "left"))
+           .join(broadcast_if_small(f), "version", "left")
+           .join(broadcast_if_small(weights), "version", "left"))
     out = out.withColumn("normalized_score", F.round(F.col("raw_score") / F.col("normalization_factor"), 3))
     out = out.withColumn("payment_score",
                          F.round(F.col("normalized_score") * (F.lit(1.0) - F.col("coding_pattern_adjustment")), 3))
@@ -221,7 +222,7 @@ def hcc_pairs(hcc: DataFrame, pair_rules: DataFrame, keys: Sequence[str] = MEMBE
     """
     keys = list(keys)
     rc = pair_rules.select(F.col("hcc1").alias("hcc")).union(pair_rules.select(F.col("hcc2").alias("hcc"))).distinct()
-    f = hcc.select(*keys, "hcc").distinct().join(F.broadcast(rc), "hcc", "left_semi")
+    f = hcc.select(*keys, "hcc").distinct().join(broadcast_if_small(rc), "hcc", "left_semi")
     left = f.select(*keys, F.col("hcc").alias("hcc1"))
     right = f.select(*keys, F.col("hcc").alias("hcc2"))
     return left.join(right, keys).where(F.col("hcc1") < F.col("hcc2"))
@@ -232,7 +233,7 @@ def pair_interactions(hcc: DataFrame, pair_rules: DataFrame, keys: Sequence[str]
     member and interaction name."""
     r = pair_rules.select(F.least("hcc1", "hcc2").alias("hcc1"), F.greatest("hcc1", "hcc2").alias("hcc2"),
                           "interaction_name", "score")
-    return hcc_pairs(hcc, pair_rules, keys).join(F.broadcast(r), ["hcc1", "hcc2"]) \
+    return hcc_pairs(hcc, pair_rules, keys).join(broadcast_if_small(r), ["hcc1", "hcc2"]) \
         .select(*keys, "interaction_name", "hcc1", "hcc2", "score")
 
 
@@ -240,7 +241,7 @@ def interaction_multiplier(pairs: DataFrame, mult_rules: DataFrame, keys: Sequen
     """jn_interaction_multiplier: pair ⋈ multiplier rule on **both** codes
     (AND, D5), ``coalesce(multiplier, 1.0)``; member adjustment Σ(mult − 1)."""
     m = mult_rules.select("hcc1", "hcc2", "multiplier")
-    j = pairs.join(F.broadcast(m), ["hcc1", "hcc2"], "left").withColumn(
+    j = pairs.join(broadcast_if_small(m), ["hcc1", "hcc2"], "left").withColumn(
         "multiplier", F.coalesce("multiplier", F.lit(1.0)))
     return j
 

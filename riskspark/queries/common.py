@@ -71,12 +71,15 @@ class Inputs:
 
 
 def _gap_claims(self) -> DataFrame:
-    """Claim lines with the claim-level qualification flag (gap input)."""
+    """Claim lines with a code of some gap rule or code group, with the
+    claim-level qualification flag (gap input). Lines without such a code go
+    before the join with the flag."""
     from riskspark.plans import claims as C
+    from riskspark.plans import gaps as G
     q = C.claim_qualification(self.header(), self.lines(), self.enrollment(),
                               REF.qualifying_procedures(self.spark))
-    return self.lines().select("member_bid", "claim_bid", "clm_tp_cd", "claim_dt", "risk_year",
-                               "diag_cd", "cpt_cd").join(q, "claim_bid")
+    li = self.lines().select("member_bid", "claim_bid", "clm_tp_cd", "claim_dt", "risk_year", "diag_cd", "cpt_cd")
+    return G.with_rule_code(li, REF.method_rules(self.spark, self.versions), REF.code_groups(self.spark)).join(q, "claim_bid")
 
 
 def _v28_hcc(self) -> DataFrame:

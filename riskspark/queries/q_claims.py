@@ -8,6 +8,7 @@ from oracle import base as B
 from oracle import gaps as OG
 from riskspark.operators import rules as OR
 from riskspark.operators import sinks as SK
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.operators.master import merge_sources
 from riskspark.operators.snapshots import Snapshot, key_range
 from riskspark.plans import claims as C
@@ -70,7 +71,7 @@ def clm_medical_claims(spark, sf):
     procs = REF.qualifying_procedures(spark)
     u = C.with_visit_type(_qualified(inp, (1, 2, 3)), procs)  # facility and professional in one pass
     pos = REF.place_of_service(spark)
-    u = u.join(F.broadcast(pos), F.substring(u["tp_of_bill_cd"], 1, 2) == pos["bill_prefix"], "left") \
+    u = u.join(broadcast_if_small(pos), F.substring(u["tp_of_bill_cd"], 1, 2) == pos["bill_prefix"], "left") \
         .withColumn("place_of_service", F.when(F.col("clm_tp_cd").isin(1, 2), F.col("place_of_service")))
     latest = C.latest_per_key(u, ["claim_bid", "clm_ln_num", "clm_tp_cd"],
                               ["updated_dt", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "cpt_cd"])

@@ -9,6 +9,7 @@ from oracle import combined as OC
 from oracle import gaps as OG
 from oracle import persistence as OP
 from riskspark import functions as RF
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.plans import gaps as G
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
@@ -61,12 +62,12 @@ def gap_m1_pharmacy(spark, sf):
 
 @query("gap_m2_codes", _draft_q("m2"))
 def gap_m2_codes(spark, sf):
-    return _flag(G.m2_codes(Inputs(spark, sf).gap_claims(), REF.method_rules(spark)))
+    return _flag(G.m2_codes(Inputs(spark, sf, cut=False).gap_claims(), REF.method_rules(spark)))
 
 
 @query("gap_m10_inclusion", _draft_q("m10i"))
 def gap_m10_inclusion(spark, sf):
-    return _flag(G.m10_inclusion(Inputs(spark, sf).gap_claims(), REF.method_rules(spark)))
+    return _flag(G.m10_inclusion(Inputs(spark, sf, cut=False).gap_claims(), REF.method_rules(spark)))
 
 
 @query("gap_m10_scenario1", _draft_q("s1"))
@@ -191,8 +192,8 @@ def plan_exclusion(gaps, excl):
     joins (one per rule kind) instead of one OR join."""
     by_m = excl.where(F.col("method_id").isNotNull()).select("home_plan_id_cd", "method_id")
     by_c = excl.where(F.col("cc_id").isNotNull()).select("home_plan_id_cd", "cc_id")
-    return gaps.join(F.broadcast(by_m), ["home_plan_id_cd", "method_id"], "left_anti") \
-        .join(F.broadcast(by_c), ["home_plan_id_cd", "cc_id"], "left_anti")
+    return gaps.join(broadcast_if_small(by_m), ["home_plan_id_cd", "method_id"], "left_anti") \
+        .join(broadcast_if_small(by_c), ["home_plan_id_cd", "cc_id"], "left_anti")
 
 
 def gap_hcc_rows(inp: Inputs):

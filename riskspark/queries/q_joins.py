@@ -10,6 +10,7 @@ from oracle import persistence as OP
 from oracle import scoring as OS
 from riskspark import functions as RF
 from riskspark.operators import joins as J
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.plans import claims as C
 from riskspark.plans import gaps as G
 from riskspark.plans import persistence as P
@@ -67,7 +68,7 @@ FROM draft g LEFT JOIN chronic ck ON ck.hcc = g.cc_id""", ["risk_year", "method_
 def jn_method_cc(spark, sf):
     d = Inputs(spark, sf).gap_draft()
     cc = REF.chronic(spark).select(F.col("hcc").alias("cc_id"), "chronic")
-    return d.join(F.broadcast(cc), "cc_id", "left").select(
+    return d.join(broadcast_if_small(cc), "cc_id", "left").select(
         "member_bid", "risk_year", "method_id", "cc_code", F.lit("v28").alias("version"),
         F.concat(F.lit("Condition category "), F.col("cc_id").cast("string")).alias("cc_description"),
         F.when(F.col("chronic") == 1, "Y").otherwise("N").alias("chronic_flag")).distinct()
@@ -93,8 +94,8 @@ FROM gc c JOIN method_rules r ON r.claim_cd_type = 'DIAGNOSIS' AND r.method_id I
     ["method_id", "cc_id"]))
 def jn_generic_candidates(spark, sf):
     r = REF.method_rules(spark).where((F.col("claim_cd_type") == "DIAGNOSIS") & F.col("method_id").isin(1, 2, 10))
-    c = Inputs(spark, sf).gap_claims()
-    return c.join(F.broadcast(r), c["diag_cd"] == r["claim_cd"]).select(
+    c = Inputs(spark, sf, cut=False).gap_claims()
+    return c.join(broadcast_if_small(r), c["diag_cd"] == r["claim_cd"]).select(
         "member_bid", "claim_bid", "claim_dt", "diag_cd", "method_id", "cc_id",
         F.lit("CMS").alias("program"), F.lit("CLAIMS").alias("candidate_source"))
 
@@ -136,7 +137,7 @@ def jn_codegroup_expand(spark, sf):
     c = Inputs(spark, sf).gap_claims()
     by_cpt = c.select("claim_bid", F.col("cpt_cd").alias("code"), F.lit("CPT-HCPCS").alias("claim_cd_type"))
     by_dx = c.select("claim_bid", F.col("diag_cd").alias("code"), F.lit("DIAGNOSIS").alias("claim_cd_type"))
-    hits = by_cpt.unionByName(by_dx).join(F.broadcast(x), ["claim_cd_type", "code"])
+    hits = by_cpt.unionByName(by_dx).join(broadcast_if_small(x), ["claim_cd_type", "code"])
     cnt = hits.groupBy("claim_cd", "role", "code").agg(F.countDistinct("claim_bid").alias("n_claims"))
     return x.select("claim_cd", "role", "code").join(cnt, ["claim_cd", "role", "code"], "left") \
         .withColumn("n_claims", F.coalesce("n_claims", F.lit(0)))
@@ -161,7 +162,7 @@ def jn_place_of_service(spark, sf):
     h = Inputs(spark, sf).header().select(
         "claim_bid", "tp_of_bill_cd",
         F.when(F.col("clm_tp_cd").isin(1, 2), F.substring("tp_of_bill_cd", 1, 2)).alias("bill_prefix"))
-    return h.join(F.broadcast(REF.place_of_service(spark)), "bill_prefix", "left").select(
+    return h.join(broadcast_if_small(REF.place_of_service(spark)), "bill_prefix", "left").select(
         "claim_bid", "tp_of_bill_cd", "place_of_service")
 
 
@@ -185,7 +186,7 @@ def jn_member_claims(spark, sf):
     inp = Inputs(spark, sf)
     periods = REF.time_periods(spark).where((F.col("period_type") == "C") & F.col("time_period").isin(5, 7, 9))
     h = inp.header().select("claim_bid", "member_bid", "risk_year").join(
-        F.broadcast(periods.select("risk_year", "time_period")), "risk_year")
+        broadcast_if_small(periods.select("risk_year", "time_period")), "risk_year")
     return inp.member().select("member_bid", "segment").join(h, "member_bid").select(
         "member_bid", "segment", "claim_bid", "time_period")
 
@@ -239,7 +240,7 @@ def jn_adjustment_factors(spark, sf):
     s = Inputs(spark, sf).scores().select(*MK, "raw_score").withColumn("model", F.lit("CMS_HCC"))
     f = REF.adjustment_factors(spark).select(F.lower("version").alias("_v"), F.lower("model").alias("_m"),
                                              "normalization_factor", "coding_pattern_adjustment")
-    return s.join(F.broadcast(f), (F.lower(s["version"]) == f["_v"]) & (F.lower(s["model"]) == f["_m"])).select(
+    return s.join(broadcast_if_small(f), (F.lower(s["version"]) == f["_v"]) & (F.lower(s["model"]) == f["_m"])).select(
         *MK, "raw_score", "normalization_factor", "coding_pattern_adjustment")
 
 
@@ -273,7 +274,7 @@ def jn_carryforward(spark, sf):
     inp = Inputs(spark, sf)
     codes = P.year_codes(inp.claim_hcc())
     prior = codes.withColumn("risk_year", F.explode(F.sequence(F.col("risk_year") + 1, F.col("risk_year") + 2))) \
-        .join(F.broadcast(inp.years()), "risk_year", "left_semi").distinct()
+        .join(broadcast_if_small(inp.years()), "risk_year", "left_semi").distinct()
     plan = inp.member().select("member_bid", "home_plan_id_cd", "contract_id")
     keys = ["member_bid", "home_plan_id_cd", "contract_id", "risk_year", "hcc"]
     return prior.join(plan, "member_bid").join(codes.join(plan, "member_bid"), keys, "left_anti").select(
@@ -340,7 +341,7 @@ def jn_broadcast(spark, sf):
     ["risk_year", "hcc"]))
 def jn_chronic(spark, sf):
     mh = Inputs(spark, sf).member_hcc().select(*MK, "hcc")
-    return mh.join(F.broadcast(REF.chronic(spark)), "hcc", "left").select(
+    return mh.join(broadcast_if_small(REF.chronic(spark)), "hcc", "left").select(
         *MK, "hcc", F.when(F.col("chronic") == 1, "Y").otherwise("N").alias("chronic_flag"))
 
 
@@ -366,7 +367,7 @@ def jn_ref_codes(spark, sf):
     c = li.select("claim_bid", F.lit("CPT-HCPCS").alias("code_type"), F.col("cpt_cd").alias("code")) \
         .union(li.select("claim_bid", F.lit("DIAGNOSIS"), "diag_cd")).distinct()
     g = REF.code_groups(spark).select(F.col("claim_cd_type").alias("code_type"), "code", "group_cd")
-    return c.join(F.broadcast(g), ["code_type", "code"], "left").select("claim_bid", "code_type", "code", "group_cd")
+    return c.join(broadcast_if_small(g), ["code_type", "code"], "left").select("claim_bid", "code_type", "code", "group_cd")
 
 
 @query("jn_member_details", _g("""SELECT g.member_bid, g.risk_year, g.method_id, g.cc_code, m.memb_gender_cd, m.home_plan_id_cd,

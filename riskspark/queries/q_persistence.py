@@ -86,10 +86,11 @@ def per_confidence(spark, sf):
 
 
 @query("per_history_status", _o("""
-SELECT c.member_bid, c.risk_year, c.hcc, c.persistent_status, coalesce(p.persistent_status, 'None') AS history_status,
-  CASE WHEN c.persistent_status = 'Open Persistent' AND p.persistent_status IN ('Open Persistent', 'Actual Persistent')
-       THEN p.persistent_status ELSE c.persistent_status END AS carried_status
-FROM status c LEFT JOIN status p ON p.member_bid = c.member_bid AND p.hcc = c.hcc AND p.risk_year = c.risk_year - 1""",
+SELECT member_bid, risk_year, hcc, persistent_status, coalesce(last_status, 'None') AS history_status,
+  CASE WHEN persistent_status = 'Open Persistent' AND last_status IN ('Open Persistent', 'Actual Persistent')
+       THEN last_status ELSE persistent_status END AS carried_status
+FROM (SELECT *, max(persistent_status) OVER (PARTITION BY member_bid, hcc ORDER BY risk_year
+  RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS last_status FROM status)""",
     ["risk_year", "hcc"]))
 def per_history_status(spark, sf):
     st = Inputs(spark, sf).persistence().select(*PK, "persistent_status")
@@ -110,11 +111,11 @@ def history_status(st):
 
 
 @query("per_close", _o("""
-SELECT t.member_bid, t.risk_year, t.hcc,
-  CASE WHEN n.member_bid IS NOT NULL THEN 'Closed Suspect' ELSE t.suspect_status END AS suspect_status,
-  CASE WHEN n.member_bid IS NOT NULL THEN n.risk_year END AS closed_in_year
-FROM status t LEFT JOIN status n ON n.member_bid = t.member_bid AND n.hcc = t.hcc AND n.risk_year = t.risk_year + 1
-  AND t.suspect_status = 'Open Suspect' AND n.suspect_status = 'Closed Suspect'""", ["risk_year", "hcc", "closed_in_year"]))
+SELECT member_bid, risk_year, hcc,
+  CASE WHEN suspect_status = 'Open Suspect' AND closed IS NOT NULL THEN 'Closed Suspect' ELSE suspect_status END AS suspect_status,
+  CASE WHEN suspect_status = 'Open Suspect' THEN closed END AS closed_in_year
+FROM (SELECT *, max(CASE WHEN suspect_status = 'Closed Suspect' THEN risk_year END) OVER (PARTITION BY member_bid, hcc
+  ORDER BY risk_year RANGE BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS closed FROM status)""", ["risk_year", "hcc", "closed_in_year"]))
 def per_close(spark, sf):
     from riskspark.operators import sinks as SK
     st = Inputs(spark, sf).persistence().select(*PK, "suspect_status")

@@ -9,6 +9,7 @@ from oracle import base as B
 from oracle import combined as OC
 from oracle import persistence as OP
 from riskspark.operators import quality as Q
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.plans import gaps as G
 from riskspark.plans import persistence as P
 from riskspark.operators.sinks import checkpoint
@@ -156,7 +157,7 @@ FROM ch c JOIN time_periods tp ON tp.period_type = 'C' AND tp.risk_year = c.risk
 def dq_period_check(spark, sf):
     ch = Inputs(spark, sf).claim_hcc()
     tp = REF.time_periods(spark).where(F.col("period_type") == "C").select("risk_year", "begin_date", "end_date")
-    g = ch.join(F.broadcast(tp), "risk_year").groupBy("risk_year").agg(
+    g = ch.join(broadcast_if_small(tp), "risk_year").groupBy("risk_year").agg(
         F.min("claim_dt").alias("min_dt"), F.max("claim_dt").alias("max_dt"),
         F.min("begin_date").alias("_b"), F.max("end_date").alias("_e"))
     return g.select("risk_year", "min_dt", "max_dt", F.when((F.col("min_dt") >= F.col("_b")) & (F.col("max_dt") <= F.col("_e")),
@@ -207,8 +208,9 @@ def lay_skew(spark, sf):
   (SELECT member_bid, risk_year, count(DISTINCT claim_bid) AS n_claims FROM ch GROUP BY 1, 2) b
   ON a.member_bid = b.member_bid AND a.risk_year = b.risk_year""", ["risk_year"])))
 def lay_cache(spark, sf):
-    """A frame used twice is persisted once (memory, spilling to disk)."""
-    ch = Q.cached(Inputs(spark, sf).claim_hcc())
-    a = ch.groupBy("member_bid", "risk_year").agg(F.countDistinct("hcc").alias("n_codes"))
-    b = ch.groupBy("member_bid", "risk_year").agg(F.countDistinct("claim_bid").alias("n_claims"))
-    return a.join(b, ["member_bid", "risk_year"])
+    """A frame used twice is persisted once (memory, spilling to disk) and
+    released as soon as the result is written."""
+    with Q.cached(Inputs(spark, sf).claim_hcc()) as ch:
+        a = ch.groupBy("member_bid", "risk_year").agg(F.countDistinct("hcc").alias("n_codes"))
+        b = ch.groupBy("member_bid", "risk_year").agg(F.countDistinct("claim_bid").alias("n_claims"))
+        return checkpoint(a.join(b, ["member_bid", "risk_year"]), "cached-use")

@@ -77,7 +77,7 @@ def rsk_interactions_pair(spark, sf):
     prev = p.select("member_bid", "version", (F.col("risk_year") + 1).alias("risk_year"), "interaction_name") \
         .withColumn("_s", F.lit("Y"))
     f = REF.adjustment_factors(spark).select("version", "normalization_factor")
-    return p.join(F.broadcast(f), "version").join(prev, ["member_bid", "version", "risk_year", "interaction_name"], "left") \
+    return p.join(broadcast_if_small(f), "version").join(prev, ["member_bid", "version", "risk_year", "interaction_name"], "left") \
         .select("member_bid", "risk_year", "version", "interaction_name", "score",
                 F.round(F.col("score") / F.col("normalization_factor"), 3).alias("adj_score"),
                 F.coalesce("_s", F.lit("N")).alias("already_stored"))
@@ -111,7 +111,7 @@ FROM scores s LEFT JOIN sas_model_versions v ON v.version = s.version
 WHERE 'v' || regexp_extract(v.sas_model_version, 'V(24|28)', 1) <> 'v'""", ["risk_year"]))
 def rsk_sas_version(spark, sf):
     s = Inputs(spark, sf).scores().select(*S.MEMBER_KEYS, "raw_score")
-    j = s.join(F.broadcast(REF.sas_model_versions(spark)), "version", "left")
+    j = s.join(broadcast_if_small(REF.sas_model_versions(spark)), "version", "left")
     mv = F.concat(F.lit("v"), F.regexp_extract("sas_model_version", "V(24|28)", 1))
     return j.withColumn("model_version", mv).where(F.col("model_version") != "v").select(
         *S.MEMBER_KEYS, "sas_model_version", "model_version", "raw_score")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -41,11 +39,10 @@ def set_union_claims(spark, sf):
 @query("set_union_status", B.q(OP.BASE, OP.STEPS, B.typed("""SELECT member_bid, risk_year, hcc, persistent_status FROM status""",
                                                           ["risk_year", "hcc"])))
 def set_union_status(spark, sf):
+    """The status tracks share no row, so their union is one pass over the frame."""
     st = Inputs(spark, sf).persistence().select("member_bid", "risk_year", "hcc", "persistent_status")
-    tracks = [st.where(F.col("persistent_status") == s) for s in
-              ("Actual Persistent", "Actual NS Persistent", "Open NS Persistent", "Open Persistent")]
-    tracks.append(st.where(F.col("persistent_status") == "New"))
-    return reduce(lambda a, b: a.unionByName(b), tracks)
+    return st.where(F.col("persistent_status").isin(
+        "Actual Persistent", "Actual NS Persistent", "Open NS Persistent", "Open Persistent", "New"))
 
 
 @query("set_distinct", B.typed(B.q(["claim_line"], [], """SELECT claim_bid, clm_ln_num, cpt_cd FROM (

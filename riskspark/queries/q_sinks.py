@@ -15,7 +15,7 @@ from riskspark.operators import sinks as SK
 from riskspark.operators import windows as W
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
-from riskspark.session import ensure_parent, scratch_path
+from riskspark.session import path_exists, scratch_path
 
 K = ["claim_bid", "clm_ln_num"]
 CUTOFF = "1998-01-01"
@@ -123,11 +123,11 @@ _GAP_TARGET = T.StructType([
 
 @query("snk_append_cast", B.typed(B.q(["claim_line"], [], """
 SELECT member_bid, risk_year, 2 AS method_id, 'CC0' || substring(diag_cd, 3, 2) AS cc_code, CAST(NULL AS VARCHAR) AS gap_status,
-  'riskspark' AS created_by FROM claim_line WHERE diag_cd IN ('D030', 'D031')"""), ["risk_year", "method_id"]))
+  'riskspark' AS created_by FROM claim_line"""), ["risk_year", "method_id"]))
 def snk_append_cast(spark, sf):
     """Cast every column to the target type in target order (missing → null),
     add the audit column, append to a target written with the target schema."""
-    li = Inputs(spark, sf).lines().where(F.col("diag_cd").isin("D030", "D031"))
+    li = Inputs(spark, sf).lines()
     rows = li.select("member_bid", F.col("risk_year").cast("string").alias("risk_year"),
                      F.lit("2").alias("method_id"),
                      F.concat(F.lit("CC0"), F.substring("diag_cd", 3, 2)).alias("cc_code"),
@@ -169,13 +169,9 @@ def snk_create_or_upsert(spark, sf):
 
 def create_or_upsert(spark, path: str, df, keys) -> str:
     """snk_create_or_upsert: create when missing, else upsert into a new
-    snapshot written next to it (never overwriting the path being read)."""
-    from riskspark.session import local_path
-    import os
-    p = local_path(path)
-    exists = os.path.exists(p) if "://" not in p else True
-    if not exists:
-        ensure_parent(path)
+    snapshot written next to it (never overwriting the path being read). The
+    path's own file system says whether it exists."""
+    if not path_exists(spark, path):
         df.write.parquet(path)
         return path
     cur = spark.read.parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from oracle import base as B
 from oracle import scoring as OS
+from riskspark.operators.joins import broadcast_if_small
 from riskspark.plans import scoring as S
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
@@ -158,7 +159,7 @@ def src_hierarchy(spark, sf):
     d = S.apply_sedits(S.map_icd_to_hcc(d, REF.icd_hcc(spark)))
     codes = d.where(F.col("hcc").isNotNull() & (F.col("hcc") != -1)).select("member_bid", "risk_year", "hcc").distinct()
     h = REF.hierarchy_pairs(spark).where(F.col("version") == "v28").select("parent", "child")
-    p = codes.withColumnRenamed("hcc", "parent").join(F.broadcast(h), "parent")
+    p = codes.withColumnRenamed("hcc", "parent").join(broadcast_if_small(h), "parent")
     c = codes.select("member_bid", "risk_year", F.col("hcc").alias("child"), F.lit(1).alias("_c"))
     j = p.join(c, ["member_bid", "risk_year", "child"], "left")
     my = F.concat_ws("-", F.col("member_bid").cast("string"), F.col("risk_year").cast("string"))
@@ -266,7 +267,7 @@ def src_member_output(spark, sf):
     s = Inputs(spark, sf).scores().select("member_bid", "version", "time_period", "risk_year", "raw_score")
     tp = REF.time_periods(spark).where(F.col("period_type") == "C").select(
         "time_period", "period_type", F.year("begin_date").alias("_y"))
-    return s.join(F.broadcast(tp), "time_period").where(F.col("risk_year") == F.col("_y")).select(
+    return s.join(broadcast_if_small(tp), "time_period").where(F.col("risk_year") == F.col("_y")).select(
         "member_bid", "version", "time_period", "period_type", "risk_year", "raw_score")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,11 +55,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/riskspark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p), exist_ok=True)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the file system it names (local or shared storage)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

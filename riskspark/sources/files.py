@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.operators.joins import broadcast_if_small
+
 TYPE_NAMES = {"string": T.StringType(), "integer": T.IntegerType(), "int": T.IntegerType(),
               "long": T.LongType(), "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType(),
               "boolean": T.BooleanType()}
@@ -127,7 +129,6 @@ def latest_slice(df: DataFrame, month_col: str, cycle_col: str, version_col: str
     Both maxima are small aggregates (one row; one row per version) joined
     back by broadcast — no whole-table window, no driver round trip."""
     mm = df.agg(F.max(month_col).alias(month_col))
-    m = df.join(F.broadcast(mm), month_col)
-    from riskspark.operators.joins import broadcast_if_small
+    m = df.join(broadcast_if_small(mm), month_col)
     mc = m.groupBy(version_col).agg(F.max(cycle_col).alias(cycle_col))
     return m.join(broadcast_if_small(mc), [version_col, cycle_col])

@@ -54,6 +54,29 @@ def test_fuzzy_pairs_matches_brute_force(spark):
         assert got == {p for p, s in near.items() if s >= t}
 
 
+def test_fuzzy_pairs_of_edited_values(spark):
+    """Long values with edits bunched in one part or spread, at the number the threshold allows."""
+    rnd, want, vals = random.Random(8), set(), set()
+    for k in range(120):
+        a = "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(12, 40)))
+        b, edits = list(a), int(0.25 * len(a))
+        at = [rnd.randrange(len(a)) for _ in range(edits)] if k % 2 else [rnd.randrange(min(edits + 1, len(a))) for _ in range(edits)]
+        for p in at:
+            p = min(p, len(b) - 1)
+            kind = rnd.choice("ids") if k % 3 else "id"[k % 2]
+            b[p:p + 1] = [] if kind == "d" else ["z"] if kind == "s" else [b[p], "z"]
+        b = "".join(b)
+        if a != b:
+            vals |= {a, b}
+            want.add((min(a, b), max(a, b)))
+    df = spark.createDataFrame([(v,) for v in sorted(vals)], "v string")
+    pairs = spark.createDataFrame(sorted(want), "a string, b string")
+    exact = pairs.where(F.lit(1.0) - F.levenshtein("a", "b") / F.greatest(F.length("a"), F.length("b")) >= 0.75)
+    near = {(r.a, r.b) for r in exact.collect()}
+    assert len(near) > 60
+    assert near <= {(r.value_a, r.value_b) for r in J.fuzzy_pairs(df, "v", 0.75).collect()}
+
+
 def test_broadcast_size_check(spark):
     small = spark.range(10)
     assert J.estimated_bytes(small) < J.DEFAULT_BROADCAST_BYTES

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark.operators import intervals as I
+from riskspark.operators import quality as Q
 from riskspark.operators import rules as OR
 from riskspark.operators.windows import number_within
+from riskspark.plans import gaps as G
 from riskspark.sources import records as RS
 
 DAY0 = dt.date(1996, 1, 1)
@@ -199,7 +201,6 @@ def test_confidence_bounds_are_uneven_and_open(spark):
 
 
 def test_gap_interactions(spark):
-    from riskspark.plans import gaps as G
     gaps = spark.createDataFrame([("v28", 1, 1999, 5, 0.8), ("v28", 1, 1999, 17, 0.9), ("v24", 1, 1999, 5, 0.8), ("v28", 2, 1999, 9, 0.75)],
                                  "version string, member_bid int, risk_year int, cc_id int, combined_confidence double")
     coded = spark.createDataFrame([("v28", 1, 1999, 1), ("v28", 1, 1999, 1), ("v24", 1, 1998, 1), ("v28", 3, 1999, 1), ("v28", 3, 1999, 5), ("v28", 2, 1999, 9)],
@@ -230,3 +231,36 @@ def test_a_new_model_is_a_row(spark):
     got = {(r["model_id"], r["member_bid"]): (r["hcc_score"], r["hcc_count"], r["raw_score"]) for r in
            MD.score_models(pop, diag, spark.createDataFrame(rows, schema), icd, hier, coef).collect()}
     assert got == {("one", 1): (0.5, 1, 3.5), ("two", 1): (0.75, 2, 1.75), ("new", 1): (0.125, 1, 0.125), ("new", 2): (0.0, 1, 0.0)}
+
+
+def test_lines_without_a_rule_code_go(spark):
+    claims = spark.createDataFrame([(1, "D1", "P9"), (2, "D9", "P1"), (3, "D9", "P9"), (4, None, None), (5, "P1", "D1"), (6, "X1", "M1"),
+                                    (1, "D1", "P9")], "claim_bid int, diag_cd string, cpt_cd string")
+    rules = spark.createDataFrame([("DIAGNOSIS", "D1"), ("DIAGNOSIS", "D1"), ("CPT-HCPCS", "P1"), ("NDC", "D9")], "claim_cd_type string, claim_cd string")
+    groups = spark.createDataFrame([("G", "DIAGNOSIS", "X1"), ("H", "CPT-HCPCS", "M1"), ("I", "CPT-HCPCS", "M1")], "group_cd string, claim_cd_type string, code string")
+    kept = G.with_rule_code(claims, rules, groups)
+    assert kept.columns == claims.columns
+    assert sorted(r.claim_bid for r in kept.collect()) == [1, 1, 2, 6]
+
+
+def test_create_or_upsert_by_a_path_with_a_scheme(spark, tmp_path):
+    from riskspark.queries.q_sinks import create_or_upsert
+    path = f"file://{tmp_path}/deep/er/t"
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert create_or_upsert(spark, path, rows, ["k"]) == path
+    second = create_or_upsert(spark, path, spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), ["k"])
+    assert second != path
+    assert sorted(map(tuple, spark.read.parquet(second).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_cached_frame_is_released(spark):
+    df = spark.range(10)
+    with Q.cached(df) as held:
+        assert held.is_cached
+        assert held.count() == 10
+    assert not held.is_cached
+    with pytest.raises(ZeroDivisionError):
+        with Q.cached(df) as held:
+            1 / 0
+    assert not held.is_cached
