@@ -1,17 +1,19 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols (insult, threat, target, negation, report, other), clause
-ends become a boundary. Three transducers rewrite the symbols of a clause and
-are composed into one machine:
+The lexical transducer writes words as symbols (insult, threat, target,
+negation, report, other); clause ends divide them. Of a clause, the target
+transducer first reads the symbols from right to left and marks the insults and
+threats with a target up to three words after them. Three transducers, composed
+into one machine, then read what it wrote from left to right:
 
 * negation: an insult or threat up to two words after a negation is negated;
-* reported speech: one after a reporting word in the same clause is reported;
-* target: one that a person is addressed with (up to three words before or
-  after) is targeted.
+* reported speech: one after a reporting word in the same clause is reported,
+  negated or not;
+* target: one up to three words after a target is targeted, as are the marked.
 
 Beside the listed insults, the lexical transducer knows stems learned from the
-labels: prefixes of 4 to 6 letters that toxic documents have and clean ones do
-not (``STEM_SCORE``), in several different contexts, so that the words of a
+labels: prefixes of 4 to 6 letters (the longest of those with equal support)
+that toxic documents have and clean ones do not (``STEM_SCORE``), in several different contexts, so that the words of a
 group of copies do not become stems. They are learned from at most
 ``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` labelled documents outside the held-out
 fold (smallest hashes of their ids).
@@ -19,8 +21,9 @@ fold (smallest hashes of their ids).
 What the machine emits, not the words alone, is scored: a document's counts of
 each emitted pattern go into a logistic model, fitted on the labelled rows by
 ridge regression towards prior weights. The labelled rows are aggregated in
-Spark to their distinct count vectors (each count up to ``LEVELS``), a table
-of bounded size, before the driver fits the seven weights.
+Spark to their distinct level vectors, a small table, before the driver fits the
+seven weights. A count's level is its base-2 logarithm (of the count and one) in
+half steps: it grows ever more slowly, without an end, and has some 60 values.
 
 Null and empty texts have no pattern and get the base score. Repeated rows
 are scored alike; a document with several labels counts as toxic if one says
@@ -61,7 +64,6 @@ TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 PRIOR = {"insult": 2.5, "insult_target": 3.0, "threat": 0.3, "threat_target": 1.0, "negated": 0.3, "reported": 0.5}
 PATTERNS = list(PRIOR)
 PRIOR_BIAS, RIDGE = -2.5, 0.5
-LEVELS = 3  # a pattern's count saturates here
 NEGATION_REACH, TARGET_REACH = 2, 3
 
 TRAIN_TOXIC, TRAIN_CLEAN = 3000, 6000
@@ -103,13 +105,13 @@ class Transducer:
 
 
 def _negation(left, symbol):
-    if symbol in "IH" and left:
+    if symbol in "IHJK" and left:
         return left - 1, symbol.lower()
     return (NEGATION_REACH if symbol == "N" else 0 if symbol == "." else max(0, left - 1)), symbol
 
 
 def _reported(seen, symbol):
-    if symbol in "IHih" and seen:
+    if symbol in "IHJKihjk" and seen:
         return seen, "r"
     return (1 if symbol == "R" else 0 if symbol == "." else seen), symbol
 
@@ -120,12 +122,22 @@ def _target(left, symbol):
     return (TARGET_REACH if symbol == "T" else 0 if symbol == "." else max(0, left - 1)), symbol
 
 
-EMITS = {"I": "insult", "J": "insult_target", "H": "threat", "K": "threat_target", "i": "negated", "h": "negated", "r": "reported"}
+EMITS = {"I": "insult", "J": "insult_target", "H": "threat", "K": "threat_target", "r": "reported"} | dict.fromkeys("ihjk", "negated")
 
 
 @cache
-def grammar() -> dict:
-    return Transducer(_negation).compose(Transducer(_reported)).compose(Transducer(_target)).table("ITNRHO.")
+def grammar() -> tuple[dict, dict]:
+    """The machine that reads a clause from its end, and the one that reads what it wrote."""
+    target = Transducer(_target)
+    return target.table("ITNRHO."), Transducer(_negation).compose(Transducer(_reported)).compose(target).table("ITNRHOJK.")
+
+
+def transduce(arcs: dict, symbols) -> list[str]:
+    state, written = 0, []
+    for symbol in symbols:
+        state, out = arcs[state, symbol]
+        written.append(out)
+    return written
 
 
 class Lexicon(dict):
@@ -147,26 +159,15 @@ class Lexicon(dict):
 def pattern_counts(text: str | None, lexicon: Lexicon) -> list[int]:
     """How often each pattern is emitted, in the order of ``PATTERNS``."""
     counts = [0] * len(PATTERNS)
-    arcs, clause = grammar(), []
+    (backward, forward), clause = grammar(), []
 
     def close() -> None:
         symbols = [lexicon[w] for w in clause]
         if "I" not in symbols and "H" not in symbols:
             return
-        # a target after the word counts as well: the clause is also read backwards for it
-        marks = [False] * len(symbols)
-        reach = 0
-        for i in range(len(symbols) - 1, -1, -1):
-            marks[i] = reach > 0
-            reach = TARGET_REACH if symbols[i] == "T" else max(0, reach - 1)
-        s = 0
-        for symbol, after in zip(symbols, marks):
-            s, out = arcs[s, symbol]
-            kind = EMITS.get(out)
-            if kind in ("insult", "threat") and after:
-                kind += "_target"
-            if kind:
-                counts[PATTERNS.index(kind)] += 1
+        for out in transduce(forward, reversed(transduce(backward, reversed(symbols)))):
+            if out in EMITS:
+                counts[PATTERNS.index(EMITS[out])] += 1
 
     for token in TOKEN.findall((text or "").lower()):
         if token in CLAUSE_END:
@@ -231,7 +232,7 @@ def learn_stems(docs: DataFrame, labelled: DataFrame) -> list[str]:
     ratio = F.log((F.col("p") / F.lit(n_toxic)) / ((F.col("n") + 0.5) / F.lit(n_clean)))
     found = support.join(against, "stem", "left").na.fill(0, ["n"]).withColumn("score", F.col("p") * ratio).where(
         (F.col("score") >= STEM_SCORE) & (ratio >= 3.0))
-    rows = found.orderBy("n", F.desc("p"), F.length("stem"), "stem").limit(STEMS).collect()
+    rows = found.orderBy("n", F.desc("p"), F.desc(F.length("stem")), "stem").limit(STEMS).collect()
     chosen: dict[str, int] = {}
     for r in rows:
         inside = [s for s in chosen if s.startswith(r["stem"])]
@@ -240,11 +241,18 @@ def learn_stems(docs: DataFrame, labelled: DataFrame) -> list[str]:
     return sorted(chosen)
 
 
+def level_column(pattern: str):
+    return F.floor(2 * F.log2(F.col(pattern) + 1) + 1e-9) / 2
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    return np.floor(2 * np.log2(counts + 1) + 1e-9) / 2
+
+
 def fit(feats: DataFrame, labelled: DataFrame) -> np.ndarray:
     """Bias and pattern weights from the labelled rows outside the held-out fold."""
     seen = feats.join(truth(labelled), "doc_id")
-    levels = [F.least(F.col(p), F.lit(LEVELS)).alias(p) for p in PATTERNS]
-    cells = seen.groupBy(*levels).agg(F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("pos"), F.count("*").alias("n")).collect()
+    cells = seen.groupBy(*[level_column(p).alias(p) for p in PATTERNS]).agg(F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("pos"), F.count("*").alias("n")).collect()
     prior = np.array([PRIOR_BIAS, *PRIOR.values()])
     if not cells:
         return prior
@@ -266,7 +274,7 @@ def fit(feats: DataFrame, labelled: DataFrame) -> np.ndarray:
 def score_column(weights):
     z = F.lit(float(weights[0]))
     for p, w in zip(PATTERNS, weights[1:]):
-        z = z + F.least(F.col(p), F.lit(LEVELS)) * F.lit(float(w))
+        z = z + level_column(p) * F.lit(float(w))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
@@ -281,13 +289,14 @@ def scores(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is not predicted toxic (rows without an id go by their own text too)."""
     stems = learn_stems(docs, labelled)
-    w = fit(features(docs, stems), labelled)
+    known = docs.join(truth(labelled).select("doc_id"), "doc_id", "left_semi")  # the weights need no other row
+    w = fit(features(known, stems), labelled)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, lexicon = schema.names.index("text"), Lexicon(stems)
         for b in batches:
             counts = np.array([pattern_counts(t.as_py(), lexicon) for t in b.column(at)], float).reshape(-1, len(PATTERNS))
-            z = w[0] + np.minimum(counts, LEVELS) @ w[1:]
+            z = w[0] + levels(counts) @ w[1:]
             yield b.filter(pa.array(1 / (1 + np.exp(-z)) < 0.5))
     return docs.mapInArrow(run, schema)
