@@ -1,7 +1,8 @@
 """Language ID by a bidirectional gated recurrent network over bytes.
 
 The network reads the UTF-8 bytes of a letter run (A word of the lower-cased
-text; runs over ``SEGMENT`` bytes are cut) forwards and backwards, and gives
+text; runs over ``SEGMENT`` bytes are cut between characters, in training as
+in prediction) forwards and backwards, and gives
 every byte position a distribution over the languages. It is trained here, in
 numpy, by backpropagation through time. A document pools the log probabilities
 of all its positions, tempered to the evidence of at most ``EVIDENCE``
@@ -12,8 +13,10 @@ every distinct run once and remembers a bounded number of runs; equal runs
 are exact repeats of the same computation, and texts are read whole.
 
 Training takes the letter runs of at most ``TRAIN_DOCS`` documents outside the
-held-out fold (smallest hashes of their ids), and of those the ``TRAIN_RUNS``
-most frequent pairs of run and language. All languages weigh alike.
+held-out fold (smallest hashes of their ids), and of those ``TRAIN_RUNS`` pairs
+of run and language: the most frequent of each language, all languages in turn,
+so that a rare one keeps its share. All pieces of a run are learned, and all
+languages weigh alike.
 
 Null texts and texts without letters are ``und`` with score 0. Repeated rows
 are labelled alike. Where nothing can be learned, every text is ``und``.
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import held_out
@@ -48,6 +51,18 @@ def letter_runs(text: str | None) -> list[str]:
     return RUN.findall((text or "").lower())
 
 
+def pieces(run: str) -> list[bytes]:
+    """The bytes of a run in pieces of at most ``SEGMENT`` bytes, no character divided."""
+    data, out, start = run.encode("utf-8", "surrogatepass"), [], 0
+    while start < len(data):
+        end = min(start + SEGMENT, len(data))
+        while end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(data[start:end])
+        start = end
+    return out
+
+
 class GRU:
     """Weights by name: for each direction an input table (256, 3H), recurrent (H, 3H) and bias (3H); output (2H, L)."""
 
@@ -135,7 +150,7 @@ def by_length(runs: list[bytes]) -> Iterator[tuple[list[int], np.ndarray]]:
 def train(rows: list[tuple[str, int, float]], languages: int, epochs: int = EPOCHS) -> GRU:
     """``rows``: run, language number, weight. Adam over batches of runs of equal length."""
     net, rng = GRU.fresh(languages), np.random.default_rng(SEED)
-    data = [(r.encode()[:SEGMENT], y, w) for r, y, w in rows]
+    data = [(piece, y, w) for r, y, w in rows for piece in pieces(r)]
     y, w = np.array([d[1] for d in data]), np.array([d[2] for d in data], np.float32)
     batches = [(np.array(at)[i:i + 128], x[i:i + 128]) for at, x in by_length([d[0] for d in data]) for i in range(0, len(at), 128)]
     m, v, step = {k: np.zeros_like(a) for k, a in net.w.items()}, {k: np.zeros_like(a) for k, a in net.w.items()}, 0
@@ -153,7 +168,7 @@ def train(rows: list[tuple[str, int, float]], languages: int, epochs: int = EPOC
 
 
 def training_runs(docs: DataFrame) -> DataFrame:
-    """run, lang, n: the most frequent pairs in the bounded sample of training documents."""
+    """run, lang, n: the most frequent pairs of each language in the bounded sample of training documents."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
     sample = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     seen = docs.select("doc_id", "text", "lang").where("lang is not null").join(F.broadcast(sample), "doc_id")  # bounded by TRAIN_DOCS
@@ -164,7 +179,8 @@ def training_runs(docs: DataFrame) -> DataFrame:
                 runs = pa.array(letter_runs(text.as_py()), pa.string())
                 yield pa.RecordBatch.from_arrays([runs, pa.array([lang.as_py()] * len(runs), pa.string())], names=["run", "lang"])
     pairs = seen.select("text", "lang").mapInArrow(split, "run string, lang string").groupBy("run", "lang").agg(F.count("*").alias("n"))
-    return pairs.orderBy(F.desc("n"), "run", "lang").limit(TRAIN_RUNS)
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "run"))  # of the bounded sample's runs
+    return pairs.withColumn("turn", turn).orderBy("turn", "lang").limit(TRAIN_RUNS).drop("turn")
 
 
 def fit(docs: DataFrame) -> tuple[list[str], GRU | None]:
@@ -188,18 +204,17 @@ class Labeller:
         """Adds runs that are new, several thousand at a time."""
         for start in range(0, len(runs), 8192):
             part = runs[start:start + 8192]
-            pieces, owner = [], []
+            parts, owner = [], []
             for k, r in enumerate(part):
-                data = r.encode("utf-8", "surrogatepass") if any(c.isalpha() for c in r) else b""
-                for i in range(0, len(data), SEGMENT):
-                    pieces.append(data[i:i + SEGMENT])
-                    owner.append(k)
+                own = pieces(r) if any(c.isalpha() for c in r) else []
+                parts += own
+                owner += [k] * len(own)
             base, need = len(self.place), len(self.place) + len(part)
             if need > len(self.counts):
                 grow = max(need, 2 * len(self.counts))
                 self.sums = np.concatenate([self.sums, np.zeros((grow - len(self.sums), self.sums.shape[1]), np.float32)])
                 self.counts = np.concatenate([self.counts, np.zeros(grow - len(self.counts), np.float32)])
-            for at, x in by_length(pieces):
+            for at, x in by_length(parts):
                 rows = base + np.array([owner[i] for i in at])
                 np.add.at(self.sums, rows, self.net.log_probs(x).sum(axis=1))
                 np.add.at(self.counts, rows, x.shape[1])
