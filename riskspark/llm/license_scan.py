@@ -12,7 +12,7 @@ diagonal, the hits from each hit on that span no more than ``STRETCH`` times
 the template are merged. The share of the template's grams among them is their
 coverage; the chain's best span counts at a coverage of ``COVER`` or more. Templates are a fixed, short list,
 so that side of the join is broadcast; texts are exploded but only hits are
-shuffled.
+shuffled. The votes are written once: both kinds of span read them.
 
 Null and empty texts have no words and score 0. Rows that repeat a text under
 the same id share their hits; every row stays. Extra columns are ignored.
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.llm.common import cut
+
 K = 2
 SHIFT = 3
 STRETCH = 1.5
@@ -108,7 +110,7 @@ def spans(votes: DataFrame, templates: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, base: list = BASE, own: list = TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score; one row per row of ``docs``."""
     templates = template_grams(docs.sparkSession, base, own)
-    found = spans(diagonals(docs, templates), templates).groupBy(F.col("doc_id").alias("_id"), "t").agg(
+    found = spans(cut(diagonals(docs, templates)), templates).groupBy(F.col("doc_id").alias("_id"), "t").agg(
         F.count(F.when(F.col("base"), 1)).alias("n_base"),
         F.min(F.when(F.col("base"), F.col("first"))).alias("first_word"), F.max(F.when(F.col("base"), F.col("first"))).alias("last_word"),
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
