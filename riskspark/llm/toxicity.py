@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import cut, held_out
+from riskspark.operators.joins import DEFAULT_BROADCAST_BYTES, estimated_bytes
 
 # The grammar's word classes.
 INSULT = """idiot idiots moron morons stupid dumb fool fools loser losers scum trash garbage filth vermin pathetic
@@ -289,8 +290,10 @@ def scores(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is not predicted toxic (rows without an id go by their own text too)."""
     stems = learn_stems(docs, labelled)
-    known = docs.join(truth(labelled).select("doc_id"), "doc_id", "left_semi")  # the weights need no other row
-    w = fit(features(known, stems), labelled)
+    known = truth(labelled).select("doc_id")
+    # the weights need the labelled rows only; too many ids to broadcast would mean a shuffle of whole texts
+    few = estimated_bytes(known) <= DEFAULT_BROADCAST_BYTES
+    w = fit(features(docs.join(F.broadcast(known), "doc_id", "left_semi") if few else docs, stems), labelled)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

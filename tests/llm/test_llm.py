@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -380,7 +381,7 @@ def test_more_insults_score_higher(spark):
     assert in_spark[:4] == [0, 1, 1.5, 2] and in_spark[4] < in_spark[5] < in_spark[7] < in_spark[8] < in_spark[9] < in_spark[10] < in_spark[11]
 
 
-def test_toxicity(spark, docs, labelled):
+def test_toxicity(spark, docs, labelled, monkeypatch):
     got = rows(toxicity.scores(docs, labelled))
     assert Counter(r["doc_id"] for r in got) == Counter(r["doc_id"] for r in rows(docs))
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
@@ -388,6 +389,9 @@ def test_toxicity(spark, docs, labelled):
     assert not [r for r in got if r["predicted"] and truth.get(r["doc_id"]) == 0]
     kept = toxicity.keep_clean(docs, labelled)
     assert kept.columns == docs.columns and kept.count() == sum(not r["predicted"] for r in got)
+    few = Counter((r["doc_id"], r["text"]) for r in rows(kept))
+    monkeypatch.setattr(toxicity, "DEFAULT_BROADCAST_BYTES", 0)  # more labels than may be broadcast: the same rows
+    assert Counter((r["doc_id"], r["text"]) for r in rows(toxicity.keep_clean(docs, labelled))) == few
 
 
 def test_stems_are_learned(spark):
@@ -419,7 +423,6 @@ def test_golay_keys_lose_no_link():
 
 def test_simhash_components(spark, docs):
     up = {i: i + 32 for i in range(65, 91)}
-    import re
     word = re.compile(r"[^\x20\x09-\x0D]+")
     texts = {r["doc_id"]: r["text"] for r in rows(docs)}
     for r in rows(simhash.fingerprints(docs))[-40:]:
@@ -534,3 +537,64 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF0001)
     assert {r["doc_id"] for r in rows(out.select("doc_id"))} <= {r["doc_id"] for r in rows(queries.documents(spark, SF0001))}
     assert out.count() > 100 and set(corpus_pipeline.ORACLE_SQL or ()) == set()
+
+
+def plain_fingerprint(text):
+    lower = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", lower) if x]
+    shingles = [" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_pipeline_stages_are_the_plain_ones(spark, docs):
+    """Null, empty, long and repeated rows and clashing columns through every stage, each held against a plain version."""
+    pairs = lambda df: Counter((r["doc_id"], r["text"]) for r in rows(df.select("doc_id", "text")))
+    toxicity_, lines, near, mix, last = [stage for _, stage in corpus_pipeline.STAGES]
+    given = pairs(docs)
+    clean = toxicity_(spark, docs, SF0001).cache()
+    assert clean.columns == docs.columns
+    toxic = {r["doc_id"]: r["toxic"] for r in rows(queries.labels(spark, SF0001))}
+    assert not pairs(clean) - given and not [i for i, _ in given - pairs(clean) if toxic.get(i) == 0]
+    shorter = lines(spark, clean, SF0001).cache()
+    assert shorter.columns == docs.columns and Counter(i for i, _ in pairs(shorter).elements()) == Counter(i for i, _ in pairs(clean).elements())
+    ids, prints = [], []
+    for (i, text), n in pairs(shorter).items():
+        ids += [i] * n
+        prints += [plain_fingerprint(text)] * n
+    root = {i: i for i in ids if i is not None}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    bits = np.array(prints, np.uint64)
+    for a, x in enumerate(bits):
+        for b in np.flatnonzero(np.bitwise_count(bits[:a] ^ x) <= 3):
+            if ids[a] is not None and ids[b] is not None:
+                lo, hi = sorted((find(ids[a]), find(ids[b])))
+                root[hi] = lo
+    single = near(spark, shorter, SF0001).cache()
+    assert single.columns == docs.columns
+    assert pairs(single) == Counter({k: n for k, n in pairs(shorter).items() if k[0] is None or find(k[0]) == k[0]})
+    mixed = mix(spark, single, SF0001).cache()
+    assert mixed.columns == docs.columns
+    before, after = pairs(single), pairs(mixed)
+    assert set(before) == set(after) and all(after[k] >= n for k, n in before.items())
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(queries.RANKS, "rb"))}
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def token_row(i, text):
+        found = other.encode_ordinary(text or "")
+        return i, tuple(found), len(found), hashlib.sha256((text or "").encode()).hexdigest()
+    out = last(spark, mixed, SF0001)
+    want = Counter({token_row(*k): n for k, n in after.items()})
+    assert Counter((r["doc_id"], tuple(r["ids"]), r["n_tokens"], r["decoded_sha256"]) for r in rows(out)) == want
+
+
+def test_pipeline_of_no_documents(spark, docs):
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, none, SF0001)
+        assert out.count() == 0, name
+    assert {"doc_id", "ids", "n_tokens"} <= set(out.columns)
