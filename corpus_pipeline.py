@@ -3,6 +3,14 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 stage's rows as Parquet to the shared folder and goes on from the files, so a
 lost executor repeats no earlier stage.
+
+Null and empty texts are clean, have no line to lose and no token (``ids`` is
+empty); all of them with an id have the same fingerprint, so the one with the
+smallest id stays. Rows without an id pass every stage by their own text and
+stay beside near copies. Repeated rows of one id stay or go together; of equal
+ids there is no smaller one. Of ties in a group the smallest id stays. Very long
+texts are read whole. Extra columns, also of the names that the operators use,
+pass all stages but the last. An empty table gives an empty one.
 """
 
 from __future__ import annotations
