@@ -184,45 +184,61 @@ def _share(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast((path, read_ranks(path)))
 
 
+def _encoded(codec: TreeBPE, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with the ids of their first column's texts in its place, as the last column."""
+    for b in batches:
+        at, flat, offsets = 0, [], [0]
+        for k in range(b.num_rows):
+            flat.extend(codec.encode(b.column(0)[k].as_py()))
+            offsets.append(len(flat))
+            if len(flat) >= BATCH_TOKENS or k + 1 == b.num_rows:
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+                part = b.slice(at, k + 1 - at)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*b.schema.names[1:], "ids"])
+                at, flat, offsets = k + 1, [], [0]
+
+
+def _decoded(codec: TreeBPE, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with the bytes of their ``ids`` as the last column."""
+    for b in batches:
+        for start in range(0, b.num_rows, 1024):
+            part = b.slice(start, 1024)
+            ids = part.column("ids")
+            out = [codec.decode(ids[k].values.to_numpy().tolist() if ids[k].is_valid else ()) for k in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "decoded"])
+
+
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType(), False))
+DECODED = T.StructField("decoded", T.BinaryType())
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, column: str = "text") -> DataFrame:
     """The rows of ``docs`` without ``column``, with ``ids`` (array of int)."""
     shared = _share(docs.sparkSession, ranks_path)
     rest = [c for c in docs.columns if c not in (column, "ids")]
-    schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared, pattern)
-        for b in batches:
-            at, flat, offsets = 0, [], [0]
-            for k in range(b.num_rows):
-                flat.extend(codec.encode(b.column(0)[k].as_py()))
-                offsets.append(len(flat))
-                if len(flat) >= BATCH_TOKENS or k + 1 == b.num_rows:
-                    ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-                    part = b.slice(at, k + 1 - at)
-                    yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*rest, "ids"])
-                    at, flat, offsets = k + 1, [], [0]
-
-    return docs.select(column, *rest).mapInArrow(run, schema)
+    schema = T.StructType([*[docs.schema[c] for c in rest], IDS])
+    return docs.select(column, *rest).mapInArrow(lambda batches: _encoded(_codec(shared, pattern), batches), schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """The rows of ``encoded`` with ``decoded`` (the bytes of ``ids``; none for null ids)."""
     shared = _share(encoded.sparkSession, ranks_path)
     names = [c for c in encoded.columns if c != "decoded"]
-    at = names.index("ids")
-    schema = T.StructType([encoded.schema[c] for c in names] + [T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType([*[encoded.schema[c] for c in names], DECODED])
+    return encoded.select(*names).mapInArrow(lambda batches: _decoded(_codec(shared, pattern), batches), schema)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, column: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task, with one copy of the
+    vocabulary and without a second transfer of the ids."""
+    shared = _share(docs.sparkSession, ranks_path)
+    rest = [c for c in docs.columns if c not in (column, "ids", "decoded")]
+    schema = T.StructType([*[docs.schema[c] for c in rest], IDS, DECODED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, pattern)
-        for b in batches:
-            for start in range(0, b.num_rows, 1024):
-                part = b.slice(start, 1024)
-                ids = part.column(at)
-                out = [codec.decode(ids[k].values.to_numpy().tolist() if ids[k].is_valid else ()) for k in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])
-
-    return encoded.select(*names).mapInArrow(run, schema)
+        return _decoded(codec, _encoded(codec, batches))
+    return docs.select(column, *rest).mapInArrow(run, schema)
 
 
 def digests(encoded: DataFrame, *keep: str) -> DataFrame:

@@ -38,8 +38,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), RANKS, PATTERN)
-    return bpe.digests(bpe.decode(ids, RANKS, PATTERN), "doc_id")
+    return bpe.digests(bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"), RANKS, PATTERN), "doc_id")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

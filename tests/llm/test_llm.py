@@ -133,6 +133,10 @@ def test_bpe_is_tiktoken_and_round_trips(docs):
         seen[r["doc_id"], own] += 1
         assert r["ids"] == other.encode_ordinary(own)
     assert seen == text
+    both = bpe.round_trip(docs, queries.RANKS, queries.PATTERN)
+    assert both.columns == out.columns
+    key = lambda df: Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in rows(df))
+    assert key(both) == key(out)
 
 
 def test_bpe_seams_grow_until_stable():
