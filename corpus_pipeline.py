@@ -46,8 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens and the digests of ids and of the decoded bytes."""
-    decoded = bpe.decode(bpe.encode(docs, queries.RANKS, queries.PATTERN), queries.RANKS, queries.PATTERN)
-    return bpe.digests(decoded, "doc_id", "lang", "source", "ids")
+    return bpe.digests(bpe.round_trip(docs, queries.RANKS, queries.PATTERN), "doc_id", "lang", "source", "ids")
 
 
 STAGES = [
