@@ -8,6 +8,7 @@ a claim beyond one record's pairs go on in further, numbered records.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,25 +68,42 @@ def deal_codes(lines: DataFrame, keys: Sequence[str], code: str, flag: str, orde
                              for i in range(n) for f, c in ((layout.code, "code"), (layout.flag, "flag"))}).drop("_pairs")
 
 
+#: Fields that a line leaves blank together, with one look, where none has a value.
+RUN = 16
+
+
 def _line(fields: Sequence[Field], values: Mapping[str, Column]) -> Column:
     """The fields at their places; a value that is too long for its field is an error, never cut."""
-    parts, at = [], 0
-    for name, start, end, typ in sorted(fields, key=lambda f: f[1]):
-        if start > at:
-            parts.append(F.lit(" " * (start - at)))
-        v = values.get(name, F.lit(None))
-        text = F.coalesce(F.date_format(v, "yyyyMMdd") if typ == "date" else v.cast("string"), F.lit(""))
-        too_long = F.raise_error(F.concat(F.lit(f"{name} has {end - start} characters, not: "), text)).cast("string")
-        parts.append(F.when(F.length(text) > end - start, too_long).otherwise(F.rpad(text, end - start, " ")))
-        at = end
-    return F.concat(*parts)
+    runs, at = [], 0
+    ordered = sorted(fields, key=lambda f: f[1])
+    for first in range(0, len(ordered), RUN):
+        parts, empty, begin = [], [], at
+        for name, start, end, typ in ordered[first:first + RUN]:
+            if start > at:
+                parts.append(F.lit(" " * (start - at)))
+            if name in values:
+                v = values[name]
+                text = F.coalesce(F.date_format(v, "yyyyMMdd") if typ == "date" else v.cast("string"), F.lit(""))
+                too_long = F.raise_error(F.concat(F.lit(f"{name} has {end - start} characters, not: "), text)).cast("string")
+                parts.append(F.when(F.length(text) > end - start, too_long).otherwise(F.rpad(text, end - start, " ")))
+                empty.append(v.isNull())
+            else:
+                parts.append(F.lit(" " * (end - start)))
+            at = end
+        blank = F.lit(" " * (at - begin))
+        runs.append(F.when(reduce(lambda a, b: a & b, empty), blank).otherwise(F.concat(*parts)) if empty else blank)
+    return F.concat(*runs)
 
 
 def _sliced(fields: Sequence[Field]) -> list[Column]:
+    """Fields past ``_end``, the last place of the line that is not blank, are null without a look at their places."""
     out = []
     for name, start, end, typ in fields:
         raw = F.trim(F.substring("value", start + 1, end - start))
-        out.append((F.to_date(raw, "yyyyMMdd") if typ == "date" else F.when(raw != "", raw).cast(typ)).alias(name))
+        if typ == "date":
+            out.append(F.to_date(raw, "yyyyMMdd").alias(name))
+        else:
+            out.append(F.when(F.col("_end") > start, F.nullif(raw, F.lit(""))).cast(typ).alias(name))
     return out
 
 
@@ -114,4 +132,4 @@ def read_records(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
                      F.sum(F.when(kind == "T", said)).alias("said")).first()
     if seen["unknown"] or seen["said"] != seen["details"]:
         raise ValueError(f"{path}: trailers say {seen['said']} records, there are {seen['details']}, and {seen['unknown']} lines of no known kind")
-    return lines.where(kind == "D").select(*_sliced(layout.detail))
+    return lines.where(kind == "D").select("value", F.length(F.rtrim("value")).alias("_end")).select(*_sliced(layout.detail))
