@@ -170,8 +170,9 @@ FROM curl c JOIN (SELECT member_bid, risk_year, hcc, count(DISTINCT claim_bid) A
   ON r.member_bid = c.member_bid AND r.risk_year = c.risk_year AND r.hcc = c.hcc""", ["risk_year", "hcc", "stored_frequency"])))
 def dq_frequency_check(spark, sf):
     """Stored frequency equals distinct claims (violations have ``ok`` false)."""
-    ch = Inputs(spark, sf).claim_hcc()
-    stored = P.current_filter(ch).select("member_bid", "risk_year", "hcc", F.col("frequency").alias("stored_frequency"))
+    inp = Inputs(spark, sf)
+    ch = inp.keyed_claims("member_bid", "risk_year", "hcc")
+    stored = P.current_filter(inp.claim_hcc(), inp.most_claims()).select("member_bid", "risk_year", "hcc", F.col("frequency").alias("stored_frequency"))
     recount = ch.groupBy("member_bid", "risk_year", "hcc").agg(F.countDistinct("claim_bid").alias("distinct_claims"))
     j = stored.join(recount, ["member_bid", "risk_year", "hcc"])
     return j.withColumn("ok", F.col("stored_frequency") == F.col("distinct_claims"))
@@ -210,7 +211,7 @@ def lay_skew(spark, sf):
 def lay_cache(spark, sf):
     """A frame used twice is persisted once (memory, spilling to disk) and
     released as soon as the result is written."""
-    with Q.cached(Inputs(spark, sf).claim_hcc()) as ch:
+    with Q.cached(Inputs(spark, sf).keyed_claims("member_bid", "risk_year")) as ch:
         a = ch.groupBy("member_bid", "risk_year").agg(F.countDistinct("hcc").alias("n_codes"))
         b = ch.groupBy("member_bid", "risk_year").agg(F.countDistinct("claim_bid").alias("n_claims"))
         return checkpoint(a.join(b, ["member_bid", "risk_year"]), "cached-use")

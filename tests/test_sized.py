@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from riskspark.operators import joins as J
 from riskspark.operators import rules as OR
 from riskspark.operators.windows import number_within
+from riskspark.plans import persistence as P
 from riskspark.queries.common import Inputs
 from riskspark.sources import domain as D
 from riskspark.sources import records as RS
+from riskspark.sources import reference as REF
 
 
 def partitions(plan: str) -> set[str]:
@@ -60,6 +63,63 @@ def test_the_population_is_never_broadcast(spark, claims):
     assert "SortMergeJoin [member_bid" in plan and any(x.startswith("member_bid") for x in partitions(plan))
 
 
+def member_shuffles(df) -> list[int]:
+    """The partitions of each shuffle by members, among other keys."""
+    keys = [x.split("hashpartitioning(")[1].split(")")[0].split(", ") for x in plan_of(df).splitlines() if "hashpartitioning(" in x]
+    return [int(k[-1]) for k in keys if any(c.startswith("member_bid") for c in k)]
+
+
+def test_coverage_becomes_years_in_dealt_tasks(spark, claims):
+    """40 members of about 8 years: the years of a file are not made, nor grouped, in the task that reads it."""
+    plan = plan_of(Inputs(spark, claims, cut=False).population())
+    assert any(x.startswith("member_bid") for x in partitions(plan))
+    assert len(member_shuffles(Inputs(spark, claims, cut=False).population())) == 2
+
+
+@pytest.mark.parametrize("name", ["per_status", "per_duration", "per_confidence", "set_union_status", "per_prior_filter", "per_current_filter",
+                                  "per_suppress_prior", "per_suppress_current", "per_year_flags", "jn_carryforward", "jn_backing_split",
+                                  "jn_prior_current_priority", "jn_confidence_lookup", "win_frequency", "win_max_date"])
+def test_steps_after_the_claims_are_dealt_by_their_number(spark, claims, monkeypatch, name):
+    """1,200 lines at 48 a task: no shuffle by member has fewer than 25 partitions (the session's number is 8)."""
+    from riskspark.registry import load_all
+    ch = spark.createDataFrame([("v28", 1, 1996, 1, "D001", 18)], "version string, member_bid long, risk_year int, claim_bid long, diag_cd string, hcc int") \
+        .withColumn("claim_dt", F.lit("1996-03-04").cast("date")).repartition(3)
+    monkeypatch.setattr(Inputs, "CUT", ())
+    monkeypatch.setattr(Inputs, "claim_hcc", lambda self: ch)
+    found = member_shuffles(load_all()[name](spark, claims))
+    assert found and min(found) >= 25
+
+
+def test_dealt_statuses_are_the_plain_ones(spark, monkeypatch):
+    """Several years, codes with parents and children, two versions, repeated rows and members without an id."""
+    monkeypatch.setattr(J.sized, "__defaults__", (48,))
+    pairs = [tuple(r) for r in REF.hierarchy_pairs(spark).select("version", "parent", "child").collect()]
+    chronic = {r["hcc"] for r in REF.chronic(spark).collect()}
+    linked = sorted({c for v, *pc in pairs if chronic & set(pc) for c in pc})
+    rnd = random.Random(3)
+    rows = []
+    for i in range(400):
+        y = rnd.randrange(4, 9)
+        rows.append((rnd.choice(["v28", "v24"]), rnd.choice([None, *range(9)]), 1990 + y, i // 3, f"199{y}-03-0{1 + i % 7}", f"D{i % 3}", rnd.choice(linked)))
+    ch = spark.createDataFrame(rows + rows[:50], "version string, member_bid long, risk_year int, claim_bid long, d string, diag_cd string, hcc int") \
+        .select("version", "member_bid", "risk_year", "claim_bid", F.col("d").cast("date").alias("claim_dt"), "diag_cd", "hcc")
+    years = REF.time_periods(spark).where("period_type = 'C'").select("risk_year").distinct()
+    plain, sized = [Counter(map(tuple, P.statuses(ch, REF.chronic(spark), REF.hierarchy_pairs(spark), REF.prior_year(spark), years, size=n).collect()))
+                    for n in (0, 1200)]
+    assert plain == sized and len(plain) > 100
+
+    prior, coded = P.prior_filter(P.chronic_source(ch, REF.chronic(spark)), years), P.year_codes(ch)
+    want: Counter = Counter()
+    now = {tuple(r) for r in coded.collect()}
+    for p in {tuple(r[k] for k in P.KEY) for r in prior.collect() if r["member_bid"] is not None}:
+        links = [(p[3], "SAME")] + [(c, "CHILD_CODED") for v, a, c in pairs if (v, a) == (p[0], p[3])] \
+            + [(a, "PARENT_CODED") for v, a, c in pairs if (v, c) == (p[0], p[3])]
+        want.update((*p, c, how) for c, how in links if (*p[:3], c) in now)
+    for n in (0, 1200):
+        assert Counter(map(tuple, P.prior_current_relation(prior, coded, REF.hierarchy_pairs(spark), n).collect())) == want
+    assert {k[-1] for k in want} == {"SAME", "CHILD_CODED", "PARENT_CODED"}
+
+
 def test_ref_codes_read_the_lines_once(spark, claims):
     from riskspark.queries.q_joins import jn_ref_codes
     df = jn_ref_codes(spark, claims)
