@@ -63,7 +63,7 @@ def src_fixed_width(spark, sf):
     pairs, trailer with the count), read back by the layout: one row a pair."""
     from riskspark.plans import claims as C
     inp = Inputs(spark, sf)
-    records = C.mao_records(C.mao_lines(inp.table("lineitem"), inp.table("orders")))
+    records = C.mao_records(C.mao_lines(inp.table("lineitem"), inp.table("orders"), inp.most_rows()))
     path = scratch_path(spark, "mao_fixed")
     RS.write_records(records, path, MAO_004, {"report_id": F.lit("MAO004"), "contract_id": F.lit("H0001")})
     return C.mao_pairs(RS.read_records(spark, path, MAO_004))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.windows import number_within
@@ -55,19 +55,29 @@ MAO_004 = Layout(
     pairs=38)
 
 
-def deal_codes(lines: DataFrame, keys: Sequence[str], code: str, flag: str, order: Sequence[str], layout: Layout) -> DataFrame:
+def deal_codes(lines: DataFrame, keys: Sequence[str], code: str, flag: str, order: Sequence[str], layout: Layout,
+               placed: Sequence[str] = ()) -> DataFrame:
     """One wide record for every ``layout.pairs`` codes of a key: keys, ``record``
     (from 1) and the pairs. Lines are numbered by ``order`` without gathering a
-    key in one task."""
+    key in one task. ``placed``: columns that each key has one value of and that
+    an earlier step has gathered the lines by; they are numbered where they are
+    then, by a window, and go into records without another shuffle or copy."""
     n = layout.pairs
-    at = number_within(lines.select(*dict.fromkeys([*keys, code, flag, *order])), keys, order, "_n")
+    rows = lines.select(*dict.fromkeys([*placed, *keys, code, flag, *order]))
+    if placed:
+        at = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*placed, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])))
+    else:
+        at = number_within(rows, keys, order, "_n")
     at = at.withColumns({"record": (F.floor((F.col("_n") - 1) / n) + 1).cast("int"), "_pos": ((F.col("_n") - 1) % n).cast("int")})
-    wide = at.groupBy(*keys, "record").agg(
+    wide = at.groupBy(*placed, *keys, "record").agg(
         F.sort_array(F.collect_list(F.struct("_pos", F.col(code).alias("code"), F.col(flag).alias("flag")))).alias("_pairs"))
     return wide.withColumns({f.format(i + 1): F.get(F.col("_pairs"), F.lit(i))[c]
-                             for i in range(n) for f, c in ((layout.code, "code"), (layout.flag, "flag"))}).drop("_pairs")
+                             for i in range(n) for f, c in ((layout.code, "code"), (layout.flag, "flag"))}).drop("_pairs", *placed)
 
 
+#: Needs no native library; the reader knows it by the files' names.
+CODEC = "gzip"
+
 #: Fields that a line leaves blank together, with one look, where none has a value.
 RUN = 16
 
@@ -109,16 +119,18 @@ def _sliced(fields: Sequence[Field]) -> list[Column]:
 
 def write_records(details: DataFrame, path: str, layout: Layout, common: Mapping[str, Column]) -> None:
     """Header, details and a trailer with their number as text lines under
-    ``path``. ``common`` has the fields that header and trailer share. The
-    details are written first and counted from there, so they are computed once."""
+    ``path``, in compressed files: most of a line is blank. ``common`` has the
+    fields that header and trailer share. The details are written first and
+    counted from there, so they are computed once. A file is read by one task
+    and has one task's details."""
     spark = details.sparkSession
     values = {f[0]: F.col(f[0]) for f in layout.detail if f[0] in details.columns}
-    details.select(_line(layout.detail, {**common, **values, "record_type": F.lit("D")}).alias("value")).write.text(path)
+    details.select(_line(layout.detail, {**common, **values, "record_type": F.lit("D")}).alias("value")).write.text(path, compression=CODEC)
     n = spark.read.text(path).count()
     ends = spark.range(1).select(F.explode(F.array(
         _line(layout.header, {**common, "record_type": F.lit("H")}),
         _line(layout.trailer, {**common, "record_type": F.lit("T"), "n_records": F.lit(n)}))).alias("value"))
-    ends.coalesce(1).write.mode("append").text(path)
+    ends.coalesce(1).write.mode("append").text(path, compression=CODEC)
 
 
 def read_records(spark: SparkSession, path: str, layout: Layout) -> DataFrame:

@@ -157,3 +157,37 @@ def test_records_with_gaps_and_late_pairs(spark, tmp_path):
     assert {len(r["value"]) for r in spark.read.text(f"{tmp_path}/r").collect() if r["value"][0] == "D"} == {397}
     got = OR.unpivot_pairs(RS.read_records(spark, f"{tmp_path}/r", layout), ["icn"], layout.code, layout.flag, 38).collect()
     assert Counter(map(tuple, got)) == Counter((k, i, *p) for k, v in filled.items() for i, p in v.items())
+
+
+def test_encounter_lines_are_shuffled_once(spark, claims):
+    """Lines and orders are dealt out by the order in tasks of bounded size, and records are made there: no other shuffle, no copy of the lines."""
+    from riskspark.plans import claims as C
+    inp = Inputs(spark, claims)
+    plan = plan_of(C.mao_records(C.mao_lines(inp.table("lineitem"), inp.table("orders"), inp.most_rows())))
+    assert plan.count("Exchange hashpartitioning") == len(partitions(plan)) == 2 and "rangepartitioning" not in plan
+    assert all(int(x.split(", ")[1].rstrip(")")) >= 25 for x in partitions(plan))
+
+
+def test_records_made_in_place_are_those_of_numbered_lines(spark):
+    """An order of many records, orders without an id or a customer, repeated rows, by both ways."""
+    from riskspark.plans import claims as C
+    rows = [(0 if i % 2 else i % 30, i % 7, i % 5, i % 3, 1.0, 1.0 + i % 2) for i in range(900)]
+    li = spark.createDataFrame(rows + rows[:20] + [(None, 1, 1, 1, 1.0, 1.0), (3, None, None, None, None, None)],
+                               "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int, l_extendedprice double, l_quantity double") \
+        .withColumn("l_shipdate", F.expr("timestamp_ntz'1997-03-04' + make_dt_interval(l_linenumber)"))
+    orders = spark.createDataFrame([(i, None if i == 4 else i) for i in range(30)] + [(5, 99)], "o_orderkey long, o_custkey long")
+    lines = C.mao_lines(li, orders)
+    plain = RS.deal_codes(lines, C.MAO_KEYS, "diag_cd", "diag_flag", C.MAO_ORDER, RS.MAO_004)
+    placed = C.mao_records(lines)
+    assert placed.columns == plain.columns
+    assert Counter(map(tuple, placed.collect())) == Counter(map(tuple, plain.collect()))
+    assert placed.agg(F.max("record")).first()[0] > 3
+
+
+def test_records_are_small_on_disk(spark, tmp_path):
+    """Lines are mostly blank; their files take a small part of the lines' characters."""
+    wide = spark.range(5000).select(F.col("id").cast("string").alias("icn"), *[F.lit(v if i == 1 else None).cast("string").alias(n.format(i))
+                                    for i in range(1, 39) for n, v in ((RS.MAO_004.code, "D001"), (RS.MAO_004.flag, "A"))])
+    RS.write_records(wide, f"{tmp_path}/r", RS.MAO_004, {})
+    assert sum(f.stat().st_size for f in (tmp_path / "r").glob("part-*")) < 5000 * 397 / 8
+    assert RS.read_records(spark, f"{tmp_path}/r", RS.MAO_004).count() == 5000
