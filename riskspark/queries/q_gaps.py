@@ -9,7 +9,7 @@ from oracle import combined as OC
 from oracle import gaps as OG
 from oracle import persistence as OP
 from riskspark import functions as RF
-from riskspark.operators.joins import broadcast_if_small
+from riskspark.operators.joins import broadcast_if_small, hashed, keys_first, placed
 from riskspark.plans import gaps as G
 from riskspark.queries.common import Inputs
 from riskspark.registry import query
@@ -119,16 +119,19 @@ def gap_frequency_confidence(spark, sf):
 def _conf(inp: Inputs, only=None):
     """Combined confidences, of the methods' gaps in ``only`` where given."""
     sp = inp.spark
-    fc = G.frequency_confidence(inp.gap_draft(), REF.method_frequency(sp), REF.method_default_weight(sp))
-    if only is not None:
-        fc = fc.join(only, ["version", "member_bid", "risk_year", "method_id", "cc_code"], "left_semi")
+    draft = inp.gap_draft()
+    if only is not None:  # whole groups of the draft go, so they go before it is grouped
+        draft, only = placed([draft.drop("claim_type", "cc_id"), only], inp.most_claims(), ["member_bid", "risk_year"])
+        draft = draft.join(hashed(only), keys_first(["version", "member_bid", "risk_year", "method_id", "cc_code"]), "left_semi")
+    fc = G.frequency_confidence(draft, REF.method_frequency(sp), REF.method_default_weight(sp))
     return G.combined_confidence(G.method_confidence(fc))
 
 
 def active_gaps(inp: Inputs):
     """Gaps that no other method's parent suppresses and the plan does not exclude."""
-    g = G.cross_suppression(inp.gaps(), REF.hierarchy_pairs(inp.spark)).where(F.col("cross_suppressed") == "N")
-    g = g.join(inp.member().select("member_bid", "home_plan_id_cd"), "member_bid")
+    gaps, member = placed([inp.gaps(), inp.member().select("member_bid", "home_plan_id_cd")], inp.most_claims(), ["member_bid"])
+    g = G.cross_suppression(gaps, REF.hierarchy_pairs(inp.spark)).where(F.col("cross_suppressed") == "N")
+    g = g.join(hashed(member), "member_bid")
     return plan_exclusion(g, REF.plan_exclusions(inp.spark))
 
 
@@ -153,7 +156,7 @@ def gap_confidence(spark, sf):
 
 def status_by_code(gaps):
     """One status per version/member/year/code over methods: Closed wins, then Open Suspect."""
-    return gaps.groupBy(*G.GAP_KEY).agg(
+    return gaps.groupBy(*keys_first(G.GAP_KEY)).agg(
         F.when(F.max((F.col("gap_status") == "Closed Suspect").cast("int")) == 1, "Closed Suspect")
         .when(F.max((F.col("gap_status") == "Open Suspect").cast("int")) == 1, "Open Suspect")
         .otherwise("Open Non Suspect").alias("gap_status"))
@@ -201,18 +204,20 @@ def gap_hcc_rows(inp: Inputs):
     adjusted score (coefficient × combined confidence), R/S indicator, for every
     model version of ``inp``; and the pair interactions that open gaps bring
     about, with the coded categories or each other."""
-    from riskspark.operators.sinks import checkpoint
+    from riskspark.operators.sinks import checkpoint, in_place
     from riskspark.plans import scoring as S
-    sp = inp.spark
-    active = checkpoint(active_gaps(inp), "active-gaps")  # read for the confidences and for the statuses
-    c = _conf(inp, active).join(status_by_code(active), G.GAP_KEY)
-    c = checkpoint(c.where((F.col("combined_confidence") >= R.CONFIDENCE_THRESHOLD) | (F.col("gap_status") == "Open Non Suspect"))
-                   .withColumn("cc_id", F.regexp_extract("cc_code", r"(\d+)$", 1).cast("int")), "gap-confidence")
-    pop = inp.population().select("member_bid", "risk_year", "model_segment", "age_yr", "memb_gender_cd")
+    sp, my = inp.spark, ["member_bid", "risk_year"]
+    inp.gaps()  # written before the plans that are done in place
+    with in_place(sp):
+        active = checkpoint(active_gaps(inp), "active-gaps")  # read for the confidences and for the statuses
+        c = _conf(inp, active).join(hashed(status_by_code(*placed([active], inp.most_claims(), my))), keys_first(G.GAP_KEY))
+        c = checkpoint(c.where((F.col("combined_confidence") >= R.CONFIDENCE_THRESHOLD) | (F.col("gap_status") == "Open Non Suspect"))
+                       .withColumn("cc_id", F.regexp_extract("cc_code", r"(\d+)$", 1).cast("int")), "gap-confidence")
+    pop = inp.population().select(*my, "model_segment", "age_yr", "memb_gender_cd")
     j = c.join(pop, ["member_bid", "risk_year"]).withColumn("coeff_name", RF.hcc_coeff_name("model_segment", "cc_id"))
     j = S.coefficient_lookup(j, REF.coefficients(sp), "coeff_name", "coeff_score").withColumn("row_type", F.lit("HCC"))
     j = j.withColumns({"risk_type_detail_id": RF.hcc_detail_id("cc_code"), "coeff_score": F.coalesce("coeff_score", F.lit(0.0))})
-    pairs = G.gap_interactions(c.where(F.col("gap_status") == "Open Suspect"), inp.v28_hcc(), REF.pair_rules(sp))
+    pairs = G.gap_interactions(c.where(F.col("gap_status") == "Open Suspect"), inp.coded(), REF.pair_rules(sp))
     i = pairs.join(pop, ["member_bid", "risk_year"]).select(
         "version", "member_bid", "risk_year", "model_segment", "age_yr", "memb_gender_cd", F.lit("INTERACTION").alias("row_type"),
         F.col("interaction_name").alias("risk_type_detail_id"), F.col("interaction_name").alias("cc_code"), F.lit(None).cast("string").alias("methods"),

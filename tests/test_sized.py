@@ -191,3 +191,70 @@ def test_records_are_small_on_disk(spark, tmp_path):
     RS.write_records(wide, f"{tmp_path}/r", RS.MAO_004, {})
     assert sum(f.stat().st_size for f in (tmp_path / "r").glob("part-*")) < 5000 * 397 / 8
     assert RS.read_records(spark, f"{tmp_path}/r", RS.MAO_004).count() == 5000
+
+
+def some_claims(spark, n=1500):
+    linked = sorted({c for r in REF.hierarchy_pairs(spark).select("parent", "child").collect() for c in r})
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["v28", "v24"]), rnd.choice([None, *range(20)]), 1990 + rnd.randrange(4, 9), i // 3, f"199{i % 9}-03-0{1 + i % 7}", f"D{i % 3}",
+             rnd.choice(linked)) for i in range(n)]
+    return spark.createDataFrame(rows + rows[:50], "version string, member_bid long, risk_year int, claim_bid long, d string, diag_cd string, hcc int") \
+        .select("version", "member_bid", "risk_year", "claim_bid", F.col("d").cast("date").alias("claim_dt"), "diag_cd", "hcc")
+
+
+def test_statuses_in_place_shuffle_the_states_only(spark, monkeypatch):
+    """Only states are dealt out, by the member, and joined there by hash; the rows are the plain ones."""
+    from riskspark.operators.sinks import in_place, is_in_place
+    ch = some_claims(spark)
+    states = P.code_years(ch)
+    years = REF.time_periods(spark).where("period_type = 'C'").select("risk_year").distinct()
+
+    def made(size):
+        return P.statuses(states, REF.chronic(spark), REF.hierarchy_pairs(spark), REF.prior_year(spark), years, size=size)
+    plain = Counter(map(tuple, made(0).collect()))
+    monkeypatch.setattr(J, "PLACED_ROWS", 48)
+    with in_place(spark):
+        df = made(1200)
+        got, plan = Counter(map(tuple, df.collect())), plan_of(df)
+    assert not is_in_place(spark)
+    assert got == plain and len(plain) > 100
+    assert plan.count("ShuffledHashJoin") >= 3
+    assert {x.split("#")[0] for x in partitions(plan)} == {"member_bid"}
+
+
+def test_states_stand_for_their_claims(spark):
+    """Steps that begin with states take them, and categories left by the hierarchy are those scored from the diagnoses."""
+    ch = some_claims(spark)
+    states = P.code_years(ch)
+    assert Counter(map(tuple, P.code_years(states).collect())) == Counter(map(tuple, states.collect()))
+    for f in (P.current_filter, P.year_codes, lambda x: P.prior_filter(P.chronic_source(x, REF.chronic(spark)), spark.range(1990, 2000).toDF("risk_year"))):
+        assert Counter(map(str, f(ch).collect())) == Counter(map(str, f(states).collect()))
+
+
+def test_coded_categories_are_the_scored_ones(spark, claims):
+    inp = Inputs(spark, claims, cut=True, versions=("v24", "v28"))
+    cols = ["version", "member_bid", "risk_year", "hcc"]
+    want = {tuple(r) for r in inp.v28_hcc().select(cols).collect()}
+    got = [tuple(r) for r in inp.coded().select(cols).collect()]
+    assert set(got) == want and len(got) == len(want) > 10
+
+
+def test_frequency_is_one_aggregate(spark):
+    """Oldest row by date, claim and code, claims counted once, no row without a key; no window and no join of the draft with itself."""
+    from riskspark.plans import gaps as G
+    rnd = random.Random(2)
+    rows = [("v28", rnd.choice([None, 1, 2]), 1996, rnd.choice([1, 2]), rnd.choice([None, *range(5)]), rnd.choice([None, "1996-01-01", "1996-02-01"]), 4, "DIAGNOSIS",
+             rnd.choice(["D1", "D2"]), 18, rnd.choice([None, "CC018", "CC019"]), rnd.choice([0, 1]), rnd.choice(["Y", "N"])) for _ in range(300)]
+    draft = spark.createDataFrame(rows, "version string, member_bid long, risk_year int, method_id int, claim_bid long, d string, claim_type int, claim_cd_type string, "
+                                  "claim_cd string, cc_id int, cc_code string, qualified_claim int, qualify_claims string") \
+        .withColumn("claim_dt", F.col("d").cast("date")).select(*G.DRAFT_COLS)
+    df = G.frequency_confidence(draft, REF.method_frequency(spark), REF.method_default_weight(spark))
+    assert "Window" not in plan_of(df) and "SortMergeJoin" not in plan_of(df)
+    want = {}
+    for r in rows:
+        key = (r[1], r[3], r[10])
+        if None not in key and (r[11] == 0 or r[12] == "Y"):
+            want.setdefault(key, []).append((r[5] or "", -1 if r[4] is None else r[4], r[8]))
+    got = {(r["member_bid"], r["method_id"], r["cc_code"]): (str(r["claim_dt"] or ""), -1 if r["claim_bid"] is None else r["claim_bid"], r["claim_cd"], r["frequency"])
+           for r in df.collect()}
+    assert got == {k: (*min(v), len({c for _, c, _ in v if c >= 0})) for k, v in want.items()}
